@@ -1,0 +1,53 @@
+"""Every registered query against its SQL, on the given tables."""
+
+import datetime as dt
+import decimal
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from suite.oracles import ORACLES
+from suite.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, dt.date):
+        return value.isoformat()
+    if isinstance(value, decimal.Decimal):
+        return str(value)
+    return value
+
+
+def ordered(columns, rows):
+    at = [columns.index(c) for c in sorted(columns)]
+    return sorted([tuple(plain(row[i]) for i in at) for row in rows], key=repr)
+
+
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, db, name):
+    got = QUERIES[name](spark, SF_DIR)
+    want = db.execute(ORACLES[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(got.columns) == sorted(columns)
+    expected = ordered(columns, want.fetchall())
+    assert expected, "an empty result shows nothing"
+    assert ordered(got.columns, got.collect()) == expected
