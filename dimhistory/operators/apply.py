@@ -24,7 +24,7 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 def require_insertable(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> None:
     """Refuse rows whose key is there already or occurs twice among them."""
-    require_unique(keys, insert=rows)
+    require_unique(rows, keys, "insert")
     taken = rows.join(project(target, keys), list(keys), "left_semi").take(1)
     if taken:
         raise DuplicateKeys(f"insert of a key the target has: {taken[0].asDict()}")
@@ -41,7 +41,7 @@ def keyed_update(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Dat
 
     Rows without a match change nothing.
     """
-    require_unique(keys, update=rows)
+    require_unique(rows, keys, "update")
     changed = append_suffix(rows, _CHANGE).withColumn(_FOUND, F.lit(True))
     same_key = [quoted(k) == quoted(k + _CHANGE) for k in keys]
     joined = target.join(changed, same_key, "left")

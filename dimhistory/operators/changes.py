@@ -28,7 +28,11 @@ def filter_action(changes: DataFrame, *actions: str) -> DataFrame:
 
 
 def full_outer_join(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Pair the rows of two frames by key; columns get the suffixes OLD and NEW."""
+    """Pair the rows of two frames by key; columns get the suffixes OLD and NEW.
+
+    Each key should occur once on either side: copies multiply, and the rows of one key
+    meet in one task.
+    """
     left, right = append_suffix(old, OLD), append_suffix(new, NEW)
     same_key = reduce(and_, [quoted(k + OLD) == quoted(k + NEW) for k in keys])
     return left.join(right, same_key, "full")
@@ -57,9 +61,11 @@ def classify(pairs: DataFrame, spec: HistorySpec) -> DataFrame:
 def detect_changes(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) -> DataFrame:
     """Full outer join of active history and snapshot by business key, labelled.
 
-    Fingerprints are taken before the join, where a missing side still has none.
+    Snapshot rows with a null key match nothing and are left out. Fingerprints are taken
+    before the join, where a missing side still has none.
     """
     active = filter_active(history, spec)
+    snapshot = snapshot.where(reduce(and_, [quoted(k).isNotNull() for k in spec.keys]))
     if spec.compare == "md5":
         active = with_fingerprint(active, spec.tracked)
         snapshot = with_fingerprint(snapshot, spec.tracked)

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimhistory.errors import DuplicateKeys
 from dimhistory.functions import quoted
 from dimhistory.sources.staging import Staging
 
-_ROW, _POSITION, _RANGE, _OFFSET = "__row", "__position", "__range", "__offset"
+_ROW, _COPIES, _POSITION, _RANGE, _OFFSET = "__row", "__copies", "__position", "__range", "__offset"
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it
 _ROW_BITS = 33
 
@@ -28,45 +29,65 @@ def dense_row_number(
     """Add ``start + 1, start + 2, ...`` in the order of ``order_by``.
 
     Only the ordering columns are range-partitioned and sorted; the rest of a row is
-    joined to its number by equality. ``unique`` says that ``order_by`` identifies a
-    row. Otherwise rows get an id first, which also splits a run of equal order values
-    over many ranges.
+    joined to its number by equality. With ``unique`` the order values identify a row,
+    and repeated ones are an error. Otherwise rows get an id first, which also splits a
+    run of equal order values over many ranges.
 
     The sorted positions are staged before they are counted, so that both passes see
     the same ranges: sampling may place the bounds differently when a plan runs again.
     """
-    identity = list(order_by)
-    if not unique:
+    if unique:
+        match = list(order_by)
+        positions = _positions(df, match, staging)
+    else:
         df = staging.write(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
-        identity.append(_ROW)
-    by = [quoted(name) for name in identity]
+        match = [_ROW]
+        positions = _positions(df, [*order_by, _ROW], staging)
+    in_range = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbers = (
+        positions.join(F.broadcast(_offsets(positions, order_by, start)), _RANGE)
+        .withColumn(into, F.col(_OFFSET) + in_range + 1)
+        .select(*[quoted(name) for name in match], into)
+    )
+    return df.join(numbers, match).select(
+        *[quoted(name) for name in df.columns if name != _ROW], into
+    )
+
 
-    positions = staging.write(
+def _positions(df: DataFrame, identity: Sequence[str], staging: Staging) -> DataFrame:
+    """Identities with their range, their place in it and their number of copies.
+
+    Copies of an identity meet in one range and follow each other, so counting them
+    reuses the partitioning and the sort order: the plan has one exchange and one sort.
+    """
+    by = [quoted(name) for name in identity]
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*by))
+    return staging.write(
         df.select(*by)
         .repartitionByRange(*by)
         .sortWithinPartitions(*by)
+        .withColumn(_COPIES, copies)
         .withColumn(_POSITION, F.monotonically_increasing_id()),
         "positions",
-    )
-    positions = positions.withColumn(_RANGE, F.shiftright(_POSITION, _ROW_BITS))
-    in_range = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    numbers = positions.join(F.broadcast(_offsets(positions, start)), _RANGE).withColumn(
-        into, F.col(_OFFSET) + in_range + 1
-    )
-    match = identity if unique else [_ROW]
-    numbers = numbers.select(*[quoted(name) for name in match], into)
-    return df.join(numbers, match).select(
-        *[quoted(name) for name in df.columns if name != _ROW], into
-    )
+    ).withColumn(_RANGE, F.shiftright(_POSITION, _ROW_BITS))
 
 
-def _offsets(positions: DataFrame, start: int) -> DataFrame:
+def _offsets(positions: DataFrame, order_by: Sequence[str], start: int) -> DataFrame:
     """Rows before each range. One row per shuffle partition, however many rows there are."""
-    counts = sorted(positions.groupBy(_RANGE).count().collect())
-    before = list(accumulate((n for _, n in counts), initial=start))[:-1]
+    ranges = (
+        positions.groupBy(_RANGE)
+        .agg(F.count(F.lit(1)).alias("n"), F.max(_COPIES).alias("copies"))
+        .collect()
+    )
+    if any(r["copies"] > 1 for r in ranges):
+        repeated = positions.where(F.col(_COPIES) > 1).select(*[quoted(c) for c in order_by])
+        examples = [tuple(row) for row in repeated.limit(5).collect()]
+        raise DuplicateKeys(f"repeated values of {list(order_by)}, among them {examples}")
+    ranges.sort(key=lambda r: r[_RANGE])
+    before = list(accumulate((r["n"] for r in ranges), initial=start))[:-1]
     table = pa.table(
         {
-            _RANGE: pa.array([r for r, _ in counts], pa.int64()),
+            _RANGE: pa.array([r[_RANGE] for r in ranges], pa.int64()),
             _OFFSET: pa.array(before, pa.int64()),
         }
     )

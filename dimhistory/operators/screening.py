@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from dimhistory.spec import HistorySpec
 
 REASON = "reject_reason"
 
+_CELLS = 1 << 16
+
 
 def screen_snapshot(
     snapshot: DataFrame, schema: T.StructType, keys: Sequence[str]
@@ -78,31 +82,49 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def require_unique(keys: Sequence[str], **frames: DataFrame) -> None:
-    """Refuse frames in which a key occurs twice; all frames are checked in one job."""
-    sides = [
-        df.select(F.lit(name).alias("__in"), *[quoted(k) for k in keys])
-        for name, df in frames.items()
-    ]
-    found = duplicate_keys(reduce(DataFrame.unionByName, sides), ["__in", *keys]).limit(5).collect()
-    if found:
-        examples = [{k: row[k] for k in keys} for row in found]
-        raise DuplicateKeys(f"{found[0]['__in']} has duplicate keys, among them {examples}")
+def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
+    examples = duplicate_keys(df, keys).limit(5).collect()
+    if examples:
+        raise DuplicateKeys(f"{what} has duplicate keys, among them {[r.asDict() for r in examples]}")
+
+
+def count_rows_without_hot_keys(df: DataFrame, keys: Sequence[str], what: str) -> int:
+    """Count rows, and refuse a key with very many of them before it meets a join.
+
+    Rows are counted per cell of the hashed key, a fixed number of cells, which costs
+    little. Only a cell far above the mean calls for an exact search. Few copies of a
+    key can pass; later steps find those.
+    """
+    cell = F.xxhash64(*[quoted(k) for k in keys]).bitwiseAND(F.lit(_CELLS - 1))
+    rows, heaviest = (
+        df.groupBy(cell.alias("cell"))
+        .count()
+        .agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0)))
+        .first()
+    )
+    if heaviest > 2 * rows / _CELLS + 64:
+        require_unique(df, keys, what)
+    return rows
+
+
+@dataclass(frozen=True)
+class HistoryStats:
+    active_rows: int
+    max_sk: int
 
 
-def require_sound(history: DataFrame, spec: HistorySpec) -> int:
-    """Refuse a history with null flags, keys or surrogate keys; return its largest one."""
-    null_key = F.lit(False)
-    for key in spec.keys:
-        null_key = null_key | quoted(key).isNull()
+def require_sound(history: DataFrame, spec: HistorySpec) -> HistoryStats:
+    """Refuse a history with null flags, keys or surrogate keys."""
+    null_key = reduce(or_, [quoted(k).isNull() for k in spec.keys])
     flag, sk = quoted(spec.flag), quoted(spec.sk)
     found = history.agg(
         F.count_if(flag.isNull()).alias("null flag"),
         F.count_if(sk.isNull()).alias("null surrogate key"),
         F.count_if(flag & null_key).alias("null business key"),
+        F.count_if(flag).alias("active_rows"),
         F.coalesce(F.max(sk), F.lit(0)).alias("max_sk"),
     ).first()
-    broken = {name: n for name, n in found.asDict().items() if name != "max_sk" and n}
+    broken = {name: n for name, n in found.asDict().items() if name.startswith("null") and n}
     if broken:
         raise CorruptHistory(f"rows that break the history: {broken}")
-    return found["max_sk"]
+    return HistoryStats(found["active_rows"], found["max_sk"])

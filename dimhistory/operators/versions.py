@@ -79,7 +79,10 @@ def rows_updated_new(
 def rows_opened(
     changes: DataFrame, spec: HistorySpec, as_of: dt.date, max_sk: int, staging: Staging
 ) -> DataFrame:
-    """Inserted rows and new versions, numbered together: inserts first, each in key order."""
+    """Inserted rows and new versions, numbered together: inserts first, each in key order.
+
+    A key that would get two versions is an error.
+    """
     rows = _side(filter_action(changes, INSERT, UPDATE), NEW, ACTION)
     # the class goes into the order, not a second numbering with its own start
     rows = rows.withColumn(_CLASS, F.when(F.col(ACTION) == INSERT, 0).otherwise(1)).drop(ACTION)

@@ -10,10 +10,8 @@ from pyspark.sql import types as T
 from dimhistory.functions import project, quoted
 from dimhistory.operators.apply import keyed_update, require_insertable, union_by_name
 from dimhistory.operators.changes import is_empty
-from dimhistory.operators.numbering import assign_surrogate_keys
-from dimhistory.operators.screening import require_unique
-from dimhistory.operators.versions import open_versions
-from dimhistory.plans.merge import accept_snapshot, plan_merge
+from dimhistory.operators.screening import HistoryStats, require_unique
+from dimhistory.plans.merge import accept_snapshot, number_first_versions, plan_merge
 from dimhistory.sources.staging import Staging
 from dimhistory.sources.table import HistoryTable, Version
 
@@ -35,14 +33,17 @@ def apply_snapshot(
     accepted, rejected = accept_snapshot(
         snapshot, spec.source_schema(active.schema), spec, on_duplicate, order_by
     )
-    if on_duplicate == "error":
-        require_unique(spec.keys, snapshot=accepted)
+    if not base.one_active_per_key:
+        require_unique(active, spec.keys, "active history")
+    before = HistoryStats(base.active_rows, base.max_sk)
     with Staging(table.spark) as staging:
-        merge = plan_merge(active, accepted, spec, as_of, staging, base.max_sk)
-        if not any(merge.counts.values()):
-            new_active, kept_active = None, base.active
-        else:
+        merge = plan_merge(
+            active, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
+        )
+        if any(merge.counts.values()):
             new_active, kept_active = union_by_name(merge.survivors(active), merge.opened), ()
+        else:
+            new_active, kept_active = None, base.active
         return table.publish(
             after=base.number,
             schema=active.schema,
@@ -51,7 +52,8 @@ def apply_snapshot(
             kept_active=kept_active,
             kept_closed=base.closed,
             rejects=rejected,
-            max_sk=merge.max_sk,
+            stats=merge.after,
+            one_active_per_key=True,
             counts=merge.counts,
             as_of=as_of,
         )
@@ -68,15 +70,14 @@ def load_initial(
     spec, after = table.spec, table.latest()
     schema = spec.history_schema(snapshot.schema)
     accepted, rejected = accept_snapshot(snapshot, snapshot.schema, spec, on_duplicate, order_by)
-    if on_duplicate == "error":
-        require_unique(spec.keys, snapshot=accepted)
     with Staging(table.spark) as staging:
-        numbered = assign_surrogate_keys(accepted, spec.keys, spec.sk, staging)
+        first = number_first_versions(accepted, spec, as_of, staging, on_duplicate == "error")
         return table.publish(
             after=after,
             schema=schema,
-            active=open_versions(numbered, spec, as_of),
+            active=first,
             rejects=rejected,
+            one_active_per_key=True,
             as_of=as_of,
         )
 
@@ -118,5 +119,4 @@ def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) ->
             active=union_by_name(new_active, changed.where(flag)),
             closed=new_closed,
             kept_closed=kept_closed,
-            max_sk=base.max_sk,
         )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimhistory.errors import HistoryError
 from dimhistory.functions import quoted
 from dimhistory.operators.apply import union_by_name
 from dimhistory.operators.changes import (
@@ -21,6 +22,8 @@ from dimhistory.operators.changes import (
 )
 from dimhistory.operators.numbering import assign_surrogate_keys
 from dimhistory.operators.screening import (
+    HistoryStats,
+    count_rows_without_hot_keys,
     latest_per_key,
     require_sound,
     require_unique,
@@ -64,11 +67,18 @@ def initial_load(
 
     Rows with a null key are left out; ``accept_snapshot`` returns them.
     """
-    spec.history_schema(snapshot.schema)
-    staging = staging or Staging(snapshot.sparkSession)
     accepted, _ = accept_snapshot(snapshot, snapshot.schema, spec, on_duplicate, order_by)
-    if on_duplicate == "error":
-        require_unique(spec.keys, snapshot=accepted)
+    staging = staging or Staging(snapshot.sparkSession)
+    return number_first_versions(accepted, spec, as_of, staging, on_duplicate == "error")
+
+
+def number_first_versions(
+    accepted: DataFrame, spec: HistorySpec, as_of: dt.date, staging: Staging, check: bool
+) -> DataFrame:
+    """Open versions of accepted rows; the numbering refuses keys that occur twice."""
+    spec.history_schema(accepted.schema)
+    if check:
+        count_rows_without_hot_keys(accepted, spec.keys, "snapshot")
     numbered = assign_surrogate_keys(accepted, spec.keys, spec.sk, staging)
     return open_versions(numbered, spec, as_of)
 
@@ -81,7 +91,7 @@ class Merge:
     closed: DataFrame
     opened: DataFrame
     counts: dict[str, int]
-    max_sk: int
+    after: HistoryStats
 
     @property
     def n_closed(self) -> int:
@@ -99,24 +109,29 @@ class Merge:
         gone = self.closed.select(quoted(sk))
         if self.n_closed <= BROADCAST_KEYS:
             gone = F.broadcast(gone)
-        return history.join(gone, sk, "left_anti").select(*history.columns)
+        return history.join(gone, sk, "left_anti").select(*[quoted(c) for c in history.columns])
 
 
 def plan_merge(
     history: DataFrame,
-    snapshot: DataFrame,
+    accepted: DataFrame,
     spec: HistorySpec,
     as_of: dt.date,
     staging: Staging,
-    max_sk: int,
+    before: HistoryStats,
+    check: bool = True,
 ) -> Merge:
     """Compare once, stage the changed keys only, and derive all new rows from them.
 
-    ``snapshot`` must hold accepted rows, one per key. The join runs once; unchanged
-    rows leave it right there and are neither written nor numbered.
+    The join runs once; unchanged rows leave it right there and are neither written nor
+    numbered. Active keys must be unique. With ``check``, accepted rows may hold a key
+    twice and are refused then, without a search of their own: the numbering finds
+    copies among new and changed keys, and copies of unchanged keys leave more accepted
+    rows than active rows that stay.
     """
-    changes = detect_changes(history, snapshot, spec)
-    columns = [c + OLD for c in history.columns] + [c + NEW for c in snapshot.columns]
+    n_accepted = count_rows_without_hot_keys(accepted, spec.keys, "snapshot") if check else None
+    changes = detect_changes(history, accepted, spec)
+    columns = [c + OLD for c in history.columns] + [c + NEW for c in accepted.columns]
     delta = staging.write(
         changes.where(F.col(ACTION) != NOCHANGE)
         .select(ACTION, *[quoted(c) for c in columns])
@@ -125,14 +140,21 @@ def plan_merge(
     )
     counts = dict.fromkeys((INSERT, DELETE, UPDATE), 0)
     counts.update({row[ACTION]: row["n"] for row in action_counts(delta).collect()})
+    n_opened = counts[INSERT] + counts[UPDATE]
+    names = [quoted(c) for c in history.columns]
+    opened = history.limit(0)
+    if n_opened:
+        opened = rows_opened(delta, spec, as_of, before.max_sk, staging).select(*names)
+    matched = before.active_rows - counts[DELETE]
+    if check and matched != n_accepted - counts[INSERT]:
+        require_unique(accepted, spec.keys, "snapshot")
+        raise HistoryError("the snapshot or the history changed while they were compared")
     return Merge(
         spec=spec,
-        closed=rows_closed(delta, spec, as_of).select(*[quoted(c) for c in history.columns]),
-        opened=rows_opened(delta, spec, as_of, max_sk, staging).select(
-            *[quoted(c) for c in history.columns]
-        ),
+        closed=rows_closed(delta, spec, as_of).select(*names),
+        opened=opened,
         counts=counts,
-        max_sk=max_sk + counts[INSERT] + counts[UPDATE],
+        after=HistoryStats(matched + counts[INSERT], before.max_sk + n_opened),
     )
 
 
@@ -151,12 +173,11 @@ def merge_history(
     before it is consumed; stage a mutable source first.
     """
     staging = staging or Staging(history.sparkSession)
-    max_sk = require_sound(history, spec)
+    before = require_sound(history, spec)
+    require_unique(filter_active(history, spec), spec.keys, "active history")
     schema = spec.source_schema(history.schema)
     accepted, _ = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by)
-    sides = {"active_history": filter_active(history, spec)}
-    if on_duplicate == "error":
-        sides["snapshot"] = accepted
-    require_unique(spec.keys, **sides)
-    merge = plan_merge(history, accepted, spec, as_of, staging, max_sk)
+    merge = plan_merge(
+        history, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
+    )
     return union_by_name(merge.survivors(history), merge.closed, merge.opened)

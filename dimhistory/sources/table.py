@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from dimhistory.errors import ConcurrentPublish, HistoryError
 from dimhistory.functions import project, quoted
-from dimhistory.operators.numbering import max_surrogate_key
+from dimhistory.operators.screening import HistoryStats, require_sound
 from dimhistory.sources import files
 from dimhistory.spec import HistorySpec
 
@@ -34,7 +34,9 @@ class Version:
     active: tuple[str, ...]
     closed: tuple[str, ...]
     rejects: str | None
+    active_rows: int
     max_sk: int
+    one_active_per_key: bool
     counts: dict[str, int]
 
 
@@ -75,7 +77,7 @@ class HistoryTable:
         if self.exists():
             return False
         schema = self.spec.history_schema(source_schema)
-        empty = Version(1, None, schema.jsonValue(), (), (), None, 0, {})
+        empty = Version(1, None, schema.jsonValue(), (), (), None, 0, 0, True, {})
         return self._publish(empty)
 
     # reading
@@ -115,14 +117,15 @@ class HistoryTable:
         kept_active: tuple[str, ...] = (),
         kept_closed: tuple[str, ...] = (),
         rejects: DataFrame | None = None,
-        max_sk: int | None = None,
+        stats: HistoryStats | None = None,
+        one_active_per_key: bool = False,
         counts: dict[str, int] | None = None,
         as_of: dt.date | None = None,
     ) -> Version:
         """Write the version that follows ``after`` and make it visible with one rename.
 
         The version consists of the kept folders and of ``active`` and ``closed``. Without
-        ``max_sk`` the largest surrogate key is read from the rows just written.
+        ``stats`` they are taken from the written rows, which are refused when unsound.
         """
         folder = f"data/{uuid.uuid4().hex}"
         stored = [n for n in schema.names if n != self.spec.flag]
@@ -141,12 +144,15 @@ class HistoryTable:
             active=kept_active,
             closed=kept_closed,
             rejects=f"{folder}/rejects" if rejects is not None else None,
-            max_sk=max_sk or 0,
+            active_rows=0,
+            max_sk=0,
+            one_active_per_key=one_active_per_key,
             counts=counts or {},
         )
-        if max_sk is None:
+        if stats is None:
             written = self.read_active(version).unionByName(self.read_closed(version))
-            version = replace(version, max_sk=max_surrogate_key(written, self.spec.sk).first()[0])
+            stats = require_sound(written, self.spec)
+        version = replace(version, active_rows=stats.active_rows, max_sk=stats.max_sk)
         if not self._publish(version):
             raise ConcurrentPublish(f"version {version.number} of {self.path} exists already")
         return version
@@ -160,11 +166,13 @@ class HistoryTable:
     def overwrite(self, history: DataFrame, as_of: dt.date | None = None) -> Version:
         """Replace the contents with a complete history."""
         flag = quoted(self.spec.flag)
+        stats = require_sound(history, self.spec)
         return self.publish(
             after=self.latest(),
             schema=history.schema,
             active=history.where(flag),
             closed=history.where(~flag),
+            stats=stats,
             as_of=as_of,
         )
 

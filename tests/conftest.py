@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         .appName("dimhistory-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

@@ -1,0 +1,231 @@
+import json
+
+import pytest
+
+from dimhistory.errors import ConcurrentPublish, CorruptHistory, DuplicateKeys, HistoryError
+from dimhistory.plans import load as load_module
+from dimhistory.plans.load import apply_change_set, apply_snapshot, load_initial
+from dimhistory.sources import files
+from dimhistory.sources.catalog import ensure_table, table_exists
+from dimhistory.sources.table import HistoryTable
+from dimhistory.spec import HistorySpec
+from util import (
+    AB,
+    AB_SPEC,
+    D0,
+    D1,
+    D2,
+    END,
+    SOURCE,
+    SPEC,
+    ab,
+    ab_history,
+    collected,
+    frame,
+    model_initial,
+    model_merge,
+)
+
+ROWS = [(k, "x", k % 3) for k in range(30)]
+LATER = [(k, "x", k % 3 + (k % 5 == 0)) for k in range(3, 33)]
+
+
+@pytest.fixture()
+def table(spark, tmp_path):
+    return HistoryTable(spark, str(tmp_path / "table"), AB_SPEC)
+
+
+def test_loads_in_sequence(spark, table):
+    version = load_initial(table, ab(spark, *ROWS), D0)
+    assert (version.number, version.active_rows, version.max_sk) == (1, 30, 30)
+    expected = model_initial(ROWS, D0)
+    assert collected(table.read()) == expected
+    for day, rows in ((D1, LATER), (D2, ROWS), (D2, ROWS)):
+        version = apply_snapshot(table, ab(spark, *rows), day)
+        expected = model_merge(expected, rows, day)
+        assert collected(table.read()) == expected
+        assert version.max_sk == max(r[3] for r in expected)
+        assert version.active_rows == len(rows) == sum(r[6] for r in expected)
+    assert table.read().columns == [*AB.names, *AB_SPEC.scd_columns]
+    # every version stays readable
+    assert collected(table.read(1)) == model_initial(ROWS, D0)
+
+
+def test_closed_rows_are_kept_by_reference(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    second = apply_snapshot(table, ab(spark, *LATER), D1)
+    third = apply_snapshot(table, ab(spark, *ROWS), D2)
+    assert third.closed[: len(second.closed)] == second.closed
+    # nothing changed: the active rows are kept as well
+    fourth = apply_snapshot(table, ab(spark, *ROWS), D2)
+    assert (fourth.active, fourth.closed) == (third.active, third.closed)
+    assert fourth.counts == {"INSERT": 0, "DELETE": 0, "UPDATE": 0}
+
+
+def test_ensure_creates_once(spark, table):
+    assert not table.exists()
+    assert table.ensure(AB)
+    assert table.exists() and table.read().count() == 0
+    apply_snapshot(table, ab(spark, *ROWS), D0)
+    assert not table.ensure(AB)
+    assert collected(table.read()) == model_initial(ROWS, D0)
+
+
+def test_awkward_column_names_survive(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "t"), SPEC)
+    load_initial(table, frame(spark, SOURCE, [(1, "Male", 19, 15, 39)]), D0)
+    apply_snapshot(table, frame(spark, SOURCE, [(1, "Male", 19, 16, 39)]), D1)
+    assert collected(table.read(), "sk_customerid") == [
+        (1, "Male", 19, 15, 39, 1, D0, D1, False),
+        (1, "Male", 19, 16, 39, 2, D1, END, True),
+    ]
+
+
+def test_flag_filter_reads_only_its_folders(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    version = apply_snapshot(table, ab(spark, *LATER), D1)
+    active = table.read().where(AB_SPEC.flag)
+    assert {f.rsplit("/", 1)[0].split(table.path + "/")[1] for f in active.inputFiles()} >= set(version.active)
+    plan = active._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
+def test_rejects_are_stored_with_the_version(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    text = spark.createDataFrame(
+        [("1", "x", "1"), ("2", "y", "n/a"), (None, "z", "3")], "k string, a string, b string"
+    )
+    version = apply_snapshot(table, text, D1)
+    rejects = table.read_rejects(version).collect()
+    assert sorted(r["reject_reason"] for r in rejects) == ["bad value: b", "null key: k"]
+
+
+def test_a_failed_load_changes_nothing(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    before = collected(table.read())
+    with pytest.raises(DuplicateKeys):
+        apply_snapshot(table, ab(spark, *ROWS, ROWS[0]), D1)
+    assert table.latest() == 1 and collected(table.read()) == before
+
+
+def test_the_slower_of_two_loads_fails(spark, table, monkeypatch):
+    load_initial(table, ab(spark, *ROWS), D0)
+    plain = load_module.plan_merge
+
+    def overtaken(*args, **kwargs):
+        monkeypatch.setattr(load_module, "plan_merge", plain)
+        apply_snapshot(table, ab(spark, *LATER), D1)
+        return plain(*args, **kwargs)
+
+    monkeypatch.setattr(load_module, "plan_merge", overtaken)
+    with pytest.raises(ConcurrentPublish):
+        apply_snapshot(table, ab(spark, *ROWS[:5]), D1)
+    assert collected(table.read()) == model_merge(model_initial(ROWS, D0), LATER, D1)
+
+
+def test_overwrite_and_unchecked_history(spark, table):
+    history = model_merge(model_initial(ROWS, D0), LATER, D1)
+    table.overwrite(ab_history(spark, *history), D1)
+    assert collected(table.read()) == history
+    assert not table.version().one_active_per_key
+    version = apply_snapshot(table, ab(spark, *ROWS), D2)
+    assert version.one_active_per_key
+    assert collected(table.read()) == model_merge(history, ROWS, D2)
+
+    twice = (10, "x", 1, 900, D0, END, True)
+    table.overwrite(ab_history(spark, *history, twice))
+    with pytest.raises(DuplicateKeys, match="active history"):
+        apply_snapshot(table, ab(spark, *ROWS), D2)
+    with pytest.raises(CorruptHistory):
+        table.overwrite(ab_history(spark, (1, "x", 1, 1, D0, END, None)))
+
+
+def test_change_sets(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    expected = {r[3]: r for r in model_initial(ROWS, D0)}
+
+    new = [(50, "n", 1, 31, D1, END, True), (51, "n", 1, 32, D0, D1, False)]
+    apply_change_set(table, ab_history(spark, *new), "INSERT")
+    expected |= {r[3]: r for r in new}
+    assert collected(table.read()) == [expected[k] for k in sorted(expected)]
+
+    # close one active row, change another; one key the table lacks
+    rows = [(*expected[4][:5], D1, False), (*expected[5][:2], 77, *expected[5][3:]), (99, "x", 1, 99, D0, END, True)]
+    apply_change_set(table, ab_history(spark, *rows), "UPDATE")
+    expected |= {r[3]: r for r in rows[:2]}
+    assert collected(table.read()) == [expected[k] for k in sorted(expected)]
+
+    # an update of a closed row
+    kept = table.version().closed
+    rows = [(*expected[32][:1], "late", *expected[32][2:])]
+    apply_change_set(table, ab_history(spark, *rows), "UPDATE")
+    expected |= {r[3]: r for r in rows}
+    assert collected(table.read()) == [expected[k] for k in sorted(expected)]
+    assert not set(kept) & set(table.version().closed)
+    assert table.version().max_sk == 32
+
+    with pytest.raises(DuplicateKeys):
+        apply_change_set(table, ab_history(spark, expected[31]), "INSERT")
+    with pytest.raises(DuplicateKeys):
+        apply_change_set(table, ab_history(spark, expected[31], expected[31]), "UPDATE")
+    with pytest.raises(ValueError):
+        apply_change_set(table, ab_history(spark, expected[31]), "UPSERT")
+
+
+def test_expire_versions(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    expected = model_initial(ROWS, D0)
+    for day, rows in ((D1, LATER), (D2, ROWS)):
+        apply_snapshot(table, ab(spark, *rows), day)
+        expected = model_merge(expected, rows, day)
+    assert table.expire_versions(keep=1) == [1, 2]
+    assert table.version_numbers() == [3]
+    assert collected(table.read()) == expected
+    with pytest.raises(HistoryError):
+        table.read(1)
+    with pytest.raises(ValueError):
+        table.expire_versions(keep=0)
+
+
+def test_version_file_is_plain_json(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    stored = json.loads(files.read_text(spark, f"{table.path}/_versions/0000000001.json"))
+    assert stored["as_of"] == D0.isoformat() and stored["max_sk"] == 30
+
+
+def test_missing_table(table):
+    with pytest.raises(HistoryError):
+        table.read()
+
+
+def test_staging_is_dropped_after_a_load(spark, table, monkeypatch):
+    seen = []
+    original = load_module.Staging
+
+    def remembered(session):
+        seen.append(original(session))
+        return seen[-1]
+
+    monkeypatch.setattr(load_module, "Staging", remembered)
+    load_initial(table, ab(spark, *ROWS), D0)
+    apply_snapshot(table, ab(spark, *LATER), D1)
+    assert len(seen) == 2 and not any(files.exists(spark, s.path) for s in seen)
+
+
+def test_catalog_table(spark, tmp_path):
+    spec = HistorySpec(["customerid"], SOURCE.names, sk="sk_customerid")
+    schema = spec.history_schema(SOURCE)
+    name = "catalog_history"
+    assert not table_exists(spark, name)
+    try:
+        assert ensure_table(spark, name, schema, spec.flag, str(tmp_path / "cat"))
+        assert table_exists(spark, name)
+        assert not ensure_table(spark, name, schema, spec.flag)
+        assert spark.table(name).schema.names == schema.names
+        row = (1, "Male", 19, 15, 39, 1, D0, END, True)
+        frame(spark, schema, [row]).write.insertInto(name)
+        assert collected(spark.table(name), "sk_customerid") == [row]
+        plan = spark.table(name).where("current_flag")._jdf.queryExecution().toString()
+        assert "PartitionFilters: [isnotnull(current_flag" in plan
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
