@@ -25,7 +25,8 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
 def require_insertable(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> None:
     """Refuse rows whose key is there already or occurs twice among them."""
     require_unique(rows, keys, "insert")
-    taken = rows.join(project(target, keys), list(keys), "left_semi").take(1)
+    # the target streams past the smaller set of new keys
+    taken = project(target, keys).join(project(rows, keys), list(keys), "left_semi").take(1)
     if taken:
         raise DuplicateKeys(f"insert of a key the target has: {taken[0].asDict()}")
 

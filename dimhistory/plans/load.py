@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 
 from dimhistory.functions import project, quoted
 from dimhistory.operators.apply import keyed_update, require_insertable, union_by_name
-from dimhistory.operators.changes import is_empty
-from dimhistory.operators.screening import HistoryStats, require_unique
+from dimhistory.operators.changes import filter_active, is_empty
+from dimhistory.operators.screening import HistoryStats, require_sound, require_unique
 from dimhistory.plans.merge import accept_snapshot, number_first_versions, plan_merge
+from dimhistory.sources.jdbc import JdbcTable
 from dimhistory.sources.staging import Staging
 from dimhistory.sources.table import HistoryTable, Version
+from dimhistory.spec import HistorySpec
 
 
 def apply_snapshot(
@@ -82,6 +84,36 @@ def load_initial(
         )
 
 
+def apply_snapshot_jdbc(
+    target: JdbcTable,
+    snapshot: DataFrame,
+    spec: HistorySpec,
+    as_of: dt.date,
+    partitions: int = 1,
+    on_duplicate: str = "error",
+    order_by: str | None = None,
+) -> dict[str, int]:
+    """Bring a history in a database up to date; return the number of rows per action.
+
+    The table is read once, in ``partitions`` ranges of the surrogate key, and staged:
+    later steps must not see what this load writes. Only changed rows go back.
+    """
+    spark = snapshot.sparkSession
+    with Staging(spark) as staging:
+        history = target.read_pinned(spark, staging, spec.sk, partitions)
+        before = require_sound(history, spec)
+        require_unique(filter_active(history, spec), spec.keys, "active history")
+        schema = spec.source_schema(history.schema)
+        accepted, _ = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by)
+        merge = plan_merge(
+            history, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
+        )
+        if any(merge.counts.values()):
+            changed = union_by_name(merge.closed, merge.opened)
+            target.apply_rows(spark, changed, [*spec.keys, spec.sk])
+        return merge.counts
+
+
 def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) -> Version:
     """Insert rows, or update rows by business and surrogate key, as one new version.
 

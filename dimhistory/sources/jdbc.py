@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +67,49 @@ class JdbcTable:
         """Insert rows, each task in its own transaction."""
         self._write(df, "append", batch_size)
 
+    def apply_rows(
+        self,
+        spark: SparkSession,
+        rows: DataFrame,
+        keys: Sequence[str],
+        batch_size: int = 10_000,
+    ) -> None:
+        """Insert rows, and replace those whose ``keys`` the table has.
+
+        The executors write to a side table. The database then moves the rows in one
+        transaction, so the table shows all of them or none, and none passes the driver.
+        """
+        side = replace(self, table=f"{self.table}_changes")
+        side._write(rows, "overwrite", batch_size)
+        jvm = spark._jvm
+        dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
+        quoted = {name: dialect.quoteIdentifier(name) for name in rows.columns}
+        columns = ", ".join(quoted.values())
+        same = " AND ".join(f"c.{quoted[k]} = {self.table}.{quoted[k]}" for k in keys)
+        self._transaction(
+            jvm,
+            f"DELETE FROM {self.table} WHERE EXISTS (SELECT 1 FROM {side.table} c WHERE {same})",
+            f"INSERT INTO {self.table} ({columns}) SELECT {columns} FROM {side.table}",
+        )
+        self._transaction(jvm, f"DROP TABLE {side.table}")
+
+    def _transaction(self, jvm, *statements: str) -> None:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self.driver)
+        properties = jvm.java.util.Properties()
+        for name, value in self.options.items():
+            properties.setProperty(name, value)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        try:
+            connection.setAutoCommit(False)
+            for statement in statements:
+                connection.createStatement().executeUpdate(statement)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()
+
     def _write(self, df: DataFrame, mode: str, batch_size: int, **options) -> None:
         self._connect(df.write).options(
             dbtable=self.table, batchsize=batch_size, **options

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from dimhistory import Staging, merge_history
 from dimhistory.errors import SchemaMismatch
+from dimhistory.plans.load import apply_snapshot_jdbc
 from dimhistory.sources import staging as staging_module
 from dimhistory.sources.csv import csv_columns, history_columns, read_csv, write_csv
 from dimhistory.sources.jdbc import JdbcTable
@@ -168,3 +169,100 @@ def test_jdbc_writes():
     Frame.write = Recorder()
     TABLE.append(Frame)
     assert Frame.write.said["mode"] == "append" and "truncate" not in Frame.write.said
+
+
+class FakeDatabase:
+    """Stands for the JVM: remembers statements and how the connection was left."""
+
+    def __init__(self, fail_at=None):
+        self.log, self.fail_at = [], fail_at
+
+    def __getattr__(self, name):
+        return self
+
+    def __call__(self, *args):
+        return self
+
+    def quoteIdentifier(self, name):
+        return f"`{name}`"
+
+    def setAutoCommit(self, on):
+        self.log.append(f"autocommit {on}")
+
+    def executeUpdate(self, statement):
+        self.log.append(statement)
+        if self.fail_at and self.fail_at in statement:
+            raise RuntimeError("refused")
+
+    def commit(self):
+        self.log.append("commit")
+
+    def rollback(self):
+        self.log.append("rollback")
+
+    def close(self):
+        self.log.append("close")
+
+
+class JvmSession:
+    def __init__(self, database):
+        self._jvm = database
+
+
+class ChangedRows:
+    columns = ["k", "annual (k$)", "sk"]
+
+    def __init__(self):
+        self.write = Recorder()
+
+
+def test_jdbc_changes_move_in_one_transaction():
+    database, rows = FakeDatabase(), ChangedRows()
+    TABLE.apply_rows(JvmSession(database), rows, ["k", "sk"])
+    assert rows.write.said["dbtable"] == "customer_changes"
+    assert database.log == [
+        "autocommit False",
+        "DELETE FROM customer WHERE EXISTS (SELECT 1 FROM customer_changes c "
+        "WHERE c.`k` = customer.`k` AND c.`sk` = customer.`sk`)",
+        "INSERT INTO customer (`k`, `annual (k$)`, `sk`) "
+        "SELECT `k`, `annual (k$)`, `sk` FROM customer_changes",
+        "commit",
+        "close",
+        "autocommit False",
+        "DROP TABLE customer_changes",
+        "commit",
+        "close",
+    ]
+
+
+def test_jdbc_changes_are_rolled_back_and_the_error_is_raised():
+    database = FakeDatabase(fail_at="INSERT")
+    with pytest.raises(RuntimeError, match="refused"):
+        TABLE.apply_rows(JvmSession(database), ChangedRows(), ["k"])
+    assert database.log[-2:] == ["rollback", "close"] and "commit" not in database.log
+
+
+def test_snapshot_into_a_database_writes_only_changes(spark):
+    class Target:
+        def read_pinned(self, session, staging, column, partitions):
+            assert (column, partitions) == ("sk", 4)
+            rows = [(k, "x", k, k, D0, END, True) for k in (1, 2, 3)]
+            return staging.write(ab_history(spark, *rows), "jdbc")
+
+        def apply_rows(self, session, rows, keys):
+            self.keys, self.rows = keys, collected(rows)
+
+    target = Target()
+    snapshot = ab(spark, (1, "x", 1), (2, "x", 9), (4, "n", 1))
+    counts = apply_snapshot_jdbc(target, snapshot, AB_SPEC, D1, partitions=4)
+    assert counts == {"INSERT": 1, "DELETE": 1, "UPDATE": 1}
+    assert target.keys == ["k", "sk"]
+    assert target.rows == [
+        (2, "x", 2, 2, D0, D1, False),
+        (3, "x", 3, 3, D0, D1, False),
+        (4, "n", 1, 4, D1, END, True),
+        (2, "x", 9, 5, D1, END, True),
+    ]
+    target.rows = None
+    apply_snapshot_jdbc(target, ab(spark, *[(k, "x", k) for k in (1, 2, 3)]), AB_SPEC, D1, 4)
+    assert target.rows is None
