@@ -48,6 +48,7 @@ def session(cpus: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("dimhistory-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_PARTITIONS", cpus))
         .config("spark.sql.session.timeZone", "UTC")

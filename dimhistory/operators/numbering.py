@@ -14,6 +14,8 @@ from dimhistory.functions import quoted
 from dimhistory.sources.staging import Staging
 
 _ROW, _COPIES, _POSITION, _RANGE, _OFFSET = "__row", "__copies", "__position", "__range", "__offset"
+# Order values that one task sorts; a range holds these columns only.
+ROWS_PER_RANGE = 1_000_000
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it
 _ROW_BITS = 33
 
@@ -25,24 +27,26 @@ def dense_row_number(
     staging: Staging,
     start: int = 0,
     unique: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``start + 1, start + 2, ...`` in the order of ``order_by``.
 
     Only the ordering columns are range-partitioned and sorted; the rest of a row is
     joined to its number by equality. With ``unique`` the order values identify a row,
     and repeated ones are an error. Otherwise rows get an id first, which also splits a
-    run of equal order values over many ranges.
+    run of equal order values over many ranges. ``rows``, if known, sets the number of
+    ranges.
 
     The sorted positions are staged before they are counted, so that both passes see
     the same ranges: sampling may place the bounds differently when a plan runs again.
     """
     if unique:
         match = list(order_by)
-        positions = _positions(df, match, staging)
+        positions = _positions(df, match, staging, rows)
     else:
         df = staging.write(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
         match = [_ROW]
-        positions = _positions(df, [*order_by, _ROW], staging)
+        positions = _positions(df, [*order_by, _ROW], staging, rows)
     in_range = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     numbers = (
         positions.join(F.broadcast(_offsets(positions, order_by, start)), _RANGE)
@@ -54,7 +58,9 @@ def dense_row_number(
     )
 
 
-def _positions(df: DataFrame, identity: Sequence[str], staging: Staging) -> DataFrame:
+def _positions(
+    df: DataFrame, identity: Sequence[str], staging: Staging, rows: int | None
+) -> DataFrame:
     """Identities with their range, their place in it and their number of copies.
 
     Copies of an identity meet in one range and follow each other, so counting them
@@ -62,9 +68,10 @@ def _positions(df: DataFrame, identity: Sequence[str], staging: Staging) -> Data
     """
     by = [quoted(name) for name in identity]
     copies = F.count(F.lit(1)).over(Window.partitionBy(*by))
+    ranges = [] if rows is None else [rows // ROWS_PER_RANGE + 2]
     return staging.write(
         df.select(*by)
-        .repartitionByRange(*by)
+        .repartitionByRange(*ranges, *by)
         .sortWithinPartitions(*by)
         .withColumn(_COPIES, copies)
         .withColumn(_POSITION, F.monotonically_increasing_id()),
@@ -95,10 +102,15 @@ def _offsets(positions: DataFrame, order_by: Sequence[str], start: int) -> DataF
 
 
 def assign_surrogate_keys(
-    df: DataFrame, keys: Sequence[str], sk: str, staging: Staging, start: int = 0
+    df: DataFrame,
+    keys: Sequence[str],
+    sk: str,
+    staging: Staging,
+    start: int = 0,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number rows of unique ``keys`` from ``start + 1`` in key order."""
-    return dense_row_number(df, keys, sk, staging, start=start, unique=True)
+    return dense_row_number(df, keys, sk, staging, start=start, unique=True, rows=rows)
 
 
 def max_surrogate_key(history: DataFrame, sk: str) -> DataFrame:

@@ -88,43 +88,70 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise DuplicateKeys(f"{what} has duplicate keys, among them {[r.asDict() for r in examples]}")
 
 
-def count_rows_without_hot_keys(df: DataFrame, keys: Sequence[str], what: str) -> int:
-    """Count rows, and refuse a key with very many of them before it meets a join.
+@dataclass(frozen=True)
+class Profile:
+    """What a load needs to know about its inputs."""
 
-    Rows are counted per cell of the hashed key, a fixed number of cells, which costs
-    little. Only a cell far above the mean calls for an exact search. Few copies of a
-    key can pass; later steps find those.
-    """
-    cell = F.xxhash64(*[quoted(k) for k in keys]).bitwiseAND(F.lit(_CELLS - 1))
-    rows, heaviest = (
-        df.groupBy(cell.alias("cell"))
-        .count()
-        .agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0)))
-        .first()
-    )
-    if heaviest > 2 * rows / _CELLS + 64:
-        require_unique(df, keys, what)
-    return rows
+    active_rows: int = 0
+    max_sk: int = 0
+    accepted_rows: int = 0
 
 
-@dataclass(frozen=True)
-class HistoryStats:
-    active_rows: int
-    max_sk: int
-
-
-def require_sound(history: DataFrame, spec: HistorySpec) -> HistoryStats:
-    """Refuse a history with null flags, keys or surrogate keys."""
-    null_key = reduce(or_, [quoted(k).isNull() for k in spec.keys])
-    flag, sk = quoted(spec.flag), quoted(spec.sk)
-    found = history.agg(
-        F.count_if(flag.isNull()).alias("null flag"),
-        F.count_if(sk.isNull()).alias("null surrogate key"),
-        F.count_if(flag & null_key).alias("null business key"),
-        F.count_if(flag).alias("active_rows"),
-        F.coalesce(F.max(sk), F.lit(0)).alias("max_sk"),
+def profile(
+    spec: HistorySpec, history: DataFrame | None = None, accepted: DataFrame | None = None
+) -> Profile:
+    """Count a history and accepted snapshot rows in one narrow pass, and refuse bad input.
+
+    A history must have no null flags, keys or surrogate keys. Neither side may have a key
+    with very many rows, which would meet in one task of the join: rows are counted per
+    cell of the hashed key, a fixed number of cells, and only a cell far above the mean
+    calls for an exact search. Few copies of a key can pass; the merge finds those.
+    """
+    cell = F.xxhash64(*[quoted(k) for k in spec.keys]).bitwiseAND(F.lit(_CELLS - 1))
+    zero = F.lit(0).cast("bigint")
+    sides = []
+    if history is not None:
+        null_key = reduce(or_, [quoted(k).isNull() for k in spec.keys])
+        flag, sk = quoted(spec.flag), quoted(spec.sk)
+        tests = {"flag": flag.isNull(), "surrogate key": sk.isNull(), "business key": flag & null_key}
+        sides.append(
+            history.select(
+                F.when(flag, cell).alias("cell"),
+                sk.alias("sk"),
+                F.when(flag, 1).otherwise(zero).alias("active"),
+                zero.alias("accepted"),
+                *[F.when(bad, 1).otherwise(zero).alias(f"null {name}") for name, bad in tests.items()],
+            )
+        )
+    if accepted is not None:
+        sides.append(
+            accepted.select(
+                cell.alias("cell"),
+                F.lit(None).cast("bigint").alias("sk"),
+                zero.alias("active"),
+                F.lit(1).cast("bigint").alias("accepted"),
+                *[zero.alias(f"null {name}") for name in ("flag", "surrogate key", "business key")],
+            )
+        )
+    counted = ["active", "accepted", "null flag", "null surrogate key", "null business key"]
+    cells = reduce(DataFrame.unionByName, sides).groupBy("cell").agg(
+        F.max("sk").alias("sk"), *[F.sum(c).alias(c) for c in counted]
+    )
+    found = cells.agg(
+        F.max("sk").alias("sk"),
+        *[F.sum(c).alias(c) for c in counted],
+        *[F.max(c).alias(f"most {c}") for c in ("active", "accepted")],
     ).first()
-    broken = {name: n for name, n in found.asDict().items() if name.startswith("null") and n}
+    broken = {c: found[c] for c in counted if c.startswith("null") and found[c]}
     if broken:
         raise CorruptHistory(f"rows that break the history: {broken}")
-    return HistoryStats(found["active_rows"], found["max_sk"])
+    if _hot(found["active"], found["most active"]):
+        require_unique(history.where(flag), spec.keys, "active history")
+    if _hot(found["accepted"], found["most accepted"]):
+        require_unique(accepted, spec.keys, "snapshot")
+    return Profile(found["active"] or 0, found["sk"] or 0, found["accepted"] or 0)
+
+
+def _hot(rows: int | None, most: int | None) -> bool:
+    """Whether the fullest cell is out of line with evenly spread keys."""
+    return bool(rows) and most > 2 * rows / _CELLS + 64

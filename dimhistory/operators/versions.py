@@ -77,16 +77,21 @@ def rows_updated_new(
 
 
 def rows_opened(
-    changes: DataFrame, spec: HistorySpec, as_of: dt.date, max_sk: int, staging: Staging
+    changes: DataFrame,
+    spec: HistorySpec,
+    as_of: dt.date,
+    max_sk: int,
+    staging: Staging,
+    rows: int | None = None,
 ) -> DataFrame:
     """Inserted rows and new versions, numbered together: inserts first, each in key order.
 
     A key that would get two versions is an error.
     """
-    rows = _side(filter_action(changes, INSERT, UPDATE), NEW, ACTION)
+    new = _side(filter_action(changes, INSERT, UPDATE), NEW, ACTION)
     # the class goes into the order, not a second numbering with its own start
-    rows = rows.withColumn(_CLASS, F.when(F.col(ACTION) == INSERT, 0).otherwise(1)).drop(ACTION)
-    rows = dense_row_number(
-        rows, [_CLASS, *spec.keys], spec.sk, staging, start=max_sk, unique=True
-    ).drop(_CLASS)
-    return open_versions(rows, spec, as_of)
+    new = new.withColumn(_CLASS, F.when(F.col(ACTION) == INSERT, 0).otherwise(1)).drop(ACTION)
+    new = dense_row_number(
+        new, [_CLASS, *spec.keys], spec.sk, staging, start=max_sk, unique=True, rows=rows
+    )
+    return open_versions(new.drop(_CLASS), spec, as_of)

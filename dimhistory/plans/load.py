@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from dimhistory.functions import project, quoted
 from dimhistory.operators.apply import keyed_update, require_insertable, union_by_name
-from dimhistory.operators.changes import filter_active, is_empty
-from dimhistory.operators.screening import HistoryStats, require_sound, require_unique
+from dimhistory.operators.changes import is_empty
+from dimhistory.operators.screening import Profile, require_unique
 from dimhistory.plans.merge import accept_snapshot, number_first_versions, plan_merge
 from dimhistory.sources.jdbc import JdbcTable
 from dimhistory.sources.staging import Staging
@@ -37,7 +37,7 @@ def apply_snapshot(
     )
     if not base.one_active_per_key:
         require_unique(active, spec.keys, "active history")
-    before = HistoryStats(base.active_rows, base.max_sk)
+    before = Profile(base.active_rows, base.max_sk)
     with Staging(table.spark) as staging:
         merge = plan_merge(
             active, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
@@ -101,13 +101,9 @@ def apply_snapshot_jdbc(
     spark = snapshot.sparkSession
     with Staging(spark) as staging:
         history = target.read_pinned(spark, staging, spec.sk, partitions)
-        before = require_sound(history, spec)
-        require_unique(filter_active(history, spec), spec.keys, "active history")
         schema = spec.source_schema(history.schema)
         accepted, _ = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by)
-        merge = plan_merge(
-            history, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
-        )
+        merge = plan_merge(history, accepted, spec, as_of, staging, check=on_duplicate == "error")
         if any(merge.counts.values()):
             changed = union_by_name(merge.closed, merge.opened)
             target.apply_rows(spark, changed, [*spec.keys, spec.sk])

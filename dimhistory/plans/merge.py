@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,16 +16,14 @@ from dimhistory.operators.changes import (
     ACTION,
     NEW,
     OLD,
-    action_counts,
     detect_changes,
     filter_active,
 )
 from dimhistory.operators.numbering import assign_surrogate_keys
 from dimhistory.operators.screening import (
-    HistoryStats,
-    count_rows_without_hot_keys,
+    Profile,
     latest_per_key,
-    require_sound,
+    profile,
     require_unique,
     screen_snapshot,
 )
@@ -36,6 +34,8 @@ from dimhistory.spec import DELETE, INSERT, NOCHANGE, UPDATE, HistorySpec
 # Surrogate keys of closed rows are broadcast up to this count, some 32 MB of memory.
 BROADCAST_KEYS = 1_000_000
 
+_COPIES = "__copies"
+
 
 def accept_snapshot(
     snapshot: DataFrame,
@@ -77,9 +77,8 @@ def number_first_versions(
 ) -> DataFrame:
     """Open versions of accepted rows; the numbering refuses keys that occur twice."""
     spec.history_schema(accepted.schema)
-    if check:
-        count_rows_without_hot_keys(accepted, spec.keys, "snapshot")
-    numbered = assign_surrogate_keys(accepted, spec.keys, spec.sk, staging)
+    rows = profile(spec, accepted=accepted).accepted_rows if check else None
+    numbered = assign_surrogate_keys(accepted, spec.keys, spec.sk, staging, rows=rows)
     return open_versions(numbered, spec, as_of)
 
 
@@ -91,7 +90,7 @@ class Merge:
     closed: DataFrame
     opened: DataFrame
     counts: dict[str, int]
-    after: HistoryStats
+    after: Profile
 
     @property
     def n_closed(self) -> int:
@@ -118,35 +117,53 @@ def plan_merge(
     spec: HistorySpec,
     as_of: dt.date,
     staging: Staging,
-    before: HistoryStats,
+    before: Profile | None = None,
     check: bool = True,
 ) -> Merge:
     """Compare once, stage the changed keys only, and derive all new rows from them.
 
     The join runs once; unchanged rows leave it right there and are neither written nor
-    numbered. Active keys must be unique. With ``check``, accepted rows may hold a key
-    twice and are refused then, without a search of their own: the numbering finds
-    copies among new and changed keys, and copies of unchanged keys leave more accepted
-    rows than active rows that stay.
+    numbered. ``before`` tells the size of a history known to be sound; without it the
+    history is checked. With ``check``, accepted rows may hold a key twice and are
+    refused then.
+
+    Copies of a key need no search of their own. In the history they are counted on the
+    way into the join, in its partitions and order. Among new and changed keys the
+    numbering finds them, and copies of an unchanged key leave more accepted rows than
+    active rows that stay.
     """
-    n_accepted = count_rows_without_hot_keys(accepted, spec.keys, "snapshot") if check else None
-    changes = detect_changes(history, accepted, spec)
+    known = before is not None
+    active = filter_active(history, spec)
+    seen = Profile()
+    if check or not known:
+        seen = profile(spec, None if known else history, accepted if check else None)
+    if not known:
+        before = seen
+        same_key = Window.partitionBy(*[quoted(k) for k in spec.keys])
+        active = active.withColumn(_COPIES, F.count(F.lit(1)).over(same_key))
+    copies = F.lit(1) if known else F.coalesce(F.col(_COPIES + OLD), F.lit(1))
     columns = [c + OLD for c in history.columns] + [c + NEW for c in accepted.columns]
     delta = staging.write(
-        changes.where(F.col(ACTION) != NOCHANGE)
-        .select(ACTION, *[quoted(c) for c in columns])
+        detect_changes(active, accepted, spec)
+        .withColumn(_COPIES, copies)
+        .where((F.col(ACTION) != NOCHANGE) | (F.col(_COPIES) > 1))
+        .select(ACTION, _COPIES, *[quoted(c) for c in columns])
         .hint("rebalance"),
         "delta",
     )
     counts = dict.fromkeys((INSERT, DELETE, UPDATE), 0)
-    counts.update({row[ACTION]: row["n"] for row in action_counts(delta).collect()})
+    for row in delta.groupBy(ACTION, _COPIES).count().collect():
+        if row[_COPIES] > 1:
+            require_unique(active, spec.keys, "active history")
+        counts[row[ACTION]] = row["count"]
     n_opened = counts[INSERT] + counts[UPDATE]
     names = [quoted(c) for c in history.columns]
+    delta = delta.drop(_COPIES)
     opened = history.limit(0)
     if n_opened:
-        opened = rows_opened(delta, spec, as_of, before.max_sk, staging).select(*names)
+        opened = rows_opened(delta, spec, as_of, before.max_sk, staging, n_opened).select(*names)
     matched = before.active_rows - counts[DELETE]
-    if check and matched != n_accepted - counts[INSERT]:
+    if check and matched != seen.accepted_rows - counts[INSERT]:
         require_unique(accepted, spec.keys, "snapshot")
         raise HistoryError("the snapshot or the history changed while they were compared")
     return Merge(
@@ -154,7 +171,7 @@ def plan_merge(
         closed=rows_closed(delta, spec, as_of).select(*names),
         opened=opened,
         counts=counts,
-        after=HistoryStats(matched + counts[INSERT], before.max_sk + n_opened),
+        after=Profile(matched + counts[INSERT], before.max_sk + n_opened),
     )
 
 
@@ -173,11 +190,7 @@ def merge_history(
     before it is consumed; stage a mutable source first.
     """
     staging = staging or Staging(history.sparkSession)
-    before = require_sound(history, spec)
-    require_unique(filter_active(history, spec), spec.keys, "active history")
     schema = spec.source_schema(history.schema)
     accepted, _ = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by)
-    merge = plan_merge(
-        history, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
-    )
+    merge = plan_merge(history, accepted, spec, as_of, staging, check=on_duplicate == "error")
     return union_by_name(merge.survivors(history), merge.closed, merge.opened)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from dimhistory.errors import ConcurrentPublish, HistoryError
 from dimhistory.functions import project, quoted
-from dimhistory.operators.screening import HistoryStats, require_sound
+from dimhistory.operators.screening import Profile, profile
 from dimhistory.sources import files
 from dimhistory.spec import HistorySpec
 
@@ -117,7 +117,7 @@ class HistoryTable:
         kept_active: tuple[str, ...] = (),
         kept_closed: tuple[str, ...] = (),
         rejects: DataFrame | None = None,
-        stats: HistoryStats | None = None,
+        stats: Profile | None = None,
         one_active_per_key: bool = False,
         counts: dict[str, int] | None = None,
         as_of: dt.date | None = None,
@@ -151,7 +151,7 @@ class HistoryTable:
         )
         if stats is None:
             written = self.read_active(version).unionByName(self.read_closed(version))
-            stats = require_sound(written, self.spec)
+            stats = profile(self.spec, history=written)
         version = replace(version, active_rows=stats.active_rows, max_sk=stats.max_sk)
         if not self._publish(version):
             raise ConcurrentPublish(f"version {version.number} of {self.path} exists already")
@@ -166,7 +166,7 @@ class HistoryTable:
     def overwrite(self, history: DataFrame, as_of: dt.date | None = None) -> Version:
         """Replace the contents with a complete history."""
         flag = quoted(self.spec.flag)
-        stats = require_sound(history, self.spec)
+        stats = profile(self.spec, history=history)
         return self.publish(
             after=self.latest(),
             schema=history.schema,

@@ -3,6 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimhistory.errors import DuplicateKeys
+from dimhistory.operators import numbering
 from dimhistory.operators.numbering import (
     assign_surrogate_keys,
     dense_row_number,
@@ -54,6 +55,17 @@ def test_a_hot_order_value_is_spread_over_ranges(spark, staging):
     assert hot.count() >= 3
 
 
+def test_ranges_follow_the_number_of_rows(spark, staging, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 1000)
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"))
+    got = assign_surrogate_keys(df, ["k"], "sk", staging, rows=5000)
+    want = df.withColumn("sk", F.row_number().over(Window.orderBy("k")).cast("bigint"))
+    assert sorted(got.collect()) == sorted(want.collect())
+    position = F.shiftright("__position", 33)
+    placed = spark.read.parquet(f"{staging.path}/{staged(staging, 'positions')[0]}")
+    assert placed.select(position).distinct().count() == 7
+
+
 def staged(staging, prefix):
     from dimhistory.sources import files
 

@@ -49,6 +49,8 @@ def test_merge_joins_once_and_never_uses_one_task_for_rows(pair, staged_plans):
     assert delta.count("SortMergeJoin") == 1 and "FullOuter" in delta
     # both sides by key, then the changed rows into even partitions
     assert sorted(exchanges(delta)) == ["RoundRobinPartitioning", "hashpartitioning", "hashpartitioning"]
+    # copies of history keys are counted in the partitions and the order of the join
+    assert delta.count("Window [count(1)") == 1 and len(re.findall(r"\bSort \[", delta)) == 2
     assert "FullOuter" not in result
     for text in (result, *staged_plans.values()):
         assert "SinglePartition" not in text

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 from dimhistory import accept_snapshot
 from dimhistory.errors import CorruptHistory, DuplicateKeys, SchemaMismatch
 from dimhistory.operators.screening import (
-    count_rows_without_hot_keys,
+    Profile,
     duplicate_keys,
     latest_per_key,
-    require_sound,
+    profile,
     screen_snapshot,
 )
 from util import AB, AB_SPEC, D0, END, ab, ab_history
@@ -62,11 +62,21 @@ def test_duplicate_policy(spark):
 
 
 def test_a_hot_key_is_refused_before_the_join(spark):
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    with pytest.raises(DuplicateKeys, match="1000"):
-        count_rows_without_hot_keys(df, ["k"], "snapshot")
-    assert count_rows_without_hot_keys(spark.range(3000), ["id"], "snapshot") == 3000
-    assert count_rows_without_hot_keys(spark.range(0), ["id"], "snapshot") == 0
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    df = spark.range(3000).select(key.alias("k"), F.lit("x").alias("a"), F.lit(1).alias("b"))
+    with pytest.raises(DuplicateKeys, match="snapshot .* 1000"):
+        profile(AB_SPEC, accepted=df)
+    history = df.selectExpr(
+        "*", "1L sk", "date'2024-01-01' effective_date", "date'9999-12-31' expiration_date",
+        "true current_flag",
+    )
+    with pytest.raises(DuplicateKeys, match="active history .* 1000"):
+        profile(AB_SPEC, history=history)
+    # many closed versions of one key are no trouble
+    assert profile(AB_SPEC, history=history.withColumn("current_flag", F.col("k") == 1)).active_rows == 1
+    unique = spark.range(3000).withColumnRenamed("id", "k")
+    assert profile(AB_SPEC, accepted=unique).accepted_rows == 3000
+    assert profile(AB_SPEC, accepted=unique.limit(0)).accepted_rows == 0
 
 
 GOOD = (1, "x", 1, 1, D0, END, True)
@@ -82,12 +92,11 @@ GOOD = (1, "x", 1, 1, D0, END, True)
 )
 def test_unsound_history_is_refused(spark, row, problem):
     with pytest.raises(CorruptHistory, match=problem):
-        require_sound(ab_history(spark, GOOD, row), AB_SPEC)
+        profile(AB_SPEC, ab_history(spark, GOOD, row))
 
 
 def test_sound_history_is_measured(spark):
     closed = (2, "x", 1, 9, D0, D0, False)
-    stats = require_sound(ab_history(spark, GOOD, closed), AB_SPEC)
-    assert (stats.active_rows, stats.max_sk) == (1, 9)
-    stats = require_sound(ab_history(spark), AB_SPEC)
-    assert (stats.active_rows, stats.max_sk) == (0, 0)
+    accepted = ab(spark, (1, "x", 1), (2, "x", 1))
+    assert profile(AB_SPEC, ab_history(spark, GOOD, closed), accepted) == Profile(1, 9, 2)
+    assert profile(AB_SPEC, ab_history(spark)) == Profile(0, 0, 0)
