@@ -8,11 +8,12 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimhistory.functions import FINGERPRINT, append_suffix, quoted, with_fingerprint
+from dimhistory.functions import append_suffix, quoted, with_fingerprint
 from dimhistory.spec import DELETE, INSERT, NOCHANGE, UPDATE, HistorySpec
 
 OLD, NEW = "_history", "_current"
 ACTION = "action"
+_FINGERPRINT = "__fingerprint"
 
 
 def filter_active(history: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -41,7 +42,7 @@ def full_outer_join(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> Da
 def unchanged(spec: HistorySpec) -> Column:
     """Whether the two sides of a pair agree in all tracked columns."""
     if spec.compare == "md5":
-        return quoted(FINGERPRINT + OLD) == quoted(FINGERPRINT + NEW)
+        return quoted(_FINGERPRINT + OLD) == quoted(_FINGERPRINT + NEW)
     same = [quoted(c + OLD).eqNullSafe(quoted(c + NEW)) for c in spec.tracked]
     return reduce(and_, same, F.lit(True))
 
@@ -67,9 +68,10 @@ def detect_changes(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) -
     active = filter_active(history, spec)
     snapshot = snapshot.where(reduce(and_, [quoted(k).isNotNull() for k in spec.keys]))
     if spec.compare == "md5":
-        active = with_fingerprint(active, spec.tracked)
-        snapshot = with_fingerprint(snapshot, spec.tracked)
-    return classify(full_outer_join(active, snapshot, spec.keys), spec)
+        active = with_fingerprint(active, spec.tracked, _FINGERPRINT)
+        snapshot = with_fingerprint(snapshot, spec.tracked, _FINGERPRINT)
+    changes = classify(full_outer_join(active, snapshot, spec.keys), spec)
+    return changes.drop(_FINGERPRINT + OLD, _FINGERPRINT + NEW)
 
 
 def action_counts(changes: DataFrame) -> DataFrame:

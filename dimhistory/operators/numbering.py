@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dimhistory.errors import DuplicateKeys
 from dimhistory.functions import quoted
+from dimhistory.operators.partitioning import spread
 from dimhistory.sources.staging import Staging
 
 _ROW, _COPIES, _POSITION, _RANGE, _OFFSET = "__row", "__copies", "__position", "__range", "__offset"
@@ -53,7 +54,7 @@ def dense_row_number(
         .withColumn(into, F.col(_OFFSET) + in_range + 1)
         .select(*[quoted(name) for name in match], into)
     )
-    return df.join(numbers, match).select(
+    return spread(df, match, rows).join(spread(numbers, match, rows), match).select(
         *[quoted(name) for name in df.columns if name != _ROW], into
     )
 

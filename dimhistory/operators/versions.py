@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimhistory.functions import FINGERPRINT, quoted, stamp_date, with_constants
+from dimhistory.functions import quoted, stamp_date, with_constants
 from dimhistory.operators.changes import ACTION, NEW, OLD, filter_action
 from dimhistory.operators.numbering import assign_surrogate_keys, dense_row_number
 from dimhistory.sources.staging import Staging
@@ -20,7 +20,7 @@ def _side(changes: DataFrame, suffix: str, *extra: str) -> DataFrame:
     """The columns of one side under their own names."""
     names = [c.removesuffix(suffix) for c in changes.columns if c.endswith(suffix)]
     return changes.select(
-        *[quoted(n + suffix).alias(n) for n in names if n != FINGERPRINT], *extra
+        *[quoted(n + suffix).alias(n) for n in names], *extra
     )
 
 
@@ -88,9 +88,10 @@ def rows_opened(
 
     A key that would get two versions is an error.
     """
-    new = _side(filter_action(changes, INSERT, UPDATE), NEW, ACTION)
     # the class goes into the order, not a second numbering with its own start
-    new = new.withColumn(_CLASS, F.when(F.col(ACTION) == INSERT, 0).otherwise(1)).drop(ACTION)
+    place = F.when(F.col(ACTION) == INSERT, 0).otherwise(1)
+    new = filter_action(changes, INSERT, UPDATE).withColumn(_CLASS, place)
+    new = _side(new, NEW, _CLASS)
     new = dense_row_number(
         new, [_CLASS, *spec.keys], spec.sk, staging, start=max_sk, unique=True, rows=rows
     )

@@ -20,6 +20,7 @@ from dimhistory.operators.changes import (
     filter_active,
 )
 from dimhistory.operators.numbering import assign_surrogate_keys
+from dimhistory.operators.partitioning import spread
 from dimhistory.operators.screening import (
     Profile,
     latest_per_key,
@@ -137,14 +138,16 @@ def plan_merge(
     seen = Profile()
     if check or not known:
         seen = profile(spec, None if known else history, accepted if check else None)
+    before = before or seen
+    rows = max(before.active_rows, seen.accepted_rows) if check else None
+    active, side = spread(active, spec.keys, rows), spread(accepted, spec.keys, rows)
     if not known:
-        before = seen
         same_key = Window.partitionBy(*[quoted(k) for k in spec.keys])
         active = active.withColumn(_COPIES, F.count(F.lit(1)).over(same_key))
     copies = F.lit(1) if known else F.coalesce(F.col(_COPIES + OLD), F.lit(1))
     columns = [c + OLD for c in history.columns] + [c + NEW for c in accepted.columns]
     delta = staging.write(
-        detect_changes(active, accepted, spec)
+        detect_changes(active, side, spec)
         .withColumn(_COPIES, copies)
         .where((F.col(ACTION) != NOCHANGE) | (F.col(_COPIES) > 1))
         .select(ACTION, _COPIES, *[quoted(c) for c in columns])

@@ -302,6 +302,21 @@ def test_merge_equals_the_union_of_the_actions(spark, staging):
     assert collected(parts) == collected(merge_history(history, snapshot, AB_SPEC, D1))
 
 
+@pytest.mark.parametrize("compare", ["exact", "md5"])
+def test_source_columns_may_be_named_like_internal_ones(spark, compare):
+    names = ["k", "action", "hash_md5", "k_history"]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    spec = HistorySpec(["k"], names, compare=compare)
+    first = initial_load(frame(spark, schema, [("a", "1", "2", "3"), ("b", "1", "2", "3")]), spec, D0)
+    got = merge_history(first, frame(spark, schema, [("a", "1", "2", "4"), ("c", "1", "2", "3")]), spec, D1)
+    assert collected(got) == [
+        ("a", "1", "2", "3", 1, D0, D1, False),
+        ("b", "1", "2", "3", 2, D0, D1, False),
+        ("c", "1", "2", "3", 3, D1, END, True),
+        ("a", "1", "2", "4", 4, D1, END, True),
+    ]
+
+
 def test_spec_is_checked():
     with pytest.raises(ValueError):
         HistorySpec([], ["a"])

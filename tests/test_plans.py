@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimhistory import Staging, initial_load, merge_history
+from dimhistory.operators import partitioning
 from dimhistory.operators.changes import detect_changes
 from dimhistory.operators.screening import duplicate_keys, latest_per_key
 from util import AB_SPEC, D0, D1
@@ -58,6 +59,17 @@ def test_merge_joins_once_and_never_uses_one_task_for_rows(pair, staged_plans):
         assert "Nested" not in text and "Cartesian" not in text
 
 
+def test_partitions_follow_the_rows(pair, staged_plans, monkeypatch):
+    history, snapshot = pair
+    want = sorted(merge_history(history, snapshot, AB_SPEC, D1).collect())
+    usual = exchanges(staged_plans["delta"])
+    monkeypatch.setattr(partitioning, "ROWS_PER_TASK", 100)
+    assert sorted(merge_history(history, snapshot, AB_SPEC, D1).collect()) == want
+    delta = staged_plans["delta"]
+    assert exchanges(delta) == usual
+    assert len(re.findall(r"hashpartitioning\(k#\d+L, 21\), REPARTITION_BY_NUM", delta)) == 2
+
+
 def test_unchanged_rows_pass_without_a_shuffle(pair):
     result = plan(merge_history(*pair, AB_SPEC, D1))
     survivors = result.split("LeftAnti")[1].split("Union")[0]
