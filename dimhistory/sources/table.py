@@ -38,6 +38,7 @@ class Version:
     max_sk: int
     one_active_per_key: bool
     counts: dict[str, int]
+    rejected: int = 0
 
 
 class HistoryTable:
@@ -135,8 +136,10 @@ class HistoryTable:
         if closed is not None:
             project(closed, stored).write.parquet(f"{self.path}/{folder}/closed")
             kept_closed += (f"{folder}/closed",)
+        rejected = 0
         if rejects is not None:
             rejects.write.parquet(f"{self.path}/{folder}/rejects")
+            rejected = self.spark.read.parquet(f"{self.path}/{folder}/rejects").count()
         version = Version(
             number=after + 1,
             as_of=as_of.isoformat() if as_of else None,
@@ -148,6 +151,7 @@ class HistoryTable:
             max_sk=0,
             one_active_per_key=one_active_per_key,
             counts=counts or {},
+            rejected=rejected,
         )
         if stats is None:
             written = self.read_active(version).unionByName(self.read_closed(version))

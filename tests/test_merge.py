@@ -37,7 +37,7 @@ from util import (
 )
 
 
-def mall(changed):
+def customers(changed):
     """200 customers; the later snapshot changes 3 and 5, lacks 7 and has 201."""
     known = {
         3: ("Female", 20, 16, 6),
@@ -54,10 +54,10 @@ def mall(changed):
 
 
 def test_golden_customers(spark):
-    first = initial_load(frame(spark, SOURCE, mall(False)), SPEC, D0)
+    first = initial_load(frame(spark, SOURCE, customers(False)), SPEC, D0)
     assert first.columns == [*SOURCE.names, *SPEC.scd_columns]
     result = collected(
-        merge_history(first, frame(spark, SOURCE, mall(True)), SPEC, D1), "sk_customerid"
+        merge_history(first, frame(spark, SOURCE, customers(True)), SPEC, D1), "sk_customerid"
     )
     assert len(result) == 203
     assert [r[5] for r in result] == list(range(1, 204))
@@ -71,7 +71,7 @@ def test_golden_customers(spark):
         (201, "Female", 40, 123, 76, 201, D1, END, True),
     ]
     same = [r for r in result if r[0] not in (3, 5, 7, 201)]
-    assert same == [(*r, r[0], D0, END, True) for r in mall(False) if r[0] not in (3, 5, 7)]
+    assert same == [(*r, r[0], D0, END, True) for r in customers(False) if r[0] not in (3, 5, 7)]
 
 
 def check_sound(before, after, accepted, spec, as_of):

@@ -14,7 +14,7 @@ HEADER = " CustomerID ,Genre,Age,Annual_Income_(k$),Spending_Score"
 
 @pytest.fixture()
 def csv(tmp_path):
-    path = tmp_path / "mall.csv"
+    path = tmp_path / "customers.csv"
     path.write_text(HEADER + "\n1,Male,19,15,39\n2,\"Fe,male\",,16,81\n")
     return str(path)
 

@@ -96,6 +96,7 @@ def test_rejects_are_stored_with_the_version(spark, table):
         [("1", "x", "1"), ("2", "y", "n/a"), (None, "z", "3")], "k string, a string, b string"
     )
     version = apply_snapshot(table, text, D1)
+    assert version.rejected == 2
     rejects = table.read_rejects(version).collect()
     assert sorted(r["reject_reason"] for r in rejects) == ["bad value: b", "null key: k"]
 
