@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from dimhistory.functions import project, quoted
 from dimhistory.operators.apply import keyed_update, require_insertable, union_by_name
 from dimhistory.operators.changes import is_empty
-from dimhistory.operators.screening import Profile, require_unique
+from dimhistory.operators.screening import Profile, profile, require_unique
 from dimhistory.plans.merge import accept_snapshot, number_first_versions, plan_merge
 from dimhistory.sources.jdbc import JdbcTable
 from dimhistory.sources.staging import Staging
@@ -120,6 +120,7 @@ def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) ->
     keys, flag = [*spec.keys, spec.sk], quoted(spec.flag)
     schema = T.StructType.fromJson(base.schema)
     if change_type == "INSERT":
+        profile(spec, history=rows)
         require_insertable(table.read(base.number), rows, keys)
         return table.publish(
             after=base.number,
@@ -136,6 +137,7 @@ def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) ->
         wanted = project(rows, keys)
         hit = staging.write(table.read(base.number).join(wanted, keys, "left_semi"), "hit")
         changed, touched = keyed_update(hit, rows, keys), project(hit, keys)
+        profile(spec, history=changed)
         new_active = active.join(touched, keys, "left_anti")
         new_closed, kept_closed = changed.where(~flag), base.closed
         if not is_empty(hit.where(~flag)):

@@ -165,6 +165,10 @@ def test_change_sets(spark, table):
     assert not set(kept) & set(table.version().closed)
     assert table.version().max_sk == 32
 
+    # a row without a flag would be in neither part of the table
+    for sk, kind in ((99, "INSERT"), (31, "UPDATE")):
+        with pytest.raises(CorruptHistory):
+            apply_change_set(table, ab_history(spark, (50, "n", 1, sk, D1, END, None)), kind)
     with pytest.raises(DuplicateKeys):
         apply_change_set(table, ab_history(spark, expected[31]), "INSERT")
     with pytest.raises(DuplicateKeys):
