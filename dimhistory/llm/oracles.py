@@ -2,6 +2,40 @@
 
 from __future__ import annotations
 
+#: A-Z in lower case, everything else as it is.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP6_NGRAM_JACCARD = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id,
+         CASE WHEN len(w) = 0 THEN []
+              WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct([array_to_string(w[i:i + 3], ' ')
+                                  FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM words
+),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS inter
+  FROM tokens AS a JOIN tokens AS b ON a.token = b.token AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+),
+links AS (SELECT a, b FROM met WHERE 100 * inter >= 85 * (n + m - inter)),
+steps AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(node, goal) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reached.node, steps.b FROM reached JOIN steps ON reached.goal = steps.a
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.least AS component_id
+FROM sets AS s
+JOIN (SELECT node, min(goal) AS least FROM reached GROUP BY node) AS r ON r.node = s.doc_id
+"""
+
 OP9_LINE_DEDUP = r"""
 WITH blanks AS (SELECT ' ' || chr(9) || chr(13) || chr(11) || chr(12) AS chars),
 lines AS (
@@ -38,4 +72,4 @@ LEFT JOIN (
 ) AS j USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op9_line_dedup": OP9_LINE_DEDUP}
+ORACLES: dict[str, str] = {"op6_ngram_jaccard": OP6_NGRAM_JACCARD, "op9_line_dedup": OP9_LINE_DEDUP}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory.llm import bpe, lines, quality, tokens
+from dimhistory.llm import bpe, jaccard, lines, quality, tokens
 from dimhistory.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.judge(docs, read_table(spark, sf_dir, "labels"))
@@ -37,6 +41,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
