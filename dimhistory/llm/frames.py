@@ -28,7 +28,7 @@ def map_texts(
     from their values to the values of ``schema``. Nothing is kept between batches but what
     that function keeps itself.
     """
-    target = _arrow_schema(schema)
+    target = arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = make()
@@ -45,7 +45,8 @@ def map_texts(
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def _arrow_schema(ddl: str) -> pa.Schema:
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow form of a DDL schema; needs a session, so call it on the driver."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

@@ -36,6 +36,47 @@ FROM sets AS s
 JOIN (SELECT node, min(goal) AS least FROM reached GROUP BY node) AS r ON r.node = s.doc_id
 """
 
+OP7_DECONTAMINATION = rf"""
+WITH pattern AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS p),
+docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), p) AS w FROM documents, pattern
+),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(coalesce({_LOWER}, ''), p) AS w
+  FROM benchmark, pattern
+),
+phrases AS (
+  SELECT item_id, least(len(w), 13) AS size,
+         unnest([array_to_string(w[i:i + least(len(w), 13) - 1], ' ')
+                 FOR i IN range(1, greatest(len(w) - 11, 2))]) AS phrase
+  FROM items WHERE len(w) > 0
+),
+sizes AS (SELECT DISTINCT size FROM phrases),
+grams AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS pos,
+         unnest([array_to_string(w[i:i + size - 1], ' ')
+                 FOR i IN range(1, len(w) - size + 2)]) AS phrase
+  FROM docs, sizes WHERE len(w) >= size
+),
+found AS (
+  SELECT DISTINCT g.doc_id, p.item_id, g.pos, g.size
+  FROM grams AS g JOIN phrases AS p ON p.phrase = g.phrase AND p.size = g.size
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT hit) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS hit FROM found) AS s GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) AS s GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(n.items, '')) AS items_sha256,
+       coalesce(h.n_hit > 0 AND 20 * h.n_hit >= len(d.w), false) AS contaminated
+FROM docs AS d LEFT JOIN hits AS h USING (doc_id) LEFT JOIN named AS n USING (doc_id)
+"""
+
 OP9_LINE_DEDUP = r"""
 WITH blanks AS (SELECT ' ' || chr(9) || chr(13) || chr(11) || chr(12) AS chars),
 lines AS (
@@ -72,4 +113,4 @@ LEFT JOIN (
 ) AS j USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op6_ngram_jaccard": OP6_NGRAM_JACCARD, "op9_line_dedup": OP9_LINE_DEDUP}
+ORACLES: dict[str, str] = {"op6_ngram_jaccard": OP6_NGRAM_JACCARD, "op7_decontamination": OP7_DECONTAMINATION, "op9_line_dedup": OP9_LINE_DEDUP}

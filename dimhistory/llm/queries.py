@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory.llm import bpe, jaccard, lines, quality, tokens
+from dimhistory.llm import bpe, contamination, jaccard, lines, quality, tokens
 from dimhistory.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return contamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.judge(docs, read_table(spark, sf_dir, "labels"))
@@ -42,6 +47,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
