@@ -5,15 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory.llm import bpe, contamination, jaccard, lines, quality, tokens
-from dimhistory.llm.frames import read_table
+from dimhistory.llm import bpe, contamination, jaccard, language, lines, pii, quality, tokens
+from dimhistory.llm.frames import held_out, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, pii.KINDS))
+
+    def joined(spans: Column) -> Column:
+        ordered = F.sort_array(
+            F.transform(
+                spans,
+                lambda s: F.struct(F.array_position(kinds, s["kind"]).alias("at"), s["start"], s["end"], s["kind"]),
+            )
+        )
+        return F.array_join(
+            F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -45,6 +78,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language": op1_language,
+    "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_decontamination": op7_decontamination,
