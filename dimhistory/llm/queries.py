@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory.llm import bpe, contamination, jaccard, language, lines, pii, quality, tokens
+from dimhistory.llm import bpe, contamination, jaccard, language, lines, pages, pii, quality, tokens
 from dimhistory.llm.frames import held_out, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(read_table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op5_html_text": op5_html_text,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
