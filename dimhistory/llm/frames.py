@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -19,6 +20,16 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(text) % 4 == 2, F.lit(False))
 
 
+def sampled(df: DataFrame, key: str, size: int, total: int) -> DataFrame:
+    """About ``size`` of the ``total`` rows of ``df``, chosen by a hash of ``key``; all if fewer.
+
+    Copies of a key are chosen together. No order and no single task are needed.
+    """
+    cells = 1 << 30
+    cut = math.ceil(cells * min(1.0, size / max(total, 1)))
+    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(cells)) < cut)
+
+
 def map_texts(
     df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[..., tuple]]
 ) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimhistory.llm.frames import map_texts
+from dimhistory.llm.frames import map_texts, sampled
 
 WINDOW = 8
 SPACES = b" \t\n\r\x0b\x0c"
@@ -249,17 +249,16 @@ def base_failed() -> Column:
 def fit(
     docs: DataFrame, labels: DataFrame, sample: int = 20_000, label_col: str = "quality"
 ) -> list[Rule]:
-    """Rules from at most ``sample`` labelled rows, the first in an order by hash of the id.
+    """Rules from about ``sample`` labelled rows, chosen by a hash of the id; all if fewer.
 
     Rows without label or id are left out; several labels of one id count by their mean. No
     labels give no rules, and all texts are kept. Rows that fail the base rules teach nothing.
     """
+    labelled = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
     chosen = (
-        labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
+        sampled(labelled, "doc_id", sample, labelled.count())
         .groupBy("doc_id")
         .agg((F.avg(label_col) < 0.5).alias("low"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
     )
     # bounded by ``sample`` rows of two narrow columns
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")

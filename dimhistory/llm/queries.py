@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory.llm import bpe, contamination, jaccard, language, lines, pages, pii, quality, tokens
+from dimhistory.llm import bpe, contamination, jaccard, language, lines, pages, pii, quality, tokens, toxicity
 from dimhistory.llm.frames import held_out, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    classifier = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, classifier)
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.extract(read_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -86,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op5_html_text": op5_html_text,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_decontamination": op7_decontamination,
