@@ -3,14 +3,38 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import dimhistory
+from dimhistory import Staging
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark send this package to the Python workers, which may lack its folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(dimhistory.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="dimhistory-code-")) / "dimhistory.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,6 +44,21 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(text) % 4 == 2, F.lit(False))
 
 
+#: Ids that are broadcast at most; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``docs`` with the doc_ids of ``ids``, written once and counted.
+
+    Up to ``BROADCAST_IDS`` ids are broadcast, which spares the texts a shuffle.
+    """
+    ids = Staging(docs.sparkSession).write(ids.select("doc_id").distinct(), "ids")
+    few = ids.count() <= BROADCAST_IDS
+    joined = docs.join(F.broadcast(ids) if few else ids, "doc_id", how)
+    return joined.select(*docs.columns)
+
+
 def sampled(df: DataFrame, key: str, size: int, total: int) -> DataFrame:
     """About ``size`` of the ``total`` rows of ``df``, chosen by a hash of ``key``; all if fewer.
 

@@ -4,7 +4,7 @@ Detectors find mail addresses, IP addresses, card numbers and phone numbers in a
 transducers rewrite disguises: look-alike and invisible characters, spelled digits, and
 words for @ and dot. Each carries, for every character it writes, the span of the source it came
 from, so that the same detectors run on the rewritten text and their spans map back. What they find
-there is added unless it overlaps a span of its kind.
+there is added unless it overlaps a span of its kind that it doesn't extend.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import islice, takewhile
 
 from pyspark.sql import DataFrame
 
@@ -307,8 +308,9 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
         for start, end in sorted(map(tape.source, spans)):
             while i < len(taken) and taken[i][1] <= start:
                 i += 1
-            free = i == len(taken) or taken[i][0] >= end
-            if free and not (added[kind] and added[kind][-1][1] > start):
+            met = [*takewhile(lambda s: s[0] < end, islice(taken, i, None))]
+            more = (start, end) not in met and all(start <= a and b <= end for a, b in met)
+            if more and not (added[kind] and added[kind][-1][1] > start):
                 added[kind].append((start, end))
     return base, added
 

@@ -163,6 +163,8 @@ def fit_label_model(votes: np.ndarray, prior: float = PRIOR, rounds: int = 25) -
         np.eye(m),
     )
     labelled = votes[:, -1] != 0
+    # votes that are left out say nothing, so only people can tell how common the label is
+    model.prior = float(((votes[:, -1] > 0).sum() + 10 * prior) / (labelled.sum() + 10))
     for again in range(2):
         for _ in range(rounds):
             p = model.posterior(votes)
@@ -174,11 +176,12 @@ def fit_label_model(votes: np.ndarray, prior: float = PRIOR, rounds: int = 25) -
             right = (p[labelled & (votes[:, -1] > 0)]).sum() + (1 - p[labelled & (votes[:, -1] < 0)]).sum()
             model.rates = np.clip(rates, 1e-5, 1 - 1e-5)
             model.people = float(np.clip((right + 19) / (labelled.sum() + 20), 0.6, 0.999))
-            model.prior = float(np.clip(p.mean(), 0.005, 0.5))
         if again:
             break
         p = model.posterior(votes)
+        # on the side a voter speaks for: a posterior by itself sets opposite voters together
         rest = voted - ((1 - p)[:, None] * model.rates[0] + p[:, None] * model.rates[1])
+        rest = rest * side
         spread = np.sqrt((rest**2).mean(axis=0)) + 1e-9
         model.correlations = (rest.T @ rest) / max(n, 1) / np.outer(spread, spread)
         model.weights = 1 / np.maximum(1, np.clip(model.correlations, 0, 1).sum(axis=1))

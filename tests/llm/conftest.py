@@ -1,0 +1,57 @@
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+# Python workers import the package from here
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [str(Path(__file__).parents[2]), os.environ.get("PYTHONPATH", "")]
+)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    if not Path(SF_DIR).exists():
+        pytest.skip("no test data")
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def db(sf_dir):
+    con = duckdb.connect()
+    for path in Path(sf_dir).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def frame(spark):
+    """Documents from texts, with ids 0, 1, ... unless ids are given."""
+
+    def make(texts, ids=None, lang="en", source="s"):
+        ids = range(len(texts)) if ids is None else ids
+        rows = [(i, t, lang, source, len(t or "")) for i, t in zip(ids, texts, strict=True)]
+        return spark.createDataFrame(rows, DOCS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd(frame, spark):
+    """Null and empty texts, a very long one, ties, repeated rows, and clashing columns."""
+    long = "word and another one of many words. " * 30_000
+    texts = [None, "", " \n\t ", long, "same text here", "same text here", "a", "!?", "x" * 100_000]
+    docs = frame(texts, ids=[0, 1, 2, 3, 4, 5, None, 7, 8])
+    names = "n n_words token key host page path kept score text_sha256 b0 a b component ids print"
+    for name in names.split():
+        docs = docs.selectExpr("*", f"'clash' AS {name}")
+    return docs.union(docs.where("doc_id = 4"))

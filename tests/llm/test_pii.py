@@ -1,0 +1,122 @@
+import random
+import re
+
+import pytest
+
+from dimhistory.llm import pii
+from dimhistory.llm.queries import QUERIES
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 * (v > 9)
+    return total % 10 == 0
+
+
+def plain(text):
+    """The four patterns as they are defined."""
+
+    def found(pattern, keep):
+        return [m.span() for m in re.finditer(pattern, text) if keep(m[0])]
+
+    def digits(s):
+        return re.sub("[^0-9]", "", s)
+
+    return {
+        "email": found(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        "ip": found(
+            r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            lambda s: all(int(p) <= 255 for p in s.split(".")),
+        ),
+        "card": found(
+            r"[0-9]([\x20-]?[0-9])+", lambda s: 13 <= len(digits(s)) <= 19 and luhn(digits(s))
+        ),
+        "phone": found(r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15),
+    }
+
+
+@pytest.mark.parametrize("alphabet", ["ab@.-1 é", "012.5 -+()", "0.1", "4 -1+"])
+def test_base_spans_are_the_patterns(alphabet):
+    rng = random.Random(alphabet)
+    for _ in range(4000):
+        text = "".join(rng.choices(alphabet, k=rng.randint(0, 40)))
+        assert pii.detect(text) == plain(text), text
+
+
+@pytest.mark.parametrize(
+    "text,kind,span",
+    [
+        ("write to john dot doe at example dot com today", "email", "john dot doe at example dot com"),
+        ("or jane[at]site[dot]org.", "email", "jane[at]site[dot]org"),
+        ("mail john (at) example.com", "email", "john (at) example.com"),
+        ("see jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
+        ("a j​ohn@ex​ample.com b", "email", "j​ohn@ex​ample.com"),
+        ("ip one nine two dot one six eight dot zero dot one", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("192．168．0．1", "ip", "192．168．0．1"),
+        ("4111 one one one one 1111 1111", "card", "4111 one one one one 1111 1111"),
+        ("４１１１ 1111 1111 1111", "card", "４１１１ 1111 1111 1111"),
+        ("ring plus one five five five one two three four five six", "phone", "plus one five five five one two three four five six"),
+        ("call +49 eins zwei drei vier fünf sechs sieben acht", "phone", "+49 eins zwei drei vier fünf sechs sieben acht"),
+    ],
+)
+def test_disguises(text, kind, span):
+    base, added = pii.find(text)
+    assert not any(base.values())
+    assert [(k, text[a:b]) for k in pii.KINDS for a, b in added[k]] == [(kind, span)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "look at the thing. dot is good at home",
+        "one. two. three. four. five.",
+        "un un un un un un un",
+        "we met at ten, one or two of us",
+        "a @ b . com",
+        "é è ñ ß and no data",
+    ],
+)
+def test_prose_is_left_alone(text):
+    base, added = pii.find(text)
+    assert not any(base.values()) and not any(added.values())
+
+
+@pytest.mark.parametrize("text", ["a" * 100_000, "1." * 50_000, "a@" * 50_000, "+1" * 50_000, "one " * 30_000, "a at b dot " * 10_000])
+def test_long_texts_take_linear_time(text):
+    import time
+
+    began = time.time()
+    pii.find(text)
+    assert time.time() - began < 3
+
+
+def test_base_spans_stay_and_longer_ones_are_added():
+    text = "bob@site.com and bоb@site.com, 4111111111111111"
+    base, added = pii.find(text)
+    assert [text[a:b] for a, b in base["email"]] == ["bob@site.com", "b@site.com"]
+    assert [text[a:b] for a, b in added["email"]] == ["bоb@site.com"]
+    assert len(base["card"]) == 1 and not added["card"]
+
+
+def test_odd_documents(odd):
+    got = pii.find_personal_data(odd).collect()
+    assert len(got) == odd.count()
+    assert all(r["base"] == [] for r in got if r["doc_id"] in (0, 1, 2))
+    assert pii.find_personal_data(odd.limit(0)).count() == 0
+
+
+def test_query_has_the_patterns_digest(spark, documents, sf_dir):
+    import hashlib
+
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    rows = QUERIES["op2_pii"](spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = plain(texts[r["doc_id"]])
+        joined = ",".join(f"{k}:{a}:{b}" for k in pii.KINDS for a, b in spans[k])
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [len(spans[k]) for k in pii.KINDS]
+        assert r["n_added"] or r["spans"] == joined
+    assert any(r["spans"] for r in rows)
