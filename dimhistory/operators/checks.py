@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimhistory.functions import project, quoted
@@ -32,9 +32,6 @@ def violations(
     untracked = [c for c in source if c not in (*spec.keys, *spec.tracked)]
     compared = [c for c in source if c not in untracked]
 
-    def per_row(bad: Column, check: str) -> DataFrame:
-        return _count(after.where(bad), check)
-
     new = after.join(project(before, [spec.sk]), spec.sk, "left_anti")
     # both sides give one summary row each; they meet in an aggregate, not in a join
     none = F.lit(None).cast("bigint")
@@ -51,7 +48,6 @@ def violations(
     checks = [
         _count(duplicate_keys(active, spec.keys), "one active row per key"),
         _count(duplicate_keys(after, [spec.sk]), "surrogate keys are unique"),
-        per_row(sk.isNull() | flag.isNull(), "no null surrogate key or flag"),
         _count(gap, "new surrogate keys are dense"),
         _count(
             _difference(project(active, compared), project(accepted, compared)),
@@ -67,11 +63,19 @@ def violations(
             project(before, [spec.sk]).join(project(after, [spec.sk]), spec.sk, "left_anti"),
             "no row is lost",
         ),
-        per_row(start > end, "intervals do not end before they start"),
-        per_row(flag & (end != F.lit(spec.end_date)), "active intervals are open"),
         _count(new.where(start != F.lit(as_of)), "new rows start at the processing date"),
     ]
-    result = checks[0]
-    for check in checks[1:]:
+    by_row = {
+        "no null surrogate key or flag": sk.isNull() | flag.isNull(),
+        "intervals do not end before they start": start > end,
+        "active intervals are open": flag & (end != F.lit(spec.end_date)),
+    }
+    found = [
+        F.struct(F.lit(check).alias("check"), F.count_if(bad).alias("violations"))
+        for check, bad in by_row.items()
+    ]
+    # one pass for all conditions of single rows
+    result = after.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    for check in checks:
         result = result.unionByName(check)
     return result

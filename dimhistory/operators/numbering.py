@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimhistory.errors import DuplicateKeys
-from dimhistory.functions import quoted
+from dimhistory.functions import append_suffix, quoted
 from dimhistory.operators.partitioning import spread
+from dimhistory.operators.screening import require_unique
 from dimhistory.sources.staging import Staging
 
+_NUMBER = "__number"
 _ROW, _COPIES, _POSITION, _RANGE, _OFFSET = "__row", "__copies", "__position", "__range", "__offset"
 # Order values that one task sorts; a range holds these columns only.
 ROWS_PER_RANGE = 1_000_000
+# Whole rows that one task numbers; the same numbers as any other way gives.
+ROWS_ALONE = 100_000
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it
 _ROW_BITS = 33
 
@@ -29,18 +35,25 @@ def dense_row_number(
     start: int = 0,
     unique: bool = False,
     rows: int | None = None,
+    nulls: bool = True,
 ) -> DataFrame:
-    """Add ``start + 1, start + 2, ...`` in the order of ``order_by``.
+    """Add ``start + 1, start + 2, ...`` in the order of ``order_by``, nulls first.
 
-    Only the ordering columns are range-partitioned and sorted; the rest of a row is
-    joined to its number by equality. With ``unique`` the order values identify a row,
-    and repeated ones are an error. Otherwise rows get an id first, which also splits a
+    Up to ``ROWS_ALONE`` rows, if ``rows`` tells so, are numbered by one task in one go. Of more
+    rows only the ordering columns are range-partitioned and sorted; the rest of a row is
+    joined to its number by equality, which must heed nulls unless ``nulls`` rules them out.
+    With ``unique`` the order values identify a row, and repeated ones are an error. Otherwise rows get an id first, which also splits a
     run of equal order values over many ranges. ``rows``, if known, sets the number of
     ranges.
 
     The sorted positions are staged before they are counted, so that both passes see
     the same ranges: sampling may place the bounds differently when a plan runs again.
     """
+    if rows is not None and rows <= ROWS_ALONE:
+        if unique:
+            require_unique(df, order_by, "what is to be numbered")
+        place = F.row_number().over(Window.orderBy(*[quoted(name) for name in order_by]))
+        return df.withColumn(into, place.cast("bigint") + start)
     if unique:
         match = list(order_by)
         positions = _positions(df, match, staging, rows)
@@ -54,9 +67,14 @@ def dense_row_number(
         .withColumn(into, F.col(_OFFSET) + in_range + 1)
         .select(*[quoted(name) for name in match], into)
     )
-    return spread(df, match, rows).join(spread(numbers, match, rows), match).select(
-        *[quoted(name) for name in df.columns if name != _ROW], into
-    )
+    left, right = spread(df, match, rows), spread(numbers, match, rows)
+    if unique and nulls:
+        right = append_suffix(right, _NUMBER)
+        same = reduce(and_, [quoted(c).eqNullSafe(quoted(c + _NUMBER)) for c in match])
+        joined = left.join(right, same).withColumnRenamed(into + _NUMBER, into)
+    else:
+        joined = left.join(right, match)
+    return joined.select(*[quoted(name) for name in df.columns if name != _ROW], into)
 
 
 def _positions(
@@ -109,9 +127,15 @@ def assign_surrogate_keys(
     staging: Staging,
     start: int = 0,
     rows: int | None = None,
+    nulls: bool = True,
 ) -> DataFrame:
-    """Number rows of unique ``keys`` from ``start + 1`` in key order."""
-    return dense_row_number(df, keys, sk, staging, start=start, unique=True, rows=rows)
+    """Number rows of unique ``keys`` from ``start + 1`` in key order, a null key first.
+
+    ``df`` is read more than once: stage it if that is dear.
+    """
+    return dense_row_number(
+        df, keys, sk, staging, start=start, unique=True, rows=rows, nulls=nulls
+    )
 
 
 def max_surrogate_key(history: DataFrame, sk: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -13,11 +14,13 @@ from pyspark.sql import types as T
 
 from dimhistory.errors import CorruptHistory, DuplicateKeys, SchemaMismatch
 from dimhistory.functions import quoted
+from dimhistory.sources.staging import Staging
 from dimhistory.spec import HistorySpec
 
 REASON = "reject_reason"
-
-_CELLS = 1 << 16
+# Readers put the text of a malformed line here; such a row is rejected as a whole.
+CORRUPT = "corrupt_record"
+_WHY, _CAME = "__why", "__came"
 
 
 def screen_snapshot(
@@ -25,32 +28,90 @@ def screen_snapshot(
 ) -> tuple[DataFrame, DataFrame]:
     """Split a snapshot into rows of ``schema`` and rejected rows with a reason.
 
-    A row is rejected when a value does not convert to the type the history stores, or
-    when a key column is null. The rejected rows keep their values as they came.
+    A row is rejected when its line was malformed, when a value does not convert to the type
+    the history stores or would lose something by it, or when a key column is null. The
+    rejected rows keep their values as they came.
     """
-    if set(snapshot.columns) != set(schema.names) or len(snapshot.columns) != len(schema.names):
-        raise SchemaMismatch(
-            f"snapshot has {sorted(snapshot.columns)}, history stores {sorted(schema.names)}"
-        )
+    reason, converted = _screen(snapshot, schema, keys)
+    return (
+        snapshot.where(reason.isNull()).select(*converted),
+        snapshot.withColumn(REASON, reason).where(quoted(REASON).isNotNull()),
+    )
+
+
+def screen_once(
+    snapshot: DataFrame, schema: T.StructType, keys: Sequence[str], staging: Staging
+) -> tuple[DataFrame, DataFrame]:
+    """``screen_snapshot`` for a source that is read once: the rows are staged with their verdict.
+
+    Rejected rows keep their values in a column that is null for all others.
+    """
+    reason, converted = _screen(snapshot, schema, keys)
+    as_it_came = F.struct(*[quoted(c) for c in snapshot.columns])
+    rows = staging.write(
+        snapshot.select(
+            reason.alias(_WHY), F.when(reason.isNotNull(), as_it_came).alias(_CAME), *converted
+        ),
+        "screened",
+    )
+    rejected = rows.where(F.col(_WHY).isNotNull())
+    return (
+        rows.where(F.col(_WHY).isNull()).select(*[quoted(f.name) for f in schema.fields]),
+        rejected.select(
+            *[F.col(_CAME).getField(c).alias(c) for c in snapshot.columns], F.col(_WHY).alias(REASON)
+        ),
+    )
+
+
+def usable_keys(rejected: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """Keys of rejected rows that still say which entity a row is about."""
+    lines = rejected.where(quoted(CORRUPT).isNull()) if CORRUPT in rejected.columns else rejected
+    found, whole = [], F.lit(True)
+    for name in keys:
+        value, kept = _convert(quoted(name), lines.schema[name].dataType, schema[name].dataType)
+        found.append(value.alias(name))
+        whole = whole & quoted(name).isNotNull() & kept
+    return lines.where(whole).select(*found).distinct()
+
+
+def _screen(
+    snapshot: DataFrame, schema: T.StructType, keys: Sequence[str]
+) -> tuple[Column, list[Column]]:
+    columns = [c for c in snapshot.columns if c != CORRUPT or CORRUPT in schema.names]
+    if set(columns) != set(schema.names) or len(columns) != len(schema.names):
+        raise SchemaMismatch(f"snapshot has {sorted(columns)}, history stores {sorted(schema.names)}")
     problems: list[Column] = []
+    if len(columns) < len(snapshot.columns):
+        problems.append(F.when(quoted(CORRUPT).isNotNull(), F.lit("malformed line")))
     converted: list[Column] = []
     for field in schema.fields:
         column, source = quoted(field.name), snapshot.schema[field.name].dataType
         if source == field.dataType:
             converted.append(column)
             continue
-        value = column.try_cast(field.dataType)
-        kept = value.isNotNull()
-        if isinstance(source, T.FractionalType) and isinstance(field.dataType, T.IntegralType):
-            kept = kept & value.cast(source).eqNullSafe(column)
+        value, kept = _convert(column, source, field.dataType)
         problems.append(F.when(column.isNotNull() & ~kept, F.lit(f"bad value: {field.name}")))
         converted.append(value.alias(field.name))
     problems += [F.when(quoted(k).isNull(), F.lit(f"null key: {k}")) for k in keys]
-    reason = F.coalesce(*problems)
-    return (
-        snapshot.where(reason.isNull()).select(*converted),
-        snapshot.withColumn(REASON, reason).where(quoted(REASON).isNotNull()),
-    )
+    return F.coalesce(*problems), converted
+
+
+def _convert(column: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
+    """The converted value, and whether nothing was lost by the conversion."""
+    if source == target:
+        return column, F.lit(True)
+    value = column.try_cast(target)
+    kept = value.isNotNull()
+    plain = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(source, plain) and isinstance(target, plain):
+        kept = kept & value.try_cast(source).eqNullSafe(column)
+    elif isinstance(source, T.StringType) and isinstance(target, T.DecimalType):
+        exact = column.try_cast(T.DecimalType(38, 18))
+        kept = kept & (exact.isNull() | (exact == value))
+    elif isinstance(source, T.StringType) and isinstance(target, T.DateType):
+        exact = column.try_cast(T.TimestampNTZType())
+        kept = kept & (exact.isNull() | (exact == value.cast(T.TimestampNTZType())))
+    return value, F.coalesce(kept, F.lit(False))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
@@ -90,68 +151,38 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
 
 @dataclass(frozen=True)
 class Profile:
-    """What a load needs to know about its inputs."""
+    """What a load needs to know about a history."""
 
     active_rows: int = 0
     max_sk: int = 0
-    accepted_rows: int = 0
+    last_start: dt.date | None = None
+    closed_rows: int = 0
 
 
-def profile(
-    spec: HistorySpec, history: DataFrame | None = None, accepted: DataFrame | None = None
-) -> Profile:
-    """Count a history and accepted snapshot rows in one narrow pass, and refuse bad input.
+def profile(spec: HistorySpec, history: DataFrame) -> Profile:
+    """Count a history in one narrow pass, and refuse what no history may hold.
 
-    A history must have no null flags, keys or surrogate keys. Neither side may have a key
-    with very many rows, which would meet in one task of the join: rows are counted per
-    cell of the hashed key, a fixed number of cells, and only a cell far above the mean
-    calls for an exact search. Few copies of a key can pass; the merge finds those.
+    That is null flags, keys or surrogate keys, and intervals that end before they start or that
+    are open or closed against their flag.
     """
-    cell = F.xxhash64(*[quoted(k) for k in spec.keys]).bitwiseAND(F.lit(_CELLS - 1))
-    zero = F.lit(0).cast("bigint")
-    sides = []
-    if history is not None:
-        null_key = reduce(or_, [quoted(k).isNull() for k in spec.keys])
-        flag, sk = quoted(spec.flag), quoted(spec.sk)
-        tests = {"flag": flag.isNull(), "surrogate key": sk.isNull(), "business key": flag & null_key}
-        sides.append(
-            history.select(
-                F.when(flag, cell).alias("cell"),
-                sk.alias("sk"),
-                F.when(flag, 1).otherwise(zero).alias("active"),
-                zero.alias("accepted"),
-                *[F.when(bad, 1).otherwise(zero).alias(f"null {name}") for name, bad in tests.items()],
-            )
-        )
-    if accepted is not None:
-        sides.append(
-            accepted.select(
-                cell.alias("cell"),
-                F.lit(None).cast("bigint").alias("sk"),
-                zero.alias("active"),
-                F.lit(1).cast("bigint").alias("accepted"),
-                *[zero.alias(f"null {name}") for name in ("flag", "surrogate key", "business key")],
-            )
-        )
-    counted = ["active", "accepted", "null flag", "null surrogate key", "null business key"]
-    cells = reduce(DataFrame.unionByName, sides).groupBy("cell").agg(
-        F.max("sk").alias("sk"), *[F.sum(c).alias(c) for c in counted]
-    )
-    found = cells.agg(
-        F.max("sk").alias("sk"),
-        *[F.sum(c).alias(c) for c in counted],
-        *[F.max(c).alias(f"most {c}") for c in ("active", "accepted")],
+    null_key = reduce(or_, [quoted(k).isNull() for k in spec.keys])
+    flag, sk = quoted(spec.flag), quoted(spec.sk)
+    start, end = quoted(spec.effective), quoted(spec.expiration)
+    tests = {
+        "null flag": flag.isNull(),
+        "null surrogate key": sk.isNull(),
+        "null business key": flag & null_key,
+        "end before start": start > end,
+        "end of an active row": flag & (end != F.lit(spec.end_date)),
+    }
+    found = history.agg(
+        F.count_if(flag).alias("active"),
+        F.count_if(~flag).alias("closed"),
+        F.max(sk).alias("sk"),
+        F.max(F.when(flag, start)).alias("last"),
+        *[F.count_if(bad).alias(name) for name, bad in tests.items()],
     ).first()
-    broken = {c: found[c] for c in counted if c.startswith("null") and found[c]}
+    broken = {name: found[name] for name in tests if found[name]}
     if broken:
         raise CorruptHistory(f"rows that break the history: {broken}")
-    if _hot(found["active"], found["most active"]):
-        require_unique(history.where(flag), spec.keys, "active history")
-    if _hot(found["accepted"], found["most accepted"]):
-        require_unique(accepted, spec.keys, "snapshot")
-    return Profile(found["active"] or 0, found["sk"] or 0, found["accepted"] or 0)
-
-
-def _hot(rows: int | None, most: int | None) -> bool:
-    """Whether the fullest cell is out of line with evenly spread keys."""
-    return bool(rows) and most > 2 * rows / _CELLS + 64
+    return Profile(found["active"], found["sk"] or 0, found["last"], found["closed"])

@@ -62,8 +62,11 @@ def rows_inserted(
     changes: DataFrame, spec: HistorySpec, as_of: dt.date, max_sk: int, staging: Staging
 ) -> DataFrame:
     """First versions of new keys, numbered after ``max_sk`` in key order."""
-    rows = _side(filter_action(changes, INSERT), NEW)
-    rows = assign_surrogate_keys(rows, spec.keys, spec.sk, staging, start=max_sk)
+    # numbering reads its rows more than once, and these come out of a join
+    rows = staging.write(_side(filter_action(changes, INSERT), NEW), "inserted")
+    rows = assign_surrogate_keys(
+        rows, spec.keys, spec.sk, staging, start=max_sk, rows=rows.count(), nulls=False
+    )
     return open_versions(rows, spec, as_of)
 
 
@@ -71,8 +74,10 @@ def rows_updated_new(
     changes: DataFrame, spec: HistorySpec, as_of: dt.date, max_sk: int, staging: Staging
 ) -> DataFrame:
     """New versions of changed keys, numbered after ``max_sk``, the last inserted key."""
-    rows = _side(filter_action(changes, UPDATE), NEW)
-    rows = assign_surrogate_keys(rows, spec.keys, spec.sk, staging, start=max_sk)
+    rows = staging.write(_side(filter_action(changes, UPDATE), NEW), "updated")
+    rows = assign_surrogate_keys(
+        rows, spec.keys, spec.sk, staging, start=max_sk, rows=rows.count(), nulls=False
+    )
     return open_versions(rows, spec, as_of)
 
 
@@ -93,6 +98,6 @@ def rows_opened(
     new = filter_action(changes, INSERT, UPDATE).withColumn(_CLASS, place)
     new = _side(new, NEW, _CLASS)
     new = dense_row_number(
-        new, [_CLASS, *spec.keys], spec.sk, staging, start=max_sk, unique=True, rows=rows
+        new, [_CLASS, *spec.keys], spec.sk, staging, start=max_sk, unique=True, rows=rows, nulls=False
     )
     return open_versions(new.drop(_CLASS), spec, as_of)

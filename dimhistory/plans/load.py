@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -10,12 +11,19 @@ from pyspark.sql import types as T
 from dimhistory.functions import project, quoted
 from dimhistory.operators.apply import keyed_update, require_insertable, union_by_name
 from dimhistory.operators.changes import is_empty
-from dimhistory.operators.screening import Profile, profile, require_unique
-from dimhistory.plans.merge import accept_snapshot, number_first_versions, plan_merge
+from dimhistory.operators.screening import profile, require_unique, usable_keys
+from dimhistory.plans.merge import (
+    CHANGE,
+    KIND,
+    STAY,
+    accept_snapshot,
+    number_first_versions,
+    plan_merge,
+)
 from dimhistory.sources.jdbc import JdbcTable
 from dimhistory.sources.staging import Staging
 from dimhistory.sources.table import HistoryTable, Version
-from dimhistory.spec import HistorySpec
+from dimhistory.spec import INSERT, UPDATE, HistorySpec
 
 
 def apply_snapshot(
@@ -32,33 +40,40 @@ def apply_snapshot(
     """
     spec, base = table.spec, table.version()
     active = table.read_active(base)
-    accepted, rejected = accept_snapshot(
-        snapshot, spec.source_schema(active.schema), spec, on_duplicate, order_by
-    )
     if not base.one_active_per_key:
         require_unique(active, spec.keys, "active history")
-    before = Profile(base.active_rows, base.max_sk)
     with Staging(table.spark) as staging:
+        schema = spec.source_schema(active.schema)
+        accepted, rejected = accept_snapshot(
+            snapshot, schema, spec, on_duplicate, order_by, staging
+        )
+        n_rejected = rejected.count()
+        held = usable_keys(rejected, schema, spec.keys) if n_rejected else None
+        folder, before = table.new_folder(), table.profile(base)
         merge = plan_merge(
-            active, accepted, spec, as_of, staging, before, check=on_duplicate == "error"
+            active, accepted, spec, as_of, staging, before, held, table.place(folder)
         )
-        if any(merge.counts.values()):
-            new_active, kept_active = union_by_name(merge.survivors(active), merge.opened), ()
-        else:
-            new_active, kept_active = None, base.active
-        return table.publish(
+        changed = any(merge.counts.values())
+        n_opened = merge.counts[INSERT] + merge.counts[UPDATE]
+        # the rows that stay were written by the comparison, in the place of the next version
+        stays = (f"{folder}/{KIND}={STAY}",) if merge.after.active_rows > n_opened else ()
+        version = table.publish(
             after=base.number,
             schema=active.schema,
-            active=new_active,
+            active=merge.opened if n_opened else None,
             closed=merge.closed if merge.n_closed else None,
-            kept_active=kept_active,
+            kept_active=stays if changed else base.active,
             kept_closed=base.closed,
             rejects=rejected,
+            rejected=n_rejected,
+            kept=before,
             stats=merge.after,
             one_active_per_key=True,
             counts=merge.counts,
             as_of=as_of,
         )
+        table.drop_folder(f"{folder}/{KIND}={CHANGE}" if changed else folder)
+        return version
 
 
 def load_initial(
@@ -71,14 +86,17 @@ def load_initial(
     """Replace whatever the table holds with the first history of a snapshot."""
     spec, after = table.spec, table.latest()
     schema = spec.history_schema(snapshot.schema)
-    accepted, rejected = accept_snapshot(snapshot, snapshot.schema, spec, on_duplicate, order_by)
     with Staging(table.spark) as staging:
-        first = number_first_versions(accepted, spec, as_of, staging, on_duplicate == "error")
+        accepted, rejected = accept_snapshot(
+            snapshot, snapshot.schema, spec, on_duplicate, order_by, staging
+        )
+        first = number_first_versions(accepted, spec, as_of, staging)
         return table.publish(
             after=after,
             schema=schema,
             active=first,
             rejects=rejected,
+            rejected=rejected.count(),
             one_active_per_key=True,
             as_of=as_of,
         )
@@ -89,25 +107,34 @@ def apply_snapshot_jdbc(
     snapshot: DataFrame,
     spec: HistorySpec,
     as_of: dt.date,
-    partitions: int = 1,
+    partitions: int,
     on_duplicate: str = "error",
     order_by: str | None = None,
 ) -> dict[str, int]:
-    """Bring a history in a database up to date; return the number of rows per action.
+    """Bring a history in a database up to date; return the rows per action and rejected rows.
 
-    The table is read once, in ``partitions`` ranges of the surrogate key, and staged:
-    later steps must not see what this load writes. Only changed rows go back.
+    The active rows are read once, in ``partitions`` ranges of the surrogate key, and staged:
+    later steps must not see what this load writes. Of closed rows the database tells the
+    largest surrogate key. Only changed rows go back.
     """
     spark = snapshot.sparkSession
     with Staging(spark) as staging:
-        history = target.read_pinned(spark, staging, spec.sk, partitions)
-        schema = spec.source_schema(history.schema)
-        accepted, _ = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by)
-        merge = plan_merge(history, accepted, spec, as_of, staging, check=on_duplicate == "error")
+        active = target.read_active(spark, staging, spec, partitions)
+        largest = target.key_range(spark, spec.sk)
+        before = profile(spec, active)
+        before = replace(before, max_sk=max(before.max_sk, largest[1] if largest else 0))
+        require_unique(active, spec.keys, "active history")
+        schema = spec.source_schema(active.schema)
+        accepted, rejected = accept_snapshot(
+            snapshot, schema, spec, on_duplicate, order_by, staging
+        )
+        n_rejected = rejected.count()
+        held = usable_keys(rejected, schema, spec.keys) if n_rejected else None
+        merge = plan_merge(active, accepted, spec, as_of, staging, before, held)
         if any(merge.counts.values()):
             changed = union_by_name(merge.closed, merge.opened)
             target.apply_rows(spark, changed, [*spec.keys, spec.sk])
-        return merge.counts
+        return {**merge.counts, "REJECTED": n_rejected}
 
 
 def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) -> Version:
@@ -116,37 +143,41 @@ def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) ->
     An insert adds a folder. An update rewrites the active rows, and the closed rows only
     when it touches one of them.
     """
+    if change_type not in ("INSERT", "UPDATE"):
+        raise ValueError(f"change type must be INSERT or UPDATE, not {change_type!r}")
     base, spec = table.version(), table.spec
     keys, flag = [*spec.keys, spec.sk], quoted(spec.flag)
     schema = T.StructType.fromJson(base.schema)
-    if change_type == "INSERT":
-        profile(spec, history=rows)
-        require_insertable(table.read(base.number), rows, keys)
-        return table.publish(
-            after=base.number,
-            schema=schema,
-            active=rows.where(flag),
-            closed=rows.where(~flag),
-            kept_active=base.active,
-            kept_closed=base.closed,
-        )
-    if change_type != "UPDATE":
-        raise ValueError(f"change type must be INSERT or UPDATE, not {change_type!r}")
     active, closed = table.read_active(base), table.read_closed(base)
     with Staging(table.spark) as staging:
+        # checks and writes must all see the same rows
+        rows = staging.write(rows, "rows")
+        if change_type == "INSERT":
+            profile(spec, rows)
+            require_insertable(table.read(base.number), rows, keys)
+            return table.publish(
+                after=base.number,
+                schema=schema,
+                active=rows.where(flag),
+                closed=rows.where(~flag),
+                kept_active=base.active,
+                kept_closed=base.closed,
+                kept=table.profile(base),
+            )
         wanted = project(rows, keys)
         hit = staging.write(table.read(base.number).join(wanted, keys, "left_semi"), "hit")
         changed, touched = keyed_update(hit, rows, keys), project(hit, keys)
-        profile(spec, history=changed)
+        profile(spec, changed)
         new_active = active.join(touched, keys, "left_anti")
-        new_closed, kept_closed = changed.where(~flag), base.closed
+        new_closed, kept_closed, kept = changed.where(~flag), base.closed, table.profile(base)
         if not is_empty(hit.where(~flag)):
             new_closed = union_by_name(closed.join(touched, keys, "left_anti"), new_closed)
-            kept_closed = ()
+            kept_closed, kept = (), None
         return table.publish(
             after=base.number,
             schema=schema,
             active=union_by_name(new_active, changed.where(flag)),
             closed=new_closed,
             kept_closed=kept_closed,
+            kept=kept,
         )

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimhistory.errors import HistoryError
+from dimhistory.errors import DuplicateKeys, HistoryError
 from dimhistory.functions import quoted
 from dimhistory.operators.apply import union_by_name
 from dimhistory.operators.changes import (
@@ -18,6 +18,7 @@ from dimhistory.operators.changes import (
     OLD,
     detect_changes,
     filter_active,
+    filter_inactive,
 )
 from dimhistory.operators.numbering import assign_surrogate_keys
 from dimhistory.operators.partitioning import spread
@@ -26,16 +27,18 @@ from dimhistory.operators.screening import (
     latest_per_key,
     profile,
     require_unique,
+    screen_once,
     screen_snapshot,
+    usable_keys,
 )
 from dimhistory.operators.versions import open_versions, rows_closed, rows_opened
 from dimhistory.sources.staging import Staging
 from dimhistory.spec import DELETE, INSERT, NOCHANGE, UPDATE, HistorySpec
 
-# Surrogate keys of closed rows are broadcast up to this count, some 32 MB of memory.
-BROADCAST_KEYS = 1_000_000
-
-_COPIES = "__copies"
+_COPIES, _HELD = "__copies", "__held"
+# Folders of a staged comparison: rows that stay as they are, and everything else.
+KIND, STAY, CHANGE = "dimhistory_kind", "stay", "change"
+_ACTION, _NEW = "__action", "__new"
 
 
 def accept_snapshot(
@@ -44,15 +47,24 @@ def accept_snapshot(
     spec: HistorySpec,
     on_duplicate: str = "error",
     order_by: str | None = None,
+    staging: Staging | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows and rejected rows. ``"latest"`` leaves one accepted row per key."""
+    """Accepted rows and rejected rows. ``"latest"`` leaves one accepted row per key.
+
+    With ``staging`` the snapshot is read once, however often the two frames are.
+    """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    accepted, rejected = screen_snapshot(snapshot, schema, spec.keys)
+    if on_duplicate == "latest" and order_by is None:
+        raise ValueError("on_duplicate='latest' needs order_by")
+    if staging is None:
+        accepted, rejected = screen_snapshot(snapshot, schema, spec.keys)
+    else:
+        accepted, rejected = screen_once(snapshot, schema, spec.keys, staging)
     if on_duplicate == "latest":
-        if order_by is None:
-            raise ValueError("on_duplicate='latest' needs order_by")
         accepted = latest_per_key(accepted, spec.keys, order_by)
+        if staging is not None:
+            accepted = staging.write(accepted, "latest")
     return accepted, rejected
 
 
@@ -66,28 +78,34 @@ def initial_load(
 ) -> DataFrame:
     """First history of a source: keys numbered from 1 in order, all intervals open.
 
-    Rows with a null key are left out; ``accept_snapshot`` returns them.
+    Rows with a null key are left out; ``accept_snapshot`` returns them. The result reads
+    ``snapshot``, which must not change before it is consumed.
     """
     accepted, _ = accept_snapshot(snapshot, snapshot.schema, spec, on_duplicate, order_by)
     staging = staging or Staging(snapshot.sparkSession)
-    return number_first_versions(accepted, spec, as_of, staging, on_duplicate == "error")
+    return number_first_versions(accepted, spec, as_of, staging)
 
 
 def number_first_versions(
-    accepted: DataFrame, spec: HistorySpec, as_of: dt.date, staging: Staging, check: bool
+    accepted: DataFrame, spec: HistorySpec, as_of: dt.date, staging: Staging
 ) -> DataFrame:
     """Open versions of accepted rows; the numbering refuses keys that occur twice."""
     spec.history_schema(accepted.schema)
-    rows = profile(spec, accepted=accepted).accepted_rows if check else None
-    numbered = assign_surrogate_keys(accepted, spec.keys, spec.sk, staging, rows=rows)
+    numbered = assign_surrogate_keys(
+        accepted, spec.keys, spec.sk, staging, rows=accepted.count(), nulls=False
+    )
     return open_versions(numbered, spec, as_of)
 
 
 @dataclass(frozen=True)
 class Merge:
-    """What a snapshot does to a history. ``closed`` and ``opened`` are as large as the change."""
+    """What a snapshot does to a history. ``closed`` and ``opened`` are as large as the change.
+
+    ``stays`` are the active rows that no change concerns, out of the comparison itself.
+    """
 
     spec: HistorySpec
+    stays: DataFrame
     closed: DataFrame
     opened: DataFrame
     counts: dict[str, int]
@@ -97,20 +115,6 @@ class Merge:
     def n_closed(self) -> int:
         return self.counts[DELETE] + self.counts[UPDATE]
 
-    def survivors(self, history: DataFrame) -> DataFrame:
-        """The rows of ``history`` that stay as they are.
-
-        Only the surrogate keys of closed rows are needed. They are broadcast when their
-        count, known by now, allows it, and joined by shuffle beyond that.
-        """
-        if self.n_closed == 0:
-            return history
-        sk = self.spec.sk
-        gone = self.closed.select(quoted(sk))
-        if self.n_closed <= BROADCAST_KEYS:
-            gone = F.broadcast(gone)
-        return history.join(gone, sk, "left_anti").select(*[quoted(c) for c in history.columns])
-
 
 def plan_merge(
     history: DataFrame,
@@ -119,62 +123,98 @@ def plan_merge(
     as_of: dt.date,
     staging: Staging,
     before: Profile | None = None,
-    check: bool = True,
+    held: DataFrame | None = None,
+    at: str | None = None,
 ) -> Merge:
-    """Compare once, stage the changed keys only, and derive all new rows from them.
+    """Compare active rows and accepted rows once and write every pair once.
 
-    The join runs once; unchanged rows leave it right there and are neither written nor
-    numbered. ``before`` tells the size of a history known to be sound; without it the
-    history is checked. With ``check``, accepted rows may hold a key twice and are
-    refused then.
+    Rows that stay leave the comparison with the history's columns only, in a folder of their
+    own; changed keys carry both sides, and only they are read again. So the active rows are
+    read and shuffled once, and no row depends on a surrogate key to be found. ``at`` is
+    where the comparison is written, if the rows that stay are to be kept there.
 
-    Copies of a key need no search of their own. In the history they are counted on the
-    way into the join, in its partitions and order. Among new and changed keys the
-    numbering finds them, and copies of an unchanged key leave more accepted rows than
-    active rows that stay.
+    One row per key and side enters the join, with the number of its copies: copies are refused
+    afterwards without having been multiplied. Keys of ``held`` were in the snapshot with values
+    that could not be used; their versions stay open. ``before`` tells what is known of a
+    history known to be sound; without it the history is checked.
     """
     known = before is not None
+    before = before or profile(spec, history)
+    if before.last_start is not None and as_of < before.last_start:
+        raise HistoryError(f"{as_of} is before {before.last_start}, when the newest version starts")
     active = filter_active(history, spec)
-    seen = Profile()
-    if check or not known:
-        seen = profile(spec, None if known else history, accepted if check else None)
-    before = before or seen
-    rows = max(before.active_rows, seen.accepted_rows) if check else None
-    active, side = spread(active, spec.keys, rows), spread(accepted, spec.keys, rows)
+    rows = max(before.active_rows, accepted.count())
+    side = accepted.withColumn(_HELD, F.lit(False))
+    if held is not None:
+        side = side.unionByName(held.withColumn(_HELD, F.lit(True)), allowMissingColumns=True)
+    active, side = spread(active, spec.keys, rows), spread(side, spec.keys, rows)
+    side = _one_per_key(side, spec.keys, F.count_if(~F.col(_HELD)), F.col(_HELD))
     if not known:
-        same_key = Window.partitionBy(*[quoted(k) for k in spec.keys])
-        active = active.withColumn(_COPIES, F.count(F.lit(1)).over(same_key))
-    copies = F.lit(1) if known else F.coalesce(F.col(_COPIES + OLD), F.lit(1))
-    columns = [c + OLD for c in history.columns] + [c + NEW for c in accepted.columns]
-    delta = staging.write(
+        active = _one_per_key(active, spec.keys, F.count(F.lit(1)))
+    old = [quoted(c + OLD).alias(c) for c in history.columns]
+    kept = F.coalesce(F.col(_HELD + NEW), F.lit(False))
+    action = F.when(kept, NOCHANGE).otherwise(F.col(ACTION))
+    copies = F.greatest(
+        F.lit(1), F.col(_COPIES + NEW), F.lit(None) if known else F.col(_COPIES + OLD)
+    )
+    stay = (action == NOCHANGE) & (copies == 1)
+    compared = staging.write(
         detect_changes(active, side, spec)
-        .withColumn(_COPIES, copies)
-        .where((F.col(ACTION) != NOCHANGE) | (F.col(_COPIES) > 1))
-        .select(ACTION, _COPIES, *[quoted(c) for c in columns])
-        .hint("rebalance"),
-        "delta",
+        .where(~(kept & quoted(spec.keys[0] + OLD).isNull()))
+        .select(
+            F.when(stay, STAY).otherwise(CHANGE).alias(KIND),
+            action.alias(_ACTION),
+            copies.cast("bigint").alias(_COPIES),
+            *old,
+            *[F.when(~stay, quoted(c + NEW)).alias(c + _NEW) for c in accepted.columns],
+        ),
+        "compared",
+        by=KIND,
+        at=at,
     )
+    names = [quoted(c) for c in history.columns]
+    changed = compared.where(F.col(KIND) == CHANGE)
     counts = dict.fromkeys((INSERT, DELETE, UPDATE), 0)
-    for row in delta.groupBy(ACTION, _COPIES).count().collect():
-        if row[_COPIES] > 1:
-            require_unique(active, spec.keys, "active history")
-        counts[row[ACTION]] = row["count"]
+    for row in changed.groupBy(_ACTION).agg(F.count("*").alias("n"), F.max(_COPIES).alias("m")).collect():
+        if row["m"] > 1:
+            require_unique(filter_active(history, spec), spec.keys, "active history")
+            require_unique(accepted, spec.keys, "snapshot")
+            raise DuplicateKeys("a key occurred more than once while it was compared")
+        counts[row[_ACTION]] = row["n"]
     n_opened = counts[INSERT] + counts[UPDATE]
-    names = [quoted(c) for c in history.columns]
-    delta = delta.drop(_COPIES)
+    delta = changed.select(
+        F.col(_ACTION).alias(ACTION),
+        *[quoted(c).alias(c + OLD) for c in history.columns],
+        *[quoted(c + _NEW).alias(c + NEW) for c in accepted.columns],
+    )
     opened = history.limit(0)
     if n_opened:
         opened = rows_opened(delta, spec, as_of, before.max_sk, staging, n_opened).select(*names)
-    matched = before.active_rows - counts[DELETE]
-    if check and matched != seen.accepted_rows - counts[INSERT]:
-        require_unique(accepted, spec.keys, "snapshot")
-        raise HistoryError("the snapshot or the history changed while they were compared")
     return Merge(
         spec=spec,
+        stays=compared.where(F.col(KIND) == STAY).select(*names),
         closed=rows_closed(delta, spec, as_of).select(*names),
         opened=opened,
         counts=counts,
-        after=Profile(matched + counts[INSERT], before.max_sk + n_opened),
+        after=Profile(
+            before.active_rows - counts[DELETE] + counts[INSERT],
+            before.max_sk + n_opened,
+            as_of if n_opened else before.last_start,
+            before.closed_rows + counts[DELETE] + counts[UPDATE],
+        ),
+    )
+
+
+def _one_per_key(df: DataFrame, keys: tuple[str, ...], copies: Column, *first: Column) -> DataFrame:
+    """One row of each key with the number of its copies, in the partitions of the join."""
+    by = [quoted(k) for k in keys]
+    same_key = Window.partitionBy(*by).orderBy(*by, *first)
+    whole = same_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        df.withColumn("__place", F.row_number().over(same_key))
+        .withColumn(_COPIES, copies.over(whole))
+        .where("__place = 1")
+        .drop("__place")
     )
 
 
@@ -189,11 +229,32 @@ def merge_history(
 ) -> DataFrame:
     """The history after a full snapshot: what stays, what is closed and what is opened.
 
-    The result reads ``history`` and the staged change. ``history`` must not change
-    before it is consumed; stage a mutable source first.
+    The result reads the closed rows of ``history`` and what was staged; ``history`` must not
+    change before it is consumed. ``merge_with_rejects`` returns rejected rows as well.
+    """
+    return merge_with_rejects(history, snapshot, spec, as_of, staging, on_duplicate, order_by)[0]
+
+
+def merge_with_rejects(
+    history: DataFrame,
+    snapshot: DataFrame,
+    spec: HistorySpec,
+    as_of: dt.date,
+    staging: Staging | None = None,
+    on_duplicate: str = "error",
+    order_by: str | None = None,
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``merge_history``, the rejected rows, and counts per action and of rejected rows.
+
+    A rejected row that still tells its key holds the key's version open.
     """
     staging = staging or Staging(history.sparkSession)
     schema = spec.source_schema(history.schema)
-    accepted, _ = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by)
-    merge = plan_merge(history, accepted, spec, as_of, staging, check=on_duplicate == "error")
-    return union_by_name(merge.survivors(history), merge.closed, merge.opened)
+    accepted, rejected = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by, staging)
+    n_rejected = rejected.count()
+    held = usable_keys(rejected, schema, spec.keys) if n_rejected else None
+    merge = plan_merge(history, accepted, spec, as_of, staging, held=held)
+    result = union_by_name(
+        merge.stays, filter_inactive(history, spec), merge.closed, merge.opened
+    )
+    return result, rejected, {**merge.counts, "REJECTED": n_rejected}

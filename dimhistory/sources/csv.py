@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from dimhistory.errors import SchemaMismatch
 from dimhistory.functions import normalize_names
+from dimhistory.operators.screening import CORRUPT
 
 
 def csv_columns(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
@@ -31,12 +32,14 @@ def read_csv(
     """Read a CSV with a header under normalised column names.
 
     With ``schema`` the columns take its types by normalised name, in any order of the
-    header. Otherwise values stay text, for ``screen_snapshot`` to convert and reject
-    by row, unless ``infer`` asks for one more pass to guess types.
+    header. Otherwise values stay text, for ``screen_snapshot`` to convert and reject by row,
+    and lines with too few or too many values are kept whole in the column ``CORRUPT``, which
+    makes it reject them. ``infer`` asks for one more pass to guess types instead. Of several
+    files all must have the first one's header.
     """
     names = csv_columns(spark, path, delimiter)
     normalized = normalize_names(names)
-    reader = spark.read.options(header=True, sep=delimiter)
+    reader = spark.read.options(header=True, sep=delimiter, enforceSchema=False)
     if schema is not None:
         if set(normalized) != set(schema.names):
             raise SchemaMismatch(f"{path} has columns {normalized}, expected {schema.names}")
@@ -44,10 +47,16 @@ def read_csv(
             T.StructField(name, schema[norm].dataType)
             for name, norm in zip(names, normalized, strict=True)
         ]
-        # every file's header must match, so a file with another column order fails
-        reader = reader.schema(T.StructType(fields)).options(enforceSchema=False, mode="FAILFAST")
+        reader = reader.schema(T.StructType(fields)).option("mode", "FAILFAST")
     elif infer:
         reader = reader.option("inferSchema", True)
+    else:
+        text = [T.StructField(name, T.StringType()) for name in [*names, CORRUPT]]
+        # a line's values can only be counted when all of them are parsed
+        reader = reader.schema(T.StructType(text)).options(
+            columnNameOfCorruptRecord=CORRUPT, columnPruning=False
+        )
+        normalized = [*normalized, CORRUPT]
     return reader.csv(path).toDF(*normalized)
 
 

@@ -32,10 +32,17 @@ class Staging:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/dimhistory-{uuid.uuid4().hex}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return it as read back."""
-        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+    def write(
+        self, df: DataFrame, name: str, by: str | None = None, at: str | None = None, **options: str
+    ) -> DataFrame:
+        """Write ``df``, with options of the Parquet writer, and return it as read back.
+
+        ``by`` names a column whose values get a folder each. ``at`` is another place for the
+        table, which then outlives the staging.
+        """
+        path = at or f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+        writer = df.write.options(**options)
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimhistory.errors import ConcurrentPublish, HistoryError
+from dimhistory.errors import ConcurrentPublish, CorruptHistory, HistoryError
 from dimhistory.functions import project, quoted
 from dimhistory.operators.screening import Profile, profile
 from dimhistory.sources import files
@@ -39,6 +39,8 @@ class Version:
     one_active_per_key: bool
     counts: dict[str, int]
     rejected: int = 0
+    last_start: str | None = None
+    closed_rows: int | None = None
 
 
 class HistoryTable:
@@ -107,8 +109,26 @@ class HistoryTable:
         rows = self.spark.read.schema(stored).parquet(*[f"{self.path}/{d}" for d in folders])
         return project(rows.withColumn(self.spec.flag, F.lit(flag)), schema.names)
 
+    def profile(self, version: Version) -> Profile:
+        """What the version says of itself."""
+        last = dt.date.fromisoformat(version.last_start) if version.last_start else None
+        closed = version.closed_rows
+        if closed is None:
+            closed = self.read_closed(version).count()
+        return Profile(version.active_rows, version.max_sk, last, closed)
+
     # writing
 
+    def new_folder(self) -> str:
+        """A folder below the table for rows that a version to come may refer to."""
+        return f"data/{uuid.uuid4().hex}"
+
+    def place(self, folder: str) -> str:
+        return f"{self.path}/{folder}"
+
+    def drop_folder(self, folder: str) -> None:
+        files.delete(self.spark, self.place(folder))
+
     def publish(
         self,
         after: int,
@@ -118,6 +138,8 @@ class HistoryTable:
         kept_active: tuple[str, ...] = (),
         kept_closed: tuple[str, ...] = (),
         rejects: DataFrame | None = None,
+        rejected: int = 0,
+        kept: Profile | None = None,
         stats: Profile | None = None,
         one_active_per_key: bool = False,
         counts: dict[str, int] | None = None,
@@ -125,21 +147,21 @@ class HistoryTable:
     ) -> Version:
         """Write the version that follows ``after`` and make it visible with one rename.
 
-        The version consists of the kept folders and of ``active`` and ``closed``. Without
-        ``stats`` they are taken from the written rows, which are refused when unsound.
+        The version consists of the kept folders and of ``active`` and ``closed``. Its active
+        rows and the newly closed ones are read back first and refused when unsound, or when
+        they aren't as many as ``stats`` expects. ``kept`` tells of the kept closed rows.
         """
-        folder = f"data/{uuid.uuid4().hex}"
+        folder, fresh = self.new_folder(), ()
         stored = [n for n in schema.names if n != self.spec.flag]
         if active is not None:
             project(active, stored).write.parquet(f"{self.path}/{folder}/active")
             kept_active += (f"{folder}/active",)
         if closed is not None:
             project(closed, stored).write.parquet(f"{self.path}/{folder}/closed")
-            kept_closed += (f"{folder}/closed",)
-        rejected = 0
+            fresh = (f"{folder}/closed",)
+            kept_closed += fresh
         if rejects is not None:
             rejects.write.parquet(f"{self.path}/{folder}/rejects")
-            rejected = self.spark.read.parquet(f"{self.path}/{folder}/rejects").count()
         version = Version(
             number=after + 1,
             as_of=as_of.isoformat() if as_of else None,
@@ -153,10 +175,23 @@ class HistoryTable:
             counts=counts or {},
             rejected=rejected,
         )
-        if stats is None:
-            written = self.read_active(version).unionByName(self.read_closed(version))
-            stats = profile(self.spec, history=written)
-        version = replace(version, active_rows=stats.active_rows, max_sk=stats.max_sk)
+        written = self.read_active(version).unionByName(self._read(version, fresh, False))
+        found = profile(self.spec, written)
+        if kept is not None:
+            found = replace(
+                found,
+                closed_rows=found.closed_rows + kept.closed_rows,
+                max_sk=max(found.max_sk, kept.max_sk),
+            )
+        if stats is not None and found != stats:
+            raise CorruptHistory(f"{found} was written where {stats} was expected")
+        version = replace(
+            version,
+            active_rows=found.active_rows,
+            max_sk=found.max_sk,
+            closed_rows=found.closed_rows,
+            last_start=found.last_start.isoformat() if found.last_start else None,
+        )
         if not self._publish(version):
             raise ConcurrentPublish(f"version {version.number} of {self.path} exists already")
         return version
@@ -170,13 +205,13 @@ class HistoryTable:
     def overwrite(self, history: DataFrame, as_of: dt.date | None = None) -> Version:
         """Replace the contents with a complete history."""
         flag = quoted(self.spec.flag)
-        stats = profile(self.spec, history=history)
         return self.publish(
             after=self.latest(),
             schema=history.schema,
             active=history.where(flag),
             closed=history.where(~flag),
-            stats=stats,
+            # rows without flag would be in neither folder
+            stats=profile(self.spec, history),
             as_of=as_of,
         )
 

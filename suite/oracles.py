@@ -148,16 +148,23 @@ _LINE_ORDER = ", ".join(
     for c in ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
               "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 )
-_AWKWARD = """
+
+
+def _awkward(rows: str) -> str:
+    return f"""
 awkward AS (
   SELECT CASE WHEN c_custkey % 17 <> 0 THEN c_custkey END AS c_custkey, c_name,
          CASE WHEN c_custkey % 13 = 0 THEN 'n/a' ELSE CAST(c_nationkey AS VARCHAR) END
            AS c_nationkey,
-         CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment,
-         CASE WHEN c_custkey % 13 = 0 AND c_custkey % 17 <> 0 THEN 'bad value: c_nationkey'
-              WHEN c_custkey % 13 = 0 THEN 'bad value: c_nationkey'
+         CAST(CAST(c_acctbal AS DECIMAL(12,2)) + CASE WHEN c_custkey % 19 = 0
+              THEN 0.0009 ELSE 0 END AS DECIMAL(14,4)) AS c_acctbal, c_mktsegment,
+         CASE WHEN c_custkey % 13 = 0 THEN 'bad value: c_nationkey'
+              WHEN c_custkey % 19 = 0 THEN 'bad value: c_acctbal'
               WHEN c_custkey % 17 = 0 THEN 'null key: c_custkey' END AS reject_reason
-  FROM customer)"""
+  FROM {rows})"""
+
+
+_AWKWARD = _awkward("customer")
 _CHECKS = [
     "one active row per key",
     "surrogate keys are unique",
@@ -185,6 +192,50 @@ def _b(table: str) -> str:
     return _with(_BRANCHES, f"SELECT {columns} FROM {table}")
 
 
+#: The history with surrogate keys that rows share.
+_SHARED = _CUSTOMERS.replace("\nh AS (", "\nh0 AS (", 1) + """,
+h AS (SELECT * REPLACE (CAST(sk % 97 + 1 AS BIGINT) AS sk) FROM h0)"""
+#: A rejected row that tells its key counts as one that agrees with the active version.
+_HELD = _CUSTOMERS.replace("\ns AS (", "\ns0 AS (", 1) + """,
+s AS (
+  SELECT * FROM s0 WHERE c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 19 <> 0
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM h
+  WHERE current_flag AND c_custkey % 17 <> 0 AND (c_custkey % 13 = 0 OR c_custkey % 19 = 0)
+    AND c_custkey IN (SELECT c_custkey FROM s0))"""
+_DAMAGED = _BRANCHES + """,
+fewer AS (SELECT * FROM merged WHERE NOT (current_flag AND c_custkey % 41 = 0)),
+more AS (SELECT * FROM fewer UNION ALL
+         SELECT * FROM fewer WHERE current_flag AND c_custkey % 43 = 0),
+d AS (SELECT * REPLACE (
+    CASE WHEN NOT (current_flag AND c_custkey % 47 = 0) THEN sk END AS sk,
+    CASE WHEN NOT current_flag AND c_custkey % 53 = 0 THEN 'changed' ELSE c_name END AS c_name,
+    CASE WHEN c_custkey % 59 = 0 THEN DATE '2000-01-01' ELSE expiration_date END
+      AS expiration_date,
+    CASE WHEN c_custkey % 61 = 0 THEN CAST(effective_date - INTERVAL 1 DAY AS DATE)
+         ELSE effective_date END AS effective_date) FROM more),
+fresh AS (SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.sk = d.sk))"""
+_SOURCE = ", ".join(_CUSTOMER_COLUMNS)
+_ALL = ", ".join(_CUSTOMER_COLUMNS + _SCD)
+_VIOLATIONS = {
+    "one active row per key": "SELECT 1 FROM d WHERE current_flag GROUP BY c_custkey HAVING count(*) > 1",
+    "surrogate keys are unique": "SELECT 1 FROM d GROUP BY sk HAVING count(*) > 1",
+    "no null surrogate key or flag": "SELECT 1 FROM d WHERE sk IS NULL OR current_flag IS NULL",
+    "new surrogate keys are dense": "SELECT 1 FROM (SELECT count(*) AS n, min(sk) AS lo, "
+    "max(sk) AS hi FROM fresh), top WHERE n > 0 AND NOT (lo = top.sk + 1 AND hi = top.sk + n)",
+    "active rows are the snapshot": f"(SELECT {_SOURCE} FROM d WHERE current_flag EXCEPT ALL "
+    f"SELECT {_SOURCE} FROM s) UNION ALL (SELECT {_SOURCE} FROM s EXCEPT ALL "
+    f"SELECT {_SOURCE} FROM d WHERE current_flag)",
+    "closed rows stay as they were": f"SELECT {_ALL} FROM h WHERE NOT current_flag "
+    f"EXCEPT ALL SELECT {_ALL} FROM d",
+    "no row is lost": "SELECT 1 FROM h WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.sk = h.sk)",
+    "intervals do not end before they start": "SELECT 1 FROM d WHERE effective_date > expiration_date",
+    "active intervals are open": "SELECT 1 FROM d WHERE current_flag "
+    "AND expiration_date <> DATE '9999-12-31'",
+    "new rows start at the processing date": "SELECT 1 FROM fresh "
+    "WHERE effective_date <> DATE '2024-06-01'",
+}
+
 ORACLES: dict[str, str] = {
     "scan_csv": _h("SELECT * FROM c"),
     "scan_csv_columns": _h(
@@ -279,8 +330,8 @@ ORACLES: dict[str, str] = {
     "apply_changes": _b("merged"),
     "accepted_rows": _with(
         _AWKWARD,
-        "SELECT c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey, c_acctbal, "
-        "c_mktsegment FROM awkward WHERE reject_reason IS NULL",
+        "SELECT c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey, "
+        "CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM awkward WHERE reject_reason IS NULL",
     ),
     "rejected_rows": _with(_AWKWARD, "SELECT * FROM awkward WHERE reject_reason IS NOT NULL"),
     "duplicate_keys": _with(
@@ -297,4 +348,35 @@ ORACLES: dict[str, str] = {
         f"SELECT '{c}' AS \"check\", CAST(0 AS BIGINT) AS violations" for c in _CHECKS
     ),
 }
+ORACLES |= {
+    "scan_csv_text": _h("SELECT * FROM c WHERE c_custkey % 11 <> 0 AND c_custkey % 23 <> 0"),
+    "scan_csv_text_rejects": _h(
+        "SELECT CASE WHEN c_custkey % 11 = 0 "
+        "THEN concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal) "
+        "ELSE concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'extra') "
+        "END AS corrupt_record, 'malformed line' AS reject_reason "
+        "FROM c WHERE c_custkey % 11 = 0 OR c_custkey % 23 = 0"
+    ),
+    "assign_surrogate_keys_null_key": _with(
+        _CUSTOMERS,
+        "SELECT *, row_number() OVER (ORDER BY c_custkey NULLS FIRST) AS sk FROM "
+        "(SELECT * REPLACE (CASE WHEN c_custkey <> 7 THEN c_custkey END AS c_custkey) FROM c)",
+    ),
+    "merge_history_shared_sk": _with(
+        _branches(_SHARED, _CUSTOMER_COLUMNS, 1), f"SELECT {_ALL} FROM merged"
+    ),
+    "merge_history_with_rejects": _with(
+        _branches(_HELD, _CUSTOMER_COLUMNS, 1), f"SELECT {_ALL} FROM merged"
+    ),
+    "merge_history_rejects": _with(
+        _CUSTOMERS + "," + _awkward("s"), "SELECT * FROM awkward WHERE reject_reason IS NOT NULL"
+    ),
+    "post_conditions_damaged": _with(
+        _DAMAGED,
+        " UNION ALL ".join(
+            f"SELECT '{check}' AS \"check\", count(*) AS violations FROM ({rows})"
+            for check, rows in _VIOLATIONS.items()
+        ),
+    ),
+}
 ORACLES["initial_load_stored"] = ORACLES["initial_load"]

@@ -9,7 +9,14 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory import HistorySpec, Staging, accept_snapshot, initial_load, merge_history
+from dimhistory import (
+    HistorySpec,
+    Staging,
+    accept_snapshot,
+    initial_load,
+    merge_history,
+    merge_with_rejects,
+)
 from dimhistory.functions import (
     append_suffix,
     format_date,
@@ -76,6 +83,39 @@ def scan_csv(spark, sf_dir):
     return read_csv(spark, _customer_csv(spark, df), schema=df.schema)
 
 
+def _ragged_csv(spark: SparkSession, df: DataFrame) -> str:
+    """A CSV in which every 11th key's line lacks a value and every 23rd has one too many."""
+    key, names = F.col("c_custkey"), ["C_CustKey", *df.columns[1:]]
+    texts = [F.col(c).cast("string") for c in df.columns]
+    whole = F.concat_ws(",", *texts)
+    line = (
+        F.when(key % 11 == 0, F.concat_ws(",", *texts[:-1]))
+        .when(key % 23 == 0, F.concat(whole, F.lit(",extra")))
+        .otherwise(whole)
+    )
+    path = f"{Staging(spark).path}/ragged"
+    # one column whose values are whole lines
+    lines = df.select(line.alias(",".join(names)))
+    lines.write.options(header=True, sep="\x01", quote="").csv(path)
+    return path
+
+
+def _ragged_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    df = customers(spark, sf_dir)
+    text = read_csv(spark, _ragged_csv(spark, df))
+    return accept_snapshot(text, df.schema, HistorySpec(["c_custkey"], df.columns))
+
+
+@query("scan_csv_text")
+def scan_csv_text(spark, sf_dir):
+    return _ragged_split(spark, sf_dir)[0]
+
+
+@query("scan_csv_text_rejects")
+def scan_csv_text_rejects(spark, sf_dir):
+    return _ragged_split(spark, sf_dir)[1].select(screening.CORRUPT, screening.REASON)
+
+
 @query("scan_csv_columns")
 def scan_csv_columns(spark, sf_dir):
     case = customer_case(spark, sf_dir)
@@ -370,6 +410,29 @@ def merge_history_orders(spark, sf_dir):
     return _merged(order_case(spark, sf_dir))
 
 
+@query("merge_history_shared_sk")
+def merge_history_shared_sk(spark, sf_dir):
+    """Surrogate keys that many keys, active and closed, have in common."""
+    case = customer_case(spark, sf_dir)
+    shared = case.history.withColumn("sk", F.col("sk") % 97 + 1)
+    return _merged(replace(case, history=shared))
+
+
+def _with_rejects(spark, sf_dir):
+    case = customer_case(spark, sf_dir)
+    return merge_with_rejects(case.history, _awkward(case.snapshot), case.spec, AS_OF)
+
+
+@query("merge_history_with_rejects")
+def merge_history_with_rejects(spark, sf_dir):
+    return _with_rejects(spark, sf_dir)[0]
+
+
+@query("merge_history_rejects")
+def merge_history_rejects(spark, sf_dir):
+    return _with_rejects(spark, sf_dir)[1]
+
+
 @query("merge_history_composite_key")
 def merge_history_composite_key(spark, sf_dir):
     return _merged(conversation_case(spark, sf_dir))
@@ -397,14 +460,19 @@ def apply_changes(spark, sf_dir):
 # input checks
 
 
-def _awkward_snapshot(spark, sf_dir) -> DataFrame:
+def _awkward(rows: DataFrame) -> DataFrame:
+    """Customers with lost keys, a value that is no number, and one that doesn't fit."""
     key = F.col("c_custkey")
-    return customers(spark, sf_dir).withColumns(
+    return rows.withColumns(
         {
             "c_custkey": F.when(key % 17 != 0, key),
             "c_nationkey": F.when(key % 13 == 0, F.lit("n/a")).otherwise(
                 F.col("c_nationkey").cast("string")
             ),
+            "c_acctbal": (
+                F.col("c_acctbal").cast("decimal(14,4)")
+                + F.when(key % 19 == 0, F.lit("0.0009")).otherwise("0").cast("decimal(14,4)")
+            ).cast("decimal(14,4)"),
         }
     )
 
@@ -412,7 +480,7 @@ def _awkward_snapshot(spark, sf_dir) -> DataFrame:
 def _awkward_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     wanted = customers(spark, sf_dir).schema
     return accept_snapshot(
-        _awkward_snapshot(spark, sf_dir), wanted, HistorySpec(["c_custkey"], wanted.names)
+        _awkward(customers(spark, sf_dir)), wanted, HistorySpec(["c_custkey"], wanted.names)
     )
 
 
@@ -446,8 +514,37 @@ def latest_per_key(spark, sf_dir):
     )
 
 
+@query("assign_surrogate_keys_null_key")
+def assign_surrogate_keys_null_key(spark, sf_dir):
+    key = F.col("c_custkey")
+    rows = customers(spark, sf_dir).withColumn("c_custkey", F.when(key != 7, key))
+    return numbering.assign_surrogate_keys(rows, ["c_custkey"], "sk", Staging(spark))
+
+
 @query("post_conditions")
 def post_conditions(spark, sf_dir):
     case = customer_case(spark, sf_dir)
     after = Staging(spark).write(_merged(case), "after")
     return checks.violations(case.history, after, case.snapshot, case.spec, AS_OF)
+
+
+@query("post_conditions_damaged")
+def post_conditions_damaged(spark, sf_dir):
+    case = customer_case(spark, sf_dir)
+    key, flag = F.col("c_custkey"), F.col("current_flag")
+    damaged = _merged(case).where(~(flag & (key % 41 == 0)))
+    damaged = damaged.union(damaged.where(flag & (key % 43 == 0)))
+    damaged = damaged.withColumns(
+        {
+            "sk": F.when(~(flag & (key % 47 == 0)), F.col("sk")),
+            "c_name": F.when(~flag & (key % 53 == 0), F.lit("changed")).otherwise(F.col("c_name")),
+            "expiration_date": F.when(key % 59 == 0, F.lit("2000-01-01").cast("date")).otherwise(
+                F.col("expiration_date")
+            ),
+            "effective_date": F.when(key % 61 == 0, F.date_sub("effective_date", 1)).otherwise(
+                F.col("effective_date")
+            ),
+        }
+    )
+    after = Staging(spark).write(damaged, "damaged")
+    return checks.violations(case.history, after, case.snapshot, case.spec, AS_OF)

@@ -6,8 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
-from dimhistory import HistorySpec, initial_load, merge_history
-from dimhistory.errors import CorruptHistory, DuplicateKeys, SchemaMismatch
+from dimhistory import HistorySpec, Staging, initial_load, merge_history
+from dimhistory.errors import CorruptHistory, DuplicateKeys, HistoryError, SchemaMismatch
 from dimhistory.operators.apply import union_by_name
 from dimhistory.operators.changes import detect_changes, filter_inactive
 from dimhistory.operators.checks import violations
@@ -18,7 +18,7 @@ from dimhistory.operators.versions import (
     rows_updated_new,
     rows_updated_old,
 )
-from dimhistory.plans import merge as merge_module
+from dimhistory.plans.merge import merge_with_rejects
 from util import (
     AB,
     AB_SPEC,
@@ -268,19 +268,61 @@ def test_null_flag_and_other_columns_are_refused(spark):
         initial_load(ab(spark).withColumnRenamed("b", "sk"), AB_SPEC, D1)
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_survivors_do_not_depend_on_the_join_strategy(spark, monkeypatch, limit):
-    monkeypatch.setattr(merge_module, "BROADCAST_KEYS", limit)
-    rows = [(k, "x", k % 5) for k in range(500)]
-    later = [(k, "x", k % 5 + (k % 7 == 0)) for k in range(20, 520)]
-    history = model_initial(rows, D0)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1 if limit == 0 else threshold)
-    try:
-        got = merge_history(ab_history(spark, *history), ab(spark, *later), AB_SPEC, D1)
-        assert collected(got) == model_merge(history, later, D1)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+def test_shared_surrogate_keys_lose_no_row(spark):
+    """A key that closes must not take rows of other keys, or closed rows, with it."""
+    history = [
+        (1, "x", 1, 1, D0, END, True),
+        (2, "y", 2, 1, D0, END, True),
+        (3, "z", 3, 5, D0, END, True),
+        (4, "o", 4, 5, D0, D0, False),
+    ]
+    later = [(1, "x", 9), (2, "y", 2)]
+    got = merge_history(ab_history(spark, *history), ab(spark, *later), AB_SPEC, D1)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(
+        [
+            (1, "x", 1, 1, D0, D1, False),
+            (1, "x", 9, 6, D1, END, True),
+            (2, "y", 2, 1, D0, END, True),
+            (3, "z", 3, 5, D0, D1, False),
+            (4, "o", 4, 5, D0, D0, False),
+        ]
+    )
+
+
+def test_rejected_rows_hold_their_versions(spark):
+    history = ab_history(spark, *H, (3, "z", 3, 3, D0, END, True))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "kab"])
+    # 1 has a bad value, 2 stays, 3 is gone, 8 is new and bad, one key is lost
+    text = frame(spark, schema, [("1", "x", "n/a"), ("2", "y", "2"), ("8", "n", "?"), ("q", "n", "1")])
+    got, rejected, counts = merge_with_rejects(history, text, AB_SPEC, D1)
+    assert collected(got) == [*H, (3, "z", 3, 3, D0, D1, False)]
+    assert sorted(r["reject_reason"] for r in rejected.collect()) == ["bad value: b"] * 2 + ["bad value: k"]
+    assert counts == {"INSERT": 0, "DELETE": 1, "UPDATE": 0, "REJECTED": 3}
+    # a usable row of the same key counts
+    both = frame(spark, schema, [("1", "x", "n/a"), ("1", "x", "7"), ("2", "y", "2"), ("3", "z", "3")])
+    assert collected(merge_history(history, both, AB_SPEC, D1))[-1] == (1, "x", 7, 4, D1, END, True)
+
+
+def test_a_date_before_the_newest_version_is_refused(spark):
+    history = ab_history(spark, (1, "x", 1, 1, D1, END, True))
+    with pytest.raises(HistoryError, match="before"):
+        merge_history(history, ab(spark, (1, "x", 2)), AB_SPEC, D0)
+
+
+def test_copies_on_both_sides_do_not_multiply(spark, staging, monkeypatch):
+    written = {}
+    original = Staging.write
+
+    def remember(self, df, name, **options):
+        out = original(self, df, name, **options)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Staging, "write", remember)
+    twice = ab_history(spark, *[(1, "x", 1, i, D0, END, True) for i in range(1, 61)])
+    with pytest.raises(DuplicateKeys):
+        merge_history(twice, ab(spark, *[(1, "x", 1)] * 60), AB_SPEC, D1)
+    assert written["compared"] == 1
 
 
 def test_merge_equals_the_union_of_the_actions(spark, staging):

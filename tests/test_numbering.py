@@ -57,6 +57,7 @@ def test_a_hot_order_value_is_spread_over_ranges(spark, staging):
 
 def test_ranges_follow_the_number_of_rows(spark, staging, monkeypatch):
     monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 1000)
+    monkeypatch.setattr(numbering, "ROWS_ALONE", 0)
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"))
     got = assign_surrogate_keys(df, ["k"], "sk", staging, rows=5000)
     want = df.withColumn("sk", F.row_number().over(Window.orderBy("k")).cast("bigint"))
@@ -72,6 +73,15 @@ def staged(staging, prefix):
     return [n for n in files.list_names(staging.spark, staging.path) if n.startswith(prefix)]
 
 
+@pytest.mark.parametrize("rows", [None, 4])
+def test_null_keys_are_numbered_first(spark, staging, rows):
+    df = spark.createDataFrame([(1, "a"), (None, "n"), (2, "b"), (3, None)], "k int, v string")
+    got = {r["v"]: r["sk"] for r in assign_surrogate_keys(df, ["k"], "sk", staging, rows=rows).collect()}
+    assert got == {"n": 1, "a": 2, "b": 3, None: 4}
+    with pytest.raises(DuplicateKeys):
+        assign_surrogate_keys(df.union(df.where("k IS NULL")), ["k"], "sk", staging, rows=rows)
+
+
 def test_repeated_keys_are_refused(spark, staging):
     df = spark.createDataFrame([(1,), (2,), (2,)], "k int")
     with pytest.raises(DuplicateKeys, match="2"):

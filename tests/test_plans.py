@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimhistory import Staging, initial_load, merge_history
-from dimhistory.operators import partitioning
+from dimhistory.operators import numbering, partitioning
 from dimhistory.operators.changes import detect_changes
 from dimhistory.operators.screening import duplicate_keys, latest_per_key
 from util import AB_SPEC, D0, D1
@@ -18,9 +18,9 @@ def staged_plans(monkeypatch):
     plans = {}
     original = Staging.write
 
-    def remember(self, df, name):
+    def remember(self, df, name, **options):
         plans[name] = plan(df)
-        return original(self, df, name)
+        return original(self, df, name, **options)
 
     monkeypatch.setattr(Staging, "write", remember)
     return plans
@@ -44,15 +44,26 @@ def pair(spark, staging):
     return history, rows.where("k % 10 <> 1").withColumn("b", changed)
 
 
-def test_merge_joins_once_and_never_uses_one_task_for_rows(pair, staged_plans):
+@pytest.fixture()
+def many(monkeypatch, spark):
+    """Plans as for more rows than one task numbers or a broadcast may hold."""
+    monkeypatch.setattr(numbering, "ROWS_ALONE", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_merge_joins_once_and_never_uses_one_task_for_rows(pair, staged_plans, many):
     result = plan(merge_history(*pair, AB_SPEC, D1))
-    delta = staged_plans["delta"]
-    assert delta.count("SortMergeJoin") == 1 and "FullOuter" in delta
-    # both sides by key, then the changed rows into even partitions
-    assert sorted(exchanges(delta)) == ["RoundRobinPartitioning", "hashpartitioning", "hashpartitioning"]
-    # copies of history keys are counted in the partitions and the order of the join
-    assert delta.count("Window [count(1)") == 1 and len(re.findall(r"\bSort \[", delta)) == 2
-    assert "FullOuter" not in result
+    compared = staged_plans["compared"]
+    assert compared.count("SortMergeJoin") == 1 and "FullOuter" in compared
+    # one shuffle per side, and copies are counted in the partitions and the order of the join
+    assert exchanges(compared) == ["hashpartitioning", "hashpartitioning"]
+    assert len(re.findall(r"\bSort \[", compared)) == 2
+    # unchanged rows come out of the comparison: nothing joins or shuffles them again
+    assert "hashpartitioning" not in result.split("dimhistory_kind")[0]
+    assert "Anti" not in result and "FullOuter" not in result
     for text in (result, *staged_plans.values()):
         assert "SinglePartition" not in text
         assert "Python" not in text and "Arrow" not in text
@@ -62,21 +73,16 @@ def test_merge_joins_once_and_never_uses_one_task_for_rows(pair, staged_plans):
 def test_partitions_follow_the_rows(pair, staged_plans, monkeypatch):
     history, snapshot = pair
     want = sorted(merge_history(history, snapshot, AB_SPEC, D1).collect())
-    usual = exchanges(staged_plans["delta"])
     monkeypatch.setattr(partitioning, "ROWS_PER_TASK", 100)
-    assert sorted(merge_history(history, snapshot, AB_SPEC, D1).collect()) == want
-    delta = staged_plans["delta"]
-    assert exchanges(delta) == usual
-    assert len(re.findall(r"hashpartitioning\(k#\d+L, 21\), REPARTITION_BY_NUM", delta)) == 2
-
-
-def test_unchanged_rows_pass_without_a_shuffle(pair):
-    result = plan(merge_history(*pair, AB_SPEC, D1))
-    survivors = result.split("LeftAnti")[1].split("Union")[0]
-    assert "hashpartitioning" not in survivors.split("BroadcastExchange")[0]
+    latest = {"on_duplicate": "latest", "order_by": "b"}
+    for options in ({}, latest):
+        assert sorted(merge_history(history, snapshot, AB_SPEC, D1, **options).collect()) == want
+        compared = staged_plans["compared"]
+        assert exchanges(compared) == ["hashpartitioning", "hashpartitioning"]
+        assert len(re.findall(r"hashpartitioning\(k#\d+L, 21\), REPARTITION_BY_NUM", compared)) == 2
 
 
-def test_positions_are_sorted_once(spark, staging, staged_plans):
+def test_positions_are_sorted_once(spark, staging, staged_plans, many):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit("wide").alias("w"))
     initial_load(df.withColumn("b", F.lit(1)), AB_SPEC.__class__(["k"], ["w"]), D0, staging)
     positions = staged_plans["positions"]

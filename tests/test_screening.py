@@ -8,7 +8,9 @@ from dimhistory.operators.screening import (
     duplicate_keys,
     latest_per_key,
     profile,
+    screen_once,
     screen_snapshot,
+    usable_keys,
 )
 from util import AB, AB_SPEC, D0, END, ab, ab_history
 
@@ -61,22 +63,43 @@ def test_duplicate_policy(spark):
         accept_snapshot(rows, AB, AB_SPEC, "first")
 
 
-def test_a_hot_key_is_refused_before_the_join(spark):
-    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
-    df = spark.range(3000).select(key.alias("k"), F.lit("x").alias("a"), F.lit(1).alias("b"))
-    with pytest.raises(DuplicateKeys, match="snapshot .* 1000"):
-        profile(AB_SPEC, accepted=df)
-    history = df.selectExpr(
-        "*", "1L sk", "date'2024-01-01' effective_date", "date'9999-12-31' expiration_date",
-        "true current_flag",
+@pytest.mark.parametrize(
+    ("source", "target", "good", "bad"),
+    [
+        ("decimal(12,4)", "decimal(12,2)", "1.2300", "1.2349"),
+        ("timestamp", "date", "2024-01-02 00:00:00", "2024-01-02 03:04:05"),
+        ("bigint", "double", "9007199254740992", "9007199254740993"),
+        ("double", "int", "3", "3.5"),
+        ("string", "decimal(12,2)", "1.23", "1.239"),
+        ("string", "date", "2024-01-02", "2024-01-02 03:04:05"),
+    ],
+)
+def test_conversions_that_lose_something_are_rejected(spark, source, target, good, bad):
+    schema = spark.sql(f"SELECT 1L AS k, CAST(null AS {target}) AS v").schema
+    rows = spark.sql(
+        f"SELECT * FROM VALUES (1L, CAST('{good}' AS {source})), (2L, CAST('{bad}' AS {source})), "
+        f"(3L, CAST(null AS {source})) AS t(k, v)"
     )
-    with pytest.raises(DuplicateKeys, match="active history .* 1000"):
-        profile(AB_SPEC, history=history)
-    # many closed versions of one key are no trouble
-    assert profile(AB_SPEC, history=history.withColumn("current_flag", F.col("k") == 1)).active_rows == 1
-    unique = spark.range(3000).withColumnRenamed("id", "k")
-    assert profile(AB_SPEC, accepted=unique).accepted_rows == 3000
-    assert profile(AB_SPEC, accepted=unique.limit(0)).accepted_rows == 0
+    accepted, rejected = screen_snapshot(rows, schema, ["k"])
+    assert sorted(r["k"] for r in accepted.collect()) == [1, 3]
+    assert [(r["k"], r["reject_reason"]) for r in rejected.collect()] == [(2, "bad value: v")]
+
+
+def test_screening_once_gives_the_same_and_reads_once(spark, staging):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    text = spark.createDataFrame([("1", "x", "1"), ("2", "y", "?"), (None, "z", "3")], "k string, a string, b string")
+    want = [sorted(map(repr, df.collect())) for df in screen_snapshot(text, AB, ["k"])]
+    once = screen_once(text.mapInArrow(counted, text.schema), AB, ["k"], staging)
+    assert [sorted(map(repr, df.collect())) for df in once] == want
+    assert [df.count() for df in once] == [1, 2]
+    assert seen.value == 3
+    assert [tuple(r) for r in usable_keys(once[1], AB, ["k"]).collect()] == [(2,)]
 
 
 GOOD = (1, "x", 1, 1, D0, END, True)
@@ -88,6 +111,8 @@ GOOD = (1, "x", 1, 1, D0, END, True)
         ((2, "x", 1, 2, D0, END, None), "null flag"),
         ((2, "x", 1, None, D0, END, True), "null surrogate key"),
         ((None, "x", 1, 2, D0, END, True), "null business key"),
+        ((2, "x", 1, 2, END, D0, False), "end before start"),
+        ((2, "x", 1, 2, D0, D0, True), "end of an active row"),
     ],
 )
 def test_unsound_history_is_refused(spark, row, problem):
@@ -97,6 +122,5 @@ def test_unsound_history_is_refused(spark, row, problem):
 
 def test_sound_history_is_measured(spark):
     closed = (2, "x", 1, 9, D0, D0, False)
-    accepted = ab(spark, (1, "x", 1), (2, "x", 1))
-    assert profile(AB_SPEC, ab_history(spark, GOOD, closed), accepted) == Profile(1, 9, 2)
-    assert profile(AB_SPEC, ab_history(spark)) == Profile(0, 0, 0)
+    assert profile(AB_SPEC, ab_history(spark, GOOD, closed)) == Profile(1, 9, D0, 1)
+    assert profile(AB_SPEC, ab_history(spark)) == Profile(0, 0, None, 0)

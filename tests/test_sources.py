@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dimhistory import Staging, merge_history
+from dimhistory import Staging, accept_snapshot, merge_history
 from dimhistory.errors import SchemaMismatch
+from dimhistory.operators.screening import CORRUPT
 from dimhistory.plans.load import apply_snapshot_jdbc
 from dimhistory.sources import staging as staging_module
 from dimhistory.sources.csv import csv_columns, history_columns, read_csv, write_csv
@@ -56,8 +57,28 @@ def test_bad_value_fails_a_typed_read_and_is_rejected_from_text(spark, tmp_path)
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
         read_csv(spark, str(path), schema=AB).collect()
     history = ab_history(spark, (1, "x", 1, 1, D0, END, True))
-    got = merge_history(history, read_csv(spark, str(path)), AB_SPEC, D1)
-    assert collected(got) == [(1, "x", 1, 1, D0, END, True)]
+    known = ab_history(spark, (1, "x", 1, 1, D0, END, True), (2, "y", 2, 2, D0, END, True))
+    for before in (history, known):  # of a new key, and of one whose version it must not close
+        got = merge_history(before, read_csv(spark, str(path)), AB_SPEC, D1)
+        assert collected(got) == collected(before)
+
+
+def test_malformed_lines_of_a_text_read_are_rejected(spark, tmp_path):
+    path = tmp_path / "ragged.csv"
+    path.write_text("k,a,b\n1,x,1\n2,y\n3,z,3,extra\n4,w,4\n")
+    text = read_csv(spark, str(path))
+    assert text.columns == ["k", "a", "b", CORRUPT]
+    accepted, rejected = accept_snapshot(text, AB, AB_SPEC)
+    assert sorted(tuple(r) for r in accepted.collect()) == [(1, "x", 1), (4, "w", 4)]
+    assert {r["reject_reason"] for r in rejected.collect()} == {"malformed line"}
+    assert sorted(r[CORRUPT] for r in rejected.collect()) == ["2,y", "3,z,3,extra"]
+
+
+def test_another_order_of_columns_in_a_second_file_is_refused(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("k,a,b\n1,x,1\n")
+    (tmp_path / "two.csv").write_text("k,b,a\n2,2,y\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        read_csv(spark, [str(tmp_path / "one.csv"), str(tmp_path / "two.csv")]).collect()
 
 
 def test_write_and_read_back(spark, tmp_path):
@@ -130,7 +151,7 @@ class Recorder:
 
 class JdbcSession:
     def __init__(self, bounds):
-        self.readers, self.bounds = [], bounds
+        self.readers, self.bounds, self._jvm = [], bounds, FakeDatabase()
 
     @property
     def read(self):
@@ -138,17 +159,19 @@ class JdbcSession:
         return self.readers[-1]
 
 
-TABLE = JdbcTable("jdbc:some:db", "customer", "some.Driver", {"user": "u", "password": "p"})
+TABLE = JdbcTable("jdbc:some:db", "dim.customer", "some.Driver", {"user": "u", "password": "p"})
 
 
 def test_jdbc_read_in_key_ranges():
     session = JdbcSession((1, 1000))
     TABLE.read(session, "sk_customerid", partitions=8)
     scan, bounds = session.readers[0].said, session.readers[1].said
-    assert bounds["query"] == "SELECT MIN(sk_customerid) AS lo, MAX(sk_customerid) AS hi FROM customer"
+    assert bounds["query"] == (
+        "SELECT MIN(`sk_customerid`) AS lo, MAX(`sk_customerid`) AS hi FROM `dim`.`customer`"
+    )
     assert scan == {
         "format": "jdbc", "url": "jdbc:some:db", "driver": "some.Driver", "user": "u",
-        "password": "p", "dbtable": "customer", "partitionColumn": "sk_customerid",
+        "password": "p", "dbtable": "`dim`.`customer`", "partitionColumn": "sk_customerid",
         "lowerBound": 1, "upperBound": 1001, "numPartitions": 8,
     }
 
@@ -219,49 +242,58 @@ class ChangedRows:
 def test_jdbc_changes_move_in_one_transaction():
     database, rows = FakeDatabase(), ChangedRows()
     TABLE.apply_rows(JvmSession(database), rows, ["k", "sk"])
-    assert rows.write.said["dbtable"] == "customer_changes"
+    side = rows.write.said["dbtable"]
+    assert side.startswith("`dim`.`customer_") and rows.write.said["mode"] == "errorifexists"
     assert database.log == [
         "autocommit False",
-        "DELETE FROM customer WHERE EXISTS (SELECT 1 FROM customer_changes c "
-        "WHERE c.`k` = customer.`k` AND c.`sk` = customer.`sk`)",
-        "INSERT INTO customer (`k`, `annual (k$)`, `sk`) "
-        "SELECT `k`, `annual (k$)`, `sk` FROM customer_changes",
+        f"DELETE FROM `dim`.`customer` WHERE EXISTS (SELECT 1 FROM {side} c "
+        "WHERE c.`k` = `dim`.`customer`.`k` AND c.`sk` = `dim`.`customer`.`sk`)",
+        "INSERT INTO `dim`.`customer` (`k`, `annual (k$)`, `sk`) "
+        f"SELECT `k`, `annual (k$)`, `sk` FROM {side}",
         "commit",
         "close",
         "autocommit False",
-        "DROP TABLE customer_changes",
+        f"DROP TABLE IF EXISTS {side}",
         "commit",
         "close",
     ]
+    other = ChangedRows()
+    TABLE.apply_rows(JvmSession(database), other, ["k"])
+    assert other.write.said["dbtable"] != side
 
 
 def test_jdbc_changes_are_rolled_back_and_the_error_is_raised():
     database = FakeDatabase(fail_at="INSERT")
     with pytest.raises(RuntimeError, match="refused"):
         TABLE.apply_rows(JvmSession(database), ChangedRows(), ["k"])
-    assert database.log[-2:] == ["rollback", "close"] and "commit" not in database.log
+    assert database.log.index("rollback") < database.log.index("close")
+    assert database.log[-4:-2] == ["autocommit False", database.log[-3]]
+    assert database.log[-3].startswith("DROP TABLE IF EXISTS")
 
 
 def test_snapshot_into_a_database_writes_only_changes(spark):
     class Target:
-        def read_pinned(self, session, staging, column, partitions):
-            assert (column, partitions) == ("sk", 4)
+        def read_active(self, session, staging, spec, partitions):
+            assert partitions == 4
             rows = [(k, "x", k, k, D0, END, True) for k in (1, 2, 3)]
             return staging.write(ab_history(spark, *rows), "jdbc")
 
+        def key_range(self, session, column):
+            return (1, 7)  # closed rows hold larger keys
+
         def apply_rows(self, session, rows, keys):
             self.keys, self.rows = keys, collected(rows)
 
     target = Target()
     snapshot = ab(spark, (1, "x", 1), (2, "x", 9), (4, "n", 1))
     counts = apply_snapshot_jdbc(target, snapshot, AB_SPEC, D1, partitions=4)
-    assert counts == {"INSERT": 1, "DELETE": 1, "UPDATE": 1}
+    assert counts == {"INSERT": 1, "DELETE": 1, "UPDATE": 1, "REJECTED": 0}
     assert target.keys == ["k", "sk"]
     assert target.rows == [
         (2, "x", 2, 2, D0, D1, False),
         (3, "x", 3, 3, D0, D1, False),
-        (4, "n", 1, 4, D1, END, True),
-        (2, "x", 9, 5, D1, END, True),
+        (4, "n", 1, 8, D1, END, True),
+        (2, "x", 9, 9, D1, END, True),
     ]
     target.rows = None
     apply_snapshot_jdbc(target, ab(spark, *[(k, "x", k) for k in (1, 2, 3)]), AB_SPEC, D1, 4)
