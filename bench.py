@@ -1,11 +1,12 @@
 """Times the headline queries and prints one JSON line.
 
-``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose input and parallelism. ``BENCH_KEYS`` adds a
-merge and an initial load of that many generated keys. Each time is the median of
-``BENCH_RUNS`` runs after a warm-up, over the whole result.
+``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose input and parallelism. ``BENCH_KEYS``, a million by
+default, is the number of generated keys of one more merge and initial load. Each time is the
+median of ``BENCH_RUNS`` runs after a warm-up, over the whole result.
 
-``plain_*`` are the same results in the obvious form, for comparison: one global window
-for the numbers, one branch of a union per action.
+``plain_*`` are the same results in the obvious form, for comparison: one global window for the
+numbers, one window per key for the latest row, one branch of a union per action, and a stored
+table that is written anew.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import json
 import os
 import statistics
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,8 +25,8 @@ from dimhistory.functions import stamp_date, with_constants
 from dimhistory.operators import changes, versions
 from dimhistory.operators.numbering import max_surrogate_key
 from dimhistory.spec import INSERT, UPDATE, HistorySpec
-from suite.frames import AS_OF, Case, customer_case, order_case
-from suite.queries import QUERIES
+from suite.frames import AS_OF, Case, customer_case, order_case, read
+from suite.queries import QUERIES, _lines
 
 HEADLINE = [
     "merge_history",
@@ -94,6 +96,27 @@ def plain_merge(case: Case) -> DataFrame:
     return result
 
 
+def plain_apply_snapshot(spark: SparkSession, case: Case) -> DataFrame:
+    """The whole history written, merged and written again."""
+    staging = Staging(spark)
+    stored = staging.write(case.history, "stored")
+    return staging.write(plain_merge(replace(case, history=stored)), "merged")
+
+
+def plain_dense_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by = ["l_orderkey", "l_linenumber"]
+    lines = read(spark, sf_dir, "lineitem").select(*by)
+    return lines.withColumn("row_number", F.row_number().over(Window.orderBy(*by)))
+
+
+def plain_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys, order = ["l_orderkey", "l_linenumber"], "l_shipdate"
+    lines = _lines(spark, sf_dir)
+    rest = [F.desc(c) for c in lines.columns if c not in (*keys, order)]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order), *rest))
+    return lines.withColumn("place", place).where("place = 1").drop("place")
+
+
 def generated_case(spark: SparkSession, n: int) -> Case:
     """``n`` scattered keys; 2 % of them changed, 0.5 % gone, 0.5 % new."""
     staging = Staging(spark)
@@ -139,8 +162,11 @@ def main() -> None:
             "plain_merge_history": timed(lambda: plain_merge(customers), runs),
             "plain_merge_history_orders": timed(lambda: plain_merge(orders), runs),
             "plain_initial_load": timed(lambda: plain_initial_load(customers), runs),
+            "plain_apply_snapshot": timed(lambda: plain_apply_snapshot(spark, customers), runs),
+            "plain_dense_row_number": timed(lambda: plain_dense_row_number(spark, sf_dir), runs),
+            "plain_latest_per_key": timed(lambda: plain_latest_per_key(spark, sf_dir), runs),
         }
-        n = int(os.environ.get("BENCH_KEYS", "0"))
+        n = int(os.environ.get("BENCH_KEYS", "1000000"))
         if n:
             case = generated_case(spark, n)
             times["merge_generated"] = timed(lambda: merged(case), runs)

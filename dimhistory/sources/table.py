@@ -215,6 +215,25 @@ class HistoryTable:
             as_of=as_of,
         )
 
+    def compact_closed(self) -> Version:
+        """Put the closed rows of all loads into one folder, as a new version.
+
+        Each load that closes rows adds a folder; the lists of folders, and the files that the
+        driver lists to read them, stay short if this runs from time to time.
+        """
+        base = self.version()
+        if len(base.closed) < 2:
+            return base
+        return self.publish(
+            after=base.number,
+            schema=T.StructType.fromJson(base.schema),
+            closed=self.read_closed(base).hint("rebalance"),
+            kept_active=base.active,
+            stats=self.profile(base),
+            one_active_per_key=base.one_active_per_key,
+            as_of=dt.date.fromisoformat(base.as_of) if base.as_of else None,
+        )
+
     def expire_versions(self, keep: int) -> list[int]:
         """Forget all but the last ``keep`` versions and delete folders only they used.
 

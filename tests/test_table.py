@@ -234,3 +234,59 @@ def test_catalog_table(spark, tmp_path):
         assert "PartitionFilters: [isnotnull(current_flag" in plan
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_closed_folders_are_compacted(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    apply_snapshot(table, ab(spark, *LATER), D1)
+    apply_snapshot(table, ab(spark, *ROWS), D2)
+    before, rows = table.version(), collected(table.read())
+    assert len(before.closed) == 2
+    version = table.compact_closed()
+    assert len(version.closed) == 1 and version.active == before.active
+    assert (version.active_rows, version.closed_rows, version.max_sk, version.last_start) == (
+        before.active_rows, before.closed_rows, before.max_sk, before.last_start,
+    )
+    assert collected(table.read()) == rows and table.compact_closed() == version
+    table.expire_versions(1)
+    assert collected(table.read()) == rows
+
+
+def test_a_load_that_wrote_other_rows_than_planned_is_not_published(spark, table, monkeypatch):
+    from dataclasses import replace
+
+    load_initial(table, ab(spark, *ROWS), D0)
+    before = table.latest()
+    plain = load_module.plan_merge
+
+    def lossy(*args, **kwargs):
+        merge = plain(*args, **kwargs)
+        return replace(merge, opened=merge.opened.limit(0))
+
+    monkeypatch.setattr(load_module, "plan_merge", lossy)
+    with pytest.raises(CorruptHistory, match="expected"):
+        apply_snapshot(table, ab(spark, *LATER), D1)
+    assert table.latest() == before
+
+
+def test_rows_that_stay_are_written_once_and_kept_by_the_next_version(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    version = apply_snapshot(table, ab(spark, *LATER), D1)
+    assert any(folder.endswith("=stay") for folder in version.active)
+    same = apply_snapshot(table, ab(spark, *LATER), D2)
+    assert same.active == version.active and same.closed == version.closed
+
+
+def test_change_set_rows_are_read_once(spark, table):
+    load_initial(table, ab(spark, *ROWS), D0)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for k, change in ((70, "INSERT"), (70, "UPDATE")):
+        rows = ab_history(spark, (k, "n", 1, 90, D1, END, True))
+        apply_change_set(table, rows.mapInArrow(counted, rows.schema), change)
+    assert seen.value == 2
