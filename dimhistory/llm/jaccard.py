@@ -2,14 +2,16 @@
 
 A token is a shingle. Tokens have one order for all documents: the others by hash, then those
 found in many documents. Two sets that are similar enough share a token in their prefixes, the
-first tokens in that order. Prefixes are one token longer than that needs; then two similar sets share
-a token of a rare class or two tokens of the frequent class. So rare tokens are indexed singly
-and frequent ones in pairs, which splits their long lists.
+first tokens in that order; of the smaller set, a shorter prefix does. Prefixes are one token
+longer than that needs; then two similar sets share a token of a rare class or two tokens of the
+frequent class. So rare tokens are indexed singly and frequent ones in pairs, which splits
+their long lists.
 
 Equal sets are one class from the start. Long lists mostly come from groups of near copies, so
-before any pairs are made every document is compared with two members of each list it is in,
-and lists that are thereby connected need no pairs. What remains across components is joined,
-narrowed by the number of prefix tokens that a pair shares, and verified on the words themselves.
+before any pairs are made every document is compared with two members of each list it is in, and
+with others of the lists that two components still meet in while those are long. Lists within one
+component need no pairs. The rest is joined; sizes, positions and bitmaps of the sets, which
+bound the difference of two sets from below, narrow the pairs, and the words verify them.
 """
 
 from __future__ import annotations
@@ -20,21 +22,25 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimhistory import Staging
 from dimhistory.llm import graph
+from dimhistory.llm.frames import BROADCAST_IDS, by_ids
 
 #: A token in more than this share of the documents comes last in the order. At most
 #: (mean tokens a document / share) tokens are, whatever the number of documents.
-COMMON_SHARE = 1e-3
+COMMON_SHARE = 2e-4
 #: A list of more documents than this belongs to the frequent class.
 FREQUENT = 48
 #: Words whose hash a task remembers.
 REMEMBERED = 500_000
-#: Ids that are broadcast at most; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: 64-bit words of a set's bitmap, and of the wide one that sets of more tokens than ``SMALL``
+#: have as well. A bit says whether an odd number of tokens falls on it.
+BITS, WIDE, SMALL = 2, 64, 150
+#: Most rounds in which documents are compared with members of their lists.
+ROUNDS = 2
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -93,9 +99,10 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(tokens))
                 prints.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 sets.append(tokens)
-            every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+            distinct = [t for _, t in dict(zip(prints, sets, strict=True)).items()]
+            every = np.concatenate(distinct) if distinct else np.empty(0, np.uint64)
             values, counts = np.unique(every, return_counts=True)
-            often = counts >= max(3, COMMON_SHARE * len(sizes) / 2)
+            often = counts >= max(2, COMMON_SHARE * len(sizes) / 2)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column(0), pa.array([None], batch.column(0).type)]),
@@ -112,13 +119,13 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``(doc_id, n, size, tokens)``: the prefix of each set, one token longer than needed."""
+    """``(doc_id, n, tokens, wide, b0, b1, ...)``: prefix, one token longer than needed, bitmaps."""
     spread = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, last = Hasher(width), spread.value
         for batch in batches:
-            ids, sizes, lengths, found = [], [], [], []
+            ids, sizes, lengths, found, bitmaps, wide = [], [], [], [], [], []
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
                 tokens = hasher(text.as_py())
                 n = len(tokens)
@@ -133,25 +140,34 @@ def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) ->
                 sizes.append(n)
                 lengths.append(size)
                 found.append(tokens[:size].view(np.int64))
+                bitmaps.append(_bitmap(tokens, BITS))
+                wide.append(_bitmap(tokens, WIDE).tolist() if n > SMALL else None)
             ends = np.cumsum([0, *lengths]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int64)
+            bits = np.array(bitmaps, np.int64).reshape(len(ids), BITS)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int32()),
-                    pa.array(lengths, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    pa.array(wide, pa.list_(pa.int64())),
+                    *[pa.array(bits[:, i]) for i in range(BITS)],
                 ],
-                names=["doc_id", "n", "size", "tokens"],
+                names=["doc_id", "n", "tokens", "wide", *_bits()],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n int, size int, tokens array<long>")
+    ddl = "doc_id long, n int, tokens array<long>, wide array<long>, "
+    ddl += ", ".join(f"{b} long" for b in _bits())
+    return docs.mapInArrow(run, ddl)
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` restricted to ``ids``, which are broadcast if a count shows that they are few."""
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+def _bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
+    fallen = np.bincount((tokens % np.uint64(64 * words)).astype(np.int64), minlength=64 * words)
+    return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
+
+
+def _bits(prefix: str = "") -> list[str]:
+    return [f"{prefix}b{i}" for i in range(BITS)]
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, staging: Staging) -> DataFrame:
@@ -173,7 +189,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, stagi
             )
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staging.write(_texts(docs, ids), "texts")
+    texts = staging.write(by_ids(docs, ids, "left_semi"), "texts")
     joined = (
         pairs.select("a", "b")
         .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one")), "a")
@@ -183,8 +199,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, stagi
     return staging.write(joined.mapInArrow(run, "a long, b long"), "verified")
 
 
-def _similar_sizes(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _may_be_similar(a: str, b: str, percent: int) -> Column:
+    """False only where sizes or bitmaps rule it out; ``a`` and ``b`` prefix the columns' names."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum(
+        (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(_bits(a), _bits(b), strict=True)),
+        F.lit(0),
+    )
+    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return sizes & _little(apart, n, m, percent)
+
+
+def _little(apart: Column, n: Column, m: Column, percent: int) -> Column:
+    """|a xor b| = n + m - 2 |a and b| <= (n + m) (100 - percent) / (100 + percent)."""
+    return apart * (100 + percent) <= (n + m) * (100 - percent)
 
 
 def similar_documents(
@@ -207,6 +235,8 @@ def similar_documents(
 
     # equal sets are one class, known by its smallest document
     classes = staging.write(part.groupBy("print", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    copies = part.join(classes.select("print", "rep"), "print").where("doc_id <> rep")
+    copies = staging.write(copies.select("doc_id"), "copies")
     n_docs = part.count()
     common = (
         summaries.where("n < 0")
@@ -219,7 +249,7 @@ def similar_documents(
         .to_numpy(np.int64)
         .view(np.uint64)
     )
-    links = _links(docs, classes, np.sort(common), width, percent, frequent, staging)
+    links = _links(docs, copies, np.sort(common), width, percent, frequent, staging)
     found = graph.components(links, staging)
     named = classes.join(found, classes["rep"] == found["node"], "left").select(
         "print", F.coalesce("component", "rep").alias("component_id")
@@ -235,91 +265,123 @@ def similar_documents(
 
 def _links(
     docs: DataFrame,
-    classes: DataFrame,
+    copies: DataFrame,
     common: np.ndarray,
     width: int,
     percent: int,
     frequent: int,
     staging: Staging,
 ) -> DataFrame:
-    """Links ``(a, b)`` between representatives that have the components of all links."""
-    prefixes = _prefixes(docs.where("doc_id IS NOT NULL"), common, width, percent)
-    prefixes = prefixes.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    """Links ``(a, b)`` with the components of all links, of documents that aren't ``copies``."""
+    docs = docs.where("doc_id IS NOT NULL")
+    if copies.count() <= BROADCAST_IDS:
+        prefixes = _prefixes(docs.join(F.broadcast(copies), "doc_id", "left_anti"), common, width, percent)
+    else:  # a shuffle of prefixes is smaller than one of texts
+        prefixes = _prefixes(docs, common, width, percent).join(copies, "doc_id", "left_anti")
     prefixes = staging.write(prefixes, "prefixes")
-    rows = prefixes.select("doc_id", "n", "size", F.explode("tokens").alias("token"))
-    member = F.struct("n", "doc_id")
-    lists = (
-        rows.groupBy("token")
-        .agg(F.count("*").alias("docs"), F.min(member).alias("first"), F.max(member).alias("last"))
-        .where("docs > 1")
-    )
-    shared = staging.write(rows.join(lists, "token"), "shared")
-
-    # each document against the smallest and the largest set of its lists
-    hubs = shared.select(
-        "doc_id", "n", "size", F.explode(F.array("first", "last")).alias("hub")
-    ).select("doc_id", "n", "size", F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("m"))
-    tried = (
-        hubs.where((F.col("doc_id") != F.col("b")) & _similar_sizes("n", "m", percent))
-        .groupBy(F.col("doc_id").alias("a"), "b")
-        .agg(F.count("*").alias("met"), F.first("size").alias("size"))
-        .where(F.col("met") * 8 >= F.col("size"))
+    rows = prefixes.select("doc_id", "n", F.posexplode("tokens").alias("at", "token"))
+    ends = [F.min("doc_id").alias("first"), F.max("doc_id").alias("last")]
+    lists = rows.groupBy("token").agg(F.count("*").alias("docs"), *ends).where("docs > 1")
+    open_ = staging.write(rows.join(lists, "token"), "shared")
+
+    links = tried = None
+    for number in range(ROUNDS):
+        # each document against two members of its lists, other ones in each round
+        hubs = open_.select(F.col("doc_id").alias("a"), F.explode(F.array("first", "last")).alias("b"))
+        hubs = hubs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        hubs = _narrowed(hubs.distinct(), prefixes, percent, staging)
+        if tried is not None:
+            hubs = hubs.join(tried, ["a", "b"], "left_anti")
+        hubs = staging.write(hubs, "tried")
+        more = _verified(hubs, docs, width, percent, staging)
+        links = more if links is None else staging.write(links.union(more), "found")
+        tried = hubs if tried is None else tried.union(hubs)
+        found = graph.components(links, staging)
+        placed = open_.drop("component", "first", "last")
+        placed = placed.join(found, placed["doc_id"] == found["node"], "left")
+        placed = placed.drop("node").withColumn("component", F.coalesce("component", "doc_id"))
+        member = F.struct(F.xxhash64("doc_id", F.lit(number)).alias("h"), F.col("doc_id").alias("d"))
+        still = placed.groupBy("token").agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.min(member)["d"].alias("first"),
+            F.max(member)["d"].alias("last"),
+        )
+        still = still.where("low <> high").drop("low", "high")
+        open_ = staging.write(placed.join(still, "token"), "open")
+        # the list that a row is in, on the average of rows
+        length = open_.agg(F.avg("docs")).first()[0]
+        if not length or length <= frequent:
+            break
+    pairs = _pairs(open_.join(prefixes.select("doc_id", *_bits()), "doc_id"), percent, frequent)
+    pairs = staging.write(pairs.join(tried, ["a", "b"], "left_anti"), "met")
+    pairs = staging.write(_narrowed(pairs, prefixes, percent, staging), "pairs")
+    return links.union(_verified(pairs, docs, width, percent, staging))
+
+
+def _narrowed(pairs: DataFrame, sets: DataFrame, percent: int, staging: Staging) -> DataFrame:
+    """The pairs that sizes and bitmaps don't rule out, the wide ones only where they are needed."""
+
+    def with_sides(pairs: DataFrame, columns: list[str]) -> DataFrame:
+        for side in ("a", "b"):
+            own = [F.col(c).alias(f"{side}_{c}") for c in columns]
+            pairs = pairs.join(sets.select(F.col("doc_id").alias(side), *own), side)
+        return pairs
+
+    near = with_sides(pairs, ["n", *_bits()]).where(_may_be_similar("a_", "b_", percent))
+    near = staging.write(near.select("a", "b"), "near")
+    apart = F.aggregate(
+        F.zip_with("a_wide", "b_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, x: total + x,
     )
-    tried = staging.write(tried.select("a", "b"), "tried")
-    certain = _verified(tried, docs, width, percent, staging)
+    fits = apart.isNull() | _little(apart, F.col("a_n"), F.col("b_n"), percent)
+    return with_sides(near, ["n", "wide"]).where(fits).select("a", "b")
 
-    # lists that two components meet in are joined, singly or by pairs of tokens
-    found = graph.components(certain, staging)
-    placed = shared.join(found, shared["doc_id"] == found["node"], "left").select(
-        "token", "docs", "doc_id", "n", "size", F.coalesce("component", "doc_id").alias("component")
-    )
-    placed = staging.write(placed, "placed")
-    open_lists = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_lists = open_lists.where("low <> high").select("token")
-    left = staging.write(placed.join(open_lists, "token", "left_semi"), "left")
-    side = ["doc_id", "n", "size", "component"]
-    single = left.where(F.col("docs") <= frequent).select(F.col("token").alias("key"), *side)
+
+def _pairs(open_: DataFrame, percent: int, frequent: int) -> DataFrame:
+    """Pairs ``(a, b)`` across components that may be similar, from the lists of ``open_``.
+
+    With sizes n <= m, similar sets share at least s = percent / (100 + percent) (n + m) tokens.
+    So n lacks at most n - 2 percent / (100 + percent) n, and the first two tokens that they
+    share are among as many first tokens of it and two more.
+    """
+    n = F.col("n")
+    short = F.col("at") < n - F.ceil(2 * percent * n / (100 + percent)) + 2
+    side = ["doc_id", "n", "component", *_bits()]
+    single = open_.where(F.col("docs") <= frequent)
+    single = single.select(F.col("token").alias("key"), short.alias("short"), *side, "at")
+    one = F.struct("token", "at", short.alias("short"))
     doubled = (
-        left.where(F.col("docs") > frequent)
+        open_.where(F.col("docs") > frequent)
         .groupBy(*side)
-        .agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-        .select(*side, F.posexplode("tokens").alias("at", "one"), "tokens")
-        .select(*side, "one", F.explode(F.expr("slice(tokens, at + 2, size(tokens))")).alias("two"))
-        .select(F.struct("one", "two").alias("key"), *side)
-    )
-    pairs = _met(single, percent).withColumn("rare", F.lit(1)).unionByName(
-        _met(doubled, percent).withColumn("rare", F.lit(0))
-    )
-    # c rare tokens and k pairs of frequent ones: at most c + (1 + sqrt(1 + 8k)) / 2 in both prefixes
-    pairs = pairs.groupBy("a", "b").agg(
-        F.sum("rare").alias("c"),
-        F.sum(1 - F.col("rare")).alias("k"),
-        F.first("n").alias("n"),
-        F.first("m").alias("m"),
-        F.first("rest").alias("rest"),
+        .agg(F.sort_array(F.collect_list(one)).alias("tokens"))
+        .select(*side, F.posexplode("tokens").alias("place", "one"), "tokens")
+        .select(*side, "one", F.explode(F.expr("slice(tokens, place + 2, size(tokens))")).alias("two"))
+        .select(
+            F.struct("one.token", F.col("two.token").alias("other")).alias("key"),
+            F.expr("one.short AND two.short").alias("short"),
+            *side,
+            # the first two shared: the bound below then counts from the later one
+            F.greatest("one.at", "two.at").alias("at"),
+        )
     )
-    most = F.col("c") + F.ceil((1 + F.sqrt(1 + 8 * F.col("k"))) / 2) + F.col("rest")
-    needed = percent * (F.col("n") + F.col("m")) / (100 + percent)
-    pairs = pairs.where(most >= needed - 1e-6).select("a", "b")
-    pairs = staging.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    return certain.union(_verified(pairs, docs, width, percent, staging))
+    return _met(single, percent).union(_met(doubled, percent)).distinct()
 
 
 def _met(index: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents of different components in a list, smaller id first."""
-    a = index.select("key", *[F.col(c).alias(f"a_{c}") for c in index.columns if c != "key"])
-    b = index.select("key", *[F.col(c).alias(f"b_{c}") for c in index.columns if c != "key"])
+    """Pairs in a list, the smaller set by its short prefix, that may be similar."""
+    rest = [c for c in index.columns if c not in ("key", "short")]
+    a = index.where("short").select("key", *[F.col(c).alias(f"a_{c}") for c in rest])
+    b = index.select("key", *[F.col(c).alias(f"b_{c}") for c in rest])
+    most = 2 + F.least(F.expr("a_n - a_at - 1"), F.expr("b_n - b_at - 1"))
     return (
         a.join(b, "key")
-        .where("a_doc_id < b_doc_id AND a_component <> b_component")
-        .where(_similar_sizes("a_n", "b_n", percent))
+        .where("a_component <> b_component")
+        .where("a_n < b_n OR (a_n = b_n AND a_doc_id < b_doc_id)")
+        .where(most * (100 + percent) >= percent * F.expr("a_n + b_n"))
+        .where(_may_be_similar("a_", "b_", percent))
         .select(
-            F.col("a_doc_id").alias("a"),
-            F.col("b_doc_id").alias("b"),
-            F.col("a_n").alias("n"),
-            F.col("b_n").alias("m"),
-            F.greatest(F.expr("a_n - a_size"), F.expr("b_n - b_size")).alias("rest"),
+            F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b")
         )
     )
