@@ -47,9 +47,11 @@ def grams(word: str, length: int) -> list[str]:
 class Model:
     languages: list[str]
     prior: np.ndarray
-    #: By word or n-gram: a row of log frequencies, one per language.
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]
+    #: From words, and from n-grams of each length, to their rows of ``logs``.
+    words: dict[str, int]
+    grams: list[dict[str, int]]
+    #: Log frequencies, one column per language; the last row is for words without any match.
+    logs: np.ndarray
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], np.zeros(0), {}, [{} for _ in LENGTHS])
+        return Model([], np.zeros(0), {}, [{} for _ in LENGTHS], np.zeros((1, 0)))
     cells = 1 << 20
     cut = F.create_map(
         *[F.lit(x) for lang in languages for x in (lang, math.ceil(cells * min(1, sample / sizes[lang])))]
@@ -111,15 +113,14 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
         .toPandas()
     )
     counts = kept.iloc[:, 2:].to_numpy(float)
-    tables = []
+    tables, logs = [], np.zeros((len(kept) + 1, len(languages)))
     for kind in (0, *LENGTHS):
-        chosen = (kept["kind"] == kind).to_numpy()
+        chosen = np.flatnonzero(kept["kind"].to_numpy() == kind)
         n = counts[chosen]
-        total = n.sum(axis=0)
-        logs = np.log((n + 0.5) / (total + 0.5 * len(n) + 1))
-        tables.append(dict(zip(kept["token"][chosen], logs, strict=True)))
+        logs[chosen] = np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * len(n) + 1))
+        tables.append(dict(zip(kept["token"].iloc[chosen], chosen.tolist(), strict=True)))
     prior = np.array([sizes[x] for x in languages], float)
-    return Model(languages, np.log(prior / prior.sum()), tables[0], tables[1:])
+    return Model(languages, np.log(prior / prior.sum()), tables[0], tables[1:], logs)
 
 
 class Scorer:
@@ -130,18 +131,29 @@ class Scorer:
         self.rows = np.empty((REMEMBERED, len(model.languages)))
         self.at: dict[str, int] = {}
 
-    def _look_up(self, word: str) -> np.ndarray:
-        known = self.model.words.get(word)
-        if known is None:
-            for length, table in zip(LENGTHS, self.model.grams, strict=True):
-                parts = [table[g] for g in grams(word[:LONGEST], length) if g in table]
-                if parts:
-                    known = sum(parts) / len(parts)
+    def _look_up(self, words: list[str]) -> np.ndarray:
+        """A row of scores for each word, the best language of a word at 0."""
+        rows: list[int] = []
+        starts: list[int] = []
+        known, nothing = self.model.words.get, len(self.model.logs) - 1
+        backoff = [(n, table.get) for n, table in zip(LENGTHS, self.model.grams, strict=True)]
+        for word in words:
+            starts.append(len(rows))
+            row = known(word)
+            if row is not None:
+                rows.append(row)
+                continue
+            for length, get in backoff:
+                found = [r for g in grams(word[:LONGEST], length) if (r := get(g)) is not None]
+                if found:
+                    rows += found
                     break
             else:
-                return np.zeros(len(self.model.languages))
+                rows.append(nothing)
+        sums = np.add.reduceat(self.model.logs[rows], starts, axis=0)
+        means = sums / np.diff(starts, append=len(rows))[:, None]
         # no word decides alone
-        return np.maximum(known - known.max(), -8.0)
+        return np.maximum(means - means.max(axis=1, keepdims=True), -8.0)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
@@ -154,10 +166,11 @@ class Scorer:
             part = keys[start : start + REMEMBERED // 2]
             if len(self.at) + len(part) > REMEMBERED:
                 self.at.clear()
-            for word in part:
-                if word not in self.at:
-                    self.rows[len(self.at)] = self._look_up(word)
-                    self.at[word] = len(self.at)
+            fresh = [word for word in part if word not in self.at]
+            if fresh:
+                end = len(self.at) + len(fresh)
+                self.rows[len(self.at) : end] = self._look_up(fresh)
+                self.at.update(zip(fresh, range(len(self.at), end), strict=True))
             rows = np.fromiter(map(self.at.__getitem__, part), np.int64, len(part))
             total += np.array([counted[w] for w in part], float) @ self.rows[rows]
         # neighbouring words are not independent: evidence grows with the root of their number
