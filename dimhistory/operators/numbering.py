@@ -36,13 +36,15 @@ def dense_row_number(
     unique: bool = False,
     rows: int | None = None,
     nulls: bool = True,
+    verified: bool = False,
 ) -> DataFrame:
     """Add ``start + 1, start + 2, ...`` in the order of ``order_by``, nulls first.
 
     Up to ``ROWS_ALONE`` rows, if ``rows`` tells so, are numbered by one task in one go. Of more
     rows only the ordering columns are range-partitioned and sorted; the rest of a row is
     joined to its number by equality, which must heed nulls unless ``nulls`` rules them out.
-    With ``unique`` the order values identify a row, and repeated ones are an error. Otherwise rows get an id first, which also splits a
+    With ``unique`` the order values identify a row, and repeated ones are an error, which need
+    not be searched for when the caller has ``verified`` that there are none. Otherwise rows get an id first, which also splits a
     run of equal order values over many ranges. ``rows``, if known, sets the number of
     ranges.
 
@@ -50,7 +52,7 @@ def dense_row_number(
     the same ranges: sampling may place the bounds differently when a plan runs again.
     """
     if rows is not None and rows <= ROWS_ALONE:
-        if unique:
+        if unique and not verified:
             require_unique(df, order_by, "what is to be numbered")
         place = F.row_number().over(Window.orderBy(*[quoted(name) for name in order_by]))
         return df.withColumn(into, place.cast("bigint") + start)

@@ -88,16 +88,26 @@ def rows_opened(
     max_sk: int,
     staging: Staging,
     rows: int | None = None,
+    verified: bool = False,
 ) -> DataFrame:
     """Inserted rows and new versions, numbered together: inserts first, each in key order.
 
-    A key that would get two versions is an error.
+    A key that would get two versions is an error, unless the caller has ``verified`` that
+    there is none.
     """
     # the class goes into the order, not a second numbering with its own start
     place = F.when(F.col(ACTION) == INSERT, 0).otherwise(1)
     new = filter_action(changes, INSERT, UPDATE).withColumn(_CLASS, place)
     new = _side(new, NEW, _CLASS)
     new = dense_row_number(
-        new, [_CLASS, *spec.keys], spec.sk, staging, start=max_sk, unique=True, rows=rows, nulls=False
+        new,
+        [_CLASS, *spec.keys],
+        spec.sk,
+        staging,
+        start=max_sk,
+        unique=True,
+        rows=rows,
+        nulls=False,
+        verified=verified,
     )
     return open_versions(new.drop(_CLASS), spec, as_of)

@@ -148,7 +148,8 @@ def plan_merge(
     if held is not None:
         side = side.unionByName(held.withColumn(_HELD, F.lit(True)), allowMissingColumns=True)
     active, side = spread(active, spec.keys, rows), spread(side, spec.keys, rows)
-    side = _one_per_key(side, spec.keys, F.count_if(~F.col(_HELD)), F.col(_HELD))
+    first = [] if held is None else [F.col(_HELD)]
+    side = _one_per_key(side, spec.keys, F.count_if(~F.col(_HELD)), *first)
     if not known:
         active = _one_per_key(active, spec.keys, F.count(F.lit(1)))
     old = [quoted(c + OLD).alias(c) for c in history.columns]
@@ -189,7 +190,9 @@ def plan_merge(
     )
     opened = history.limit(0)
     if n_opened:
-        opened = rows_opened(delta, spec, as_of, before.max_sk, staging, n_opened).select(*names)
+        opened = rows_opened(
+            delta, spec, as_of, before.max_sk, staging, n_opened, verified=True
+        ).select(*names)
     return Merge(
         spec=spec,
         stays=compared.where(F.col(KIND) == STAY).select(*names),
@@ -250,9 +253,14 @@ def merge_with_rejects(
     """
     staging = staging or Staging(history.sparkSession)
     schema = spec.source_schema(history.schema)
-    accepted, rejected = accept_snapshot(snapshot, schema, spec, on_duplicate, order_by, staging)
+    # a source of the history's own types is read for what is needed, any other one parsed once
+    types = {f.name: f.dataType for f in snapshot.schema}
+    typed = all(types.get(f.name) == f.dataType for f in schema) and on_duplicate == "error"
+    accepted, rejected = accept_snapshot(
+        snapshot, schema, spec, on_duplicate, order_by, None if typed else staging
+    )
     n_rejected = rejected.count()
-    held = usable_keys(rejected, schema, spec.keys) if n_rejected else None
+    held = usable_keys(rejected, schema, spec.keys) if n_rejected and not typed else None
     merge = plan_merge(history, accepted, spec, as_of, staging, held=held)
     result = union_by_name(
         merge.stays, filter_inactive(history, spec), merge.closed, merge.opened
