@@ -28,7 +28,7 @@ REMEMBERED = 300_000
 REMEMBERED_CHARS = 48
 _NONE = 1 << 60
 
-Ranks = dict[tuple[bytes, bytes], int]
+Ranks = dict[tuple[bytes, bytes] | bytes, int]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -42,6 +42,12 @@ def to_bytes(token: str, alphabet: dict[str, int]) -> bytes:
     return bytes(alphabet[c] for c in token)
 
 
+def rank_table(pairs: dict[tuple[bytes, bytes], int], last: int = 1) -> Ranks:
+    """Ranks by pair, and of the pairs that a word starts with by their bytes as well."""
+    starts = {a + b: rank for (a, b), rank in pairs.items() if len(a) == 1 and len(b) in (1, last)}
+    return pairs | starts
+
+
 def split_word(word: bytes, ranks: Ranks, last: int = 1) -> list[bytes]:
     """The parts of ``word`` once no neighbours can merge; ``last`` bytes end it as one part."""
     size = len(word)
@@ -51,10 +57,9 @@ def split_word(word: bytes, ranks: Ranks, last: int = 1) -> list[bytes]:
         return _split_long(word, ranks, last)
     get = ranks.get
     cut = [*range(size - last + 1), size]
-    rank = [
-        get((word[cut[i] : cut[i + 1]], word[cut[i + 1] : cut[i + 2]]), _NONE)
-        for i in range(len(cut) - 2)
-    ]
+    rank = [get(word[i : i + 2], _NONE) for i in range(size - last)]
+    if last > 1 and rank:
+        rank[-1] = get(word[-last - 1 :], _NONE)
     while rank:
         low = min(rank)
         if low == _NONE:
@@ -106,17 +111,25 @@ SPACES = r"\t-\r \x85\xa0"
 
 
 class Remembered(dict):
-    """What words map to, worked out when first asked for; forgets all when full."""
+    """What words map to, worked out when first asked for.
+
+    When half full, the words become the old half, from which those that are asked for again
+    come back; the old half before them is forgotten.
+    """
 
     def __init__(self, work: Callable, fixed: dict | None = None):
         super().__init__(fixed or {})
         self.work = work
         self.fixed = fixed or {}
+        self.old: dict = {}
 
     def __missing__(self, word):
-        value = self.work(word)
+        value = self.old.get(word)
+        if value is None:
+            value = self.work(word)
         if len(word) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED + len(self.fixed):
+            if len(self) >= REMEMBERED // 2 + len(self.fixed):
+                self.old = dict(self)
                 self.clear()
                 self.update(self.fixed)
             self[word] = value
@@ -135,9 +148,9 @@ class ByteBpe:
         self.alphabet = alphabet
         self.ids = {to_bytes(t, alphabet): i for t, i in model["model"]["vocab"].items()}
         merges = [tuple(m.split(" ")) if isinstance(m, str) else m for m in model["model"]["merges"]]
-        self.ranks = {
-            (to_bytes(a, alphabet), to_bytes(b, alphabet)): rank for rank, (a, b) in enumerate(merges)
-        }
+        self.ranks = rank_table(
+            {(to_bytes(a, alphabet), to_bytes(b, alphabet)): n for n, (a, b) in enumerate(merges)}
+        )
         added = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.added = added
         self.specials = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None

@@ -19,6 +19,7 @@ from dimhistory.llm.bpe import (
     SPACES,
     Remembered,
     byte_alphabet,
+    rank_table,
     split_word,
     to_bytes,
 )
@@ -45,7 +46,7 @@ class WordBpe:
             return to_bytes(token.removesuffix(suffix), self.alphabet) + (_END if ends else b"")
 
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.ranks = {(part(a), part(b)): rank for rank, (a, b) in enumerate(merges)}
+        self.ranks = rank_table({(part(a), part(b)): n for n, (a, b) in enumerate(merges)}, last=2)
         self.ends = [t.removesuffix(suffix) for t in model["vocab"] if t.endswith(suffix)]
         added = sorted((t["content"] for t in whole["added_tokens"]), key=len, reverse=True)
         self.specials = re.compile("|".join(map(re.escape, added))) if added else None
