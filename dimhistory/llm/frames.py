@@ -19,8 +19,16 @@ from dimhistory import Staging
 _SHIPPED: set[str] = set()
 
 
+#: Rows of a batch between Spark and Python, where the session has Spark's own number. Texts
+#: are long, and several copies of a batch are in memory at once.
+BATCH_ROWS = 2_000
+
+
 def ship(spark: SparkSession) -> None:
     """Let Spark send this package to the Python workers, which may lack its folder."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

@@ -32,10 +32,12 @@ from dimhistory.llm.frames import BROADCAST_IDS, by_ids
 #: A token in more than this share of the documents comes last in the order. At most
 #: (mean tokens a document / share) tokens are, whatever the number of documents.
 COMMON_SHARE = 2e-4
+#: Tokens that a task counts at a time.
+COUNTED = 4_000_000
 #: A list of more documents than this belongs to the frequent class.
 FREQUENT = 48
 #: Words whose hash a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 #: 64-bit words of a set's bitmap, and of the wide one that sets of more tokens than ``SMALL``
 #: have as well. A bit says whether an odd number of tokens falls on it.
 BITS, WIDE, SMALL = 2, 64, 150
@@ -88,36 +90,56 @@ def _prefix_size(n: int, percent: int) -> int:
 
 
 def _summaries(docs: DataFrame, width: int) -> DataFrame:
-    """A row per document (n, fingerprint), and per batch one of tokens that it holds often."""
+    """A row per document (n, fingerprint), and rows of tokens that a task has met often."""
+
+    def often(tokens: np.ndarray, documents: int) -> pa.RecordBatch:
+        values, counts = _repeated(tokens, max(2, COMMON_SHARE * documents / 2))
+        lists = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (values.view(np.int64), counts)]
+        head = [pa.array([None], pa.int64()), pa.array([-1], pa.int32()), pa.array([b""], pa.binary())]
+        return pa.RecordBatch.from_arrays([*head, *lists], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(width)
+        seen: set[bytes] = set()
+        # one block of memory for the whole task, rather than many small ones
+        counted = np.empty(COUNTED, np.uint64)
+        held = 0
         for batch in batches:
-            sizes, prints, sets = [], [], []
+            sizes, prints = [], []
             for text in batch.column(1):
                 tokens = hasher(text.as_py())
                 sizes.append(len(tokens))
                 prints.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
-                sets.append(tokens)
-            distinct = [t for _, t in dict(zip(prints, sets, strict=True)).items()]
-            every = np.concatenate(distinct) if distinct else np.empty(0, np.uint64)
-            values, counts = np.unique(every, return_counts=True)
-            often = counts >= max(2, COMMON_SHARE * len(sizes) / 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([batch.column(0), pa.array([None], batch.column(0).type)]),
-                    pa.array([*sizes, -1], pa.int32()),
-                    pa.array([*prints, b""], pa.binary()),
-                    pa.array([None] * len(sizes) + [values[often].view(np.int64).tolist()], pa.list_(pa.int64())),
-                    pa.array([None] * len(sizes) + [counts[often].tolist()], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n", "print", "tokens", "counts"],
-            )
-
+                if prints[-1] in seen or len(tokens) > COUNTED:
+                    continue  # a copy, or a set that would be alone; no token repeats in a set
+                if held + len(tokens) > COUNTED:
+                    yield often(counted[:held], len(seen))
+                    seen, held = set(), 0
+                seen.add(prints[-1])
+                counted[held : held + len(tokens)] = tokens
+                held += len(tokens)
+            none = pa.nulls(len(sizes), pa.list_(pa.int64()))
+            columns = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, none, none], names=names)
+        if held:
+            yield often(counted[:held], len(seen))
+
+    names = ["doc_id", "n", "print", "tokens", "counts"]
     schema = "doc_id long, n int, print binary, tokens array<long>, counts array<long>"
     return docs.mapInArrow(run, schema)
 
 
+def _repeated(tokens: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The values that occur at least so often, twice or more. Sorts ``tokens`` in place."""
+    tokens.sort()
+    same = np.append(tokens[1:] == tokens[:-1], False)
+    before = np.append(False, same[:-1])
+    first, last = np.flatnonzero(same & ~before), np.flatnonzero(~same & before)
+    counts = last - first + 1
+    often = counts >= least
+    return tokens[first[often]], counts[often]
+
+
 def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
     """``(doc_id, n, tokens, wide, b0, b1, ...)``: prefix, one token longer than needed, bitmaps."""
     spread = docs.sparkSession.sparkContext.broadcast(common)
@@ -141,7 +163,7 @@ def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) ->
                 lengths.append(size)
                 found.append(tokens[:size].view(np.int64))
                 bitmaps.append(_bitmap(tokens, BITS))
-                wide.append(_bitmap(tokens, WIDE).tolist() if n > SMALL else None)
+                wide.append(_bitmap(tokens, WIDE) if n > SMALL else None)
             ends = np.cumsum([0, *lengths]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int64)
             bits = np.array(bitmaps, np.int64).reshape(len(ids), BITS)
