@@ -31,17 +31,26 @@ def boilerplate(
     text_col: str = "text",
     ratio: float = 0.1,
     least_pages: int = 5,
+    full_length: int | None = None,
 ) -> DataFrame:
     """``(host, key, pages, total)``: lines on more than ``ratio`` of a host's pages.
 
     Lines on fewer than ``least_pages`` distinct pages never count, blank lines neither. Rows
     without host form one host of their own; null and empty texts are no pages.
+
+    With ``full_length`` the share falls with a line's length, because a long passage hardly
+    comes back by chance: lines of up to so many characters, trimmed, need more than ``ratio``
+    of the pages, longer ones more than ``ratio * full_length / characters``. Without it, as in
+    the SQL of ``op9_line_dedup``, every line needs the same share.
     """
+
+    def key(line: Column) -> Column:
+        if full_length is None:
+            return _digest(_trimmed(line))
+        return F.struct(_digest(_trimmed(line)).alias("line"), F.length(_trimmed(line)).alias("length"))
+
     keys = F.array_distinct(
-        F.transform(
-            F.filter(F.split("text", "\n"), lambda line: _trimmed(line) != ""),
-            lambda line: _digest(_trimmed(line)),
-        )
+        F.transform(F.filter(F.split("text", "\n"), lambda line: _trimmed(line) != ""), key)
     )
     pages = (
         docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
@@ -59,10 +68,14 @@ def boilerplate(
     totals = pages.select("host", "page").distinct().groupBy("host")
     totals = totals.agg(F.count("*").alias("total"))
     same = counted["host"].eqNullSafe(totals["host"])
+    least, found = F.lit(ratio), F.col("key")
+    if full_length is not None:
+        least = least * F.least(F.lit(1.0), F.lit(full_length) / F.col("key.length"))
+        found = F.col("key.line").alias("key")
     return (
         counted.join(totals, same)
-        .where(F.col("pages") > ratio * F.col("total"))
-        .select(counted["host"], "key", "pages", "total")
+        .where(F.col("pages") > least * F.col("total"))
+        .select(counted["host"], found, "pages", "total")
     )
 
 
@@ -72,6 +85,7 @@ def drop_boilerplate(
     text_col: str = "text",
     ratio: float = 0.1,
     least_pages: int = 5,
+    full_length: int | None = None,
 ) -> DataFrame:
     """``docs`` with the boilerplate lines of its host taken from each text.
 
@@ -80,12 +94,14 @@ def drop_boilerplate(
     repeated rows stay; an empty table gives no rows. All other columns pass through; input
     columns named like the two added ones are replaced.
 
-    The boilerplate of a host holds at most (mean lines a page / ratio) lines, whatever the
-    number of its pages. The lines are written once and counted: up to ``BROADCAST_LINES`` are
+    ``ratio``, ``least_pages`` and ``full_length`` are those of :func:`boilerplate`. The
+    boilerplate of a host holds at most (mean lines a page / ratio) lines, and with
+    ``full_length`` at most (mean characters a page / (ratio * full_length)) longer ones,
+    whatever the number of its pages. The lines are written once and counted: up to ``BROADCAST_LINES`` are
     broadcast, more are joined by host, where adaptive execution splits a hot host.
     """
     spark = docs.sparkSession
-    found = boilerplate(docs, host_col, text_col, ratio, least_pages)
+    found = boilerplate(docs, host_col, text_col, ratio, least_pages, full_length)
     by_host = found.groupBy("host").agg(F.collect_list("key").alias("__keys"))
     by_host = Staging(spark).write(by_host.withColumnRenamed("host", "__host"), "boilerplate")
     lines = by_host.agg(F.sum(F.size("__keys"))).first()[0] or 0

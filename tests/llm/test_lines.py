@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from dimhistory.llm import lines
 from dimhistory.llm.oracles import OP9_LINE_DEDUP
@@ -14,6 +15,19 @@ def test_frequent_lines_of_a_host_go(frame):
     assert got[20]["text"] == own[0]  # fewer pages than the least
 
 
+def test_the_share_falls_with_the_length_of_a_line(frame):
+    passage = "a passage of many words that comes back on a few pages of its host " * 5
+    docs = frame([f"page {i}\nshort" + f"\n{passage}" * (i < 6) for i in range(100)])
+    docs = docs.union(frame([f"own {i}" + "\ntiny" * (i < 6) for i in range(100)], range(200, 300), source="b"))
+    assert lines.drop_boilerplate(docs).where(F.col("text").contains(passage.strip())).count() == 6
+    got = lines.drop_boilerplate(docs, full_length=32)
+    assert {r["text"] for r in got.where("source = 's'").collect()} == {f"page {i}" for i in range(100)}
+    assert got.where("source = 'b' AND n_dropped > 0").count() == 0  # six short lines are no boilerplate
+    # four pages of one host are below the least
+    few = frame([f"page {i}" + f"\n{passage}" * (i < 4) for i in range(100)])
+    assert lines.drop_boilerplate(few, full_length=32).where("n_dropped > 0").count() == 0
+
+
 def test_copies_count_once(frame):
     docs = frame(["article line\nsecond line"] * 30 + [f"other {i}" for i in range(30)])
     assert lines.drop_boilerplate(docs).where("n_dropped > 0").count() == 0
