@@ -28,6 +28,13 @@ def test_the_share_falls_with_the_length_of_a_line(frame):
     assert lines.drop_boilerplate(few, full_length=32).where("n_dropped > 0").count() == 0
 
 
+def test_small_hosts_are_cleaned_with_a_lower_floor(frame):
+    docs = frame([f"page {i}\nfoot" for i in range(2)])
+    assert lines.drop_boilerplate(docs).where("n_dropped > 0").count() == 0  # as README says
+    got = lines.drop_boilerplate(docs, least_pages=2)
+    assert sorted(r["text"] for r in got.collect()) == ["page 0", "page 1"]
+
+
 def test_copies_count_once(frame):
     docs = frame(["article line\nsecond line"] * 30 + [f"other {i}" for i in range(30)])
     assert lines.drop_boilerplate(docs).where("n_dropped > 0").count() == 0
