@@ -191,7 +191,9 @@ _PIECE = re.compile(
 def spelled_digits(tape: Tape) -> Tape:
     """Runs of at least four digits, some of them spelled, as digits.
 
-    Spelled digits next to each other join; a blank beside written digits stays one blank.
+    Spelled digits next to each other join; a blank beside written digits stays one blank. A
+    single spelled digit counts if a detector finds it in the rewritten run, and if it is not
+    just a word before or after something that is found without it.
     """
     if not _SPOKEN.search(tape.text):
         return tape
@@ -216,7 +218,7 @@ def _run(text: str, start: int) -> tuple[int, str | None]:
     out: list[str] = []
     kinds: list[str] = []
     ends: list[int] = []
-    times, gap, spoken, digits = 1, False, 0, 0
+    times, gap, spoken, digits, word = 1, False, 0, 0, 0
     for piece in _PIECE.finditer(text, start):
         kind, value = piece.lastgroup, piece[0]
         if kind == "word":
@@ -242,21 +244,29 @@ def _run(text: str, start: int) -> tuple[int, str | None]:
             break
         if gap and kinds and "mark" not in (kind, kinds[-1]) and not (kind == kinds[-1] == "spoken"):
             out.append(" ")
+        if kind == "spoken" and spoken == 1:
+            word = sum(map(len, out))
         out.append(new)
         kinds.append(kind)
         ends.append(piece.end())
         gap = False
     while kinds and kinds[-1] in ("mark", "plus"):
         kinds.pop(), ends.pop(), out.pop()
-    if not kinds or spoken < 2 or digits < 4:
+    if not kinds or not spoken or digits < 4:
         return start, None
-    return ends[-1], "".join(out)
+    new = "".join(out)
+    if spoken == 1:
+        found = any(a <= word < b for find in (ips, cards, phones) for a, b in find(new))
+        outside = "spoken" in (kinds[0], kinds[-1])
+        if not found or (outside and any(any(find(text[start : ends[-1]])) for find in (ips, cards, phones))):
+            return start, None
+    return ends[-1], new
 
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = rf"\s*{_OPEN}\s*(?:at|@|arroba|arobase)\s*{_CLOSE}\s*|\s+(?:at|arroba|arobase)\s+|\s*@\s*"
 _DOT = rf"\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*|\s+(?:dot|punkt|punto|point)\s+"
-_HINT = re.compile(rf"{_OPEN}\s*(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)\s*{_CLOSE}|\s(?:dot|punkt|punto|point)\s|\s@|@\s", re.I)
+_HINT = re.compile(rf"{_OPEN}\s*(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)\s*{_CLOSE}|\s(?:dot|punkt|punto|point)\s|\s@|@\s|\s(?:at|arroba|arobase)\s+[A-Za-z0-9-]++\.[A-Za-z]", re.I)
 _NAME = r"[A-Za-z0-9_%+-]"
 _DISGUISED = re.compile(
     rf"(?<![A-Za-z0-9._%+-]){_NAME}++(?:(?:{_DOT}|\.){_NAME}++)*+"
@@ -264,13 +274,17 @@ _DISGUISED = re.compile(
     re.I,
 )
 _DOT_RE = re.compile(_DOT, re.I)
+_UNLIKE_PROSE = re.compile(r"[._0-9]")
+_LAST_LABEL = re.compile(r"\.[A-Za-z]{2,}\Z")
 
 
 def at_and_dot(tape: Tape) -> Tape:
     """Addresses with words or brackets for @ and dot, as addresses.
 
-    A bare word for @ only counts if a dot of the host is disguised as well, because prose is
-    full of "at".
+    A written @ with a blank after it counts if the host's last label is of letters; without
+    that blank it may begin a person's handle. A bare word for @ only counts if a dot of the
+    host is disguised as well, or if the last label is of letters and the name has a dot, digit
+    or underscore, because prose is full of "at".
     """
     if not _HINT.search(tape.text):
         return tape
@@ -278,9 +292,14 @@ def at_and_dot(tape: Tape) -> Tape:
     for found in _DISGUISED.finditer(tape.text):
         sign = found["at"]
         dots = [*_DOT_RE.finditer(found["host"])]
-        # blanks around a written @ say nothing by themselves, nor does a bare "at"
         if not any(c in sign for c in "[({<") and not dots:
-            continue
+            if not _LAST_LABEL.search(found["host"]):
+                continue
+            if "@" in sign:
+                if "\n" in sign or not sign[-1].isspace():
+                    continue
+            elif not _UNLIKE_PROSE.search(tape.text, found.start(), found.start("at")):
+                continue
         base = found.start("host")
         changes += [
             (m.start() + found.start(), m.end() + found.start(), ".")

@@ -37,6 +37,39 @@ def plain(text):
     }
 
 
+@pytest.mark.parametrize(
+    "text,kind,span",
+    [
+        ("card 4111 1111 1111 111 one, please", "card", "4111 1111 1111 111 one"),
+        ("card four 111 1111 1111 1111", "card", "four 111 1111 1111 1111"),
+        ("ring +49 30 123 four 567", "phone", "+49 30 123 four 567"),
+        ("host 192.168.zero.1", "ip", "192.168.zero.1"),
+        ("mail john @ example.com", "email", "john @ example.com"),
+        ("mail john@ mail.example.com", "email", "john@ mail.example.com"),
+        ("mail john.doe at example.com", "email", "john.doe at example.com"),
+    ],
+)
+def test_light_disguises(text, kind, span):
+    base, added = pii.find(text)
+    assert not any(base.values())
+    assert [(k, text[a:b]) for k in pii.KINDS for a, b in added[k]] == [(kind, span)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "look at example.com, we met at noon.Then",
+        "thanks @john.smith",
+        "10 @ 3.50 and 5 @ 3.50each",
+        "ring +49 30 1234567 one of these days",
+        "4111 1111 1111 1111 one time",
+        "1234 5678 one 2345 678",
+    ],
+)
+def test_prose_beside_data_adds_nothing(text):
+    assert not any(pii.find(text)[1].values())
+
+
 @pytest.mark.parametrize("alphabet", ["ab@.-1 é", "012.5 -+()", "0.1", "4 -1+"])
 def test_base_spans_are_the_patterns(alphabet):
     rng = random.Random(alphabet)
