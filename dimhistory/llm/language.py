@@ -7,6 +7,7 @@ frequency. The scores of all words add up, and the best language wins.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -28,6 +29,8 @@ SAMPLE = 5_000
 #: Words and n-grams seen less often in the sample are left out.
 LEAST = 3
 REMEMBERED = 200_000
+#: Letters of a word that is remembered and learned as it is. Longer ones, such as sentences
+#: without blanks, are known by a digest, and their n-grams are taken one after the other.
 LONGEST = 64
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -43,6 +46,17 @@ def grams(word: str, length: int) -> list[str]:
     return [padded[i : i + length] for i in range(max(1, len(padded) - length + 1))]
 
 
+def long_grams(word: str, length: int) -> Iterator[str]:
+    """The same n-grams in constant memory."""
+    padded = f" {word} "
+    return (padded[i : i + length] for i in range(max(1, len(padded) - length + 1)))
+
+
+def long_key(word: str) -> str:
+    """What a word of more than ``LONGEST`` letters is known by; no word has a #."""
+    return "#" + hashlib.blake2b(word.encode(), digest_size=16).hexdigest()
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -57,32 +71,47 @@ class Model:
 def _counts(docs: DataFrame) -> DataFrame:
     """``(lang, kind, token, n)`` of a sample: kind 0 for words, else the length of n-grams.
 
-    Tasks add up their own words; n-grams come from the distinct words with their counts.
+    Tasks add up their own words; n-grams come from the distinct words with their counts, those
+    of words over ``LONGEST`` letters from the tasks.
     """
-    schema = arrow_schema("lang string, token string, n long")
+    ddl = "lang string, kind int, token string, n long"
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_lang: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 by_lang.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
-            rows = [(lang, w[:LONGEST], n) for lang, c in by_lang.items() for w, n in c.items()]
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
+            rows = []
+            for lang, counted in by_lang.items():
+                parts: Counter = Counter()
+                for word, n in counted.items():
+                    if len(word) <= LONGEST:
+                        rows.append((lang, 0, word, n))
+                        continue
+                    rows.append((lang, 0, long_key(word), n))
+                    for length in LENGTHS:
+                        for gram in long_grams(word, length):
+                            parts[length, gram] += n
+                rows += [(lang, length, gram, n) for (length, gram), n in parts.items()]
+            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    words = docs.select("lang", "text").mapInArrow(run, "lang string, token string, n long")
-    words = words.groupBy("lang", "token").agg(F.sum("n").alias("n"))
+    words = docs.select("lang", "text").mapInArrow(run, ddl)
+    words = words.groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
+    whole = (F.col("kind") > 0) | F.col("token").startswith("#")
+    kinds = F.when(whole, F.array("kind")).otherwise(F.array(*map(F.lit, (0, *LENGTHS))))
     padded = F.concat(F.lit(" "), "token", F.lit(" "))
-    cut = F.array(*map(F.lit, LENGTHS))
-    at = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("padded") - F.col("kind") + 1)))
-    parts = (
-        words.select("lang", padded.alias("padded"), "n", F.explode(cut).alias("kind"))
-        .select("lang", "kind", "padded", "n", at.alias("at"))
-        .select("lang", "kind", F.expr("substring(padded, at, kind)").alias("token"), "n")
+    last = F.greatest(F.lit(1), F.length("padded") - F.col("kind") + 1)
+    at = F.when(F.col("whole"), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), last))
+    every = (
+        words.select("lang", "token", "n", padded.alias("padded"), whole.alias("whole"), F.explode(kinds).alias("kind"))
+        .withColumn("whole", F.col("whole") | (F.col("kind") == 0))
+        .select("lang", "kind", "token", "n", "padded", F.explode(at).alias("at"))
+        .withColumn("token", F.expr("if(at = 0, token, substring(padded, at, kind))"))
     )
-    every = words.select("lang", F.lit(0).alias("kind"), "token", "n").union(parts)
     return every.groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
 
 
@@ -144,7 +173,7 @@ class Scorer:
                 rows.append(row)
                 continue
             for length, get in backoff:
-                found = [r for g in grams(word[:LONGEST], length) if (r := get(g)) is not None]
+                found = [r for g in grams(word, length) if (r := get(g)) is not None]
                 if found:
                     rows += found
                     break
@@ -155,13 +184,27 @@ class Scorer:
         # no word decides alone
         return np.maximum(means - means.max(axis=1, keepdims=True), -8.0)
 
+    def _long(self, word: str) -> np.ndarray:
+        """The row of a word of more than ``LONGEST`` letters, in memory bounded by the model."""
+        row = self.model.words.get(long_key(word))
+        found = Counter() if row is None else Counter([row])
+        for length, table in zip(LENGTHS, self.model.grams, strict=True):
+            if found:
+                break
+            found.update(r for g in long_grams(word, length) if (r := table.get(g)) is not None)
+        rows = [*found] or [len(self.model.logs) - 1]
+        mean = np.average(self.model.logs[rows], axis=0, weights=[*found.values()] or None)
+        return np.maximum(mean - mean.max(), -8.0)
+
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
         if not words or not self.model.languages:
             return UNKNOWN, 0.0
         counted = Counter(words)
         total = self.model.prior.copy()
-        keys = list(counted)
+        keys = [word for word in counted if len(word) <= LONGEST]
+        if len(keys) < len(counted):
+            total += sum(n * self._long(word) for word, n in counted.items() if len(word) > LONGEST)
         for start in range(0, len(keys), REMEMBERED // 2):
             part = keys[start : start + REMEMBERED // 2]
             if len(self.at) + len(part) > REMEMBERED:

@@ -29,6 +29,23 @@ def test_unseen_words_back_off(frame, spark):
     assert score("gehens")[0] == "de" and score("runned")[0] == "en"
 
 
+def test_long_words_are_read_whole(frame):
+    same = "ab" * 40
+    texts = ["schnell gehen", same + "schnell"] * 4 + ["quick running", same + "running"] * 4
+    docs = frame(texts, ids=range(0, 160, 10)).withColumn("lang", F.expr("if(doc_id < 80, 'de', 'en')"))
+    docs = docs.where(~held_out())
+    model = language.learn(docs)
+    score = language.Scorer(model)
+    assert score(same + "schnell")[0] == "de" and score(same + "running")[0] == "en"  # learned
+    assert score("schnell" * 10 + "running" * 60)[0] == "en"  # by n-grams, of which 70 letters are de
+    assert score("running" * 10 + "schnell" * 60)[0] == "de"
+    assert not any(len(word) > language.LONGEST for word in score.at)
+    # as many n-grams of a long word as of a short one are learned
+    counted = {(r["kind"], r["token"]): r["n"] for r in language._counts(docs).where("lang = 'de'").collect()}
+    assert counted[5, "ababa"] == 38 * counted[0, language.long_key(same + "schnell")]
+    assert counted[5, "nell "] == counted[0, "schnell"] + counted[0, language.long_key(same + "schnell")]
+
+
 def test_odd_documents(odd, spark):
     model = language.learn(odd)
     got = language.identify(odd, model).collect()
