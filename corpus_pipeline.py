@@ -1,13 +1,14 @@
 """Documents made ready for training: judged, cleaned, deduplicated, checked, encoded.
 
-Every stage takes all documents that the one before kept. Stages drop documents by doc_id; a row
-without one is never dropped.
+Every stage takes all documents that the one before kept. Quality and contamination are judged by
+row: by doc_id and text together, either of which may be null. Near duplicates go by doc_id, rows
+without one or with one that other texts have too by a number of their own.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimhistory import Staging
@@ -15,13 +16,26 @@ from dimhistory.llm import bpe, contamination, jaccard, lines, quality
 from dimhistory.llm.frames import by_ids, read_table
 
 
+#: The column that names a row within a stage.
+ROW = "__row"
+#: Numbers that rows get in place of a doc_id begin here, beyond the ids of documents.
+LATE = 1 << 62
+
+
+def row_key() -> Column:
+    """64 bits of doc_id and text, null-safe. A verdict on one row meets another with 2^-64."""
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass the base rules and the learned list.
 
-    A null or empty text fails the base rules. Repeated rows share a verdict.
+    A null or empty text fails the base rules. Repeated rows share a verdict; rows that share
+    only the id, or have none, get their own.
     """
-    judged = quality.judge(docs, read_table(spark, sf_dir, "labels"))
-    return by_ids(docs, judged.where(~F.col("kept")), "left_anti")
+    keyed = docs.withColumn(ROW, row_key())
+    judged = quality.judge(keyed, read_table(spark, sf_dir, "labels"), id_col=ROW)
+    return by_ids(keyed, judged.where(~F.col("kept")), "left_anti", ROW).drop(ROW)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,23 +47,34 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked ones, once.
 
-    Documents without words link with nothing and stay.
+    Documents without words link with nothing and stay. Rows that repeat id and text are copies.
+    A row without id, or whose id stands with another text as well, comes after all others.
     """
-    found = jaccard.similar_documents(docs)
-    kept = by_ids(docs, found.where(F.col("component_id") != F.col("doc_id")), "left_anti")
-    # rows that repeat an id are copies of one document
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-    again = Staging(spark).write(again, "again")
+    staging = Staging(spark)
+    own = F.lit(LATE) + row_key().bitwiseAND(F.lit(LATE - 1))
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", row_key().alias("key"))
+    shared = texts.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b"))
+    shared = staging.write(shared.where("a <> b").select("doc_id"), "shared")
+    keyed = docs.withColumn(ROW, F.coalesce(F.col("doc_id").cast("long"), own))
+    if not shared.isEmpty():
+        clashing = by_ids(docs, shared, "left_semi").withColumn(ROW, own)
+        keyed = by_ids(keyed, shared, "left_anti").unionByName(clashing)
+    found = jaccard.similar_documents(keyed.select(F.col(ROW).alias("doc_id"), "text"))
+    copies = found.where(F.col("component_id") != F.col("doc_id"))
+    kept = by_ids(keyed, copies.select(F.col("doc_id").alias(ROW)), "left_anti", ROW)
+    again = staging.write(kept.groupBy(ROW).agg(F.count("*").alias("n")).where("n > 1"), "again")
     if again.isEmpty():
-        return kept
-    once = by_ids(kept, again, "left_semi").dropDuplicates(["doc_id"])
-    return by_ids(kept, again, "left_anti").unionByName(once)
+        return kept.drop(ROW)
+    once = by_ids(kept, again, "left_semi", ROW).dropDuplicates([ROW])
+    return by_ids(kept, again, "left_anti", ROW).unionByName(once).drop(ROW)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that benchmark phrases don't make up a twentieth of."""
-    found = contamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return by_ids(docs, found.where("contaminated"), "left_anti")
+    keyed = docs.withColumn(ROW, row_key())
+    rows = keyed.select(F.col(ROW).alias("doc_id"), "text")
+    found = contamination.contamination(rows, read_table(spark, sf_dir, "benchmark")).where("contaminated")
+    return by_ids(keyed, found.select(F.col("doc_id").alias(ROW)), "left_anti", ROW).drop(ROW)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

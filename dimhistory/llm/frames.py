@@ -56,14 +56,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 BROADCAST_IDS = 1_000_000
 
 
-def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join of ``docs`` with the doc_ids of ``ids``, written once and counted.
+def by_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+    """Semi or anti join of ``docs`` with the values of ``key`` in ``ids``, written once and counted.
 
     Up to ``BROADCAST_IDS`` ids are broadcast, which spares the texts a shuffle.
     """
-    ids = Staging(docs.sparkSession).write(ids.select("doc_id").distinct(), "ids")
+    ids = Staging(docs.sparkSession).write(ids.select(key).distinct(), "ids")
     few = ids.count() <= BROADCAST_IDS
-    joined = docs.join(F.broadcast(ids) if few else ids, "doc_id", how)
+    joined = docs.join(F.broadcast(ids) if few else ids, key, how)
     return joined.select(*docs.columns)
 
 

@@ -276,15 +276,15 @@ def fit(
     return learn_rules(x, rows["low"].to_numpy(bool), rows["apart"].to_numpy(bool))
 
 
-def judge(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
-    """Counts, ``base_failed`` and ``kept`` of each row of ``docs`` (doc_id, text).
+def judge(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id") -> DataFrame:
+    """Counts, ``base_failed`` and ``kept`` of each row of ``docs`` (doc_id, text), by ``id_col``.
 
     Null and empty texts have no words and fail the base rules; repeated rows get the same
     verdict; an empty table gives no rows; other columns are not read.
     """
     rules = fit(docs, labels, sample)
     return (
-        with_counts(docs)
+        with_counts(docs, id_col)
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & kept_expression(rules))
     )

@@ -72,6 +72,22 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf_dir, odd):
     assert dedup.where("doc_id IS NULL").count() == 1
 
 
+def test_verdicts_go_by_row(spark, sf_dir, frame):
+    stages = dict(corpus_pipeline.STAGES)
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    good = " ".join(f"word{i}" for i in range(60))
+    # an id with two texts, and rows without id: the bad text goes, the good one stays
+    for name, bad in (("quality_rules", "few words"), ("decontamination", item)):
+        out = stages[name](spark, frame([good, bad, good + " x", bad], ids=[1, 1, None, None]), sf_dir)
+        assert sorted(r["text"] for r in out.collect()) == [good, good + " x"]
+    other = " ".join(f"other{i}" for i in range(60))
+    docs = frame([good, other, other, good + " y", None, ""], ids=[1, 1, None, None, None, 7])
+    out = stages["ngram_jaccard"](spark, docs.union(frame([good], ids=[2])), sf_dir).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out if r["text"] and r["text"].startswith("word"))) == [(2, good)]
+    assert sum(r["text"] == other for r in out) == 1
+    assert sum(not r["text"] for r in out) == 2
+
+
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     for n in range(1, 11):
