@@ -275,7 +275,8 @@ def _calibrate(z: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE) -> Classifier:
     """A classifier from about ``sample`` rows that are not held out, labelled ones if there are.
 
-    Several labels of an id count by their mean. Without labels nothing is mined, and written
+    Several labels of an id count by their mean, and of several rows with a labelled id the first
+    text counts. Without labels nothing is mined, and written
     lexicon, patterns and label model stand alone.
     """
     known = (
@@ -288,9 +289,14 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample:
         chosen = sampled(known, "doc_id", sample, total)
         # bounded by ``sample`` rows of two narrow columns
         rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        # one row of an id, the same one each time the rows are read
+        rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     else:
-        rows = docs.where(~held_out()).select("doc_id", "text")
-        rows = sampled(rows, "doc_id", sample, rows.count()).withColumn("label", F.lit(None).cast("boolean"))
+        # rows without id are told apart by their text
+        key = F.coalesce(F.col("doc_id").cast("string"), F.sha2(F.col("text").cast("binary"), 256))
+        rows = docs.where(~held_out()).select(key.alias("doc_id"), "text")
+        rows = sampled(rows, "doc_id", sample, rows.count()).groupBy("doc_id").agg(F.min("text").alias("text"))
+        rows = rows.withColumn("label", F.lit(None).cast("boolean"))
     tokens = _mined(rows) if total else []
     model = Classifier({t: i + len(PATTERNS) for i, t in enumerate(tokens)})
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -62,3 +62,13 @@ def test_without_labels_the_lexicon_speaks(frame, spark):
     model = toxicity.learn(docs, spark.createDataFrame([], LABELS))
     rows = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
     assert min(rows[i] for i in range(12)) > max(rows[i] for i in range(12, 92))
+
+
+def test_rows_that_repeat_an_id_count_once(frame, spark, monkeypatch):
+    texts = [f"a quiet walk by the river {i}" for i in range(20)]
+    docs = frame(texts).union(frame([texts[0]] * 50, ids=[0] * 50))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], LABELS)
+    seen = []
+    monkeypatch.setattr(toxicity, "_mined", lambda rows: seen.append(rows.groupBy("doc_id").count().collect()) or [])
+    toxicity.learn(docs, labels)
+    assert seen[0] and all(r["count"] == 1 for r in seen[0])
