@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimhistory.llm import bpe, contamination, jaccard, language, lines, pages, pii, quality, tokens, toxicity
+from dimhistory.llm import (
+    bpe,
+    centroids,
+    contamination,
+    jaccard,
+    language,
+    lines,
+    pages,
+    pii,
+    quality,
+    resampling,
+    tokens,
+    topk,
+    toxicity,
+)
 from dimhistory.llm.frames import held_out, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +103,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.best_products(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return resampling.resample(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_pii": op2_pii,
@@ -100,4 +127,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
+    "op11_centroids": op11_centroids,
+    "op12_topk": op12_topk,
+    "op13_resampling": op13_resampling,
 }
