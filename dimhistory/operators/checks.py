@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimhistory.functions import project, quoted
 from dimhistory.operators.changes import filter_active, filter_inactive
-from dimhistory.operators.screening import duplicate_keys
+from dimhistory.operators.screening import broken_rows, duplicate_keys
 from dimhistory.spec import HistorySpec
 
 
@@ -21,6 +21,21 @@ def _difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.exceptAll(right).unionByName(right.exceptAll(left))
 
 
+def overlaps(history: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Versions that start before an earlier version of their key ends.
+
+    Intervals are half open, so a version may start where another ends, and an empty interval
+    overlaps nothing. Rows without a start, an end or a key are left to the other checks.
+    """
+    start, end = quoted(spec.effective), quoted(spec.expiration)
+    by = [quoted(k) for k in spec.keys]
+    whole = history.where(start < end).dropna(subset=list(spec.keys))
+    earlier = Window.partitionBy(*by).orderBy(start, end, quoted(spec.sk))
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    ends = whole.withColumn("__last_end", F.max(end).over(earlier))
+    return ends.where(start < F.col("__last_end")).drop("__last_end")
+
+
 def violations(
     before: DataFrame, after: DataFrame, accepted: DataFrame, spec: HistorySpec, as_of: dt.date
 ) -> DataFrame:
@@ -63,12 +78,18 @@ def violations(
             project(before, [spec.sk]).join(project(after, [spec.sk]), spec.sk, "left_anti"),
             "no row is lost",
         ),
-        _count(new.where(start != F.lit(as_of)), "new rows start at the processing date"),
+        _count(
+            new.where(~start.eqNullSafe(F.lit(as_of))), "new rows start at the processing date"
+        ),
+        _count(overlaps(after, spec), "versions of a key do not overlap"),
     ]
+    broken = broken_rows(spec)
     by_row = {
-        "no null surrogate key or flag": sk.isNull() | flag.isNull(),
-        "intervals do not end before they start": start > end,
-        "active intervals are open": flag & (end != F.lit(spec.end_date)),
+        "no null surrogate key or flag": broken["null surrogate key"] | broken["null flag"],
+        "no null date": broken["null effective date"] | broken["null expiration date"],
+        "intervals do not end before they start": broken["end before start"],
+        "active intervals are open": flag & ~end.eqNullSafe(F.lit(spec.end_date)),
+        "closed intervals end": broken["open end of a closed row"],
     }
     found = [
         F.struct(F.lit(check).alias("check"), F.count_if(bad).alias("violations"))

@@ -3,25 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import accumulate
-from operator import and_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimhistory.errors import DuplicateKeys
-from dimhistory.functions import append_suffix, quoted
-from dimhistory.operators.partitioning import spread
-from dimhistory.operators.screening import require_unique
+from dimhistory.functions import quoted
 from dimhistory.sources.staging import Staging
 
-_NUMBER = "__number"
-_ROW, _COPIES, _POSITION, _RANGE, _OFFSET = "__row", "__copies", "__position", "__range", "__offset"
-# Order values that one task sorts; a range holds these columns only.
+_TIE, _TASK, _COPIES = "__tie", "__task", "__copies"
+_POSITION, _RANGE, _OFFSET = "__position", "__range", "__offset"
+# Rows that one task sorts.
 ROWS_PER_RANGE = 1_000_000
-# Whole rows that one task numbers; the same numbers as any other way gives.
+# Rows that one task numbers alone; the same numbers as any other way gives.
 ROWS_ALONE = 100_000
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it
 _ROW_BITS = 33
@@ -35,82 +32,81 @@ def dense_row_number(
     start: int = 0,
     unique: bool = False,
     rows: int | None = None,
-    nulls: bool = True,
     verified: bool = False,
 ) -> DataFrame:
     """Add ``start + 1, start + 2, ...`` in the order of ``order_by``, nulls first.
 
-    Up to ``ROWS_ALONE`` rows, if ``rows`` tells so, are numbered by one task in one go. Of more
-    rows only the ordering columns are range-partitioned and sorted; the rest of a row is
-    joined to its number by equality, which must heed nulls unless ``nulls`` rules them out.
-    With ``unique`` the order values identify a row, and repeated ones are an error, which need
-    not be searched for when the caller has ``verified`` that there are none. Otherwise rows get an id first, which also splits a
-    run of equal order values over many ranges. ``rows``, if known, sets the number of
-    ranges.
+    Up to ``ROWS_ALONE`` rows, if ``rows`` tells so, are numbered by one task in one go. More
+    rows are range-partitioned, sorted and written once, whole, with their place in their range;
+    the rows of the ranges before are added when they are read. Nothing is joined but one number
+    per range. ``rows``, if known, sets the number of ranges.
 
-    The sorted positions are staged before they are counted, so that both passes see
-    the same ranges: sampling may place the bounds differently when a plan runs again.
+    With ``unique`` the order values identify a row, and repeated ones are an error, which need
+    not be searched for when the caller has ``verified`` that there are none. Otherwise rows that
+    tie are told apart by a hash of all their columns, and rows alike in all of them by the task
+    that read them, so that a run of equal order values spreads over many ranges.
     """
+    by = [quoted(name) for name in order_by]
     if rows is not None and rows <= ROWS_ALONE:
-        if unique and not verified:
-            require_unique(df, order_by, "what is to be numbered")
-        place = F.row_number().over(Window.orderBy(*[quoted(name) for name in order_by]))
-        return df.withColumn(into, place.cast("bigint") + start)
-    if unique:
-        match = list(order_by)
-        positions = _positions(df, match, staging, rows)
-    else:
-        df = staging.write(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
-        match = [_ROW]
-        positions = _positions(df, [*order_by, _ROW], staging, rows)
-    in_range = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    numbers = (
-        positions.join(F.broadcast(_offsets(positions, order_by, start)), _RANGE)
-        .withColumn(into, F.col(_OFFSET) + in_range + 1)
-        .select(*[quoted(name) for name in match], into)
+        place = F.row_number().over(Window.orderBy(*by)).cast("bigint") + start
+        numbered = df.withColumn(into, place)
+        if not unique or verified:
+            return numbered
+        copies = F.count(F.lit(1)).over(Window.partitionBy(*by))
+        numbered, seen = staging.observed(
+            numbered.withColumn(_COPIES, copies), "numbered", {"copies": F.max(_COPIES)}
+        )
+        _require_single(numbered, seen["copies"], order_by)
+        return numbered.drop(_COPIES)
+    sort = by
+    if not unique:
+        df = df.withColumn(_TIE, _row_hash(df)).withColumn(_TASK, F.spark_partition_id())
+        sort = [*by, F.col(_TIE), F.col(_TASK)]
+    ranges = [] if rows is None else [rows // ROWS_PER_RANGE + 2]
+    ordered = df.repartitionByRange(*ranges, *sort).sortWithinPartitions(*sort).drop(_TIE, _TASK)
+    copies = F.lit(1)
+    if unique and not verified:
+        # copies meet in one range and follow each other: no other exchange, no other sort
+        copies = F.count(F.lit(1)).over(Window.partitionBy(*by))
+    placed, seen = staging.observed(
+        ordered.withColumn(_COPIES, copies).withColumn(_POSITION, F.monotonically_increasing_id()),
+        "positions",
+        {"copies": F.max(_COPIES), "last": F.max(F.shiftright(_POSITION, _ROW_BITS))},
     )
-    left, right = spread(df, match, rows), spread(numbers, match, rows)
-    if unique and nulls:
-        right = append_suffix(right, _NUMBER)
-        same = reduce(and_, [quoted(c).eqNullSafe(quoted(c + _NUMBER)) for c in match])
-        joined = left.join(right, same).withColumnRenamed(into + _NUMBER, into)
+    _require_single(placed, seen["copies"], order_by)
+    placed = placed.drop(_COPIES).withColumn(_RANGE, F.shiftright(_POSITION, _ROW_BITS))
+    in_range = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    if seen["last"]:
+        placed = placed.join(F.broadcast(_offsets(placed, start)), _RANGE)
     else:
-        joined = left.join(right, match)
-    return joined.select(*[quoted(name) for name in df.columns if name != _ROW], into)
+        placed = placed.withColumn(_OFFSET, F.lit(start).cast("bigint"))
+    numbered = placed.withColumn(into, F.col(_OFFSET) + in_range + 1)
+    return numbered.drop(_RANGE, _OFFSET, _POSITION)
 
 
-def _positions(
-    df: DataFrame, identity: Sequence[str], staging: Staging, rows: int | None
-) -> DataFrame:
-    """Identities with their range, their place in it and their number of copies.
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed; a map cannot."""
+    return F.xxhash64(*[quoted(f.name) for f in df.schema if not _holds_map(f.dataType)], F.lit(0))
 
-    Copies of an identity meet in one range and follow each other, so counting them
-    reuses the partitioning and the sort order: the plan has one exchange and one sort.
-    """
-    by = [quoted(name) for name in identity]
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    ranges = [] if rows is None else [rows // ROWS_PER_RANGE + 2]
-    return staging.write(
-        df.select(*by)
-        .repartitionByRange(*ranges, *by)
-        .sortWithinPartitions(*by)
-        .withColumn(_COPIES, copies)
-        .withColumn(_POSITION, F.monotonically_increasing_id()),
-        "positions",
-    ).withColumn(_RANGE, F.shiftright(_POSITION, _ROW_BITS))
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType | T.VariantType)
 
-def _offsets(positions: DataFrame, order_by: Sequence[str], start: int) -> DataFrame:
-    """Rows before each range. One row per shuffle partition, however many rows there are."""
-    ranges = (
-        positions.groupBy(_RANGE)
-        .agg(F.count(F.lit(1)).alias("n"), F.max(_COPIES).alias("copies"))
-        .collect()
-    )
-    if any(r["copies"] > 1 for r in ranges):
-        repeated = positions.where(F.col(_COPIES) > 1).select(*[quoted(c) for c in order_by])
+
+def _require_single(rows: DataFrame, copies: int | None, order_by: Sequence[str]) -> None:
+    if (copies or 0) > 1:
+        repeated = rows.where(F.col(_COPIES) > 1).select(*[quoted(c) for c in order_by])
         examples = [tuple(row) for row in repeated.limit(5).collect()]
         raise DuplicateKeys(f"repeated values of {list(order_by)}, among them {examples}")
+
+
+def _offsets(placed: DataFrame, start: int) -> DataFrame:
+    """Rows before each range. One row per shuffle partition, however many rows there are."""
+    ranges = placed.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
     ranges.sort(key=lambda r: r[_RANGE])
     before = list(accumulate((r["n"] for r in ranges), initial=start))[:-1]
     table = pa.table(
@@ -119,7 +115,7 @@ def _offsets(positions: DataFrame, order_by: Sequence[str], start: int) -> DataF
             _OFFSET: pa.array(before, pa.int64()),
         }
     )
-    return positions.sparkSession.createDataFrame(table)
+    return placed.sparkSession.createDataFrame(table)
 
 
 def assign_surrogate_keys(
@@ -129,15 +125,13 @@ def assign_surrogate_keys(
     staging: Staging,
     start: int = 0,
     rows: int | None = None,
-    nulls: bool = True,
 ) -> DataFrame:
     """Number rows of unique ``keys`` from ``start + 1`` in key order, a null key first.
 
-    ``df`` is read more than once: stage it if that is dear.
+    Unless ``rows`` tells that they are few, ``df`` is read twice, the first time for samples of
+    its keys: stage it if that is dear.
     """
-    return dense_row_number(
-        df, keys, sk, staging, start=start, unique=True, rows=rows, nulls=nulls
-    )
+    return dense_row_number(df, keys, sk, staging, start=start, unique=True, rows=rows)
 
 
 def max_surrogate_key(history: DataFrame, sk: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimhistory.errors import CorruptHistory, DuplicateKeys, SchemaMismatch
+from dimhistory.errors import CorruptHistory, DuplicateKeys, HistoryError, SchemaMismatch
 from dimhistory.functions import quoted
 from dimhistory.sources.staging import Staging
 from dimhistory.spec import HistorySpec
@@ -39,27 +39,44 @@ def screen_snapshot(
     )
 
 
+@dataclass(frozen=True)
+class Screened:
+    """A snapshot that was read once, and the rows of its two parts."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    n_accepted: int
+    n_rejected: int
+
+
 def screen_once(
     snapshot: DataFrame, schema: T.StructType, keys: Sequence[str], staging: Staging
-) -> tuple[DataFrame, DataFrame]:
+) -> Screened:
     """``screen_snapshot`` for a source that is read once: the rows are staged with their verdict.
 
-    Rejected rows keep their values in a column that is null for all others.
+    Rejected rows keep their values in a column that is null for all others. Both parts are
+    counted by the tasks that write them.
     """
     reason, converted = _screen(snapshot, schema, keys)
     as_it_came = F.struct(*[quoted(c) for c in snapshot.columns])
-    rows = staging.write(
+    rows, n = staging.observed(
         snapshot.select(
             reason.alias(_WHY), F.when(reason.isNotNull(), as_it_came).alias(_CAME), *converted
         ),
         "screened",
+        {
+            "accepted": F.count_if(F.col(_WHY).isNull()),
+            "rejected": F.count_if(F.col(_WHY).isNotNull()),
+        },
     )
     rejected = rows.where(F.col(_WHY).isNotNull())
-    return (
+    return Screened(
         rows.where(F.col(_WHY).isNull()).select(*[quoted(f.name) for f in schema.fields]),
         rejected.select(
             *[F.col(_CAME).getField(c).alias(c) for c in snapshot.columns], F.col(_WHY).alias(REASON)
         ),
+        n["accepted"],
+        n["rejected"],
     )
 
 
@@ -97,23 +114,80 @@ def _screen(
 
 
 def _convert(column: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
-    """The converted value, and whether nothing was lost by the conversion."""
+    """The converted value, and whether nothing was lost by the conversion.
+
+    Texts must say the same as the text of the value they became; other values must come back
+    from the value they became. Types that no rule covers only have to convert.
+    """
     if source == target:
         return column, F.lit(True)
     value = column.try_cast(target)
     kept = value.isNotNull()
-    plain = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
     if isinstance(source, plain) and isinstance(target, plain):
+        # compared in one type, so nothing is rounded by the comparison
         kept = kept & value.try_cast(source).eqNullSafe(column)
-    elif isinstance(source, T.StringType) and isinstance(target, T.DecimalType):
-        exact = column.try_cast(T.DecimalType(38, 18))
-        kept = kept & (exact.isNull() | (exact == value))
+    elif isinstance(source, T.StringType) and isinstance(target, T.NumericType):
+        kept = kept & _same_number(column, value, target)
     elif isinstance(source, T.StringType) and isinstance(target, T.DateType):
-        exact = column.try_cast(T.TimestampNTZType())
-        kept = kept & (exact.isNull() | (exact == value.cast(T.TimestampNTZType())))
+        kept = kept & _wall_clock(column).eqNullSafe(value.cast(T.TimestampNTZType())) & ~_has_zone(column)
+    elif isinstance(source, T.StringType) and isinstance(target, T.TimestampType | T.TimestampNTZType):
+        kept = kept & _wall_clock(column).eqNullSafe(value.cast(T.TimestampNTZType())) & ~_has_nanos(column)
+        if isinstance(target, T.TimestampNTZType):
+            kept = kept & ~_has_zone(column)
     return value, F.coalesce(kept, F.lit(False))
 
 
+_NUMBER = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,9}))?\s*$"
+
+
+def _written_number(text: Column) -> Column:
+    """Sign, digits without zeros at their ends, and the power of ten of the last digit.
+
+    Texts of equal numbers give equal results, whatever their length: ``1.50``, ``+1.5`` and
+    ``15e-1`` do. Null for what is no number in digits.
+    """
+    sign, whole, part, power = (F.regexp_extract(text, _NUMBER, i) for i in (1, 2, 3, 4))
+    digits = F.ltrim(F.concat(whole, part), F.lit("0"))
+    bare = F.rtrim(digits, F.lit("0"))
+    shift = F.coalesce(power.try_cast("int"), F.lit(0)) - F.length(part)
+    zero = F.struct(F.lit("").alias("sign"), F.lit("0").alias("digits"), F.lit(0).alias("power"))
+    number = F.struct(
+        F.when(sign == "-", "-").otherwise("").alias("sign"),
+        bare.alias("digits"),
+        (shift + F.length(digits) - F.length(bare)).alias("power"),
+    )
+    in_digits = text.rlike(_NUMBER) & text.rlike("[0-9]")
+    return F.when(in_digits, F.when(bare == "", zero).otherwise(number))
+
+
+def _same_number(text: Column, value: Column, target: T.DataType) -> Column:
+    """Whether a text and the number it became are written alike, up to zeros and notation."""
+    same = _written_number(text) == _written_number(value.cast("string"))
+    if isinstance(target, T.FloatType | T.DoubleType):
+        # words such as NaN and Infinity are no digits, a number that became infinite is
+        word = F.isnan(value) | (F.abs(value) == float("inf"))
+        return F.when(_written_number(text).isNull(), word).otherwise(same)
+    return same
+
+
+_CLOCK = r"^\s*([+-]?\d+(?:-\d{1,2}(?:-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)?)?)?)"
+
+
+def _wall_clock(text: Column) -> Column:
+    """Date and time as a text gives them, without regard to a zone behind them."""
+    return F.regexp_extract(text, _CLOCK, 1).try_cast(T.TimestampNTZType())
+
+
+def _has_zone(text: Column) -> Column:
+    return F.btrim(F.regexp_replace(text, _CLOCK, "")) != ""
+
+
+def _has_nanos(text: Column) -> Column:
+    """Whether a time says more than microseconds."""
+    return text.rlike(r"\.\d{6}\d*[1-9]")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """Keep the row with the largest ``order_by`` of each key.
 
@@ -157,32 +231,66 @@ class Profile:
     max_sk: int = 0
     last_start: dt.date | None = None
     closed_rows: int = 0
+    last_end: dt.date | None = None
 
+    def require_not_before(self, as_of: dt.date) -> None:
+        """Refuse a load that would start versions before others start or end.
+
+        A closed version that ends later than ``as_of`` would overlap a new one of its key.
+        """
+        if self.last_start is not None and as_of < self.last_start:
+            raise HistoryError(f"{as_of} is before {self.last_start}, when the newest version starts")
+        if self.last_end is not None and as_of < self.last_end:
+            raise HistoryError(f"{as_of} is before {self.last_end}, when a closed version ends")
 
-def profile(spec: HistorySpec, history: DataFrame) -> Profile:
-    """Count a history in one narrow pass, and refuse what no history may hold.
 
-    That is null flags, keys or surrogate keys, and intervals that end before they start or that
-    are open or closed against their flag.
+def broken_rows(spec: HistorySpec, name: Callable[[str], str] = str) -> dict[str, Column]:
+    """Conditions that no row of a history may meet; each is true or false, never null.
+
+    ``name`` tells under which name a column of the history stands.
     """
-    null_key = reduce(or_, [quoted(k).isNull() for k in spec.keys])
-    flag, sk = quoted(spec.flag), quoted(spec.sk)
-    start, end = quoted(spec.effective), quoted(spec.expiration)
-    tests = {
+    flag, sk, start, end = (quoted(name(c)) for c in (spec.flag, spec.sk, spec.effective, spec.expiration))
+    null_key = reduce(or_, [quoted(name(k)).isNull() for k in spec.keys])
+    open_end = end.eqNullSafe(F.lit(spec.end_date))
+    active, closed = flag.eqNullSafe(F.lit(True)), flag.eqNullSafe(F.lit(False))
+    return {
         "null flag": flag.isNull(),
         "null surrogate key": sk.isNull(),
-        "null business key": flag & null_key,
-        "end before start": start > end,
-        "end of an active row": flag & (end != F.lit(spec.end_date)),
+        "null business key": active & null_key,
+        "null effective date": start.isNull(),
+        "null expiration date": end.isNull(),
+        "end before start": F.coalesce(start > end, F.lit(False)),
+        "end of an active row": active & end.isNotNull() & ~open_end,
+        "open end of a closed row": closed & open_end,
+    }
+
+
+def profile_metrics(spec: HistorySpec, name: Callable[[str], str] = str) -> dict[str, Column]:
+    """Aggregates from which :func:`measured` makes a profile."""
+    flag, sk, start, end = (quoted(name(c)) for c in (spec.flag, spec.sk, spec.effective, spec.expiration))
+    return {
+        "active": F.count_if(flag),
+        "closed": F.count_if(~flag),
+        "sk": F.max(sk),
+        "start": F.max(F.when(flag, start)),
+        "end": F.max(F.when(~flag, end)),
+        **{why: F.count_if(bad) for why, bad in broken_rows(spec, name).items()},
     }
-    found = history.agg(
-        F.count_if(flag).alias("active"),
-        F.count_if(~flag).alias("closed"),
-        F.max(sk).alias("sk"),
-        F.max(F.when(flag, start)).alias("last"),
-        *[F.count_if(bad).alias(name) for name, bad in tests.items()],
-    ).first()
-    broken = {name: found[name] for name in tests if found[name]}
+
+
+def measured(spec: HistorySpec, found: dict) -> Profile:
+    """The profile out of ``profile_metrics``; a history that breaks a rule is refused."""
+    broken = {why: found[why] for why in broken_rows(spec) if found[why]}
     if broken:
         raise CorruptHistory(f"rows that break the history: {broken}")
-    return Profile(found["active"], found["sk"] or 0, found["last"], found["closed"])
+    return Profile(found["active"], found["sk"] or 0, found["start"], found["closed"], found["end"])
+
+
+def profile(spec: HistorySpec, history: DataFrame) -> Profile:
+    """Count a history in one narrow pass, and refuse what no history may hold.
+
+    That is null flags, keys, surrogate keys or dates, intervals that end before they start, and
+    intervals that are open or closed against their flag.
+    """
+    metrics = profile_metrics(spec)
+    return measured(spec, history.agg(*[c.alias(key) for key, c in metrics.items()]).first().asDict())

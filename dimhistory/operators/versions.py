@@ -62,10 +62,12 @@ def rows_inserted(
     changes: DataFrame, spec: HistorySpec, as_of: dt.date, max_sk: int, staging: Staging
 ) -> DataFrame:
     """First versions of new keys, numbered after ``max_sk`` in key order."""
-    # numbering reads its rows more than once, and these come out of a join
-    rows = staging.write(_side(filter_action(changes, INSERT), NEW), "inserted")
+    # numbering may read its rows more than once, and these come out of a join
+    rows, n = staging.observed(
+        _side(filter_action(changes, INSERT), NEW), "inserted", {"rows": F.count(F.lit(1))}
+    )
     rows = assign_surrogate_keys(
-        rows, spec.keys, spec.sk, staging, start=max_sk, rows=rows.count(), nulls=False
+        rows, spec.keys, spec.sk, staging, start=max_sk, rows=n["rows"]
     )
     return open_versions(rows, spec, as_of)
 
@@ -74,9 +76,11 @@ def rows_updated_new(
     changes: DataFrame, spec: HistorySpec, as_of: dt.date, max_sk: int, staging: Staging
 ) -> DataFrame:
     """New versions of changed keys, numbered after ``max_sk``, the last inserted key."""
-    rows = staging.write(_side(filter_action(changes, UPDATE), NEW), "updated")
+    rows, n = staging.observed(
+        _side(filter_action(changes, UPDATE), NEW), "updated", {"rows": F.count(F.lit(1))}
+    )
     rows = assign_surrogate_keys(
-        rows, spec.keys, spec.sk, staging, start=max_sk, rows=rows.count(), nulls=False
+        rows, spec.keys, spec.sk, staging, start=max_sk, rows=n["rows"]
     )
     return open_versions(rows, spec, as_of)
 
@@ -107,7 +111,6 @@ def rows_opened(
         start=max_sk,
         unique=True,
         rows=rows,
-        nulls=False,
         verified=verified,
     )
     return open_versions(new.drop(_CLASS), spec, as_of)

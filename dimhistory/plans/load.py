@@ -3,27 +3,39 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
+from dimhistory.errors import CorruptHistory, SchemaMismatch
 from dimhistory.functions import project, quoted
-from dimhistory.operators.apply import keyed_update, require_insertable, union_by_name
-from dimhistory.operators.changes import is_empty
-from dimhistory.operators.screening import profile, require_unique, usable_keys
-from dimhistory.plans.merge import (
-    CHANGE,
-    KIND,
-    STAY,
-    accept_snapshot,
-    number_first_versions,
-    plan_merge,
+from dimhistory.operators.apply import (
+    keyed_update,
+    require_insertable,
+    rows_among,
+    union_by_name,
 )
+from dimhistory.operators.changes import ACTION
+from dimhistory.operators.screening import profile, require_unique, usable_keys
+from dimhistory.plans.merge import Merge, accept_once, number_first_versions, plan_merge
 from dimhistory.sources.jdbc import JdbcTable
 from dimhistory.sources.staging import Staging
-from dimhistory.sources.table import HistoryTable, Version
-from dimhistory.spec import INSERT, UPDATE, HistorySpec
+from dimhistory.sources.table import PART, HistoryTable, Place
+from dimhistory.spec import DELETE, INSERT, UPDATE, HistorySpec
+
+_GONE, _FROM, _TO, _WAS = "__gone", "__from", "__to", "__was"
+
+
+@dataclass(frozen=True)
+class Load:
+    """What a load did. ``name`` finds its rejected rows."""
+
+    name: str
+    counts: dict[str, int] = field(default_factory=dict)
+    rejected: int = 0
+    active_rows: int | None = None
+    max_sk: int | None = None
 
 
 def apply_snapshot(
@@ -32,48 +44,78 @@ def apply_snapshot(
     as_of: dt.date,
     on_duplicate: str = "error",
     order_by: str | None = None,
-) -> Version:
-    """Bring the table up to date with a full snapshot and publish one new version.
+) -> Load:
+    """Bring the table up to date with a full snapshot.
 
-    All outputs derive from the version read at the start. The active rows are joined
-    once; closed rows of earlier loads are neither read nor written.
+    The snapshot is read once, and moves to the buckets of the stored active rows, which are
+    compared where they are. What is known of the rows is taken by the tasks that compare and
+    write them: nothing is read back. Of closed rows three columns are read, and none is written
+    again. Parts without a changed key are not touched.
     """
-    spec, base = table.spec, table.version()
-    active = table.read_active(base)
-    if not base.one_active_per_key:
-        require_unique(active, spec.keys, "active history")
-    with Staging(table.spark) as staging:
+    spec = table.spec
+    with table.loading() as load, Staging(table.spark) as staging:
+        active = table.read_active()
         schema = spec.source_schema(active.schema)
-        accepted, rejected = accept_snapshot(
-            snapshot, schema, spec, on_duplicate, order_by, staging
-        )
-        n_rejected = rejected.count()
-        held = usable_keys(rejected, schema, spec.keys) if n_rejected else None
-        folder, before = table.new_folder(), table.profile(base)
+        screened = accept_once(snapshot, schema, spec, staging, on_duplicate, order_by)
+        held = usable_keys(screened.rejected, schema, spec.keys) if screened.n_rejected else None
         merge = plan_merge(
-            active, accepted, spec, as_of, staging, before, held, table.place(folder)
+            active,
+            screened.accepted,
+            spec,
+            as_of,
+            staging,
+            table.closed_profile(),
+            screened.n_accepted,
+            held,
+            buckets=table.sizes[1],
         )
-        changed = any(merge.counts.values())
-        n_opened = merge.counts[INSERT] + merge.counts[UPDATE]
-        # the rows that stay were written by the comparison, in the place of the next version
-        stays = (f"{folder}/{KIND}={STAY}",) if merge.after.active_rows > n_opened else ()
-        version = table.publish(
-            after=base.number,
-            schema=active.schema,
-            active=merge.opened if n_opened else None,
-            closed=merge.closed if merge.n_closed else None,
-            kept_active=stays if changed else base.active,
-            kept_closed=base.closed,
-            rejects=rejected,
-            rejected=n_rejected,
-            kept=before,
-            stats=merge.after,
-            one_active_per_key=True,
-            counts=merge.counts,
-            as_of=as_of,
+        if screened.n_rejected:
+            screened.rejected.write.parquet(table.rejects_path(load))
+        if any(merge.counts.values()):
+            _write_changes(table, merge, load)
+        return Load(
+            load,
+            merge.counts,
+            screened.n_rejected,
+            merge.before.active_rows - merge.counts[DELETE] + merge.counts[INSERT],
+            merge.before.max_sk + merge.n_opened,
         )
-        table.drop_folder(f"{folder}/{KIND}={CHANGE}" if changed else folder)
-        return version
+
+
+def _write_changes(table: HistoryTable, merge: Merge, load: str) -> None:
+    """Write the parts that a merge changes, and the rows it closes, in one commit."""
+    spec, active = table.spec, F.lit(True)
+    parts = (
+        merge.changes.groupBy(table.part_of(active, load).alias(PART))
+        .agg(
+            F.count_if(F.col(ACTION) != INSERT).alias("leaving"),
+            F.count_if(F.col(ACTION) != DELETE).alias("arriving"),
+        )
+        .collect()  # one row per part
+    )
+    keys = list(spec.keys)
+    gone = project(merge.changes.where(F.col(ACTION) != INSERT), keys).withColumn(_GONE, active)
+    stays = table.read_parts((True, r[PART]) for r in parts).join(gone, keys, "left")
+    none = F.lit(None).cast("boolean")
+    rows = union_by_name(
+        stays.withColumn(_FROM, F.lit(0)),
+        table.placed(merge.opened, load).withColumn(_GONE, none).withColumn(_FROM, F.lit(1)),
+        table.placed(merge.closed, load).withColumn(_GONE, none).withColumn(_FROM, F.lit(2)),
+    )
+    seen = table.overwrite_parts(
+        rows,
+        may_empty=[(True, r[PART]) for r in parts if r["leaving"] and not r["arriving"]],
+        metrics={
+            "gone": F.count_if(F.col(_GONE)),
+            "opened": F.count_if(F.col(_FROM) == 1),
+            "closed": F.count_if(F.col(_FROM) == 2),
+        },
+        where=F.col(_GONE).isNull(),
+        drop=[_GONE, _FROM],
+    )
+    found = seen["gone"], seen["opened"], seen["closed"]
+    if found != (merge.n_closed, merge.n_opened, merge.n_closed):
+        raise CorruptHistory(f"{found} rows left, opened and closed, not what {merge.counts} asks for")
 
 
 def load_initial(
@@ -82,24 +124,24 @@ def load_initial(
     as_of: dt.date,
     on_duplicate: str = "error",
     order_by: str | None = None,
-) -> Version:
+) -> Load:
     """Replace whatever the table holds with the first history of a snapshot."""
-    spec, after = table.spec, table.latest()
+    spec = table.spec
     schema = spec.history_schema(snapshot.schema)
-    with Staging(table.spark) as staging:
-        accepted, rejected = accept_snapshot(
-            snapshot, snapshot.schema, spec, on_duplicate, order_by, staging
-        )
-        first = number_first_versions(accepted, spec, as_of, staging)
-        return table.publish(
-            after=after,
-            schema=schema,
-            active=first,
-            rejects=rejected,
-            rejected=rejected.count(),
-            one_active_per_key=True,
-            as_of=as_of,
-        )
+    table.ensure(snapshot.schema)
+    stored = {f.name: f.dataType for f in table.read().schema}
+    if stored != {f.name: f.dataType for f in schema}:
+        raise SchemaMismatch(f"{table.name} holds {stored}, not {schema.simpleString()}")
+    with table.loading() as load, Staging(table.spark) as staging:
+        screened = accept_once(snapshot, snapshot.schema, spec, staging, on_duplicate, order_by)
+        rows = screened.n_accepted
+        first = number_first_versions(screened.accepted, spec, as_of, staging, rows)
+        if screened.n_rejected:
+            screened.rejected.write.parquet(table.rejects_path(load))
+        written = table.replace(first, load)["written"]
+        if written != rows:
+            raise CorruptHistory(f"{written} rows were written, {rows} accepted")
+        return Load(load, {INSERT: rows}, screened.n_rejected, rows, rows)
 
 
 def apply_snapshot_jdbc(
@@ -123,61 +165,58 @@ def apply_snapshot_jdbc(
         largest = target.key_range(spark, spec.sk)
         before = profile(spec, active)
         before = replace(before, max_sk=max(before.max_sk, largest[1] if largest else 0))
-        require_unique(active, spec.keys, "active history")
         schema = spec.source_schema(active.schema)
-        accepted, rejected = accept_snapshot(
-            snapshot, schema, spec, on_duplicate, order_by, staging
+        screened = accept_once(snapshot, schema, spec, staging, on_duplicate, order_by)
+        held = usable_keys(screened.rejected, schema, spec.keys) if screened.n_rejected else None
+        merge = plan_merge(
+            active, screened.accepted, spec, as_of, staging, before, screened.n_accepted, held
         )
-        n_rejected = rejected.count()
-        held = usable_keys(rejected, schema, spec.keys) if n_rejected else None
-        merge = plan_merge(active, accepted, spec, as_of, staging, before, held)
         if any(merge.counts.values()):
             changed = union_by_name(merge.closed, merge.opened)
             target.apply_rows(spark, changed, [*spec.keys, spec.sk])
-        return {**merge.counts, "REJECTED": n_rejected}
+        return {**merge.counts, "REJECTED": screened.n_rejected}
 
 
-def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) -> Version:
-    """Insert rows, or update rows by business and surrogate key, as one new version.
+def apply_change_set(table: HistoryTable, rows: DataFrame, change_type: str) -> None:
+    """Insert rows, or update rows by business and surrogate key, in one commit.
 
-    An insert adds a folder. An update rewrites the active rows, and the closed rows only
-    when it touches one of them.
+    An insert adds files. An update rewrites the partitions that hold one of the rows before or
+    after it, and no others; rows that it closes become a part of their own.
     """
-    if change_type not in ("INSERT", "UPDATE"):
+    if change_type not in (INSERT, UPDATE):
         raise ValueError(f"change type must be INSERT or UPDATE, not {change_type!r}")
-    base, spec = table.version(), table.spec
-    keys, flag = [*spec.keys, spec.sk], quoted(spec.flag)
-    schema = T.StructType.fromJson(base.schema)
-    active, closed = table.read_active(base), table.read_closed(base)
-    with Staging(table.spark) as staging:
+    spec = table.spec
+    keys = [*spec.keys, spec.sk]
+    with table.loading() as load, Staging(table.spark) as staging:
         # checks and writes must all see the same rows
         rows = staging.write(rows, "rows")
-        if change_type == "INSERT":
+        if change_type == INSERT:
             profile(spec, rows)
-            require_insertable(table.read(base.number), rows, keys)
-            return table.publish(
-                after=base.number,
-                schema=schema,
-                active=rows.where(flag),
-                closed=rows.where(~flag),
-                kept_active=base.active,
-                kept_closed=base.closed,
-                kept=table.profile(base),
-            )
+            require_insertable(table.read(), rows, keys)
+            table.append(table.placed(rows, load))
+            return
+        require_unique(rows, keys, "update")
         wanted = project(rows, keys)
-        hit = staging.write(table.read(base.number).join(wanted, keys, "left_semi"), "hit")
-        changed, touched = keyed_update(hit, rows, keys), project(hit, keys)
+        hit = staging.write(rows_among(table.read_with_part(), wanted, keys), "hit")
+        changed = keyed_update(hit.drop(PART), rows, keys)
         profile(spec, changed)
-        new_active = active.join(touched, keys, "left_anti")
-        new_closed, kept_closed, kept = changed.where(~flag), base.closed, table.profile(base)
-        if not is_empty(hit.where(~flag)):
-            new_closed = union_by_name(closed.join(touched, keys, "left_anti"), new_closed)
-            kept_closed, kept = (), None
-        return table.publish(
-            after=base.number,
-            schema=schema,
-            active=union_by_name(new_active, changed.where(flag)),
-            closed=new_closed,
-            kept_closed=kept_closed,
-            kept=kept,
-        )
+        changed = table.with_part(changed, load).withColumnRenamed(PART, _TO)
+        # a closed row that stays closed stays in its part
+        was = hit.select(*[quoted(k) for k in keys], PART, quoted(spec.flag).alias(_WAS))
+        same = ~F.col(_WAS) & ~quoted(spec.flag)
+        changed = changed.join(was, keys)
+        changed = changed.withColumn(PART, F.when(same, F.col(PART)).otherwise(F.col(_TO)))
+        changed = staging.write(changed.drop(_WAS, _TO), "changed")
+        before, after = _places(hit, spec), _places(changed, spec)
+        if not before:
+            return
+        others = table.read_parts(before | after).join(wanted, keys, "left_anti")
+        by = [quoted(k) for k in spec.keys]
+        changed = changed.repartition(table.sizes[1], *by)
+        table.overwrite_parts(union_by_name(others, changed), may_empty=before)
+
+
+def _places(rows: DataFrame, spec: HistorySpec) -> set[Place]:
+    """The partitions of rows, at most as many as the table has."""
+    found = rows.select(quoted(spec.flag).alias("flag"), PART).distinct().collect()
+    return {(r["flag"], r[PART]) for r in found}

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimhistory.errors import DuplicateKeys, HistoryError
+from dimhistory.errors import DuplicateKeys
 from dimhistory.functions import quoted
 from dimhistory.operators.apply import union_by_name
 from dimhistory.operators.changes import (
@@ -24,8 +24,12 @@ from dimhistory.operators.numbering import assign_surrogate_keys
 from dimhistory.operators.partitioning import spread
 from dimhistory.operators.screening import (
     Profile,
+    Screened,
+    broken_rows,
     latest_per_key,
+    measured,
     profile,
+    profile_metrics,
     require_unique,
     screen_once,
     screen_snapshot,
@@ -38,7 +42,7 @@ from dimhistory.spec import DELETE, INSERT, NOCHANGE, UPDATE, HistorySpec
 _COPIES, _HELD = "__copies", "__held"
 # Folders of a staged comparison: rows that stay as they are, and everything else.
 KIND, STAY, CHANGE = "dimhistory_kind", "stay", "change"
-_ACTION, _NEW = "__action", "__new"
+_ACTION, _NEW, _OLD = "__action", "__new", "__old"
 
 
 def accept_snapshot(
@@ -47,25 +51,41 @@ def accept_snapshot(
     spec: HistorySpec,
     on_duplicate: str = "error",
     order_by: str | None = None,
-    staging: Staging | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted rows and rejected rows. ``"latest"`` leaves one accepted row per key.
 
-    With ``staging`` the snapshot is read once, however often the two frames are.
+    Both read the snapshot; ``accept_once`` reads it once for both.
     """
+    _check_policy(on_duplicate, order_by)
+    accepted, rejected = screen_snapshot(snapshot, schema, spec.keys)
+    if on_duplicate == "latest":
+        accepted = latest_per_key(accepted, spec.keys, order_by)
+    return accepted, rejected
+
+
+def accept_once(
+    snapshot: DataFrame,
+    schema: T.StructType,
+    spec: HistorySpec,
+    staging: Staging,
+    on_duplicate: str = "error",
+    order_by: str | None = None,
+) -> Screened:
+    """``accept_snapshot`` for a snapshot that is read and counted once, whatever becomes of it."""
+    _check_policy(on_duplicate, order_by)
+    screened = screen_once(snapshot, schema, spec.keys, staging)
+    if on_duplicate == "latest":
+        latest = latest_per_key(screened.accepted, spec.keys, order_by)
+        latest, n = staging.observed(latest, "latest", {"rows": F.count(F.lit(1))})
+        screened = replace(screened, accepted=latest, n_accepted=n["rows"])
+    return screened
+
+
+def _check_policy(on_duplicate: str, order_by: str | None) -> None:
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     if on_duplicate == "latest" and order_by is None:
         raise ValueError("on_duplicate='latest' needs order_by")
-    if staging is None:
-        accepted, rejected = screen_snapshot(snapshot, schema, spec.keys)
-    else:
-        accepted, rejected = screen_once(snapshot, schema, spec.keys, staging)
-    if on_duplicate == "latest":
-        accepted = latest_per_key(accepted, spec.keys, order_by)
-        if staging is not None:
-            accepted = staging.write(accepted, "latest")
-    return accepted, rejected
 
 
 def initial_load(
@@ -78,22 +98,20 @@ def initial_load(
 ) -> DataFrame:
     """First history of a source: keys numbered from 1 in order, all intervals open.
 
-    Rows with a null key are left out; ``accept_snapshot`` returns them. The result reads
-    ``snapshot``, which must not change before it is consumed.
+    Rows with a null key are left out; ``accept_snapshot`` returns them. ``snapshot`` is read
+    once, here; the result reads what was staged.
     """
-    accepted, _ = accept_snapshot(snapshot, snapshot.schema, spec, on_duplicate, order_by)
     staging = staging or Staging(snapshot.sparkSession)
-    return number_first_versions(accepted, spec, as_of, staging)
+    screened = accept_once(snapshot, snapshot.schema, spec, staging, on_duplicate, order_by)
+    return number_first_versions(screened.accepted, spec, as_of, staging, screened.n_accepted)
 
 
 def number_first_versions(
-    accepted: DataFrame, spec: HistorySpec, as_of: dt.date, staging: Staging
+    accepted: DataFrame, spec: HistorySpec, as_of: dt.date, staging: Staging, rows: int
 ) -> DataFrame:
     """Open versions of accepted rows; the numbering refuses keys that occur twice."""
     spec.history_schema(accepted.schema)
-    numbered = assign_surrogate_keys(
-        accepted, spec.keys, spec.sk, staging, rows=accepted.count(), nulls=False
-    )
+    numbered = assign_surrogate_keys(accepted, spec.keys, spec.sk, staging, rows=rows)
     return open_versions(numbered, spec, as_of)
 
 
@@ -101,20 +119,26 @@ def number_first_versions(
 class Merge:
     """What a snapshot does to a history. ``closed`` and ``opened`` are as large as the change.
 
-    ``stays`` are the active rows that no change concerns, out of the comparison itself.
+    ``stays`` are the active rows that no change concerns, out of the comparison itself, if they
+    were asked for. ``changes`` holds the keys of all others, each with its action.
     """
 
     spec: HistorySpec
-    stays: DataFrame
+    stays: DataFrame | None
+    changes: DataFrame
     closed: DataFrame
     opened: DataFrame
     counts: dict[str, int]
-    after: Profile
+    before: Profile
 
     @property
     def n_closed(self) -> int:
         return self.counts[DELETE] + self.counts[UPDATE]
 
+    @property
+    def n_opened(self) -> int:
+        return self.counts[INSERT] + self.counts[UPDATE]
+
 
 def plan_merge(
     history: DataFrame,
@@ -122,67 +146,84 @@ def plan_merge(
     spec: HistorySpec,
     as_of: dt.date,
     staging: Staging,
-    before: Profile | None = None,
+    before: Profile,
+    rows: int,
     held: DataFrame | None = None,
-    at: str | None = None,
+    buckets: int | None = None,
 ) -> Merge:
-    """Compare active rows and accepted rows once and write every pair once.
+    """Compare active rows and the ``rows`` accepted ones once and write every pair once.
 
     Rows that stay leave the comparison with the history's columns only, in a folder of their
     own; changed keys carry both sides, and only they are read again. So the active rows are
-    read and shuffled once, and no row depends on a surrogate key to be found. ``at`` is
-    where the comparison is written, if the rows that stay are to be kept there.
+    read and shuffled once, and no row depends on a surrogate key to be found.
+
+    With ``buckets`` the history is stored in so many buckets of its keys: only the snapshot
+    moves, to the bucket of its keys. Rows that stay are then not written, since they stay where
+    they are; ``before`` tells of the closed rows, and the active ones are measured on the way.
 
     One row per key and side enters the join, with the number of its copies: copies are refused
     afterwards without having been multiplied. Keys of ``held`` were in the snapshot with values
-    that could not be used; their versions stay open. ``before`` tells what is known of a
-    history known to be sound; without it the history is checked.
+    that could not be used; their versions stay open.
     """
-    known = before is not None
-    before = before or profile(spec, history)
-    if before.last_start is not None and as_of < before.last_start:
-        raise HistoryError(f"{as_of} is before {before.last_start}, when the newest version starts")
-    active = filter_active(history, spec)
-    rows = max(before.active_rows, accepted.count())
+    stored = buckets is not None
+    if not stored:
+        before.require_not_before(as_of)
+    active = filter_active(history, spec).withColumn(_OLD, F.lit(True))
     side = accepted.withColumn(_HELD, F.lit(False))
     if held is not None:
         side = side.unionByName(held.withColumn(_HELD, F.lit(True)), allowMissingColumns=True)
-    active, side = spread(active, spec.keys, rows), spread(side, spec.keys, rows)
+    if stored:
+        side = side.repartition(buckets, *[quoted(k) for k in spec.keys])
+    else:
+        most = max(before.active_rows, rows)
+        active, side = spread(active, spec.keys, most), spread(side, spec.keys, most)
     first = [] if held is None else [F.col(_HELD)]
     side = _one_per_key(side, spec.keys, F.count_if(~F.col(_HELD)), *first)
-    if not known:
-        active = _one_per_key(active, spec.keys, F.count(F.lit(1)))
+    active = _one_per_key(active, spec.keys, F.count(F.lit(1)))
     old = [quoted(c + OLD).alias(c) for c in history.columns]
     kept = F.coalesce(F.col(_HELD + NEW), F.lit(False))
     action = F.when(kept, NOCHANGE).otherwise(F.col(ACTION))
-    copies = F.greatest(
-        F.lit(1), F.col(_COPIES + NEW), F.lit(None) if known else F.col(_COPIES + OLD)
-    )
+    copies = F.greatest(F.lit(1), F.col(_COPIES + NEW), F.col(_COPIES + OLD))
     stay = (action == NOCHANGE) & (copies == 1)
-    compared = staging.write(
+    pairs = (
         detect_changes(active, side, spec)
         .where(~(kept & quoted(spec.keys[0] + OLD).isNull()))
         .select(
             F.when(stay, STAY).otherwise(CHANGE).alias(KIND),
             action.alias(_ACTION),
             copies.cast("bigint").alias(_COPIES),
+            F.col(_OLD + OLD).alias(_OLD),
             *old,
             *[F.when(~stay, quoted(c + NEW)).alias(c + _NEW) for c in accepted.columns],
-        ),
-        "compared",
-        by=KIND,
-        at=at,
+        )
     )
+    metrics = {a: F.count_if(F.col(_ACTION) == a) for a in (INSERT, DELETE, UPDATE)}
+    metrics |= {_COPIES: F.max(_COPIES)}
+    if stored:
+        # rows of the snapshot alone would count as rows with null columns
+        measured_rows = profile_metrics(spec)
+        for why, bad in broken_rows(spec).items():
+            measured_rows[why] = F.count_if(F.col(_OLD) & bad)
+        metrics |= measured_rows
+    changed_only = F.col(KIND) == CHANGE if stored else None
+    compared, found = staging.observed(pairs, "compared", metrics, changed_only, by=KIND)
+    if (found[_COPIES] or 0) > 1:
+        require_unique(filter_active(history, spec), spec.keys, "active history")
+        require_unique(accepted, spec.keys, "snapshot")
+        raise DuplicateKeys("a key occurred more than once while it was compared")
+    if stored:
+        seen = measured(spec, found)
+        before = replace(
+            seen,
+            max_sk=max(seen.max_sk, before.max_sk),
+            closed_rows=before.closed_rows,
+            last_end=before.last_end,
+        )
+        before.require_not_before(as_of)
+    counts = {a: found[a] for a in (INSERT, DELETE, UPDATE)}
+    n_opened = counts[INSERT] + counts[UPDATE]
     names = [quoted(c) for c in history.columns]
     changed = compared.where(F.col(KIND) == CHANGE)
-    counts = dict.fromkeys((INSERT, DELETE, UPDATE), 0)
-    for row in changed.groupBy(_ACTION).agg(F.count("*").alias("n"), F.max(_COPIES).alias("m")).collect():
-        if row["m"] > 1:
-            require_unique(filter_active(history, spec), spec.keys, "active history")
-            require_unique(accepted, spec.keys, "snapshot")
-            raise DuplicateKeys("a key occurred more than once while it was compared")
-        counts[row[_ACTION]] = row["n"]
-    n_opened = counts[INSERT] + counts[UPDATE]
     delta = changed.select(
         F.col(_ACTION).alias(ACTION),
         *[quoted(c).alias(c + OLD) for c in history.columns],
@@ -195,16 +236,15 @@ def plan_merge(
         ).select(*names)
     return Merge(
         spec=spec,
-        stays=compared.where(F.col(KIND) == STAY).select(*names),
+        stays=None if stored else compared.where(F.col(KIND) == STAY).select(*names),
+        changes=changed.select(
+            *[F.coalesce(quoted(k), quoted(k + _NEW)).alias(k) for k in spec.keys],
+            F.col(_ACTION).alias(ACTION),
+        ),
         closed=rows_closed(delta, spec, as_of).select(*names),
         opened=opened,
         counts=counts,
-        after=Profile(
-            before.active_rows - counts[DELETE] + counts[INSERT],
-            before.max_sk + n_opened,
-            as_of if n_opened else before.last_start,
-            before.closed_rows + counts[DELETE] + counts[UPDATE],
-        ),
+        before=before,
     )
 
 
@@ -253,16 +293,13 @@ def merge_with_rejects(
     """
     staging = staging or Staging(history.sparkSession)
     schema = spec.source_schema(history.schema)
-    # a source of the history's own types is read for what is needed, any other one parsed once
-    types = {f.name: f.dataType for f in snapshot.schema}
-    typed = all(types.get(f.name) == f.dataType for f in schema) and on_duplicate == "error"
-    accepted, rejected = accept_snapshot(
-        snapshot, schema, spec, on_duplicate, order_by, None if typed else staging
+    screened = accept_once(snapshot, schema, spec, staging, on_duplicate, order_by)
+    held = usable_keys(screened.rejected, schema, spec.keys) if screened.n_rejected else None
+    before = profile(spec, history)
+    merge = plan_merge(
+        history, screened.accepted, spec, as_of, staging, before, screened.n_accepted, held
     )
-    n_rejected = rejected.count()
-    held = usable_keys(rejected, schema, spec.keys) if n_rejected and not typed else None
-    merge = plan_merge(history, accepted, spec, as_of, staging, held=held)
     result = union_by_name(
         merge.stays, filter_inactive(history, spec), merge.closed, merge.opened
     )
-    return result, rejected, {**merge.counts, "REJECTED": n_rejected}
+    return result, screened.rejected, {**merge.counts, "REJECTED": screened.n_rejected}

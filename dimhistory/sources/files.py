@@ -28,24 +28,13 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    stream = _fs(spark, path).open(_path(spark, path))
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def publish_text(spark: SparkSession, text: str, scratch: str, path: str) -> bool:
-    """Make a small text visible at ``path`` in one rename; False when it is already there."""
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False when there is one already, also if another did it just now."""
     fs = _fs(spark, path)
-    stream = fs.create(_path(spark, scratch), True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
     fs.mkdirs(_path(spark, path).getParent())
-    done = not fs.exists(_path(spark, path)) and fs.rename(_path(spark, scratch), _path(spark, path))
-    if not done:
-        fs.delete(_path(spark, scratch), False)
-    return done
+    try:
+        return fs.createNewFile(_path(spark, path))
+    except Exception:
+        if exists(spark, path):
+            return False
+        raise

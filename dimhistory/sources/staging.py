@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from dimhistory.sources import files
 
@@ -45,6 +45,24 @@ class Staging:
         (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def observed(
+        self,
+        df: DataFrame,
+        name: str,
+        metrics: dict[str, Column],
+        where: Column | None = None,
+        by: str | None = None,
+    ) -> tuple[DataFrame, dict]:
+        """``write`` that also returns aggregates of all rows, taken by the tasks that write them.
+
+        ``where`` chooses what is written of the rows that are measured. Nothing is read again to
+        be counted, and the numbers belong to the rows written even if the source changes.
+        """
+        taken = Observation()
+        df = df.observe(taken, *[column.alias(key) for key, column in metrics.items()])
+        written = self.write(df if where is None else df.where(where), name, by=by)
+        return written, taken.get
+
     def drop(self) -> None:
         files.delete(self.spark, self.path)
 

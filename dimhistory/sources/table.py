@@ -1,253 +1,268 @@
-"""A stored history: Parquet folders and one small file per published version.
+"""A stored history: one table of the session's catalog, in Parquet files as Spark writes them.
 
-``data/<id>/active`` and ``data/<id>/closed`` hold what one load wrote. A version file
-lists the folders that make up the table, so
+The table is partitioned by the flag and by a part, and clustered by key into buckets.
 
-* closed rows are written once and then only referred to,
-* readers see a load completely or not at all, and a failed load changes nothing,
-* a version that was read stays readable while the next one is written.
+* Active rows lie in a fixed number of parts, by a hash of their key: a load writes the parts
+  that it changes, by dynamic partition overwrite, and no others.
+* Closed rows of a load are a part of their own: they are written once.
+* Buckets follow the same hash, so a part has few of them, and the join of the active rows with
+  a snapshot by key moves the snapshot only.
+
+A load is one write that Spark commits at its end. One that fails before leaves the table as it
+was. The commit itself replaces one folder after the other: readers may see some parts before and
+others after a load, and a driver lost at that moment leaves the table locked, so that no load
+builds on it unseen. What must be seen as one state should be read between loads.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
 import uuid
-from dataclasses import asdict, dataclass, replace
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimhistory.errors import ConcurrentPublish, CorruptHistory, HistoryError
+from dimhistory.errors import ConcurrentPublish, HistoryError, SchemaMismatch
 from dimhistory.functions import project, quoted
-from dimhistory.operators.screening import Profile, profile
+from dimhistory.operators.changes import filter_active, filter_inactive
+from dimhistory.operators.screening import Profile, broken_rows, profile, profile_metrics
 from dimhistory.sources import files
+from dimhistory.sources.catalog import ensure_table, table_exists
 from dimhistory.spec import HistorySpec
 
+#: The column of the parts. Active ones are numbered, closed ones are named after their load.
+PART = "dimhistory_part"
+_PARTS, _BUCKETS = "dimhistory.parts", "dimhistory.buckets"
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+_LOCK = "_loading"
 
-@dataclass(frozen=True)
-class Version:
-    number: int
-    as_of: str | None
-    schema: dict
-    active: tuple[str, ...]
-    closed: tuple[str, ...]
-    rejects: str | None
-    active_rows: int
-    max_sk: int
-    one_active_per_key: bool
-    counts: dict[str, int]
-    rejected: int = 0
-    last_start: str | None = None
-    closed_rows: int | None = None
+#: A partition: whether its rows are active, and its part.
+Place = tuple[bool, str]
 
 
 class HistoryTable:
-    def __init__(self, spark: SparkSession, path: str, spec: HistorySpec):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.spec = spec
-
-    # versions
+    """The table ``name`` of the catalog, created by the first load with the sizes given here.
 
-    def _version_file(self, number: int) -> str:
-        return f"{self.path}/_versions/{number:010d}.json"
+    ``buckets`` is a multiple of ``parts``; a bucket of active rows should be what one task
+    handles at ease, and a part what a change of one key may rewrite. An existing table keeps its
+    own sizes.
+    """
 
-    def version_numbers(self) -> list[int]:
-        names = files.list_names(self.spark, f"{self.path}/_versions")
-        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit()]
-
-    def latest(self) -> int:
-        """Number of the latest version, 0 before the first."""
-        return max(self.version_numbers(), default=0)
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        spec: HistorySpec,
+        location: str | None = None,
+        parts: int = 16,
+        buckets: int = 16,
+    ):
+        if parts < 1 or buckets % parts:
+            raise ValueError("buckets must be a multiple of parts")
+        self.spark, self.name, self.spec = spark, name, spec
+        self._location, self._parts, self._buckets = location, parts, buckets
+
+    # the table
 
     def exists(self) -> bool:
-        return self.latest() > 0
-
-    def version(self, number: int | None = None) -> Version:
-        """One published version, the latest by default."""
-        numbers = self.version_numbers()
-        if not numbers or number is not None and number not in numbers:
-            raise HistoryError(f"{self.path} has no version {number or ''}".rstrip())
-        text = files.read_text(self.spark, self._version_file(number or numbers[-1]))
-        stored = json.loads(text)
-        stored["active"], stored["closed"] = tuple(stored["active"]), tuple(stored["closed"])
-        return Version(**stored)
+        return table_exists(self.spark, self.name)
 
     def ensure(self, source_schema: T.StructType) -> bool:
         """Create an empty table unless it exists; True when it was created."""
-        if self.exists():
-            return False
-        schema = self.spec.history_schema(source_schema)
-        empty = Version(1, None, schema.jsonValue(), (), (), None, 0, 0, True, {})
-        return self._publish(empty)
+        return self._ensure(self.spec.history_schema(source_schema))
+
+    def _ensure(self, schema: T.StructType) -> bool:
+        fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
+        return ensure_table(
+            self.spark,
+            self.name,
+            T.StructType([*fields, T.StructField(PART, T.StringType())]),
+            self.spec.flag,
+            self._location,
+            then_by=[PART],
+            keys=self.spec.keys,
+            buckets=self._buckets,
+            properties={_PARTS: self._parts, _BUCKETS: self._buckets},
+        )
+
+    def _table(self) -> DataFrame:
+        if not self.exists():
+            raise HistoryError(f"there is no table {self.name}")
+        return self.spark.table(self.name)
+
+    @cached_property
+    def sizes(self) -> tuple[int, int]:
+        """Parts and buckets of the table."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        found = {r["key"]: r["value"] for r in rows}
+        return int(found[_PARTS]), int(found[_BUCKETS])
+
+    @cached_property
+    def location(self) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
     # reading
 
-    def read(self, number: int | None = None) -> DataFrame:
-        """All rows of a version. A filter on the flag reads the folders of that flag only."""
-        version = self.version(number)
-        return self.read_active(version).unionByName(self.read_closed(version))
-
-    def read_active(self, version: Version) -> DataFrame:
-        return self._read(version, version.active, True)
-
-    def read_closed(self, version: Version) -> DataFrame:
-        return self._read(version, version.closed, False)
-
-    def read_rejects(self, version: Version) -> DataFrame:
-        if version.rejects is None:
-            raise HistoryError(f"version {version.number} was not loaded from a snapshot")
-        return self.spark.read.parquet(f"{self.path}/{version.rejects}")
-
-    def _read(self, version: Version, folders: tuple[str, ...], flag: bool) -> DataFrame:
-        schema = T.StructType.fromJson(version.schema)
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType([f for f in schema.fields if f.name != self.spec.flag])
-        rows = self.spark.read.schema(stored).parquet(*[f"{self.path}/{d}" for d in folders])
-        return project(rows.withColumn(self.spec.flag, F.lit(flag)), schema.names)
-
-    def profile(self, version: Version) -> Profile:
-        """What the version says of itself."""
-        last = dt.date.fromisoformat(version.last_start) if version.last_start else None
-        closed = version.closed_rows
-        if closed is None:
-            closed = self.read_closed(version).count()
-        return Profile(version.active_rows, version.max_sk, last, closed)
+    def read(self) -> DataFrame:
+        """All rows. A filter on the flag reads the folders of that flag only."""
+        return self._table().drop(PART).select(*self._names())
 
-    # writing
+    def _names(self) -> list[Column]:
+        names = [n for n in self._table().columns if n not in (PART, *self.spec.scd_columns)]
+        return [quoted(n) for n in [*names, *self.spec.scd_columns]]
 
-    def new_folder(self) -> str:
-        """A folder below the table for rows that a version to come may refer to."""
-        return f"data/{uuid.uuid4().hex}"
+    def read_with_part(self) -> DataFrame:
+        return self._table().select(*self._names(), PART)
 
-    def place(self, folder: str) -> str:
-        return f"{self.path}/{folder}"
+    def read_active(self) -> DataFrame:
+        return filter_active(self.read(), self.spec)
 
-    def drop_folder(self, folder: str) -> None:
-        files.delete(self.spark, self.place(folder))
+    def read_closed(self) -> DataFrame:
+        return filter_inactive(self.read(), self.spec)
 
-    def publish(
-        self,
-        after: int,
-        schema: T.StructType,
-        active: DataFrame | None = None,
-        closed: DataFrame | None = None,
-        kept_active: tuple[str, ...] = (),
-        kept_closed: tuple[str, ...] = (),
-        rejects: DataFrame | None = None,
-        rejected: int = 0,
-        kept: Profile | None = None,
-        stats: Profile | None = None,
-        one_active_per_key: bool = False,
-        counts: dict[str, int] | None = None,
-        as_of: dt.date | None = None,
-    ) -> Version:
-        """Write the version that follows ``after`` and make it visible with one rename.
-
-        The version consists of the kept folders and of ``active`` and ``closed``. Its active
-        rows and the newly closed ones are read back first and refused when unsound, or when
-        they aren't as many as ``stats`` expects. ``kept`` tells of the kept closed rows.
-        """
-        folder, fresh = self.new_folder(), ()
-        stored = [n for n in schema.names if n != self.spec.flag]
-        if active is not None:
-            project(active, stored).write.parquet(f"{self.path}/{folder}/active")
-            kept_active += (f"{folder}/active",)
-        if closed is not None:
-            project(closed, stored).write.parquet(f"{self.path}/{folder}/closed")
-            fresh = (f"{folder}/closed",)
-            kept_closed += fresh
-        if rejects is not None:
-            rejects.write.parquet(f"{self.path}/{folder}/rejects")
-        version = Version(
-            number=after + 1,
-            as_of=as_of.isoformat() if as_of else None,
-            schema=schema.jsonValue(),
-            active=kept_active,
-            closed=kept_closed,
-            rejects=f"{folder}/rejects" if rejects is not None else None,
-            active_rows=0,
-            max_sk=0,
-            one_active_per_key=one_active_per_key,
-            counts=counts or {},
-            rejected=rejected,
-        )
-        written = self.read_active(version).unionByName(self._read(version, fresh, False))
-        found = profile(self.spec, written)
-        if kept is not None:
-            found = replace(
-                found,
-                closed_rows=found.closed_rows + kept.closed_rows,
-                max_sk=max(found.max_sk, kept.max_sk),
-            )
-        if stats is not None and found != stats:
-            raise CorruptHistory(f"{found} was written where {stats} was expected")
-        version = replace(
-            version,
-            active_rows=found.active_rows,
-            max_sk=found.max_sk,
-            closed_rows=found.closed_rows,
-            last_start=found.last_start.isoformat() if found.last_start else None,
-        )
-        if not self._publish(version):
-            raise ConcurrentPublish(f"version {version.number} of {self.path} exists already")
-        return version
-
-    def _publish(self, version: Version) -> bool:
-        scratch = f"{self.path}/_versions/_{uuid.uuid4().hex}"
-        return files.publish_text(
-            self.spark, json.dumps(asdict(version)), scratch, self._version_file(version.number)
-        )
+    def closed_profile(self) -> Profile:
+        """What the closed rows tell, from three of their columns."""
+        return profile(self.spec, self.read_closed())
 
-    def overwrite(self, history: DataFrame, as_of: dt.date | None = None) -> Version:
-        """Replace the contents with a complete history."""
-        flag = quoted(self.spec.flag)
-        return self.publish(
-            after=self.latest(),
-            schema=history.schema,
-            active=history.where(flag),
-            closed=history.where(~flag),
-            # rows without flag would be in neither folder
-            stats=profile(self.spec, history),
-            as_of=as_of,
-        )
+    def rejects_path(self, load: str) -> str:
+        return f"{self.location}/_rejects/{load}"
 
-    def compact_closed(self) -> Version:
-        """Put the closed rows of all loads into one folder, as a new version.
+    def read_rejects(self, load: str) -> DataFrame:
+        """The rows that a load rejected."""
+        if not files.exists(self.spark, self.rejects_path(load)):
+            raise HistoryError(f"load {load} of {self.name} rejected no rows")
+        return self.spark.read.parquet(self.rejects_path(load))
 
-        Each load that closes rows adds a folder; the lists of folders, and the files that the
-        driver lists to read them, stay short if this runs from time to time.
-        """
-        base = self.version()
-        if len(base.closed) < 2:
-            return base
-        return self.publish(
-            after=base.number,
-            schema=T.StructType.fromJson(base.schema),
-            closed=self.read_closed(base).hint("rebalance"),
-            kept_active=base.active,
-            stats=self.profile(base),
-            one_active_per_key=base.one_active_per_key,
-            as_of=dt.date.fromisoformat(base.as_of) if base.as_of else None,
-        )
+    # parts
 
-    def expire_versions(self, keep: int) -> list[int]:
-        """Forget all but the last ``keep`` versions and delete folders only they used.
+    def part_of(self, active: Column, load: str) -> Column:
+        """The part of a row: by its key, or that of the load which closes it."""
+        place = F.pmod(F.hash(*[quoted(k) for k in self.spec.keys]), F.lit(self.sizes[0]))
+        return F.when(active, F.format_string("active-%05d", place)).otherwise(F.lit(f"closed-{load}"))
 
-        Run it when no load is under way: folders of an unpublished load count as unused.
+    def with_part(self, rows: DataFrame, load: str) -> DataFrame:
+        return rows.withColumn(PART, self.part_of(quoted(self.spec.flag), load))
+
+    def read_parts(self, places: Iterable[Place]) -> DataFrame:
+        """The rows of some partitions, with their part; no others are read."""
+        rows, chosen = self._table(), F.lit(False)
+        for flag, part in sorted(places):
+            chosen = chosen | ((quoted(self.spec.flag) == flag) & (F.col(PART) == part))
+        return rows.where(chosen).select(*self._names(), PART)
+
+    def partitions(self) -> set[Place]:
+        """Flag and part of all partitions."""
+        found = set()
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
+            flag, part = (piece.partition("=")[2] for piece in row["partition"].split("/"))
+            found.add((flag == "true", part))
+        return found
+
+    # writing
+
+    @contextmanager
+    def loading(self) -> Iterator[str]:
+        """The time of one load, which no other may share; gives the load's name.
+
+        The lock is a file below the table. A driver that is lost leaves it there: look whether
+        its load was committed, then call ``unlock``.
+        """
+        lock = f"{self.location}/{_LOCK}"
+        if not files.create_new(self.spark, lock):
+            raise ConcurrentPublish(f"another load of {self.name} is under way, or broke off: {lock}")
+        try:
+            yield uuid.uuid4().hex[:12]
+        finally:
+            self.unlock()
+
+    def unlock(self) -> None:
+        files.delete(self.spark, f"{self.location}/{_LOCK}")
+
+    def placed(self, rows: DataFrame, load: str) -> DataFrame:
+        """Rows of a load with their part, in the buckets of their keys: one file for each."""
+        by = [quoted(k) for k in self.spec.keys]
+        return self.with_part(rows, load).repartition(self.sizes[1], *by)
+
+    def append(self, rows: DataFrame) -> None:
+        """Add ``rows`` (with their part) in one commit."""
+        self._commit(rows, overwrite=False)
+
+    def overwrite_parts(
+        self,
+        rows: DataFrame,
+        may_empty: Iterable[Place] = (),
+        metrics: dict[str, Column] | None = None,
+        where: Column | None = None,
+        drop: Sequence[str] = (),
+    ) -> dict:
+        """Make ``rows`` (with their part) the contents of the partitions they lie in, in one commit.
+
+        All other partitions stay as they are, but for those of ``may_empty`` that got no row,
+        which are dropped. ``metrics`` are aggregates of all rows, of which ``where`` chooses those
+        to be written, without the columns ``drop``. A row that no history may hold stops the write before its commit.
         """
-        if keep < 1:
-            raise ValueError("at least one version must stay")
-        numbers = self.version_numbers()
-        kept = [self.version(n) for n in numbers[-keep:]]
-        for number in numbers[:-keep]:
-            files.delete(self.spark, self._version_file(number))
-        used = {d for v in kept for d in (*v.active, *v.closed, v.rejects) if d}
-        for load in files.list_names(self.spark, f"{self.path}/data"):
-            for part in files.list_names(self.spark, f"{self.path}/data/{load}"):
-                if f"data/{load}/{part}" not in used:
-                    files.delete(self.spark, f"{self.path}/data/{load}/{part}")
-        return numbers[:-keep]
+        taken, places = Observation(), sorted(may_empty)
+        written = F.lit(True) if where is None else where
+        flag = quoted(self.spec.flag)
+        found = [
+            F.max(written & (flag == active) & (F.col(PART) == part)).alias(f"place {i}")
+            for i, (active, part) in enumerate(places)
+        ]
+        named = [column.alias(key) for key, column in (metrics or {}).items()]
+        seen = rows.observe(taken, F.count_if(written).alias("written"), *found, *named)
+        self._commit((seen if where is None else seen.where(where)).drop(*drop), overwrite=True)
+        result = taken.get
+        for i, place in enumerate(places):
+            if not result[f"place {i}"]:
+                self._drop(place)
+        return result
+
+    def overwrite(self, history: DataFrame) -> None:
+        """Replace the contents with a complete history."""
+        profile(self.spec, history)
+        self._ensure(history.schema)
+        with self.loading() as load:
+            self.replace(history, load)
+
+    def replace(self, history: DataFrame, load: str) -> dict:
+        """``overwrite`` within a load, of a history that was checked."""
+        old = self.partitions()
+        rows = self.placed(history, load)
+        active = {place for place in old if place[0]}
+        result = self.overwrite_parts(rows, may_empty=active, metrics=profile_metrics(self.spec))
+        for place in sorted(old - active):
+            self._drop(place)
+        return result
+
+    def _commit(self, rows: DataFrame, overwrite: bool) -> None:
+        table = self._table()
+        names = {f.name: f.dataType for f in rows.schema if f.name != PART}
+        if names != {f.name: f.dataType for f in table.schema if f.name != PART}:
+            raise SchemaMismatch(f"rows have {names}, {self.name} has {table.schema.simpleString()}")
+        rows = project(self._sound(rows), table.columns)
+        before = self.spark.conf.get(_MODE)
+        self.spark.conf.set(_MODE, "dynamic")
+        try:
+            rows.write.insertInto(self.name, overwrite=overwrite)
+        finally:
+            self.spark.conf.set(_MODE, before)
+
+    def _sound(self, rows: DataFrame) -> DataFrame:
+        broken = broken_rows(self.spec)
+        why = F.coalesce(*[F.when(bad, F.lit(reason)) for reason, bad in broken.items()])
+        refused = F.raise_error(F.concat(F.lit("a row breaks the history: "), why)).cast("boolean")
+        flag = F.when(why.isNull(), quoted(self.spec.flag)).otherwise(refused)
+        return rows.withColumn(self.spec.flag, flag)
+
+    def _drop(self, place: Place) -> None:
+        active, part = place
+        flag, value = self.spec.flag.replace("`", "``"), str(active).lower()
+        self.spark.sql(
+            f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{flag}` = {value}, {PART} = '{part}')"
+        )
+        # the files of an external table stay behind
+        files.delete(self.spark, f"{self.location}/{self.spec.flag}={value}/{PART}={part}")

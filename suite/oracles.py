@@ -150,21 +150,37 @@ _LINE_ORDER = ", ".join(
 )
 
 
-def _awkward(rows: str) -> str:
+#: Values of the wrong kind or size, and the reasons for which their rows are rejected.
+_LOSSY = """,
+         concat(CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 23 = 0 THEN '.129' ELSE '.100' END)
+           AS credit,
+         CASE WHEN c_custkey % 29 = 0 THEN '16777217'
+              ELSE concat(CAST(c_custkey AS VARCHAR), 'e0') END AS ratio,
+         concat('2024-01-02 03:04:05', CASE WHEN c_custkey % 31 = 0 THEN '+05:00'
+                WHEN c_custkey % 37 = 0 THEN '.0000001' ELSE '' END) AS seen,
+         CAST(CASE WHEN c_custkey % 41 = 0 THEN 5 ELSE c_custkey % 2 END AS INTEGER) AS vip"""
+_LOSSY_REASONS = """
+              WHEN c_custkey % 23 = 0 THEN 'bad value: credit'
+              WHEN c_custkey % 29 = 0 THEN 'bad value: ratio'
+              WHEN c_custkey % 31 = 0 OR c_custkey % 37 = 0 THEN 'bad value: seen'
+              WHEN c_custkey % 41 = 0 THEN 'bad value: vip'"""
+
+
+def _awkward(rows: str, more: str = "", reasons: str = "") -> str:
     return f"""
 awkward AS (
   SELECT CASE WHEN c_custkey % 17 <> 0 THEN c_custkey END AS c_custkey, c_name,
          CASE WHEN c_custkey % 13 = 0 THEN 'n/a' ELSE CAST(c_nationkey AS VARCHAR) END
            AS c_nationkey,
          CAST(CAST(c_acctbal AS DECIMAL(12,2)) + CASE WHEN c_custkey % 19 = 0
-              THEN 0.0009 ELSE 0 END AS DECIMAL(14,4)) AS c_acctbal, c_mktsegment,
+              THEN 0.0009 ELSE 0 END AS DECIMAL(14,4)) AS c_acctbal, c_mktsegment{more},
          CASE WHEN c_custkey % 13 = 0 THEN 'bad value: c_nationkey'
-              WHEN c_custkey % 19 = 0 THEN 'bad value: c_acctbal'
+              WHEN c_custkey % 19 = 0 THEN 'bad value: c_acctbal'{reasons}
               WHEN c_custkey % 17 = 0 THEN 'null key: c_custkey' END AS reject_reason
   FROM {rows})"""
 
 
-_AWKWARD = _awkward("customer")
+_AWKWARD = _awkward("customer", _LOSSY, _LOSSY_REASONS)
 _CHECKS = [
     "one active row per key",
     "surrogate keys are unique",
@@ -176,6 +192,9 @@ _CHECKS = [
     "intervals do not end before they start",
     "active intervals are open",
     "new rows start at the processing date",
+    "no null date",
+    "closed intervals end",
+    "versions of a key do not overlap",
 ]
 
 
@@ -210,10 +229,11 @@ more AS (SELECT * FROM fewer UNION ALL
 d AS (SELECT * REPLACE (
     CASE WHEN NOT (current_flag AND c_custkey % 47 = 0) THEN sk END AS sk,
     CASE WHEN NOT current_flag AND c_custkey % 53 = 0 THEN 'changed' ELSE c_name END AS c_name,
-    CASE WHEN c_custkey % 59 = 0 THEN DATE '2000-01-01' ELSE expiration_date END
-      AS expiration_date,
+    CASE WHEN c_custkey % 59 = 0 THEN DATE '2000-01-01'
+         WHEN NOT current_flag AND c_custkey % 71 = 0 THEN DATE '9999-12-31'
+         WHEN c_custkey % 73 <> 0 THEN expiration_date END AS expiration_date,
     CASE WHEN c_custkey % 61 = 0 THEN CAST(effective_date - INTERVAL 1 DAY AS DATE)
-         ELSE effective_date END AS effective_date) FROM more),
+         WHEN c_custkey % 67 <> 0 THEN effective_date END AS effective_date) FROM more),
 fresh AS (SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.sk = d.sk))"""
 _SOURCE = ", ".join(_CUSTOMER_COLUMNS)
 _ALL = ", ".join(_CUSTOMER_COLUMNS + _SCD)
@@ -231,9 +251,16 @@ _VIOLATIONS = {
     "no row is lost": "SELECT 1 FROM h WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.sk = h.sk)",
     "intervals do not end before they start": "SELECT 1 FROM d WHERE effective_date > expiration_date",
     "active intervals are open": "SELECT 1 FROM d WHERE current_flag "
-    "AND expiration_date <> DATE '9999-12-31'",
+    "AND expiration_date IS DISTINCT FROM DATE '9999-12-31'",
     "new rows start at the processing date": "SELECT 1 FROM fresh "
-    "WHERE effective_date <> DATE '2024-06-01'",
+    "WHERE effective_date IS DISTINCT FROM DATE '2024-06-01'",
+    "no null date": "SELECT 1 FROM d WHERE effective_date IS NULL OR expiration_date IS NULL",
+    "closed intervals end": "SELECT 1 FROM d WHERE NOT current_flag "
+    "AND expiration_date = DATE '9999-12-31'",
+    "versions of a key do not overlap": "SELECT 1 FROM (SELECT effective_date, max(expiration_date) "
+    "OVER (PARTITION BY c_custkey ORDER BY effective_date, expiration_date, sk "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_end FROM d "
+    "WHERE effective_date < expiration_date) WHERE effective_date < last_end",
 }
 
 ORACLES: dict[str, str] = {

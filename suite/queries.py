@@ -8,6 +8,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimhistory import (
     HistorySpec,
@@ -65,7 +66,8 @@ def _staged_changes(spark: SparkSession, case: Case) -> DataFrame:
 
 
 def _table(spark: SparkSession, spec: HistorySpec) -> HistoryTable:
-    return HistoryTable(spark, f"{Staging(spark).path}/table", spec)
+    name, location = f"history_{uuid.uuid4().hex}", f"{Staging(spark).path}/table"
+    return HistoryTable(spark, name, spec, location, parts=8, buckets=8)
 
 
 # sources and sinks
@@ -477,16 +479,36 @@ def _awkward(rows: DataFrame) -> DataFrame:
     )
 
 
-def _awkward_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    wanted = customers(spark, sf_dir).schema
-    return accept_snapshot(
-        _awkward(customers(spark, sf_dir)), wanted, HistorySpec(["c_custkey"], wanted.names)
+def _lossy(rows: DataFrame) -> DataFrame:
+    """Values that convert, but some of them not without loss."""
+    key = F.col("c_custkey")
+    text = key.cast("string")
+    seen = F.lit("2024-01-02 03:04:05")
+    return rows.withColumns(
+        {
+            "credit": F.concat(text, F.when(key % 23 == 0, ".129").otherwise(".100")),
+            "ratio": F.when(key % 29 == 0, "16777217").otherwise(F.concat(text, F.lit("e0"))),
+            "seen": F.concat(seen, F.when(key % 31 == 0, "+05:00").when(key % 37 == 0, ".0000001").otherwise("")),
+            "vip": F.when(key % 41 == 0, 5).otherwise(key % 2).cast("int"),
+        }
     )
 
 
+def _awkward_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    source = customers(spark, sf_dir)
+    wanted = source.schema
+    for name, kind in {
+        "credit": T.DecimalType(38, 2), "ratio": T.FloatType(), "seen": T.TimestampType(), "vip": T.BooleanType(),
+    }.items():
+        wanted = wanted.add(name, kind)
+    # the keys of _lossy are those that _awkward then loses
+    return accept_snapshot(_awkward(_lossy(source)), wanted, HistorySpec(["c_custkey"], wanted.names))
+
+
 @query("accepted_rows")
 def accepted_rows(spark, sf_dir):
-    return _awkward_split(spark, sf_dir)[0]
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    return project(_awkward_split(spark, sf_dir)[0], columns)
 
 
 @query("rejected_rows")
@@ -538,11 +560,11 @@ def post_conditions_damaged(spark, sf_dir):
         {
             "sk": F.when(~(flag & (key % 47 == 0)), F.col("sk")),
             "c_name": F.when(~flag & (key % 53 == 0), F.lit("changed")).otherwise(F.col("c_name")),
-            "expiration_date": F.when(key % 59 == 0, F.lit("2000-01-01").cast("date")).otherwise(
-                F.col("expiration_date")
-            ),
-            "effective_date": F.when(key % 61 == 0, F.date_sub("effective_date", 1)).otherwise(
-                F.col("effective_date")
+            "expiration_date": F.when(key % 59 == 0, F.lit("2000-01-01").cast("date"))
+            .when(~flag & (key % 71 == 0), F.lit("9999-12-31").cast("date"))
+            .when(key % 73 != 0, F.col("expiration_date")),
+            "effective_date": F.when(key % 61 == 0, F.date_sub("effective_date", 1)).when(
+                key % 67 != 0, F.col("effective_date")
             ),
         }
     )

@@ -1,6 +1,7 @@
 import pytest
 
 from dimhistory.errors import DuplicateKeys
+from dimhistory.operators import apply
 from dimhistory.operators.apply import apply_changes, keyed_insert, keyed_update, union_by_name
 from dimhistory.operators.changes import is_empty
 from util import ab
@@ -25,6 +26,27 @@ def test_insert_refuses_known_and_repeated_keys(spark):
         keyed_insert(target, ab(spark, (2, "y", 2), (2, "z", 2)), ["k"])
 
 
+def test_a_bloom_filter_reaches_the_scan_of_the_target(spark, staging, monkeypatch):
+    target = staging.write(spark.range(20000).selectExpr("id AS k", "string(id) AS a", "1 AS b"), "target")
+    new = spark.createDataFrame([(k, "n", 1) for k in range(20000, 20200)], "k long, a string, b int")
+    for keys in (["k"], ["k", "a"]):
+        found = apply.rows_among(target, new, keys)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        above_scan = text.split("FileScan")[0].rsplit("Filter", 1)[1]
+        assert "getbit" in above_scan and "LeftSemi" in text.split("FileScan")[0]
+        # nearly all rows of the target are dropped before they are joined
+        near = target.where(apply.may_be_among(new, keys))
+        assert near.count() < 400 and found.count() == 0
+    some = new.union(spark.createDataFrame([(5, "5", 1), (None, "7", 1)], new.schema))
+    assert [r["k"] for r in apply.rows_among(target, some, ["k"]).collect()] == [5]
+    # keys of another type, and too many keys, are joined without a filter
+    other = some.selectExpr("int(k) AS k")
+    assert [r["k"] for r in apply.rows_among(target, other, ["k"]).collect()] == [5]
+    monkeypatch.setattr(apply, "MOST_BITS", 64)
+    assert apply.may_be_among(new, ["k"]) is None
+    assert [r["k"] for r in apply.rows_among(target, some, ["k"]).collect()] == [5]
+
+
 def test_change_types(spark):
     target = ab(spark, (1, "x", 1))
     assert len(rows(apply_changes(target, ab(spark, (2, "y", 2)), "INSERT", ["k"]))) == 2

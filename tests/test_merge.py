@@ -10,7 +10,7 @@ from dimhistory import HistorySpec, Staging, initial_load, merge_history
 from dimhistory.errors import CorruptHistory, DuplicateKeys, HistoryError, SchemaMismatch
 from dimhistory.operators.apply import union_by_name
 from dimhistory.operators.changes import detect_changes, filter_inactive
-from dimhistory.operators.checks import violations
+from dimhistory.operators.checks import overlaps, violations
 from dimhistory.operators.versions import (
     rows_deleted,
     rows_inserted,
@@ -309,6 +309,61 @@ def test_a_date_before_the_newest_version_is_refused(spark):
         merge_history(history, ab(spark, (1, "x", 2)), AB_SPEC, D0)
 
 
+def test_a_date_before_a_closed_version_ends_is_refused(spark):
+    gone = (3, "z", 3, 3, D0, D2, False)
+    # key 3 would have two versions from D1 to D2
+    with pytest.raises(HistoryError, match="closed version"):
+        merge_history(ab_history(spark, *H, gone), ab(spark, (3, "z", 3)), AB_SPEC, D1)
+    assert merge_history(ab_history(spark, *H, gone), ab(spark, (3, "z", 3)), AB_SPEC, D2).count() == 4
+
+
+@pytest.mark.parametrize(
+    "row",
+    [
+        (9, "x", 1, 9, D0, None, True),
+        (9, "x", 1, 9, None, END, True),
+        (9, "x", 1, 9, D0, END, False),
+        (9, "x", 1, 9, D0, None, False),
+    ],
+)
+def test_contradictory_intervals_are_refused_and_counted(spark, row):
+    history = ab_history(spark, *H, row)
+    with pytest.raises(CorruptHistory):
+        merge_history(history, ab(spark, (9, "x", 2)), AB_SPEC, D1)
+    sound = ab_history(spark, *H)
+    found = {r["check"]: r["violations"] for r in violations(sound, history, ab(spark), AB_SPEC, D1).collect()}
+    counted = found["no null date"], found["closed intervals end"], found["active intervals are open"]
+    assert sum(counted) >= 1
+
+
+def test_overlapping_versions_are_counted(spark):
+    rows = [
+        (1, "x", 1, 1, D0, D2, False), (1, "x", 2, 2, D1, END, True),  # overlap
+        (2, "x", 1, 3, D0, D1, False), (2, "x", 2, 4, D1, END, True),  # meet
+        (3, "x", 1, 5, D1, D1, False), (3, "x", 2, 6, D0, D2, False), (3, "x", 3, 7, D2, END, True),  # empty
+        (4, "x", 1, 8, D0, END, True), (4, "x", 2, 9, D1, D2, False), (4, "x", 2, 10, D2, END, True),  # twice
+    ]
+    got = overlaps(ab_history(spark, *rows), AB_SPEC)
+    assert sorted(r["sk"] for r in got.collect()) == [2, 9, 10]
+
+
+def test_the_snapshot_is_read_once(spark):
+    for snapshot in (ab(spark, (1, "x", 9), (None, "q", 1)), ab(spark, (1, "x", 9)).selectExpr("string(k) k", "a", "b")):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        rows = snapshot.mapInArrow(counted, snapshot.schema)
+        got, rejected, counts = merge_with_rejects(ab_history(spark, *H), rows, AB_SPEC, D1)
+        assert (got.count(), rejected.count()) == (3, counts["REJECTED"])
+        first = initial_load(rows.where("k IS NOT NULL"), HistorySpec(["k"], ["a"]), D1)
+        assert first.count() == 1
+        assert seen.value == 2 * snapshot.count()
+
+
 def test_copies_on_both_sides_do_not_multiply(spark, staging, monkeypatch):
     written = {}
     original = Staging.write

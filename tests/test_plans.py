@@ -85,12 +85,15 @@ def test_partitions_follow_the_rows(pair, staged_plans, monkeypatch):
 
 def test_positions_are_sorted_once(spark, staging, staged_plans, many):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit("wide").alias("w"))
-    initial_load(df.withColumn("b", F.lit(1)), AB_SPEC.__class__(["k"], ["w"]), D0, staging)
+    result = initial_load(df.withColumn("b", F.lit(1)), AB_SPEC.__class__(["k"], ["w"]), D0, staging)
+    # a broadcast of one number per range
+    assert exchanges(plan(result)) == ["HashedRelationBroadcastMode"]
+    assert "BroadcastHashJoin" in plan(result) and "LocalTableScan [__range" in plan(result)
     positions = staged_plans["positions"]
     assert exchanges(positions) == ["rangepartitioning"]
     assert len(re.findall(r"\bSort \[", positions)) == 1
-    # the other columns are not sorted
-    assert "wide" not in positions
+    # whole rows are written in their order, so nothing but a number per range is joined to them
+    assert "w:string" in positions
 
 
 def test_active_filter_reaches_the_scan(pair):

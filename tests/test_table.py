@@ -1,13 +1,22 @@
-import json
+import re
+from dataclasses import replace
 
 import pytest
-
-from dimhistory.errors import ConcurrentPublish, CorruptHistory, DuplicateKeys, HistoryError
+from pyspark.sql import functions as F
+
+from dimhistory.errors import (
+    ConcurrentPublish,
+    CorruptHistory,
+    DuplicateKeys,
+    HistoryError,
+    SchemaMismatch,
+)
 from dimhistory.plans import load as load_module
 from dimhistory.plans.load import apply_change_set, apply_snapshot, load_initial
 from dimhistory.sources import files
 from dimhistory.sources.catalog import ensure_table, table_exists
-from dimhistory.sources.table import HistoryTable
+from dimhistory.sources.staging import Staging
+from dimhistory.sources.table import PART, HistoryTable
 from dimhistory.spec import HistorySpec
 from util import (
     AB,
@@ -30,115 +39,192 @@ ROWS = [(k, "x", k % 3) for k in range(30)]
 LATER = [(k, "x", k % 3 + (k % 5 == 0)) for k in range(3, 33)]
 
 
+def make_table(spark, tmp_path, spec=AB_SPEC, name="history", **sizes):
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return HistoryTable(spark, name, spec, str(tmp_path / name), **({"parts": 4, "buckets": 8} | sizes))
+
+
 @pytest.fixture()
 def table(spark, tmp_path):
-    return HistoryTable(spark, str(tmp_path / "table"), AB_SPEC)
+    yield make_table(spark, tmp_path)
+    spark.sql("DROP TABLE IF EXISTS history")
+
+
+def stored_files(table):
+    """Files of the table by partition."""
+    root = table.location.removeprefix("file:")
+    found = {}
+    for flag in ("true", "false"):
+        for part in files.list_names(table.spark, f"{root}/current_flag={flag}"):
+            names = files.list_names(table.spark, f"{root}/current_flag={flag}/{part}")
+            found[flag == "true", part.partition("=")[2]] = [n for n in names if n.endswith(".parquet")]
+    return found
+
+
+def counted(df, seen):
+    """The rows of ``df``, each of which adds one to ``seen`` whenever it is read."""
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema)
 
 
 def test_loads_in_sequence(spark, table):
-    version = load_initial(table, ab(spark, *ROWS), D0)
-    assert (version.number, version.active_rows, version.max_sk) == (1, 30, 30)
+    load = load_initial(table, ab(spark, *ROWS), D0)
+    assert (load.active_rows, load.max_sk, load.counts) == (30, 30, {"INSERT": 30})
     expected = model_initial(ROWS, D0)
     assert collected(table.read()) == expected
-    for day, rows in ((D1, LATER), (D2, ROWS), (D2, ROWS)):
-        version = apply_snapshot(table, ab(spark, *rows), day)
+    for day, rows in ((D1, LATER), (D2, ROWS), (D2, ROWS), (D2, []), (D2, LATER)):
+        load = apply_snapshot(table, ab(spark, *rows), day)
         expected = model_merge(expected, rows, day)
         assert collected(table.read()) == expected
-        assert version.max_sk == max(r[3] for r in expected)
-        assert version.active_rows == len(rows) == sum(r[6] for r in expected)
+        assert load.max_sk == max(r[3] for r in expected)
+        assert load.active_rows == len(rows) == sum(r[6] for r in expected)
     assert table.read().columns == [*AB.names, *AB_SPEC.scd_columns]
-    # every version stays readable
-    assert collected(table.read(1)) == model_initial(ROWS, D0)
 
 
-def test_closed_rows_are_kept_by_reference(spark, table):
+def test_closed_rows_are_written_once(spark, table):
     load_initial(table, ab(spark, *ROWS), D0)
-    second = apply_snapshot(table, ab(spark, *LATER), D1)
-    third = apply_snapshot(table, ab(spark, *ROWS), D2)
-    assert third.closed[: len(second.closed)] == second.closed
-    # nothing changed: the active rows are kept as well
-    fourth = apply_snapshot(table, ab(spark, *ROWS), D2)
-    assert (fourth.active, fourth.closed) == (third.active, third.closed)
-    assert fourth.counts == {"INSERT": 0, "DELETE": 0, "UPDATE": 0}
+    apply_snapshot(table, ab(spark, *LATER), D1)
+    second = stored_files(table)
+    apply_snapshot(table, ab(spark, *ROWS), D2)
+    third = stored_files(table)
+    closed = [place for place in second if not place[0]]
+    assert closed and all(third[place] == second[place] for place in closed)
+    # nothing changed: nothing is written
+    load = apply_snapshot(table, ab(spark, *ROWS), D2)
+    assert load.counts == {"INSERT": 0, "DELETE": 0, "UPDATE": 0}
+    assert stored_files(table) == third
 
 
 def test_ensure_creates_once(spark, table):
     assert not table.exists()
     assert table.ensure(AB)
     assert table.exists() and table.read().count() == 0
+    apply_snapshot(table, ab(spark), D0)
     apply_snapshot(table, ab(spark, *ROWS), D0)
     assert not table.ensure(AB)
     assert collected(table.read()) == model_initial(ROWS, D0)
 
 
 def test_awkward_column_names_survive(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path / "t"), SPEC)
+    table = make_table(spark, tmp_path, SPEC, "awkward")
     load_initial(table, frame(spark, SOURCE, [(1, "Male", 19, 15, 39)]), D0)
     apply_snapshot(table, frame(spark, SOURCE, [(1, "Male", 19, 16, 39)]), D1)
     assert collected(table.read(), "sk_customerid") == [
         (1, "Male", 19, 15, 39, 1, D0, D1, False),
         (1, "Male", 19, 16, 39, 2, D1, END, True),
     ]
+    spark.sql("DROP TABLE awkward")
 
 
 def test_flag_filter_reads_only_its_folders(spark, table):
     load_initial(table, ab(spark, *ROWS), D0)
-    version = apply_snapshot(table, ab(spark, *LATER), D1)
+    apply_snapshot(table, ab(spark, *LATER), D1)
     active = table.read().where(AB_SPEC.flag)
-    assert {f.rsplit("/", 1)[0].split(table.path + "/")[1] for f in active.inputFiles()} >= set(version.active)
-    plan = active._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation") == 1
+    assert active.inputFiles() and all("current_flag=true" in f for f in active.inputFiles())
+    plan = active._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(current_flag" in plan
 
 
-def test_rejects_are_stored_with_the_version(spark, table):
+def test_rejects_are_stored_with_the_load(spark, table):
     load_initial(table, ab(spark, *ROWS), D0)
     text = spark.createDataFrame(
         [("1", "x", "1"), ("2", "y", "n/a"), (None, "z", "3")], "k string, a string, b string"
     )
-    version = apply_snapshot(table, text, D1)
-    assert version.rejected == 2
-    rejects = table.read_rejects(version).collect()
+    load = apply_snapshot(table, text, D1)
+    assert load.rejected == 2
+    rejects = table.read_rejects(load.name).collect()
     assert sorted(r["reject_reason"] for r in rejects) == ["bad value: b", "null key: k"]
+    load = apply_snapshot(table, ab(spark, *ROWS), D1)
+    with pytest.raises(HistoryError):
+        table.read_rejects(load.name)
 
 
 def test_a_failed_load_changes_nothing(spark, table):
     load_initial(table, ab(spark, *ROWS), D0)
-    before = collected(table.read())
+    before = collected(table.read()), stored_files(table)
     with pytest.raises(DuplicateKeys):
         apply_snapshot(table, ab(spark, *ROWS, ROWS[0]), D1)
-    assert table.latest() == 1 and collected(table.read()) == before
+    with pytest.raises(HistoryError, match="before"):
+        apply_snapshot(table, ab(spark, *LATER), D0.replace(year=2023))
+    assert (collected(table.read()), stored_files(table)) == before
 
 
-def test_the_slower_of_two_loads_fails(spark, table, monkeypatch):
+def test_a_row_that_breaks_the_history_stops_the_write(spark, table, monkeypatch):
     load_initial(table, ab(spark, *ROWS), D0)
+    before = collected(table.read()), stored_files(table)
     plain = load_module.plan_merge
 
-    def overtaken(*args, **kwargs):
-        monkeypatch.setattr(load_module, "plan_merge", plain)
+    def spoilt(*args, **kwargs):
+        merge = plain(*args, **kwargs)
+        dates = F.when(F.col("k") == 30, None).otherwise(F.col("effective_date"))
+        return replace(merge, opened=merge.opened.withColumn("effective_date", dates))
+
+    monkeypatch.setattr(load_module, "plan_merge", spoilt)
+    with pytest.raises(Exception, match="null effective date"):
+        apply_snapshot(table, ab(spark, *LATER), D1)
+    assert (collected(table.read()), stored_files(table)) == before
+    # the next load is not kept out
+    monkeypatch.setattr(load_module, "plan_merge", plain)
+    apply_snapshot(table, ab(spark, *LATER), D1)
+
+
+def test_a_load_that_wrote_other_rows_than_planned_is_reported(spark, table, monkeypatch):
+    load_initial(table, ab(spark, *ROWS), D0)
+    plain = load_module.plan_merge
+
+    def lossy(*args, **kwargs):
+        merge = plain(*args, **kwargs)
+        return replace(merge, opened=merge.opened.limit(0))
+
+    monkeypatch.setattr(load_module, "plan_merge", lossy)
+    with pytest.raises(CorruptHistory, match="opened"):
         apply_snapshot(table, ab(spark, *LATER), D1)
+
+
+def test_two_loads_cannot_run_at_once(spark, table, monkeypatch):
+    load_initial(table, ab(spark, *ROWS), D0)
+    plain = load_module.plan_merge
+
+    def overtaken(*args, **kwargs):
+        with pytest.raises(ConcurrentPublish):
+            apply_snapshot(table, ab(spark, *ROWS[:5]), D1)
         return plain(*args, **kwargs)
 
     monkeypatch.setattr(load_module, "plan_merge", overtaken)
-    with pytest.raises(ConcurrentPublish):
-        apply_snapshot(table, ab(spark, *ROWS[:5]), D1)
+    apply_snapshot(table, ab(spark, *LATER), D1)
     assert collected(table.read()) == model_merge(model_initial(ROWS, D0), LATER, D1)
+    # the lock of a driver that was lost
+    files.create_new(spark, f"{table.location}/_loading")
+    with pytest.raises(ConcurrentPublish, match="broke off"):
+        apply_snapshot(table, ab(spark, *ROWS), D2)
+    table.unlock()
+    monkeypatch.setattr(load_module, "plan_merge", plain)
+    apply_snapshot(table, ab(spark, *ROWS), D2)
 
 
-def test_overwrite_and_unchecked_history(spark, table):
+def test_overwrite_and_unsound_histories(spark, table):
     history = model_merge(model_initial(ROWS, D0), LATER, D1)
-    table.overwrite(ab_history(spark, *history), D1)
+    table.overwrite(ab_history(spark, *history))
     assert collected(table.read()) == history
-    assert not table.version().one_active_per_key
-    version = apply_snapshot(table, ab(spark, *ROWS), D2)
-    assert version.one_active_per_key
+    apply_snapshot(table, ab(spark, *ROWS), D2)
     assert collected(table.read()) == model_merge(history, ROWS, D2)
 
     twice = (10, "x", 1, 900, D0, END, True)
     table.overwrite(ab_history(spark, *history, twice))
+    assert table.read().count() == len(history) + 1
     with pytest.raises(DuplicateKeys, match="active history"):
         apply_snapshot(table, ab(spark, *ROWS), D2)
     with pytest.raises(CorruptHistory):
         table.overwrite(ab_history(spark, (1, "x", 1, 1, D0, END, None)))
+    table.overwrite(ab_history(spark, history[0]))
+    assert collected(table.read()) == [history[0]]
+    with pytest.raises(SchemaMismatch):
+        load_initial(table, ab(spark, *ROWS).withColumn("b", F.lit("text")), D0)
 
 
 def test_change_sets(spark, table):
@@ -156,14 +242,12 @@ def test_change_sets(spark, table):
     expected |= {r[3]: r for r in rows[:2]}
     assert collected(table.read()) == [expected[k] for k in sorted(expected)]
 
-    # an update of a closed row
-    kept = table.version().closed
-    rows = [(*expected[32][:1], "late", *expected[32][2:])]
+    # an update of a closed row, one that opens a closed row, and one that hits nothing
+    rows = [(*expected[32][:1], "late", *expected[32][2:]), (*expected[4][:5], END, True)]
     apply_change_set(table, ab_history(spark, *rows), "UPDATE")
     expected |= {r[3]: r for r in rows}
+    apply_change_set(table, ab_history(spark, (99, "x", 1, 99, D0, END, True)), "UPDATE")
     assert collected(table.read()) == [expected[k] for k in sorted(expected)]
-    assert not set(kept) & set(table.version().closed)
-    assert table.version().max_sk == 32
 
     # a row without a flag would be in neither part of the table
     for sk, kind in ((99, "INSERT"), (31, "UPDATE")):
@@ -175,27 +259,98 @@ def test_change_sets(spark, table):
         apply_change_set(table, ab_history(spark, expected[31], expected[31]), "UPDATE")
     with pytest.raises(ValueError):
         apply_change_set(table, ab_history(spark, expected[31]), "UPSERT")
+    assert collected(table.read()) == [expected[k] for k in sorted(expected)]
 
 
-def test_expire_versions(spark, table):
+def test_an_update_of_one_key_rewrites_one_partition(spark, table):
+    many = [(k, "x", k % 3) for k in range(400)]
+    load_initial(table, ab(spark, *many), D0)
+    before = stored_files(table)
+    assert len(before) == 4
+    row = next(r for r in model_initial(many, D0) if r[0] == 7)
+    apply_change_set(table, ab_history(spark, (7, "y", *row[2:])), "UPDATE")
+    after = stored_files(table)
+    assert sum(after[place] != before[place] for place in before) == 1
+    # a snapshot that changes one key: its part, and the part of the closed row
+    apply_snapshot(table, ab(spark, *[(k, "z" if k == 7 else a, b) for k, a, b in many]), D1)
+    last = stored_files(table)
+    assert sum(last.get(place) != after.get(place) for place in last) == 2
+    assert set(last) - set(after) == {place for place in last if not place[0]}
+    # nothing but partitions: no manifest, no versions
+    names = set(files.list_names(spark, table.location))
+    assert names - {"_SUCCESS"} == {"current_flag=false", "current_flag=true"}
+
+
+def test_parts_that_lose_all_rows_are_dropped(spark, table):
     load_initial(table, ab(spark, *ROWS), D0)
-    expected = model_initial(ROWS, D0)
-    for day, rows in ((D1, LATER), (D2, ROWS)):
-        apply_snapshot(table, ab(spark, *rows), day)
-        expected = model_merge(expected, rows, day)
-    assert table.expire_versions(keep=1) == [1, 2]
-    assert table.version_numbers() == [3]
+    keys = {r["k"]: r[PART] for r in table.read_with_part().collect()}
+    kept = [r for r in ROWS if keys[r[0]] != keys[0]]
+    apply_snapshot(table, ab(spark, *kept), D1)
+    expected = model_merge(model_initial(ROWS, D0), kept, D1)
     assert collected(table.read()) == expected
-    with pytest.raises(HistoryError):
-        table.read(1)
+    assert (True, keys[0]) not in table.partitions() and (True, keys[0]) not in stored_files(table)
+    # the last closed row of a load is opened again: its partition goes
+    gone = [(*r[:5], END, True) for r in expected if not r[6]]
+    apply_change_set(table, ab_history(spark, *gone), "UPDATE")
+    assert collected(table.read()) == model_initial(ROWS, D0)
+    assert all(active for active, _ in table.partitions())
+
+
+def test_a_part_has_few_files_and_one_of_each_bucket(spark, table):
+    load_initial(table, ab(spark, *[(k, "x", 1) for k in range(400)]), D0)
+    found = stored_files(table)
+    assert len(found) == 4 and all(len(names) == 2 for names in found.values())
+    buckets = [re.search(r"_(\d{5})\.c", n)[1] for names in found.values() for n in names]
+    assert sorted(buckets) == [f"{b:05}" for b in range(8)]
     with pytest.raises(ValueError):
-        table.expire_versions(keep=0)
+        HistoryTable(spark, "t", AB_SPEC, parts=4, buckets=6)
 
 
-def test_version_file_is_plain_json(spark, table):
+@pytest.mark.parametrize("typed", [True, False])
+def test_a_load_reads_the_snapshot_once_and_reads_nothing_back(spark, table, typed, monkeypatch):
     load_initial(table, ab(spark, *ROWS), D0)
-    stored = json.loads(files.read_text(spark, f"{table.path}/_versions/0000000001.json"))
-    assert stored["as_of"] == D0.isoformat() and stored["max_sk"] == 30
+    seen = spark.sparkContext.accumulator(0)
+    snapshot = ab(spark, *LATER, (None, "n", 1))
+    if not typed:
+        snapshot = snapshot.selectExpr("string(k) AS k", "a", "string(b) AS b")
+    committed, read, commit = [], HistoryTable._table, HistoryTable._commit
+
+    def watched_commit(self, rows, overwrite):
+        commit(self, rows, overwrite)
+        committed.append(True)
+
+    def watched_read(self):
+        assert not committed, "the table was read back"
+        return read(self)
+
+    monkeypatch.setattr(HistoryTable, "_commit", watched_commit)
+    monkeypatch.setattr(HistoryTable, "_table", watched_read)
+    load = apply_snapshot(table, counted(snapshot, seen), D1)
+    assert (load.rejected, seen.value, committed) == (1, len(LATER) + 1, [True])
+
+
+def test_only_the_snapshot_moves_to_be_compared(spark, table, monkeypatch):
+    load_initial(table, ab(spark, *ROWS), D0)
+    plans = {}
+    original = Staging.write
+
+    def remember(self, df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return original(self, df, name, **options)
+
+    monkeypatch.setattr(Staging, "write", remember)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        apply_snapshot(table, ab(spark, *LATER), D1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    compared = plans["compared"]
+    assert compared.count("SortMergeJoin") == 1 and "FullOuter" in compared
+    assert re.findall(r"Exchange (\w+)", compared) == ["hashpartitioning"]
+    # the active rows come first, out of their buckets; the exchange is above the snapshot
+    table_scan, exchange = compared.index("Bucketed: true"), compared.index("Exchange")
+    assert table_scan < exchange < compared.rindex("FileScan parquet")
 
 
 def test_missing_table(table):
@@ -236,57 +391,10 @@ def test_catalog_table(spark, tmp_path):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_closed_folders_are_compacted(spark, table):
-    load_initial(table, ab(spark, *ROWS), D0)
-    apply_snapshot(table, ab(spark, *LATER), D1)
-    apply_snapshot(table, ab(spark, *ROWS), D2)
-    before, rows = table.version(), collected(table.read())
-    assert len(before.closed) == 2
-    version = table.compact_closed()
-    assert len(version.closed) == 1 and version.active == before.active
-    assert (version.active_rows, version.closed_rows, version.max_sk, version.last_start) == (
-        before.active_rows, before.closed_rows, before.max_sk, before.last_start,
-    )
-    assert collected(table.read()) == rows and table.compact_closed() == version
-    table.expire_versions(1)
-    assert collected(table.read()) == rows
-
-
-def test_a_load_that_wrote_other_rows_than_planned_is_not_published(spark, table, monkeypatch):
-    from dataclasses import replace
-
-    load_initial(table, ab(spark, *ROWS), D0)
-    before = table.latest()
-    plain = load_module.plan_merge
-
-    def lossy(*args, **kwargs):
-        merge = plain(*args, **kwargs)
-        return replace(merge, opened=merge.opened.limit(0))
-
-    monkeypatch.setattr(load_module, "plan_merge", lossy)
-    with pytest.raises(CorruptHistory, match="expected"):
-        apply_snapshot(table, ab(spark, *LATER), D1)
-    assert table.latest() == before
-
-
-def test_rows_that_stay_are_written_once_and_kept_by_the_next_version(spark, table):
-    load_initial(table, ab(spark, *ROWS), D0)
-    version = apply_snapshot(table, ab(spark, *LATER), D1)
-    assert any(folder.endswith("=stay") for folder in version.active)
-    same = apply_snapshot(table, ab(spark, *LATER), D2)
-    assert same.active == version.active and same.closed == version.closed
-
-
 def test_change_set_rows_are_read_once(spark, table):
     load_initial(table, ab(spark, *ROWS), D0)
     seen = spark.sparkContext.accumulator(0)
-
-    def counted(rows):
-        for batch in rows:
-            seen.add(batch.num_rows)
-            yield batch
-
     for k, change in ((70, "INSERT"), (70, "UPDATE")):
         rows = ab_history(spark, (k, "n", 1, 90, D1, END, True))
-        apply_change_set(table, rows.mapInArrow(counted, rows.schema), change)
+        apply_change_set(table, counted(rows, seen), change)
     assert seen.value == 2
