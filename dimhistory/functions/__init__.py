@@ -7,6 +7,8 @@ from dimhistory.functions.columns import (
     normalize_names,
     project,
     quoted,
+    sql_date,
+    sql_name,
     stamp_date,
     strip_suffix,
     with_constants,
@@ -22,6 +24,8 @@ __all__ = [
     "normalize_names",
     "project",
     "quoted",
+    "sql_date",
+    "sql_name",
     "stamp_date",
     "strip_suffix",
     "with_constants",

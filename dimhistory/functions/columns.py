@@ -11,9 +11,19 @@ from pyspark.sql import functions as F
 FINGERPRINT = "hash_md5"
 
 
+def sql_name(name: str) -> str:
+    """A name as SQL text, whatever punctuation it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_date(date: dt.date) -> str:
+    """A date as SQL text."""
+    return f"DATE '{date.isoformat()}'"
+
+
 def quoted(name: str) -> Column:
     """Column of exactly this name, whatever punctuation it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
 def normalize_names(names: Iterable[str]) -> list[str]:
@@ -41,7 +51,7 @@ def strip_suffix(df: DataFrame, suffix: str) -> DataFrame:
 
 
 def project(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*[quoted(name) for name in names])
+    return df.selectExpr(*map(sql_name, names))
 
 
 def fingerprint(names: Sequence[str]) -> Column:

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimhistory.functions import append_suffix, quoted, with_fingerprint
+from dimhistory.functions import append_suffix, quoted, sql_name, with_fingerprint
 from dimhistory.spec import DELETE, INSERT, NOCHANGE, UPDATE, HistorySpec
 
 OLD, NEW = "_history", "_current"
@@ -35,16 +32,16 @@ def full_outer_join(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> Da
     meet in one task.
     """
     left, right = append_suffix(old, OLD), append_suffix(new, NEW)
-    same_key = reduce(and_, [quoted(k + OLD) == quoted(k + NEW) for k in keys])
-    return left.join(right, same_key, "full")
+    same_key = " AND ".join(f"{sql_name(k + OLD)} = {sql_name(k + NEW)}" for k in keys)
+    return left.join(right, F.expr(same_key), "full")
 
 
 def unchanged(spec: HistorySpec) -> Column:
     """Whether the two sides of a pair agree in all tracked columns."""
     if spec.compare == "md5":
         return quoted(_FINGERPRINT + OLD) == quoted(_FINGERPRINT + NEW)
-    same = [quoted(c + OLD).eqNullSafe(quoted(c + NEW)) for c in spec.tracked]
-    return reduce(and_, same, F.lit(True))
+    same = [f"{sql_name(c + OLD)} <=> {sql_name(c + NEW)}" for c in spec.tracked]
+    return F.expr(" AND ".join(same) or "true")
 
 
 def classify(pairs: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -66,7 +63,7 @@ def detect_changes(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) -
     before the join, where a missing side still has none.
     """
     active = filter_active(history, spec)
-    snapshot = snapshot.where(reduce(and_, [quoted(k).isNotNull() for k in spec.keys]))
+    snapshot = snapshot.where(" AND ".join(f"{sql_name(k)} IS NOT NULL" for k in spec.keys))
     if spec.compare == "md5":
         active = with_fingerprint(active, spec.tracked, _FINGERPRINT)
         snapshot = with_fingerprint(snapshot, spec.tracked, _FINGERPRINT)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimhistory.functions import project, quoted
+from dimhistory.functions import project, quoted, sql_name
 from dimhistory.operators.changes import filter_active, filter_inactive
 from dimhistory.operators.screening import broken_rows, duplicate_keys
 from dimhistory.spec import HistorySpec
@@ -40,8 +40,7 @@ def violations(
     before: DataFrame, after: DataFrame, accepted: DataFrame, spec: HistorySpec, as_of: dt.date
 ) -> DataFrame:
     """Violations per check of a merge of ``accepted`` rows into ``before``; all 0 when sound."""
-    flag, sk = quoted(spec.flag), quoted(spec.sk)
-    start, end = quoted(spec.effective), quoted(spec.expiration)
+    sk, start = quoted(spec.sk), quoted(spec.effective)
     active = filter_active(after, spec)
     source = spec.attributes(before.schema)
     untracked = [c for c in source if c not in (*spec.keys, *spec.tracked)]
@@ -85,15 +84,21 @@ def violations(
     ]
     broken = broken_rows(spec)
     by_row = {
-        "no null surrogate key or flag": broken["null surrogate key"] | broken["null flag"],
-        "no null date": broken["null effective date"] | broken["null expiration date"],
-        "intervals do not end before they start": broken["end before start"],
-        "active intervals are open": flag & ~end.eqNullSafe(F.lit(spec.end_date)),
-        "closed intervals end": broken["open end of a closed row"],
+        "no null surrogate key or flag": ("null surrogate key", "null flag"),
+        "no null date": ("null effective date", "null expiration date"),
+        "intervals do not end before they start": ("end before start",),
+        "active intervals are open": ("end of an active row", "null end of an active row"),
+        "closed intervals end": ("open end of a closed row",),
     }
+    broken["null end of an active row"] = (
+        f"{sql_name(spec.flag)} <=> true AND {sql_name(spec.expiration)} IS NULL"
+    )
     found = [
-        F.struct(F.lit(check).alias("check"), F.count_if(bad).alias("violations"))
-        for check, bad in by_row.items()
+        F.struct(
+            F.lit(check).alias("check"),
+            F.expr("count_if({})".format(" OR ".join(f"({broken[w]})" for w in whys))).alias("violations"),
+        )
+        for check, whys in by_row.items()
     ]
     # one pass for all conditions of single rows
     result = after.agg(F.array(*found).alias("found")).select(F.inline("found"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimhistory.errors import DuplicateKeys
-from dimhistory.functions import quoted
+from dimhistory.functions import project, quoted
+from dimhistory.operators.screening import require_unique
 from dimhistory.sources.staging import Staging
 
 _TIE, _TASK, _COPIES = "__tie", "__task", "__copies"
@@ -48,16 +49,10 @@ def dense_row_number(
     """
     by = [quoted(name) for name in order_by]
     if rows is not None and rows <= ROWS_ALONE:
+        if unique and not verified:
+            require_unique(df, order_by, "what is to be numbered")
         place = F.row_number().over(Window.orderBy(*by)).cast("bigint") + start
-        numbered = df.withColumn(into, place)
-        if not unique or verified:
-            return numbered
-        copies = F.count(F.lit(1)).over(Window.partitionBy(*by))
-        numbered, seen = staging.observed(
-            numbered.withColumn(_COPIES, copies), "numbered", {"copies": F.max(_COPIES)}
-        )
-        _require_single(numbered, seen["copies"], order_by)
-        return numbered.drop(_COPIES)
+        return df.withColumn(into, place)
     sort = by
     if not unique:
         df = df.withColumn(_TIE, _row_hash(df)).withColumn(_TASK, F.spark_partition_id())
@@ -71,9 +66,12 @@ def dense_row_number(
     placed, seen = staging.observed(
         ordered.withColumn(_COPIES, copies).withColumn(_POSITION, F.monotonically_increasing_id()),
         "positions",
-        {"copies": F.max(_COPIES), "last": F.max(F.shiftright(_POSITION, _ROW_BITS))},
+        {"copies": f"max({_COPIES})", "last": f"max(shiftright({_POSITION}, {_ROW_BITS}))"},
     )
-    _require_single(placed, seen["copies"], order_by)
+    if (seen["copies"] or 0) > 1:
+        repeated = project(placed.where(F.col(_COPIES) > 1), order_by)
+        examples = [tuple(row) for row in repeated.limit(5).collect()]
+        raise DuplicateKeys(f"repeated values of {list(order_by)}, among them {examples}")
     placed = placed.drop(_COPIES).withColumn(_RANGE, F.shiftright(_POSITION, _ROW_BITS))
     in_range = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     if seen["last"]:
@@ -97,13 +95,6 @@ def _holds_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType | T.VariantType)
 
 
-def _require_single(rows: DataFrame, copies: int | None, order_by: Sequence[str]) -> None:
-    if (copies or 0) > 1:
-        repeated = rows.where(F.col(_COPIES) > 1).select(*[quoted(c) for c in order_by])
-        examples = [tuple(row) for row in repeated.limit(5).collect()]
-        raise DuplicateKeys(f"repeated values of {list(order_by)}, among them {examples}")
-
-
 def _offsets(placed: DataFrame, start: int) -> DataFrame:
     """Rows before each range. One row per shuffle partition, however many rows there are."""
     ranges = placed.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -128,8 +119,7 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Number rows of unique ``keys`` from ``start + 1`` in key order, a null key first.
 
-    Unless ``rows`` tells that they are few, ``df`` is read twice, the first time for samples of
-    its keys: stage it if that is dear.
+    ``df`` is read twice, the first time for its keys alone: stage it if that is dear.
     """
     return dense_row_number(df, keys, sk, staging, start=start, unique=True, rows=rows)
 

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimhistory.errors import CorruptHistory, DuplicateKeys, HistoryError, SchemaMismatch
-from dimhistory.functions import quoted
+from dimhistory.functions import project, quoted, sql_date, sql_name
 from dimhistory.sources.staging import Staging
 from dimhistory.spec import HistorySpec
 
@@ -58,22 +56,22 @@ def screen_once(
     counted by the tasks that write them.
     """
     reason, converted = _screen(snapshot, schema, keys)
-    as_it_came = F.struct(*[quoted(c) for c in snapshot.columns])
+    as_it_came = F.expr("named_struct({})".format(
+        ", ".join(f"{_text(c)}, {sql_name(c)}" for c in snapshot.columns)
+    ))
     rows, n = staging.observed(
         snapshot.select(
             reason.alias(_WHY), F.when(reason.isNotNull(), as_it_came).alias(_CAME), *converted
         ),
         "screened",
-        {
-            "accepted": F.count_if(F.col(_WHY).isNull()),
-            "rejected": F.count_if(F.col(_WHY).isNotNull()),
-        },
+        {"accepted": f"count_if({_WHY} IS NULL)", "rejected": f"count_if({_WHY} IS NOT NULL)"},
     )
-    rejected = rows.where(F.col(_WHY).isNotNull())
+    rejected = rows.where(f"{_WHY} IS NOT NULL")
     return Screened(
-        rows.where(F.col(_WHY).isNull()).select(*[quoted(f.name) for f in schema.fields]),
-        rejected.select(
-            *[F.col(_CAME).getField(c).alias(c) for c in snapshot.columns], F.col(_WHY).alias(REASON)
+        project(rows.where(f"{_WHY} IS NULL"), schema.names),
+        rejected.selectExpr(
+            *[f"{_CAME}.{sql_name(c)} AS {sql_name(c)}" for c in snapshot.columns],
+            f"{_WHY} AS {REASON}",
         ),
         n["accepted"],
         n["rejected"],
@@ -91,6 +89,11 @@ def usable_keys(rejected: DataFrame, schema: T.StructType, keys: Sequence[str])
     return lines.where(whole).select(*found).distinct()
 
 
+def _text(value: str) -> str:
+    """A text as SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _screen(
     snapshot: DataFrame, schema: T.StructType, keys: Sequence[str]
 ) -> tuple[Column, list[Column]]:
@@ -109,7 +112,9 @@ def _screen(
         value, kept = _convert(column, source, field.dataType)
         problems.append(F.when(column.isNotNull() & ~kept, F.lit(f"bad value: {field.name}")))
         converted.append(value.alias(field.name))
-    problems += [F.when(quoted(k).isNull(), F.lit(f"null key: {k}")) for k in keys]
+    problems += [
+        F.expr(f"if({sql_name(k)} IS NULL, {_text(f'null key: {k}')}, NULL)") for k in keys
+    ]
     return F.coalesce(*problems), converted
 
 
@@ -244,37 +249,33 @@ class Profile:
             raise HistoryError(f"{as_of} is before {self.last_end}, when a closed version ends")
 
 
-def broken_rows(spec: HistorySpec, name: Callable[[str], str] = str) -> dict[str, Column]:
-    """Conditions that no row of a history may meet; each is true or false, never null.
-
-    ``name`` tells under which name a column of the history stands.
-    """
-    flag, sk, start, end = (quoted(name(c)) for c in (spec.flag, spec.sk, spec.effective, spec.expiration))
-    null_key = reduce(or_, [quoted(name(k)).isNull() for k in spec.keys])
-    open_end = end.eqNullSafe(F.lit(spec.end_date))
-    active, closed = flag.eqNullSafe(F.lit(True)), flag.eqNullSafe(F.lit(False))
+def broken_rows(spec: HistorySpec) -> dict[str, str]:
+    """Conditions, as SQL, that no row of a history may meet; each is true or false, never null."""
+    flag, sk, start, end = map(sql_name, (spec.flag, spec.sk, spec.effective, spec.expiration))
+    null_key = " OR ".join(f"{sql_name(k)} IS NULL" for k in spec.keys)
+    open_end = f"{end} <=> {sql_date(spec.end_date)}"
     return {
-        "null flag": flag.isNull(),
-        "null surrogate key": sk.isNull(),
-        "null business key": active & null_key,
-        "null effective date": start.isNull(),
-        "null expiration date": end.isNull(),
-        "end before start": F.coalesce(start > end, F.lit(False)),
-        "end of an active row": active & end.isNotNull() & ~open_end,
-        "open end of a closed row": closed & open_end,
+        "null flag": f"{flag} IS NULL",
+        "null surrogate key": f"{sk} IS NULL",
+        "null business key": f"{flag} <=> true AND ({null_key})",
+        "null effective date": f"{start} IS NULL",
+        "null expiration date": f"{end} IS NULL",
+        "end before start": f"coalesce({start} > {end}, false)",
+        "end of an active row": f"{flag} <=> true AND {end} IS NOT NULL AND NOT ({open_end})",
+        "open end of a closed row": f"{flag} <=> false AND {open_end}",
     }
 
 
-def profile_metrics(spec: HistorySpec, name: Callable[[str], str] = str) -> dict[str, Column]:
-    """Aggregates from which :func:`measured` makes a profile."""
-    flag, sk, start, end = (quoted(name(c)) for c in (spec.flag, spec.sk, spec.effective, spec.expiration))
+def profile_metrics(spec: HistorySpec, among: str = "true") -> dict[str, str]:
+    """Aggregates, as SQL, from which :func:`measured` makes a profile of the rows ``among``."""
+    flag, sk, start, end = map(sql_name, (spec.flag, spec.sk, spec.effective, spec.expiration))
     return {
-        "active": F.count_if(flag),
-        "closed": F.count_if(~flag),
-        "sk": F.max(sk),
-        "start": F.max(F.when(flag, start)),
-        "end": F.max(F.when(~flag, end)),
-        **{why: F.count_if(bad) for why, bad in broken_rows(spec, name).items()},
+        "active": f"count_if({flag})",
+        "closed": f"count_if(NOT {flag})",
+        "sk": f"max({sk})",
+        "start": f"max(if({flag}, {start}, NULL))",
+        "end": f"max(if({flag}, NULL, {end}))",
+        **{why: f"count_if(({among}) AND {bad})" for why, bad in broken_rows(spec).items()},
     }
 
 
@@ -292,5 +293,5 @@ def profile(spec: HistorySpec, history: DataFrame) -> Profile:
     That is null flags, keys, surrogate keys or dates, intervals that end before they start, and
     intervals that are open or closed against their flag.
     """
-    metrics = profile_metrics(spec)
-    return measured(spec, history.agg(*[c.alias(key) for key, c in metrics.items()]).first().asDict())
+    metrics = [f"{sql} AS `{name}`" for name, sql in profile_metrics(spec).items()]
+    return measured(spec, history.selectExpr(*metrics).first().asDict())

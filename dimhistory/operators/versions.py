@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimhistory.functions import quoted, stamp_date, with_constants
+from dimhistory.functions import sql_date, sql_name
 from dimhistory.operators.changes import ACTION, NEW, OLD, filter_action
 from dimhistory.operators.numbering import assign_surrogate_keys, dense_row_number
 from dimhistory.sources.staging import Staging
@@ -19,22 +19,28 @@ _CLASS = "__class"
 def _side(changes: DataFrame, suffix: str, *extra: str) -> DataFrame:
     """The columns of one side under their own names."""
     names = [c.removesuffix(suffix) for c in changes.columns if c.endswith(suffix)]
-    return changes.select(
-        *[quoted(n + suffix).alias(n) for n in names], *extra
+    return changes.selectExpr(
+        *[f"{sql_name(n + suffix)} AS {sql_name(n)}" for n in names], *map(sql_name, extra)
     )
 
 
-def _expire(rows: DataFrame, spec: HistorySpec, as_of: dt.date) -> DataFrame:
-    return with_constants(stamp_date(rows, as_of, spec.expiration), {spec.flag: False})
+def _expired(changes: DataFrame, spec: HistorySpec, as_of: dt.date) -> DataFrame:
+    """The history's side of changes, closed at ``as_of``."""
+    new = {spec.expiration: sql_date(as_of), spec.flag: "false"}
+    names = [c.removesuffix(OLD) for c in changes.columns if c.endswith(OLD)]
+    return changes.selectExpr(
+        *[f"{new.get(n, sql_name(n + OLD))} AS {sql_name(n)}" for n in names]
+    )
 
 
 def open_versions(rows: DataFrame, spec: HistorySpec, as_of: dt.date) -> DataFrame:
     """Give numbered source rows an interval that starts at ``as_of`` and has no end."""
-    rows = stamp_date(rows, as_of, spec.effective)
-    rows = stamp_date(rows, spec.end_date, spec.expiration)
-    return with_constants(rows, {spec.flag: True}).select(
-        *[quoted(c) for c in spec.attributes(rows.schema)],
-        *[quoted(c) for c in spec.scd_columns],
+    return rows.selectExpr(
+        *map(sql_name, spec.attributes(rows.schema)),
+        sql_name(spec.sk),
+        f"{sql_date(as_of)} AS {sql_name(spec.effective)}",
+        f"{sql_date(spec.end_date)} AS {sql_name(spec.expiration)}",
+        f"true AS {sql_name(spec.flag)}",
     )
 
 
@@ -45,17 +51,17 @@ def rows_nochange(changes: DataFrame) -> DataFrame:
 
 def rows_deleted(changes: DataFrame, spec: HistorySpec, as_of: dt.date) -> DataFrame:
     """Versions of keys the snapshot lacks, expired in place."""
-    return _expire(_side(filter_action(changes, DELETE), OLD), spec, as_of)
+    return _expired(filter_action(changes, DELETE), spec, as_of)
 
 
 def rows_updated_old(changes: DataFrame, spec: HistorySpec, as_of: dt.date) -> DataFrame:
     """Old versions of changed keys, expired in place."""
-    return _expire(_side(filter_action(changes, UPDATE), OLD), spec, as_of)
+    return _expired(filter_action(changes, UPDATE), spec, as_of)
 
 
 def rows_closed(changes: DataFrame, spec: HistorySpec, as_of: dt.date) -> DataFrame:
     """Deleted rows and old versions in one pass."""
-    return _expire(_side(filter_action(changes, DELETE, UPDATE), OLD), spec, as_of)
+    return _expired(filter_action(changes, DELETE, UPDATE), spec, as_of)
 
 
 def rows_inserted(
@@ -64,7 +70,7 @@ def rows_inserted(
     """First versions of new keys, numbered after ``max_sk`` in key order."""
     # numbering may read its rows more than once, and these come out of a join
     rows, n = staging.observed(
-        _side(filter_action(changes, INSERT), NEW), "inserted", {"rows": F.count(F.lit(1))}
+        _side(filter_action(changes, INSERT), NEW), "inserted", {"rows": "count(*)"}
     )
     rows = assign_surrogate_keys(
         rows, spec.keys, spec.sk, staging, start=max_sk, rows=n["rows"]
@@ -77,7 +83,7 @@ def rows_updated_new(
 ) -> DataFrame:
     """New versions of changed keys, numbered after ``max_sk``, the last inserted key."""
     rows, n = staging.observed(
-        _side(filter_action(changes, UPDATE), NEW), "updated", {"rows": F.count(F.lit(1))}
+        _side(filter_action(changes, UPDATE), NEW), "updated", {"rows": "count(*)"}
     )
     rows = assign_surrogate_keys(
         rows, spec.keys, spec.sk, staging, start=max_sk, rows=n["rows"]
@@ -100,7 +106,7 @@ def rows_opened(
     there is none.
     """
     # the class goes into the order, not a second numbering with its own start
-    place = F.when(F.col(ACTION) == INSERT, 0).otherwise(1)
+    place = F.expr(f"if({ACTION} = '{INSERT}', 0, 1)")
     new = filter_action(changes, INSERT, UPDATE).withColumn(_CLASS, place)
     new = _side(new, NEW, _CLASS)
     new = dense_row_number(

@@ -17,6 +17,7 @@ from dimhistory.operators.apply import (
     union_by_name,
 )
 from dimhistory.operators.changes import ACTION
+from dimhistory.operators.numbering import ROWS_ALONE
 from dimhistory.operators.screening import profile, require_unique, usable_keys
 from dimhistory.plans.merge import Merge, accept_once, number_first_versions, plan_merge
 from dimhistory.sources.jdbc import JdbcTable
@@ -67,7 +68,7 @@ def apply_snapshot(
             table.closed_profile(),
             screened.n_accepted,
             held,
-            buckets=table.sizes[1],
+            stored=table.sizes,
         )
         if screened.n_rejected:
             screened.rejected.write.parquet(table.rejects_path(load))
@@ -84,33 +85,25 @@ def apply_snapshot(
 
 def _write_changes(table: HistoryTable, merge: Merge, load: str) -> None:
     """Write the parts that a merge changes, and the rows it closes, in one commit."""
-    spec, active = table.spec, F.lit(True)
-    parts = (
-        merge.changes.groupBy(table.part_of(active, load).alias(PART))
-        .agg(
-            F.count_if(F.col(ACTION) != INSERT).alias("leaving"),
-            F.count_if(F.col(ACTION) != DELETE).alias("arriving"),
-        )
-        .collect()  # one row per part
-    )
+    spec, touched = table.spec, merge.leaving | merge.arriving
     keys = list(spec.keys)
-    gone = project(merge.changes.where(F.col(ACTION) != INSERT), keys).withColumn(_GONE, active)
-    stays = table.read_parts((True, r[PART]) for r in parts).join(gone, keys, "left")
+    gone = project(merge.changes.where(f"{ACTION} <> '{INSERT}'"), keys).withColumn(_GONE, F.lit(True))
+    stays = table.read_parts((True, table.part_name(p)) for p in touched).join(gone, keys, "left")
     none = F.lit(None).cast("boolean")
     rows = union_by_name(
         stays.withColumn(_FROM, F.lit(0)),
-        table.placed(merge.opened, load).withColumn(_GONE, none).withColumn(_FROM, F.lit(1)),
-        table.placed(merge.closed, load).withColumn(_GONE, none).withColumn(_FROM, F.lit(2)),
+        table.placed(merge.opened, load, merge.n_opened <= ROWS_ALONE).withColumn(_GONE, none).withColumn(_FROM, F.lit(1)),
+        table.placed(merge.closed, load, merge.n_closed <= ROWS_ALONE).withColumn(_GONE, none).withColumn(_FROM, F.lit(2)),
     )
     seen = table.overwrite_parts(
         rows,
-        may_empty=[(True, r[PART]) for r in parts if r["leaving"] and not r["arriving"]],
+        may_empty=[(True, table.part_name(p)) for p in merge.leaving - merge.arriving],
         metrics={
-            "gone": F.count_if(F.col(_GONE)),
-            "opened": F.count_if(F.col(_FROM) == 1),
-            "closed": F.count_if(F.col(_FROM) == 2),
+            "gone": f"count_if({_GONE})",
+            "opened": f"count_if({_FROM} = 1)",
+            "closed": f"count_if({_FROM} = 2)",
         },
-        where=F.col(_GONE).isNull(),
+        where=f"{_GONE} IS NULL",
         drop=[_GONE, _FROM],
     )
     found = seen["gone"], seen["opened"], seen["closed"]

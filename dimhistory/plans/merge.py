@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimhistory.errors import DuplicateKeys
-from dimhistory.functions import quoted
+from dimhistory.functions import project, quoted, sql_name
 from dimhistory.operators.apply import union_by_name
 from dimhistory.operators.changes import (
     ACTION,
@@ -25,7 +25,6 @@ from dimhistory.operators.partitioning import spread
 from dimhistory.operators.screening import (
     Profile,
     Screened,
-    broken_rows,
     latest_per_key,
     measured,
     profile,
@@ -43,6 +42,8 @@ _COPIES, _HELD = "__copies", "__held"
 # Folders of a staged comparison: rows that stay as they are, and everything else.
 KIND, STAY, CHANGE = "dimhistory_kind", "stay", "change"
 _ACTION, _NEW, _OLD = "__action", "__new", "__old"
+# Parts of a stored history that are counted in one number.
+PARTS_PER_SET = 62
 
 
 def accept_snapshot(
@@ -76,7 +77,7 @@ def accept_once(
     screened = screen_once(snapshot, schema, spec.keys, staging)
     if on_duplicate == "latest":
         latest = latest_per_key(screened.accepted, spec.keys, order_by)
-        latest, n = staging.observed(latest, "latest", {"rows": F.count(F.lit(1))})
+        latest, n = staging.observed(latest, "latest", {"rows": "count(*)"})
         screened = replace(screened, accepted=latest, n_accepted=n["rows"])
     return screened
 
@@ -120,7 +121,8 @@ class Merge:
     """What a snapshot does to a history. ``closed`` and ``opened`` are as large as the change.
 
     ``stays`` are the active rows that no change concerns, out of the comparison itself, if they
-    were asked for. ``changes`` holds the keys of all others, each with its action.
+    were asked for. ``changes`` holds the keys of all others, each with its action. Of a stored
+    history, versions leave the parts ``leaving`` and come into the parts ``arriving``.
     """
 
     spec: HistorySpec
@@ -130,6 +132,8 @@ class Merge:
     opened: DataFrame
     counts: dict[str, int]
     before: Profile
+    leaving: set[int]
+    arriving: set[int]
 
     @property
     def n_closed(self) -> int:
@@ -149,7 +153,7 @@ def plan_merge(
     before: Profile,
     rows: int,
     held: DataFrame | None = None,
-    buckets: int | None = None,
+    stored: tuple[int, int] | None = None,
 ) -> Merge:
     """Compare active rows and the ``rows`` accepted ones once and write every pair once.
 
@@ -157,55 +161,61 @@ def plan_merge(
     own; changed keys carry both sides, and only they are read again. So the active rows are
     read and shuffled once, and no row depends on a surrogate key to be found.
 
-    With ``buckets`` the history is stored in so many buckets of its keys: only the snapshot
+    With ``stored`` the history lies in so many parts and buckets of its keys: only the snapshot
     moves, to the bucket of its keys. Rows that stay are then not written, since they stay where
-    they are; ``before`` tells of the closed rows, and the active ones are measured on the way.
+    they are; ``before`` tells of the closed rows, and the active ones are measured on the way,
+    with the parts that change.
 
     One row per key and side enters the join, with the number of its copies: copies are refused
     afterwards without having been multiplied. Keys of ``held`` were in the snapshot with values
     that could not be used; their versions stay open.
     """
-    stored = buckets is not None
     if not stored:
         before.require_not_before(as_of)
-    active = filter_active(history, spec).withColumn(_OLD, F.lit(True))
-    side = accepted.withColumn(_HELD, F.lit(False))
+    active = filter_active(history, spec).selectExpr("*", f"true AS {_OLD}")
+    side = accepted.selectExpr("*", f"false AS {_HELD}")
     if held is not None:
         side = side.unionByName(held.withColumn(_HELD, F.lit(True)), allowMissingColumns=True)
     if stored:
-        side = side.repartition(buckets, *[quoted(k) for k in spec.keys])
+        side = side.repartition(stored[1], *[quoted(k) for k in spec.keys])
     else:
         most = max(before.active_rows, rows)
         active, side = spread(active, spec.keys, most), spread(side, spec.keys, most)
-    first = [] if held is None else [F.col(_HELD)]
-    side = _one_per_key(side, spec.keys, F.count_if(~F.col(_HELD)), *first)
-    active = _one_per_key(active, spec.keys, F.count(F.lit(1)))
-    old = [quoted(c + OLD).alias(c) for c in history.columns]
-    kept = F.coalesce(F.col(_HELD + NEW), F.lit(False))
-    action = F.when(kept, NOCHANGE).otherwise(F.col(ACTION))
-    copies = F.greatest(F.lit(1), F.col(_COPIES + NEW), F.col(_COPIES + OLD))
-    stay = (action == NOCHANGE) & (copies == 1)
+    side = _one_per_key(side, spec.keys, f"count_if(NOT {_HELD})", "" if held is None else _HELD)
+    active = _one_per_key(active, spec.keys, "count(*)")
+    held_key = f"coalesce({_HELD + NEW}, false)"
+    action = f"if({held_key}, '{NOCHANGE}', {ACTION})"
+    copies = f"greatest(1, {_COPIES + NEW}, {_COPIES + OLD})"
+    stay = f"({action} = '{NOCHANGE}' AND {copies} = 1)"
     pairs = (
         detect_changes(active, side, spec)
-        .where(~(kept & quoted(spec.keys[0] + OLD).isNull()))
-        .select(
-            F.when(stay, STAY).otherwise(CHANGE).alias(KIND),
-            action.alias(_ACTION),
-            copies.cast("bigint").alias(_COPIES),
-            F.col(_OLD + OLD).alias(_OLD),
-            *old,
-            *[F.when(~stay, quoted(c + NEW)).alias(c + _NEW) for c in accepted.columns],
+        .where(f"NOT ({held_key} AND {sql_name(spec.keys[0] + OLD)} IS NULL)")
+        .selectExpr(
+            f"if({stay}, '{STAY}', '{CHANGE}') AS {KIND}",
+            f"{action} AS {_ACTION}",
+            f"bigint({copies}) AS {_COPIES}",
+            f"{_OLD + OLD} AS {_OLD}",
+            *[f"{sql_name(c + OLD)} AS {sql_name(c)}" for c in history.columns],
+            *[
+                f"if({stay}, NULL, {sql_name(c + NEW)}) AS {sql_name(c + _NEW)}"
+                for c in accepted.columns
+            ],
         )
     )
-    metrics = {a: F.count_if(F.col(_ACTION) == a) for a in (INSERT, DELETE, UPDATE)}
-    metrics |= {_COPIES: F.max(_COPIES)}
+    metrics = {a: f"count_if({_ACTION} = '{a}')" for a in (INSERT, DELETE, UPDATE)}
+    metrics[_COPIES] = f"max({_COPIES})"
     if stored:
         # rows of the snapshot alone would count as rows with null columns
-        measured_rows = profile_metrics(spec)
-        for why, bad in broken_rows(spec).items():
-            measured_rows[why] = F.count_if(F.col(_OLD) & bad)
-        metrics |= measured_rows
-    changed_only = F.col(KIND) == CHANGE if stored else None
+        metrics |= profile_metrics(spec, among=f"{_OLD} <=> true")
+        key = ", ".join(f"coalesce({sql_name(k)}, {sql_name(k + _NEW)})" for k in spec.keys)
+        part = f"pmod(hash({key}), {stored[0]})"
+        for group in range(0, stored[0], PARTS_PER_SET):
+            # a set of parts as bits of one number
+            bit = f"if({part} DIV {PARTS_PER_SET} = {group // PARTS_PER_SET}, shiftleft(1L, {part} % {PARTS_PER_SET}), 0L)"
+            for name, action in (("leaving", INSERT), ("arriving", DELETE)):
+                other = f"{KIND} = '{CHANGE}' AND {_ACTION} <> '{action}'"
+                metrics[f"{name} {group}"] = f"bit_or(if({other}, {bit}, 0L))"
+    changed_only = f"{KIND} = '{CHANGE}'" if stored else None
     compared, found = staging.observed(pairs, "compared", metrics, changed_only, by=KIND)
     if (found[_COPIES] or 0) > 1:
         require_unique(filter_active(history, spec), spec.keys, "active history")
@@ -222,40 +232,52 @@ def plan_merge(
         before.require_not_before(as_of)
     counts = {a: found[a] for a in (INSERT, DELETE, UPDATE)}
     n_opened = counts[INSERT] + counts[UPDATE]
-    names = [quoted(c) for c in history.columns]
-    changed = compared.where(F.col(KIND) == CHANGE)
-    delta = changed.select(
-        F.col(_ACTION).alias(ACTION),
-        *[quoted(c).alias(c + OLD) for c in history.columns],
-        *[quoted(c + _NEW).alias(c + NEW) for c in accepted.columns],
+    names = history.columns
+    changed = compared.where(f"{KIND} = '{CHANGE}'")
+    delta = changed.selectExpr(
+        f"{_ACTION} AS {ACTION}",
+        *[f"{sql_name(c)} AS {sql_name(c + OLD)}" for c in names],
+        *[f"{sql_name(c + _NEW)} AS {sql_name(c + NEW)}" for c in accepted.columns],
     )
     opened = history.limit(0)
     if n_opened:
-        opened = rows_opened(
-            delta, spec, as_of, before.max_sk, staging, n_opened, verified=True
-        ).select(*names)
+        opened = project(
+            rows_opened(delta, spec, as_of, before.max_sk, staging, n_opened, verified=True), names
+        )
+    def parts(name: str) -> set[int]:
+        sets = range(0, stored[0], PARTS_PER_SET) if stored else ()
+        return {
+            group + i for group in sets for i in range(PARTS_PER_SET)
+            if (found[f"{name} {group}"] or 0) >> i & 1
+        }
+
     return Merge(
         spec=spec,
-        stays=None if stored else compared.where(F.col(KIND) == STAY).select(*names),
-        changes=changed.select(
-            *[F.coalesce(quoted(k), quoted(k + _NEW)).alias(k) for k in spec.keys],
-            F.col(_ACTION).alias(ACTION),
+        stays=None if stored else project(compared.where(f"{KIND} = '{STAY}'"), names),
+        changes=changed.selectExpr(
+            *[f"coalesce({sql_name(k)}, {sql_name(k + _NEW)}) AS {sql_name(k)}" for k in spec.keys],
+            f"{_ACTION} AS {ACTION}",
         ),
-        closed=rows_closed(delta, spec, as_of).select(*names),
+        closed=project(rows_closed(delta, spec, as_of), names),
         opened=opened,
         counts=counts,
         before=before,
+        leaving=parts("leaving"),
+        arriving=parts("arriving"),
     )
 
 
-def _one_per_key(df: DataFrame, keys: tuple[str, ...], copies: Column, *first: Column) -> DataFrame:
+def _one_per_key(df: DataFrame, keys: tuple[str, ...], copies: str, first: str = "") -> DataFrame:
     """One row of each key with the number of its copies, in the partitions of the join."""
-    by = [quoted(k) for k in keys]
-    same_key = Window.partitionBy(*by).orderBy(*by, *first)
-    whole = same_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    by = ", ".join(map(sql_name, keys))
+    same_key = f"PARTITION BY {by} ORDER BY {by}" + (f", {first}" if first else "")
+    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
     return (
-        df.withColumn("__place", F.row_number().over(same_key))
-        .withColumn(_COPIES, copies.over(whole))
+        df.selectExpr(
+            "*",
+            f"row_number() OVER ({same_key}) AS __place",
+            f"{copies} OVER ({same_key} {whole}) AS {_COPIES}",
+        )
         .where("__place = 1")
         .drop("__place")
     )

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from dimhistory.sources import files
 
@@ -49,17 +50,17 @@ class Staging:
         self,
         df: DataFrame,
         name: str,
-        metrics: dict[str, Column],
-        where: Column | None = None,
+        metrics: dict[str, str],
+        where: str | None = None,
         by: str | None = None,
     ) -> tuple[DataFrame, dict]:
-        """``write`` that also returns aggregates of all rows, taken by the tasks that write them.
+        """``write`` that also returns SQL aggregates of all rows, taken by the tasks that write them.
 
         ``where`` chooses what is written of the rows that are measured. Nothing is read again to
         be counted, and the numbers belong to the rows written even if the source changes.
         """
         taken = Observation()
-        df = df.observe(taken, *[column.alias(key) for key, column in metrics.items()])
+        df = df.observe(taken, *[F.expr(f"{sql} AS `{key}`") for key, sql in metrics.items()])
         written = self.write(df if where is None else df.where(where), name, by=by)
         return written, taken.get
 

@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimhistory.errors import ConcurrentPublish, HistoryError, SchemaMismatch
-from dimhistory.functions import project, quoted
+from dimhistory.errors import ConcurrentPublish, CorruptHistory, HistoryError, SchemaMismatch
+from dimhistory.functions import project, quoted, sql_name
 from dimhistory.operators.changes import filter_active, filter_inactive
 from dimhistory.operators.screening import Profile, broken_rows, profile, profile_metrics
 from dimhistory.sources import files
@@ -38,6 +38,7 @@ PART = "dimhistory_part"
 _PARTS, _BUCKETS = "dimhistory.parts", "dimhistory.buckets"
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 _LOCK = "_loading"
+_BROKEN = "a row breaks the history"
 
 #: A partition: whether its rows are active, and its part.
 Place = tuple[bool, str]
@@ -109,14 +110,16 @@ class HistoryTable:
 
     def read(self) -> DataFrame:
         """All rows. A filter on the flag reads the folders of that flag only."""
-        return self._table().drop(PART).select(*self._names())
+        table = self._table()
+        return project(table, self._names(table))
 
-    def _names(self) -> list[Column]:
-        names = [n for n in self._table().columns if n not in (PART, *self.spec.scd_columns)]
-        return [quoted(n) for n in [*names, *self.spec.scd_columns]]
+    def _names(self, table: DataFrame) -> list[str]:
+        names = [n for n in table.columns if n not in (PART, *self.spec.scd_columns)]
+        return [*names, *self.spec.scd_columns]
 
     def read_with_part(self) -> DataFrame:
-        return self._table().select(*self._names(), PART)
+        table = self._table()
+        return project(table, [*self._names(table), PART])
 
     def read_active(self) -> DataFrame:
         return filter_active(self.read(), self.spec)
@@ -144,15 +147,18 @@ class HistoryTable:
         place = F.pmod(F.hash(*[quoted(k) for k in self.spec.keys]), F.lit(self.sizes[0]))
         return F.when(active, F.format_string("active-%05d", place)).otherwise(F.lit(f"closed-{load}"))
 
+    @staticmethod
+    def part_name(part: int) -> str:
+        return f"active-{part:05}"
+
     def with_part(self, rows: DataFrame, load: str) -> DataFrame:
         return rows.withColumn(PART, self.part_of(quoted(self.spec.flag), load))
 
     def read_parts(self, places: Iterable[Place]) -> DataFrame:
         """The rows of some partitions, with their part; no others are read."""
-        rows, chosen = self._table(), F.lit(False)
-        for flag, part in sorted(places):
-            chosen = chosen | ((quoted(self.spec.flag) == flag) & (F.col(PART) == part))
-        return rows.where(chosen).select(*self._names(), PART)
+        flag = sql_name(self.spec.flag)
+        chosen = [f"({flag} = {str(a).lower()} AND {PART} = '{p}')" for a, p in sorted(places)]
+        return self.read_with_part().where(" OR ".join(chosen) or "false")
 
     def partitions(self) -> set[Place]:
         """Flag and part of all partitions."""
@@ -182,10 +188,15 @@ class HistoryTable:
     def unlock(self) -> None:
         files.delete(self.spark, f"{self.location}/{_LOCK}")
 
-    def placed(self, rows: DataFrame, load: str) -> DataFrame:
-        """Rows of a load with their part, in the buckets of their keys: one file for each."""
-        by = [quoted(k) for k in self.spec.keys]
-        return self.with_part(rows, load).repartition(self.sizes[1], *by)
+    def placed(self, rows: DataFrame, load: str, few: bool = False) -> DataFrame:
+        """Rows of a load with their part, dealt so that each bucket of a part is one file.
+
+        Buckets are dealt to one task each, or if there are ``few`` rows to one task altogether.
+        """
+        rows = self.with_part(rows, load)
+        if few:
+            return rows.coalesce(1)
+        return rows.repartition(self.sizes[1], *[quoted(k) for k in self.spec.keys])
 
     def append(self, rows: DataFrame) -> None:
         """Add ``rows`` (with their part) in one commit."""
@@ -195,26 +206,24 @@ class HistoryTable:
         self,
         rows: DataFrame,
         may_empty: Iterable[Place] = (),
-        metrics: dict[str, Column] | None = None,
-        where: Column | None = None,
+        metrics: dict[str, str] | None = None,
+        where: str = "true",
         drop: Sequence[str] = (),
     ) -> dict:
         """Make ``rows`` (with their part) the contents of the partitions they lie in, in one commit.
 
         All other partitions stay as they are, but for those of ``may_empty`` that got no row,
-        which are dropped. ``metrics`` are aggregates of all rows, of which ``where`` chooses those
+        which are dropped. ``metrics`` are SQL aggregates of all rows, of which ``where`` chooses those
         to be written, without the columns ``drop``. A row that no history may hold stops the write before its commit.
         """
         taken, places = Observation(), sorted(may_empty)
-        written = F.lit(True) if where is None else where
-        flag = quoted(self.spec.flag)
-        found = [
-            F.max(written & (flag == active) & (F.col(PART) == part)).alias(f"place {i}")
-            for i, (active, part) in enumerate(places)
-        ]
-        named = [column.alias(key) for key, column in (metrics or {}).items()]
-        seen = rows.observe(taken, F.count_if(written).alias("written"), *found, *named)
-        self._commit((seen if where is None else seen.where(where)).drop(*drop), overwrite=True)
+        flag = sql_name(self.spec.flag)
+        wanted = {"written": f"count_if({where})"} | (metrics or {})
+        for i, (active, part) in enumerate(places):
+            here = f"{flag} = {str(active).lower()} AND {PART} = '{part}'"
+            wanted[f"place {i}"] = f"coalesce(max(({where}) AND {here}), false)"
+        seen = rows.observe(taken, *[F.expr(f"{sql} AS `{name}`") for name, sql in wanted.items()])
+        self._commit(seen.where(where).drop(*drop), overwrite=True)
         result = taken.get
         for i, place in enumerate(places):
             if not result[f"place {i}"]:
@@ -222,8 +231,7 @@ class HistoryTable:
         return result
 
     def overwrite(self, history: DataFrame) -> None:
-        """Replace the contents with a complete history."""
-        profile(self.spec, history)
+        """Replace the contents with a complete history, which is read once."""
         self._ensure(history.schema)
         with self.loading() as load:
             self.replace(history, load)
@@ -248,21 +256,25 @@ class HistoryTable:
         self.spark.conf.set(_MODE, "dynamic")
         try:
             rows.write.insertInto(self.name, overwrite=overwrite)
+        except Exception as error:
+            if _BROKEN in str(error):
+                raise CorruptHistory(str(error).partition(_BROKEN)[2].split("\n")[0]) from error
+            raise
         finally:
             self.spark.conf.set(_MODE, before)
 
     def _sound(self, rows: DataFrame) -> DataFrame:
-        broken = broken_rows(self.spec)
-        why = F.coalesce(*[F.when(bad, F.lit(reason)) for reason, bad in broken.items()])
-        refused = F.raise_error(F.concat(F.lit("a row breaks the history: "), why)).cast("boolean")
-        flag = F.when(why.isNull(), quoted(self.spec.flag)).otherwise(refused)
-        return rows.withColumn(self.spec.flag, flag)
+        flag = sql_name(self.spec.flag)
+        why = " ".join(f"WHEN {bad} THEN '{reason}'" for reason, bad in broken_rows(self.spec).items())
+        refused = f"raise_error(concat('{_BROKEN}: ', CASE {why} END))"
+        sound = " AND ".join(f"NOT ({bad})" for bad in broken_rows(self.spec).values())
+        return rows.withColumn(self.spec.flag, F.expr(f"if({sound}, {flag}, boolean({refused}))"))
 
     def _drop(self, place: Place) -> None:
         active, part = place
-        flag, value = self.spec.flag.replace("`", "``"), str(active).lower()
+        flag, value = sql_name(self.spec.flag), str(active).lower()
         self.spark.sql(
-            f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{flag}` = {value}, {PART} = '{part}')"
+            f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({flag} = {value}, {PART} = '{part}')"
         )
         # the files of an external table stay behind
         files.delete(self.spark, f"{self.location}/{self.spec.flag}={value}/{PART}={part}")

@@ -67,7 +67,7 @@ def _staged_changes(spark: SparkSession, case: Case) -> DataFrame:
 
 def _table(spark: SparkSession, spec: HistorySpec) -> HistoryTable:
     name, location = f"history_{uuid.uuid4().hex}", f"{Staging(spark).path}/table"
-    return HistoryTable(spark, name, spec, location, parts=8, buckets=8)
+    return HistoryTable(spark, name, spec, location, parts=4, buckets=4)
 
 
 # sources and sinks

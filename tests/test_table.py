@@ -165,7 +165,7 @@ def test_a_row_that_breaks_the_history_stops_the_write(spark, table, monkeypatch
         return replace(merge, opened=merge.opened.withColumn("effective_date", dates))
 
     monkeypatch.setattr(load_module, "plan_merge", spoilt)
-    with pytest.raises(Exception, match="null effective date"):
+    with pytest.raises(CorruptHistory, match="null effective date"):
         apply_snapshot(table, ab(spark, *LATER), D1)
     assert (collected(table.read()), stored_files(table)) == before
     # the next load is not kept out
