@@ -19,7 +19,7 @@ from dimhistory.operators.apply import (
 from dimhistory.operators.changes import ACTION
 from dimhistory.operators.numbering import ROWS_ALONE
 from dimhistory.operators.screening import profile, require_unique, usable_keys
-from dimhistory.plans.merge import Merge, accept_once, number_first_versions, plan_merge
+from dimhistory.plans.merge import Merge, accept_once, both, number_first_versions, plan_merge
 from dimhistory.sources.jdbc import JdbcTable
 from dimhistory.sources.staging import Staging
 from dimhistory.sources.table import PART, HistoryTable, Place
@@ -57,7 +57,10 @@ def apply_snapshot(
     with table.loading() as load, Staging(table.spark) as staging:
         active = table.read_active()
         schema = spec.source_schema(active.schema)
-        screened = accept_once(snapshot, schema, spec, staging, on_duplicate, order_by)
+        screened, closed = both(
+            lambda: accept_once(snapshot, schema, spec, staging, on_duplicate, order_by),
+            table.closed_profile,
+        )
         held = usable_keys(screened.rejected, schema, spec.keys) if screened.n_rejected else None
         merge = plan_merge(
             active,
@@ -65,7 +68,7 @@ def apply_snapshot(
             spec,
             as_of,
             staging,
-            table.closed_profile(),
+            closed,
             screened.n_accepted,
             held,
             stored=table.sizes,

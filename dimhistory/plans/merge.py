@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +42,7 @@ from dimhistory.operators.versions import open_versions, rows_closed, rows_opene
 from dimhistory.sources.staging import Staging
 from dimhistory.spec import DELETE, INSERT, NOCHANGE, UPDATE, HistorySpec
 
+A, B = TypeVar("A"), TypeVar("B")
 _COPIES, _HELD = "__copies", "__held"
 # Folders of a staged comparison: rows that stay as they are, and everything else.
 KIND, STAY, CHANGE = "dimhistory_kind", "stay", "change"
@@ -82,6 +87,13 @@ def accept_once(
     return screened
 
 
+def both(first: Callable[[], A], second: Callable[[], B]) -> tuple[A, B]:
+    """The results of two calls whose jobs run at the same time; the first one's error comes first."""
+    with ThreadPoolExecutor(1) as pool:
+        other = pool.submit(inheritable_thread_target(SparkSession.getActiveSession())(second))
+        return first(), other.result()
+
+
 def _check_policy(on_duplicate: str, order_by: str | None) -> None:
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
@@ -315,9 +327,11 @@ def merge_with_rejects(
     """
     staging = staging or Staging(history.sparkSession)
     schema = spec.source_schema(history.schema)
-    screened = accept_once(snapshot, schema, spec, staging, on_duplicate, order_by)
+    screened, before = both(
+        lambda: accept_once(snapshot, schema, spec, staging, on_duplicate, order_by),
+        lambda: profile(spec, history),
+    )
     held = usable_keys(screened.rejected, schema, spec.keys) if screened.n_rejected else None
-    before = profile(spec, history)
     merge = plan_merge(
         history, screened.accepted, spec, as_of, staging, before, screened.n_accepted, held
     )

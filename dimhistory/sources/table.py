@@ -21,6 +21,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +78,7 @@ class HistoryTable:
 
     def _ensure(self, schema: T.StructType) -> bool:
         fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
-        return ensure_table(
+        created = ensure_table(
             self.spark,
             self.name,
             T.StructType([*fields, T.StructField(PART, T.StringType())]),
@@ -88,11 +89,15 @@ class HistoryTable:
             buckets=self._buckets,
             properties={_PARTS: self._parts, _BUCKETS: self._buckets},
         )
+        if created:
+            self.sizes = (self._parts, self._buckets)
+        return created
 
     def _table(self) -> DataFrame:
-        if not self.exists():
-            raise HistoryError(f"there is no table {self.name}")
-        return self.spark.table(self.name)
+        try:
+            return self.spark.table(self.name)
+        except AnalysisException as error:
+            raise HistoryError(f"there is no table {self.name}") from error
 
     @cached_property
     def sizes(self) -> tuple[int, int]:
