@@ -31,19 +31,70 @@ def test_label_model_finds_accuracies_and_echoes():
     n = 6000
     truth = rng.random(n) < 0.15
     votes = np.zeros((n, 6), int)
-    for v, (hit, miss) in enumerate([(0.9, 0.02), (0.6, 0.05), (0.4, 0.02)]):
+    for v, (hit, miss) in enumerate([(0.9, 0.02), (0.6, 0.05), (0.4, 0.02), (0.7, 0.04)]):
         votes[:, v] = rng.random(n) < np.where(truth, hit, miss)
-    votes[:, 3] = votes[:, 1]  # an echo
-    votes[:, 4] = -(rng.random(n) < np.where(truth, 0.05, 0.8)).astype(int)
-    for share, least in ((0.2, 0.94), (1.0, 0.99)):
-        known = rng.random(n) < share
-        votes[known, 5] = np.where(truth[known], 1, -1)
-        model = toxicity.fit_label_model(votes)
-        assert ((model.posterior(votes) > 0.5) == truth).mean() > least
-        assert model.correlations[1, 3] > 0.9 and model.weights[1] < 0.6 < model.weights[0]
-    assert np.allclose(model.rates[:, 0], [0.02, 0.9], atol=0.03)
-    assert np.allclose(model.rates[:, 4], [0.8, 0.05], atol=0.03)
-    assert model.people > 0.98
+    votes[:, 4] = votes[:, 1]  # an echo
+    votes[:, 5] = -(rng.random(n) < np.where(truth, 0.05, 0.8)).astype(int)
+    model = toxicity.fit_label_model(votes, prior=0.15)
+    assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.97
+    # the echo and what it repeats share one say; no other two voters do
+    assert model.correlations[1, 4] > 0.85 and np.sort(model.correlations[np.triu_indices(6, 1)])[-2] < 0.4
+    assert max(model.weights[[1, 4]]) < 0.55 < min(model.weights[[0, 2, 3, 5]])
+    assert np.allclose(model.rates[:, 0], [0.02, 0.9], atol=0.06)
+    assert np.allclose(model.rates[:, 5], [0.8, 0.05], atol=0.06)
+    # no voter may be taken for its opposite
+    assert (model.rates[1, :5] >= model.rates[0, :5]).all() and model.rates[1, 5] <= model.rates[0, 5]
+
+
+def learned(spark, sf_dir, monkeypatch, change=lambda model: model, **options):
+    """The classifier and what its label model said, which ``change`` may alter."""
+    seen = {}
+    fit = toxicity.fit_label_model
+
+    def watched(votes, prior):
+        model = change(fit(votes, prior))
+        seen.update(votes=votes, model=model, soft=model.posterior(votes))
+        return model
+
+    train = toxicity._train
+
+    def trained(rows, target, size):
+        seen["target"] = target
+        return train(rows, target, size)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(toxicity, "fit_label_model", watched)
+        patch.setattr(toxicity, "_train", trained)
+        docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+        classifier = toxicity.learn(docs, labels, **options)
+    return classifier, seen
+
+
+def test_the_voters_decide_and_labels_do_not_vote(spark, larger, monkeypatch):
+    classifier, seen = learned(spark, larger, monkeypatch)
+    # rows without a label are among those that the model is fitted on
+    labelled = spark.read.parquet(f"{larger}/labels.parquet").count()
+    assert len(seen["votes"]) > 1.2 * labelled
+    # the classifier is trained on the posterior of the votes alone
+    soft = seen["soft"]
+    assert np.array_equal(seen["target"], soft)
+    assert seen["votes"].shape[1] == len(toxicity.PATTERNS) + 5 * len(toxicity.BEGINNINGS) + 1
+
+    # what is known of the voters moves what is learned
+    def blunt(model):
+        strong = np.argsort(-np.abs(np.log(model.rates[1] / model.rates[0])) * model.weights)[:6]
+        model.rates[:, strong] = model.rates[:, strong].mean(axis=0)
+        return model
+
+    other, blunted = learned(spark, larger, monkeypatch, blunt)
+    assert other.tokens == classifier.tokens
+    assert np.abs(blunted["soft"] - soft).max() > 0.3
+    assert np.abs(other.weights - classifier.weights).max() > 0.1
+
+
+def test_long_words_that_begin_alike_are_told_apart():
+    twins = ["x" * 40 + "a", "x" * 40 + "b"]
+    assert toxicity.tokens_of(twins[:1]) ^ toxicity.tokens_of(twins[1:]) == {f"0{w}" for w in twins}
 
 
 def test_odd_documents(odd, spark):
