@@ -178,9 +178,8 @@ REPEAT_WORDS = {"double": 2, "triple": 3, "doppel": 2}
 _SPOKEN = re.compile(
     r"(?<![^\W_])(?:" + "|".join(sorted([*DIGIT_WORDS], key=len, reverse=True)) + r")(?![^\W_])", re.I
 )
-_LEAD = re.compile(
-    r"(?:(?:plus|m[aá]s|double|triple|doppel)[ \t]+|[+(0-9][+().0-9 \t-]*)\Z", re.I
-)
+_LEADS = frozenset("+().0123456789 \t-")
+_LEAD_WORD = re.compile(r"(?<![^\W_])(?:plus|m[aá]s|double|triple|doppel)\Z", re.I)
 #: A full stop before a blank ends a sentence, and with it a run of digits.
 _PIECE = re.compile(
     r"(?P<word>[^\W\d_]+)|(?P<digits>[0-9]+)|(?P<plus>\+)|(?P<mark>[()-]|\.(?!\s))|(?P<blank>[ \t,/_]+)|(?P<end>.)",
@@ -202,10 +201,7 @@ def spelled_digits(tape: Tape) -> Tape:
     for first in _SPOKEN.finditer(text):
         if first.start() < at:
             continue
-        start = first.start()
-        lead = _LEAD.search(text, max(at, start - 48), start)
-        if lead and (lead.start() == 0 or not text[lead.start() - 1].isalnum()):
-            start = lead.start()
+        start = _lead(text, at, first.start())
         end, new = _run(text, start)
         if new is not None:
             changes.append((start, end, new))
@@ -213,6 +209,25 @@ def spelled_digits(tape: Tape) -> Tape:
     return tape.rewrite(changes) if changes else tape
 
 
+def _lead(text: str, least: int, start: int) -> int:
+    """Where the run of digits that the word at ``start`` belongs to begins, however long it is.
+
+    The characters before the word are read back to the last one that is no part of a number, so
+    none is read for two words.
+    """
+    low = start
+    while low > least and text[low - 1] in _LEADS:
+        low -= 1
+    if low < start and text[low] in " \t":
+        word = _LEAD_WORD.search(text, max(least, low - 6), low)
+        if word:
+            return word.start()
+    first = next((i for i in range(low, start) if text[i] in "+(" or text[i].isdigit()), start)
+    if first < start and first > 0 and text[first - 1].isalnum():
+        return start
+    return first
+
+
 def _run(text: str, start: int) -> tuple[int, str | None]:
     """The end of the run of digits from ``start`` and what it says, None if it is too short."""
     out: list[str] = []
@@ -268,16 +283,72 @@ _AT = rf"\s*{_OPEN}\s*(?:at|@|arroba|arobase)\s*{_CLOSE}\s*|\s+(?:at|arroba|arob
 _DOT = rf"\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*|\s+(?:dot|punkt|punto|point)\s+"
 _HINT = re.compile(rf"{_OPEN}\s*(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)\s*{_CLOSE}|\s(?:dot|punkt|punto|point)\s|\s@|@\s|\s(?:at|arroba|arobase)\s+[A-Za-z0-9-]++\.[A-Za-z]", re.I)
 _NAME = r"[A-Za-z0-9_%+-]"
-_DISGUISED = re.compile(
-    rf"(?<![A-Za-z0-9._%+-]){_NAME}++(?:(?:{_DOT}|\.){_NAME}++)*+"
-    rf"(?P<at>{_AT})(?P<host>[A-Za-z0-9-]++(?:(?:{_DOT}|\.)[A-Za-z0-9-]++)++)",
-    re.I,
+_CHAIN = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}++(?:(?:{_DOT}|\.){_NAME}++)*+", re.I)
+_AT_HOST = re.compile(
+    rf"(?P<at>{_AT})(?P<host>[A-Za-z0-9-]++(?:(?:{_DOT}|\.)[A-Za-z0-9-]++)++)", re.I
 )
 _DOT_RE = re.compile(_DOT, re.I)
 _UNLIKE_PROSE = re.compile(r"[._0-9]")
 _LAST_LABEL = re.compile(r"\.[A-Za-z]{2,}\Z")
 
 
+_NUMBERS = re.compile(rf"(?<![0-9A-Za-z.])[0-9]++(?:(?:{_DOT}|\.)[0-9]++){{3}}(?![0-9A-Za-z])", re.I)
+_NUMBER_HINT = re.compile(rf"[0-9]\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}|[0-9]\s+(?:dot|punkt|punto|point)\s", re.I)
+
+
+def dotted_numbers(tape: Tape) -> Tape:
+    """IP addresses with words or brackets for some of their dots, as addresses."""
+    if not _NUMBER_HINT.search(tape.text):
+        return tape
+    changes: list[tuple[int, int, str]] = []
+    for found in _NUMBERS.finditer(tape.text):
+        if any(ips(_DOT_RE.sub(".", found[0]))):
+            changes += [
+                (found.start() + m.start(), found.start() + m.end(), ".")
+                for m in _DOT_RE.finditer(found[0])
+            ]
+    return tape.rewrite(changes) if changes else tape
+
+
+#: Ends of hosts that are taken after a dot with blanks around it; fixed values.
+_ENDS = "com|org|net|edu|gov|info|io|co|de|fr|es|uk|eu|at|ch|it|nl"
+_SPACED = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}+(?P<at>[ \t]+@[ \t]+)"
+    rf"(?P<host>[A-Za-z0-9-]{{2,63}}+(?:[ \t]*\.[ \t]*[A-Za-z0-9-]{{1,63}}+)*[ \t]+\.[ \t]+(?:{_ENDS}))"
+    r"(?![A-Za-z0-9-])"
+)
+_SPACED_DOT = re.compile(r"[ \t]+\.[ \t]*|[ \t]*\.[ \t]+")
+
+
+def spaced_addresses(tape: Tape) -> Tape:
+    """Addresses with blanks around the @ and around the last dot of the host, which ends well known.
+
+    Other words after a full stop with blanks around it begin a sentence; single letters around
+    the @ are no name and no host.
+    """
+    if " . " not in tape.text.replace("\t", " ") or "@" not in tape.text:
+        return tape
+    changes: list[tuple[int, int, str]] = []
+    for found in _SPACED.finditer(tape.text):
+        base = found.start("host")
+        changes.append((*found.span("at"), "@"))
+        changes += [(base + m.start(), base + m.end(), ".") for m in _SPACED_DOT.finditer(found["host"])]
+    return tape.rewrite(changes) if changes else tape
+
+
+def _disguised(text: str) -> Iterator[tuple[int, re.Match]]:
+    """Starts of names, and what follows them if it is a sign for @ and a host.
+
+    A name that nothing follows is passed as a whole: what begins inside it ends where it does.
+    """
+    at = 0
+    while name := _CHAIN.search(text, at):
+        found = _AT_HOST.match(text, name.end())
+        if found:
+            yield name.start(), found
+        at = found.end() if found else name.end()
+
+
 def at_and_dot(tape: Tape) -> Tape:
     """Addresses with words or brackets for @ and dot, as addresses.
 
@@ -289,7 +360,7 @@ def at_and_dot(tape: Tape) -> Tape:
     if not _HINT.search(tape.text):
         return tape
     changes: list[tuple[int, int, str]] = []
-    for found in _DISGUISED.finditer(tape.text):
+    for start, found in _disguised(tape.text):
         sign = found["at"]
         dots = [*_DOT_RE.finditer(found["host"])]
         if not any(c in sign for c in "[({<") and not dots:
@@ -298,19 +369,19 @@ def at_and_dot(tape: Tape) -> Tape:
             if "@" in sign:
                 if "\n" in sign or not sign[-1].isspace():
                     continue
-            elif not _UNLIKE_PROSE.search(tape.text, found.start(), found.start("at")):
+            elif not _UNLIKE_PROSE.search(tape.text, start, found.start()):
                 continue
         base = found.start("host")
         changes += [
-            (m.start() + found.start(), m.end() + found.start(), ".")
-            for m in _DOT_RE.finditer(tape.text[found.start() : found.start("at")])
+            (m.start() + start, m.end() + start, ".")
+            for m in _DOT_RE.finditer(tape.text[start : found.start()])
         ]
         changes.append((*found.span("at"), "@"))
         changes += [(base + m.start(), base + m.end(), ".") for m in dots]
     return tape.rewrite(changes) if changes else tape
 
 
-TRANSDUCERS = (characters, spelled_digits, at_and_dot)
+TRANSDUCERS = (characters, dotted_numbers, spelled_digits, spaced_addresses, at_and_dot)
 
 
 def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:

@@ -47,6 +47,11 @@ def plain(text):
         ("mail john @ example.com", "email", "john @ example.com"),
         ("mail john@ mail.example.com", "email", "john@ mail.example.com"),
         ("mail john.doe at example.com", "email", "john.doe at example.com"),
+        ("mail john @ example . com now", "email", "john @ example . com"),
+        ("mail john @ mail . example.co . uk", "email", "john @ mail . example.co . uk"),
+        ("host 192[.]168[.]0[.]1 is up", "ip", "192[.]168[.]0[.]1"),
+        ("host 192 dot 168 dot 0 dot 1", "ip", "192 dot 168 dot 0 dot 1"),
+        ("host 10(dot)0.0 punto 7.", "ip", "10(dot)0.0 punto 7"),
     ],
 )
 def test_light_disguises(text, kind, span):
@@ -70,6 +75,22 @@ def test_prose_beside_data_adds_nothing(text):
     assert not any(pii.find(text)[1].values())
 
 
+@pytest.mark.parametrize("gap", [1, 30, 44, 500])
+def test_a_run_of_digits_may_be_long_before_its_first_word(gap):
+    blanks = " " * gap
+    for text in (f"4111{blanks}1111 1111 111 one", f"+49{blanks}30 123 four 567"):
+        added = pii.find(f"x {text}")[1]
+        assert [f"x {text}"[a:b] for spans in added.values() for a, b in spans] == [text]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["300 dot 1 dot 1 dot 1", "version 1 dot 2 dot 3", "a1[.]2[.]3[.]4", "everyone meets @ work . then we go"],
+)
+def test_numbers_and_blanks_that_are_no_address(text):
+    assert not any(pii.find(text)[1].values())
+
+
 @pytest.mark.parametrize("alphabet", ["ab@.-1 é", "012.5 -+()", "0.1", "4 -1+"])
 def test_base_spans_are_the_patterns(alphabet):
     rng = random.Random(alphabet)
@@ -116,7 +137,8 @@ def test_prose_is_left_alone(text):
     assert not any(base.values()) and not any(added.values())
 
 
-@pytest.mark.parametrize("text", ["a" * 100_000, "1." * 50_000, "a@" * 50_000, "+1" * 50_000, "one " * 30_000, "a at b dot " * 10_000])
+@pytest.mark.parametrize("text", ["a" * 100_000, "1." * 50_000, "a@" * 50_000, "+1" * 50_000, "one " * 30_000, "a at b dot " * 10_000,
+    "1 " * 50_000 + "one", "1 one x " * 20_000, "1 dot " * 20_000, "1[.]" * 30_000, "abc @ abc . " * 10_000, "1 2 one" + " " * 50_000 + "two"])
 def test_long_texts_take_linear_time(text):
     import time
 
