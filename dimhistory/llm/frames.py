@@ -67,6 +67,14 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> Da
     return joined.select(*docs.columns)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sampled(df: DataFrame, key: str, size: int, total: int) -> DataFrame:
     """About ``size`` of the ``total`` rows of ``df``, chosen by a hash of ``key``; all if fewer.
 

@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimhistory import Staging
+from dimhistory.llm.frames import unused
 
 #: The most boilerplate lines that are broadcast; more are joined by host through a shuffle.
 BROADCAST_LINES = 200_000
+#: Parts of a host's boilerplate, of which a line is looked up in one.
+SLOTS = 64
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -25,13 +28,18 @@ def _digest(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
+def _slot(key: Column) -> Column:
+    """The place of a line among those of its host: only the lines of one slot are compared."""
+    return F.pmod(key["a"], F.lit(SLOTS)).cast("int")
+
+
 def boilerplate(
     docs: DataFrame,
     host_col: str = "source",
     text_col: str = "text",
     ratio: float = 0.1,
-    least_pages: int = 5,
-    full_length: int | None = None,
+    least_pages: int = 2,
+    full_length: int | None = 32,
 ) -> DataFrame:
     """``(host, key, pages, total)``: lines on more than ``ratio`` of a host's pages.
 
@@ -40,8 +48,8 @@ def boilerplate(
 
     With ``full_length`` the share falls with a line's length, because a long passage hardly
     comes back by chance: lines of up to so many characters, trimmed, need more than ``ratio``
-    of the pages, longer ones more than ``ratio * full_length / characters``. Without it, as in
-    the SQL of ``op9_line_dedup``, every line needs the same share.
+    of the pages, longer ones more than ``ratio * full_length / characters``. With None every
+    line needs the same share.
     """
 
     def key(line: Column) -> Column:
@@ -84,8 +92,8 @@ def drop_boilerplate(
     host_col: str = "source",
     text_col: str = "text",
     ratio: float = 0.1,
-    least_pages: int = 5,
-    full_length: int | None = None,
+    least_pages: int = 2,
+    full_length: int | None = 32,
 ) -> DataFrame:
     """``docs`` with the boilerplate lines of its host taken from each text.
 
@@ -102,25 +110,29 @@ def drop_boilerplate(
     """
     spark = docs.sparkSession
     found = boilerplate(docs, host_col, text_col, ratio, least_pages, full_length)
-    by_host = found.groupBy("host").agg(F.collect_list("key").alias("__keys"))
-    by_host = Staging(spark).write(by_host.withColumnRenamed("host", "__host"), "boilerplate")
-    lines = by_host.agg(F.sum(F.size("__keys"))).first()[0] or 0
+    host, keys, kept = (unused(docs, name) for name in ("__host", "__keys", "__kept"))
+    by_host = found.groupBy("host").agg(F.collect_list("key").alias("keys"))
+    slots = F.sequence(F.lit(0), F.lit(SLOTS - 1))
+    in_slots = F.transform(slots, lambda i: F.filter("keys", lambda key: _slot(key) == i))
+    by_host = Staging(spark).write(by_host.select(F.col("host").alias(host), in_slots.alias(keys)), "boilerplate")
+    lines = by_host.agg(F.sum(F.size(F.flatten(keys)))).first()[0] or 0
     if lines <= BROADCAST_LINES:
         by_host = F.broadcast(by_host)
     joined = docs.drop("n_lines", "n_dropped").join(
-        by_host, F.col(host_col).eqNullSafe(F.col("__host")), "left"
+        by_host, F.col(host_col).eqNullSafe(F.col(host)), "left"
     )
     split = F.split(F.col(text_col), "\n")
     worded = F.size(F.filter(split, lambda line: _trimmed(line) != ""))
-    left = F.filter(
-        split,
-        lambda line: ~F.array_contains(F.col("__keys"), _digest(_trimmed(line))),
-    )
-    kept = F.when(F.col("__keys").isNull(), split).otherwise(left)
+
+    def listed(line: Column) -> Column:
+        key = _digest(_trimmed(line))
+        return F.array_contains(F.get(F.col(keys), _slot(key)), key)
+
+    left = F.when(F.col(keys).isNull(), split).otherwise(F.filter(split, lambda line: ~listed(line)))
     return (
-        joined.withColumn("__kept", kept)
+        joined.withColumn(kept, left)
         .withColumn("n_lines", F.coalesce(F.when(F.col(text_col) == "", 0).otherwise(worded), F.lit(0)).cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size(split) - F.size("__kept"), F.lit(0)).cast("long"))
-        .withColumn(text_col, F.array_join("__kept", "\n"))
-        .drop("__kept", "__keys", "__host")
+        .withColumn("n_dropped", F.coalesce(F.size(split) - F.size(kept), F.lit(0)).cast("long"))
+        .withColumn(text_col, F.array_join(kept, "\n"))
+        .drop(kept, keys, host)
     )

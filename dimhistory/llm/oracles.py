@@ -94,7 +94,8 @@ boilerplate AS (
   FROM (SELECT source, key, count(DISTINCT text) AS pages FROM lines WHERE key <> ''
         GROUP BY source, key) AS l
   JOIN totals AS t ON l.source IS NOT DISTINCT FROM t.source
-  WHERE pages >= 5 AND pages > 0.1 * total
+  WHERE pages >= 2
+    AND pages > 0.1::DOUBLE * least(1::DOUBLE, 32::DOUBLE / length(l.key)) * total
 ),
 judged AS (
   SELECT l.doc_id, l.line, l.pos, l.key <> '' AS worded, b.key IS NOT NULL AS dropped

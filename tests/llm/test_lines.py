@@ -9,7 +9,7 @@ from dimhistory.llm.queries import QUERIES
 def test_frequent_lines_of_a_host_go(frame):
     own = [f"line {i} of its own\n  shared line \nmore {i}" for i in range(8)]
     docs = frame(own, source="a").union(frame(own[:3], ids=[20, 21, 22], source="b"))
-    got = {r["doc_id"]: r for r in lines.drop_boilerplate(docs, ratio=0.5).collect()}
+    got = {r["doc_id"]: r for r in lines.drop_boilerplate(docs, ratio=0.5, least_pages=5).collect()}
     assert got[0]["text"] == "line 0 of its own\nmore 0"
     assert (got[0]["n_lines"], got[0]["n_dropped"]) == (3, 1)
     assert got[20]["text"] == own[0]  # fewer pages than the least
@@ -19,20 +19,26 @@ def test_the_share_falls_with_the_length_of_a_line(frame):
     passage = "a passage of many words that comes back on a few pages of its host " * 5
     docs = frame([f"page {i}\nshort" + f"\n{passage}" * (i < 6) for i in range(100)])
     docs = docs.union(frame([f"own {i}" + "\ntiny" * (i < 6) for i in range(100)], range(200, 300), source="b"))
-    assert lines.drop_boilerplate(docs).where(F.col("text").contains(passage.strip())).count() == 6
-    got = lines.drop_boilerplate(docs, full_length=32)
+    same = lines.drop_boilerplate(docs, full_length=None)
+    assert same.where(F.col("text").contains(passage.strip())).count() == 6
+    got = lines.drop_boilerplate(docs)
     assert {r["text"] for r in got.where("source = 's'").collect()} == {f"page {i}" for i in range(100)}
     assert got.where("source = 'b' AND n_dropped > 0").count() == 0  # six short lines are no boilerplate
-    # four pages of one host are below the least
+    # four pages of one host are below a least of five
     few = frame([f"page {i}" + f"\n{passage}" * (i < 4) for i in range(100)])
-    assert lines.drop_boilerplate(few, full_length=32).where("n_dropped > 0").count() == 0
+    assert lines.drop_boilerplate(few, least_pages=5).where("n_dropped > 0").count() == 0
+    assert lines.drop_boilerplate(few).where("n_dropped > 0").count() == 4
+    # a passage that one page holds is no boilerplate, however long
+    once = frame([f"page {i}" + f"\n{passage}" * (i < 1) for i in range(10_000)])
+    assert lines.drop_boilerplate(once).where("n_dropped > 0").count() == 0
 
 
-def test_small_hosts_are_cleaned_with_a_lower_floor(frame):
+def test_small_hosts_are_cleaned(frame):
     docs = frame([f"page {i}\nfoot" for i in range(2)])
-    assert lines.drop_boilerplate(docs).where("n_dropped > 0").count() == 0  # as README says
-    got = lines.drop_boilerplate(docs, least_pages=2)
-    assert sorted(r["text"] for r in got.collect()) == ["page 0", "page 1"]
+    assert sorted(r["text"] for r in lines.drop_boilerplate(docs).collect()) == ["page 0", "page 1"]
+    assert lines.drop_boilerplate(docs, least_pages=5).where("n_dropped > 0").count() == 0
+    # a host of one page has nothing that repeats
+    assert lines.drop_boilerplate(docs.limit(1)).where("n_dropped > 0").count() == 0
 
 
 def test_copies_count_once(frame):
@@ -48,6 +54,22 @@ def test_join_by_host_gives_the_same(frame, monkeypatch):
     assert any("n_dropped=1" in r for r in one)
 
 
+def test_working_columns_may_clash(frame):
+    docs = frame([f"page {i}\nfoot" for i in range(9)])
+    want = sorted(r["text"] for r in lines.drop_boilerplate(docs).collect())
+    for name in "__keys __kept __host __HOST_ keys".split():
+        docs = docs.selectExpr("*", f"'clash' AS {name}")
+    got = lines.drop_boilerplate(docs)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    assert sorted(r["text"] for r in got.where("__keys = 'clash' AND __host = 'clash'").collect()) == want
+
+
+def test_many_lines_of_one_host_are_all_found(frame):
+    shared = [f"a long line that the pages of this host have in common, number {i}" for i in range(300)]
+    docs = frame([f"page {i}\n" + "\n".join(shared) for i in range(12)])
+    assert sorted(r["text"] for r in lines.drop_boilerplate(docs).collect()) == sorted(f"page {i}" for i in range(12))
+
+
 def test_odd_documents(odd):
     got = lines.drop_boilerplate(odd).collect()
     assert len(got) == odd.count()
