@@ -4,13 +4,15 @@ The index holds, for each bounded run of documents (a segment), the positions of
 a benchmark uses, as one list per word; it is written to the shared folder and read
 from there. A phrase is looked up from its rarest word in the segment: that list, moved by the
 word's offset, is intersected with the lists of the next rarest words until it is empty or all
-words agree. Segments are independent, so nothing is shuffled to search.
+words agree. Words near each other are found from the same lists. Segments are independent, so
+nothing is shuffled to search.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import repeat
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,9 @@ SEGMENT_WORDS = 500_000
 #: what is broadcast at once keeps this size whatever the benchmark's.
 BLOCK_WORDS = 2_000_000
 
+#: Rows of a batch that a segment returns.
+ROWS = 10_000
+
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes(
     b if b in _KEEP else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
@@ -49,7 +54,7 @@ def windows(words: list[bytes], width: int) -> list[tuple[bytes, ...]]:
 # -- the index ---------------------------------------------------------------------------
 
 INDEX = (
-    "segment string, doc_ids array<long>, starts array<int>, sizes array<int>, "
+    "segment string, doc_ids array<{id}>, starts array<int>, sizes array<int>, "
     "terms array<binary>, ends array<int>, steps binary"
 )
 
@@ -58,10 +63,11 @@ def build_index(docs: DataFrame, terms: set[bytes] | None = None) -> DataFrame:
     """Segments of ``docs`` (doc_id, text) with the positions of ``terms``, or of every word.
 
     Documents of a segment follow each other with a gap of one position, so no phrase crosses
-    from one to the next. ``steps`` holds the distances between positions, term after term. A
+    from one to the next. Ids may have any type. ``steps`` holds the distances between positions, term after term. A
     document without words, null texts included, has size 0; no document is split.
     """
-    schema = arrow_schema(INDEX)
+    ddl = INDEX.format(id=docs.schema["doc_id"].dataType.simpleString())
+    schema = arrow_schema(ddl)
     fixed = None
     if terms is not None:
         fixed = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(sorted(terms))})
@@ -79,7 +85,7 @@ def build_index(docs: DataFrame, terms: set[bytes] | None = None) -> DataFrame:
         if part.ids:
             yield part.record(f"{task}-{n}", schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX)
+    return docs.select("doc_id", "text").mapInArrow(run, ddl)
 
 
 class _Building:
@@ -88,12 +94,12 @@ class _Building:
     def __init__(self, numbers: dict[bytes, int] | None):
         self.all = numbers is None
         self.numbers = {} if numbers is None else numbers
-        self.ids: list[int | None] = []
+        self.ids: list = []
         self.sizes: list[int] = []
         self.found: list[np.ndarray] = []
         self.total = 0
 
-    def add(self, key: int | None, words: list[bytes]) -> None:
+    def add(self, key: object, words: list[bytes]) -> None:
         numbers, size = self.numbers, len(words)
         if self.all:
             for word in words:
@@ -161,20 +167,34 @@ class Segment:
                 break
         return starts
 
-    def near(self, terms: tuple[bytes, ...], distance: int) -> np.ndarray:
-        """Positions of the rarest term with every other one at most ``distance`` words away."""
-        lists = [self.lists.get(term) for term in terms]
+    def slots(self, positions: np.ndarray) -> np.ndarray:
+        """The documents that positions lie in, by their number in the segment."""
+        return np.searchsorted(self.starts, positions, "right") - 1
+
+    def near(self, terms: Iterable[bytes], distance: int) -> np.ndarray:
+        """Positions of a term with all others at the same place or up to ``distance`` words on.
+
+        Terms are told apart but not ordered, and none counts twice. The rarest term's list says
+        where to look; the others narrow what it found, the rarest first.
+        """
+        lists = [self.lists.get(term) for term in set(terms)]
         if not lists or any(positions is None for positions in lists):
             return _NOTHING
         lists.sort(key=len)
-        found = lists[0]
-        slot = np.searchsorted(self.starts, found, "right") - 1
-        low = np.maximum(found - distance, self.starts[slot])
-        high = np.minimum(found + distance, self.starts[slot] + self.sizes[slot] - 1)
+        rare = lists[0]
+        found = [rare]
         for positions in lists[1:]:
-            some = np.searchsorted(positions, high, "right") > np.searchsorted(positions, low)
-            found, low, high = found[some], low[some], high[some]
-        return found
+            low, high = np.searchsorted(positions, rare - distance), np.searchsorted(positions, rare, "right")
+            sizes = high - low
+            first = np.repeat(low - np.cumsum(sizes) + sizes, sizes)
+            found.append(positions[first + np.arange(sizes.sum())])
+        start = np.unique(np.concatenate(found))
+        slot = self.slots(start)
+        last = np.minimum(start + distance, self.starts[slot] + self.sizes[slot] - 1)
+        for positions in lists:
+            some = np.searchsorted(positions, last, "right") > np.searchsorted(positions, start)
+            start, last = start[some], last[some]
+        return start
 
 
 _NOTHING = np.empty(0, np.int64)
@@ -183,42 +203,62 @@ _NOTHING = np.empty(0, np.int64)
 # -- the search --------------------------------------------------------------------------
 
 MATCHES = "segment string, slot int, item_id string, froms array<int>, tos array<int>"
+NEAR = "segment string, slot int, item_id string, position int"
 
+#: From a term to the windows that are looked up where it stands, each with its items.
+Lookup = dict[bytes, list[tuple[tuple[bytes, ...], list[str]]]]
 
-def _matches(index: DataFrame, block: list[tuple[str, str]], width: int) -> DataFrame:
-    """``MATCHES``: words of a document, as spans, that phrases of an item cover."""
-    schema = arrow_schema(MATCHES)
-    phrases: dict[str, dict[tuple[bytes, ...], None]] = {}
+
+def by_rarest_term(block: list[tuple[str, str]], width: int) -> Lookup:
+    """The windows of a block of items under the term of each that fewest other windows have.
+
+    A segment only looks at windows whose term it holds.
+    """
+    items: dict[tuple[bytes, ...], dict[str, None]] = {}
     for item, text in block:
-        phrases.setdefault(item, {}).update(dict.fromkeys(windows(words_of(text), width)))
-    items = index.sparkSession.sparkContext.broadcast(phrases)
+        for window in windows(words_of(text), width):
+            items.setdefault(window, {})[item] = None
+    common = Counter(term for window in items for term in set(window))
+    found: Lookup = {}
+    for window, names in items.items():
+        rarest = min(window, key=lambda term: (common[term], term))
+        found.setdefault(rarest, []).append((window, list(names)))
+    return found
+
+
+def _looked_up(
+    index: DataFrame, block: list[tuple[str, str]], width: int, ddl: str, find: Callable[..., Iterator[tuple]]
+) -> DataFrame:
+    """Rows of ``find(segment, windows with items)`` for each segment of the index."""
+    schema = arrow_schema(ddl)
+    lookup = index.sparkSession.sparkContext.broadcast(by_rarest_term(block, width))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in batch.to_pylist():
-                part, out = Segment(one), []
-                for item, some in items.value.items():
-                    spans = [
-                        (int(s), int(s) + len(p)) for p in some for s in part.phrase(p)
-                    ]
-                    by_slot: dict[int, list[tuple[int, int]]] = {}
-                    for start, end in sorted(spans):
-                        slot = int(np.searchsorted(part.starts, start, "right")) - 1
-                        by_slot.setdefault(slot, []).append((start, end))
-                    for slot, pairs in by_slot.items():
-                        base = int(part.starts[slot])
-                        froms, tos = zip(*merged(pairs), strict=True)
-                        out.append(
-                            (part.name, slot, item, [a - base for a in froms], [b - base for b in tos])
-                        )
-                if out:
+            for i in range(batch.num_rows):
+                part = Segment(batch.slice(i, 1).to_pylist()[0])
+                some = (w for term in part.lists for w in lookup.value.get(term, ()))
+                rows = find(part, some)
+                while out := list(islice(rows, ROWS)):
                     columns = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],
-                        schema=schema,
-                    )
+                    made = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+                    yield pa.RecordBatch.from_arrays(made, schema=schema)
 
-    return index.mapInArrow(run, MATCHES)
+    return index.mapInArrow(run, ddl)
+
+
+def _spans(part: Segment, some: Iterable[tuple[tuple[bytes, ...], list[str]]]) -> Iterator[tuple]:
+    """``MATCHES``: words of a document, as spans, that windows of an item cover."""
+    spans: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for window, names in some:
+        starts = part.phrase(window)
+        for start, slot in zip(starts.tolist(), part.slots(starts).tolist(), strict=True):
+            for item in names:
+                spans.setdefault((item, slot), []).append((start, start + len(window)))
+    for (item, slot), pairs in spans.items():
+        base = int(part.starts[slot])
+        froms, tos = zip(*merged(sorted(pairs)), strict=True)
+        yield part.name, slot, item, [a - base for a in froms], [b - base for b in tos]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -232,6 +272,33 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _against_all(
+    docs: DataFrame, benchmark: DataFrame, width: int, ddl: str, find: Callable[..., Iterator[tuple]]
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, found)``: documents by segment and slot, and what the blocks of items find there.
+
+    The benchmark is a stated query set; it is taken in blocks, each against all documents, so
+    its size is no limit. With one block only its words are indexed, else every word.
+    """
+    staging = Staging(docs.sparkSession)
+    blocks = _blocks(benchmark)
+    block, more = next(blocks, []), next(blocks, None)
+    terms = None if more else {w for _, text in block for w in words_of(text)}
+    index = staging.write(build_index(docs, terms), "index")
+    found = staging.write(_looked_up(index, block, width, ddl, find), "matches")
+    while more:
+        found = found.union(staging.write(_looked_up(index, more, width, ddl, find), "matches"))
+        more = next(blocks, None)
+    slots = F.explode(F.arrays_zip("doc_ids", "sizes", F.sequence(F.lit(0), F.size("sizes") - 1)))
+    rows = index.select("segment", slots.alias("d")).select(
+        "segment",
+        F.col("d.2").cast("int").alias("slot"),
+        F.col("d.doc_ids").alias("doc_id"),
+        F.col("d.sizes").cast("long").alias("n_words"),
+    )
+    return rows, found
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
     """The items in blocks of at most ``BLOCK_WORDS`` words (or one longer item)."""
     rows = benchmark.select(F.col("item_id").cast("string"), "text").where(
@@ -255,27 +322,39 @@ def find_matches(
     """``(rows, matches)``: the documents by segment and slot, and the spans in them.
 
     An item's text is looked up by its windows of ``width`` words; an item of fewer words, but
-    not none, is one window. Items without id or text find nothing. The benchmark is a stated
-    query set; it is taken in blocks, each against all documents, so its size is no limit. With
-    one block only its words are indexed, else every word.
+    not none, is one window. Items without id or text find nothing; items that share an id count
+    as one.
     """
-    staging = Staging(docs.sparkSession)
-    blocks = _blocks(benchmark)
-    block, more = next(blocks, []), next(blocks, None)
-    terms = None if more else {w for _, text in block for w in words_of(text)}
-    index = staging.write(build_index(docs, terms), "index")
-    matches = staging.write(_matches(index, block, width), "matches")
-    while more:
-        matches = matches.union(staging.write(_matches(index, more, width), "matches"))
-        more = next(blocks, None)
-    slots = F.explode(F.arrays_zip("doc_ids", "sizes", F.sequence(F.lit(0), F.size("sizes") - 1)))
-    rows = index.select("segment", slots.alias("d")).select(
-        "segment",
-        F.col("d.2").cast("int").alias("slot"),
-        F.col("d.doc_ids").alias("doc_id"),
-        F.col("d.sizes").cast("long").alias("n_words"),
-    )
-    return rows, matches
+    return _against_all(docs, benchmark, width, MATCHES, _spans)
+
+
+def find_near(docs: DataFrame, benchmark: DataFrame, distance: int, width: int = 13) -> DataFrame:
+    """``(doc_id, item_id, position)``: where all words of an item's window stand near each other.
+
+    Windows are those of :func:`find_matches`, without regard to the order of their words, and a
+    word that a window repeats counts once. ``position`` counts a document's words from 0: one of
+    the window's words stands there, and all others stand there or at most ``distance`` words
+    on. A position that several windows of an item give comes once. A null or empty text has no
+    words, an item without id or text finds nothing, repeated rows of documents each give their
+    matches, an empty table gives none; other columns are not read. Ids may have any type.
+    """
+
+    def find(part: Segment, some: Iterable[tuple[tuple[bytes, ...], list[str]]]) -> Iterator[tuple]:
+        found: dict[str, list[np.ndarray]] = {}
+        for window, names in some:
+            positions = part.near(window, distance)
+            for item in names if len(positions) else ():
+                found.setdefault(item, []).append(positions)
+        for item, lists in found.items():
+            positions = np.unique(np.concatenate(lists))
+            slots = part.slots(positions)
+            for slot, place in zip(slots.tolist(), (positions - part.starts[slots]).tolist(), strict=True):
+                yield part.name, slot, item, place
+
+    rows, found = _against_all(docs, benchmark, width, NEAR, find)
+    # items of several blocks may share an id
+    found = found.distinct()
+    return found.join(rows, ["segment", "slot"]).select("doc_id", "item_id", "position")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:

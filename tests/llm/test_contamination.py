@@ -55,16 +55,56 @@ def test_near_finds_unordered_words():
     names = [f.split()[0] for f in c.INDEX.split(", ")]
     row = part.record("s", schema([field(n, t) for n, t in zip(names, types, strict=True)])).to_pylist()[0]
     segment = c.Segment(row)
-    for terms in ((b"a", b"b"), (b"a", b"c", b"e"), (b"f", b"z")):
-        want = set()
-        if all(any(t in d for d in docs) for t in terms):
-            rare = min(terms, key=lambda t: sum(d.count(t) for d in docs))
-            for i, d in enumerate(docs):
-                for p, w in enumerate(d):
-                    around = d[max(0, p - 3) : p + 4]
-                    if w == rare and all(t in around for t in terms):
-                        want.add(row["starts"][i] + p)
-        assert set(segment.near(terms, 3).tolist()) == want
+    for terms in ((b"a", b"b"), (b"a", b"c", b"e"), (b"f", b"z"), (b"d",), (b"a", b"a", b"b")):
+        for distance in (0, 3):
+            want = [
+                row["starts"][i] + p
+                for i, d in enumerate(docs)
+                for p, w in enumerate(d)
+                if w in terms and all(t in d[p : p + distance + 1] for t in terms)
+            ]
+            assert segment.near(terms, distance).tolist() == want
+
+
+@pytest.mark.parametrize("block,segment", [(10**6, 10**6), (20, 30)])
+def test_proximity_matches_against_all_positions(spark, frame, monkeypatch, block, segment):
+    monkeypatch.setattr(c, "BLOCK_WORDS", block)
+    monkeypatch.setattr(c, "SEGMENT_WORDS", segment)
+    monkeypatch.setattr(c, "ROWS", 7)
+    rng = random.Random(block)
+    word = lambda: rng.choice(["A", "b.", "ç", "d9", "-", "e"])
+    texts = [" ".join(word() for _ in range(rng.randint(0, 40))) for _ in range(50)] + [None, "a b c"]
+    bench = [(f"i{k}", " ".join(word() for _ in range(rng.randint(0, 7)))) for k in range(9)]
+    bench += [(None, "a b"), ("null", None), ("i3", "b b"), ("i4", "e ç")]
+    for distance in (1, 5):
+        want = {
+            (i, item, p)
+            for i, text in enumerate(texts)
+            for item, phrase in bench
+            for window in (c.windows(c.words_of(phrase), 4) if item else [])
+            for words in [c.words_of(text)]
+            for p, w in enumerate(words)
+            if w in window and all(t in words[p : p + distance + 1] for t in window)
+        }
+        got = [tuple(r) for r in c.find_near(frame(texts), items(spark, bench), distance, width=4).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_ids_of_any_type(spark, frame):
+    docs = frame(["same text here", "other", None]).selectExpr("concat('d', doc_id) AS doc_id", "text")
+    bench = items(spark, [("x", "same text here")])
+    got = {r["doc_id"]: r["n_hit"] for r in c.contamination(docs, bench).collect()}
+    assert got == {"d0": 3, "d1": 0, "d2": 0}
+    assert [tuple(r) for r in c.find_near(docs, bench, 2).collect()] == [("d0", "x", 0)]
+    assert c.find_near(docs.limit(0), bench, 2).collect() == []
+
+
+def test_a_segment_only_looks_at_windows_whose_term_it_has():
+    lookup = c.by_rarest_term([("x", "the cat sat"), ("y", "the dog sat"), ("z", "the cat sat")], 3)
+    assert {t: [(b" ".join(w), names) for w, names in found] for t, found in lookup.items()} == {
+        b"cat": [(b"the cat sat", ["x", "z"])],
+        b"dog": [(b"the dog sat", ["y"])],
+    }
 
 
 def test_odd_documents(odd, spark):
