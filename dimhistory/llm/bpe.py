@@ -221,7 +221,11 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
 
 def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token count and SHA-256 of the ids and of the text decoded from them, for each row."""
+    """Token count and SHA-256 of the ids and of the text decoded from them, for each row.
+
+    A null text counts as empty: no ids, and the digests of empty texts. Repeated rows stay, ids
+    of rows may be null or of any type; an empty table gives no rows; other columns are not read.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def digest(text: str) -> str:

@@ -26,7 +26,8 @@ UNKNOWN = "und"
 LENGTHS = (5, 4, 3, 2, 1)
 #: Rows a language is learned from, by expectation. They bound the model.
 SAMPLE = 5_000
-#: Words and n-grams seen less often in the sample are left out.
+#: Words and n-grams seen less often in the sample are left out. (A language of a handful of rows
+#: is then told by its frequent words and short n-grams alone.)
 LEAST = 3
 REMEMBERED = 200_000
 #: Letters of a word that is remembered and learned as it is. Longer ones, such as sentences

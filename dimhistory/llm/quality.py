@@ -251,8 +251,8 @@ def fit(
 ) -> list[Rule]:
     """Rules from about ``sample`` labelled rows, chosen by a hash of the id; all if fewer.
 
-    Rows without label or id are left out; several labels of one id count by their mean. No
-    labels give no rules, and all texts are kept. Rows that fail the base rules teach nothing.
+    Rows without label or id are left out; several labels of one id count by their mean, and of
+    several texts of an id the first in order is read. No labels give no rules, and all texts are kept. Rows that fail the base rules teach nothing.
     """
     labelled = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
     chosen = (
@@ -262,7 +262,8 @@ def fit(
     )
     # bounded by ``sample`` rows of two narrow columns
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-    counted = with_counts(texts).where(~base_failed()).dropDuplicates(["doc_id"])
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    counted = with_counts(texts).where(~base_failed())
     rows = (
         counted.join(F.broadcast(chosen), "doc_id")
         .select(

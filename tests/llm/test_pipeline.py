@@ -8,6 +8,8 @@ import corpus_pipeline
 from dimhistory.llm import contamination, jaccard, quality
 from dimhistory.llm.oracles import ORACLES
 from dimhistory.llm.queries import QUERIES
+from dimhistory.sources import files
+from dimhistory.sources.staging import shared_folder
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -22,7 +24,10 @@ def plain_run(docs, labels, bench):
             totals.setdefault(r["source"], set()).add(r["text"])
             for line in {x.strip(" \t\r\v\f") for x in r["text"].split("\n")} - {""}:
                 pages.setdefault((r["source"], line), set()).add(r["text"])
-    bad = {k for k, v in pages.items() if len(v) >= 5 and len(v) > 0.1 * len(totals[k[0]])}
+    bad = {
+        (host, line) for (host, line), texts in pages.items()
+        if len(texts) >= 2 and len(texts) > 0.1 * min(1.0, 32 / len(line)) * len(totals[host])
+    }
     for r in rows:
         lines = r["text"].split("\n")
         r["text"] = "\n".join(x for x in lines if (r["source"], x.strip(" \t\r\v\f")) not in bad)
@@ -66,6 +71,9 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf_dir, odd):
             if name != "bpe":
                 assert out.columns == DOCUMENT
             assert out.count() <= some.count()
+    clash = docs.selectExpr("*", "'x' AS __row", "'y' AS __keys")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, clash, sf_dir).columns == clash.columns
     dedup = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, sf_dir)
     ids = sorted(r["doc_id"] for r in dedup.where("doc_id IS NOT NULL").collect())
     assert ids == [0, 1, 2, 3, 4, 7, 8]  # 5 is a copy, and 4 was there twice
@@ -90,12 +98,22 @@ def test_verdicts_go_by_row(spark, sf_dir, frame):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_what_stages_stage_is_dropped(spark, sf_dir, monkeypatch):
+    """Beside the last stage's input nothing that ``run`` wrote is left when it returns."""
+    before = set(files.list_names(spark, shared_folder(spark)))
+    out = corpus_pipeline.run(spark, sf_dir)
+    new = set(files.list_names(spark, shared_folder(spark))) - before
+    left = [f"{folder}/{name}" for folder in new for name in files.list_names(spark, f"{shared_folder(spark)}/{folder}")]
+    assert len(left) == 1 and "decontamination" in left[0]
+    assert out.count() > 0
+
+
 def test_stage_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "ngram_jaccard", "decontamination", "bpe",
