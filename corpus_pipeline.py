@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 
 from dimhistory import Staging
 from dimhistory.llm import bpe, contamination, jaccard, lines, quality
-from dimhistory.llm.frames import by_ids, read_table
+from dimhistory.llm.frames import by_ids, read_table, unused
 
-
-#: The column that names a row within a stage.
-ROW = "__row"
 #: Numbers that rows get in place of a doc_id begin here, beyond the ids of documents.
 LATE = 1 << 62
 
@@ -33,13 +30,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null or empty text fails the base rules. Repeated rows share a verdict; rows that share
     only the id, or have none, get their own.
     """
-    keyed = docs.withColumn(ROW, row_key())
-    judged = quality.judge(keyed, read_table(spark, sf_dir, "labels"), id_col=ROW)
-    return by_ids(keyed, judged.where(~F.col("kept")), "left_anti", ROW).drop(ROW)
+    row = unused(docs, "__row")
+    keyed = docs.withColumn(row, row_key())
+    judged = quality.judge(keyed, read_table(spark, sf_dir, "labels"), id_col=row)
+    return by_ids(keyed, judged.where(~F.col("kept")), "left_anti", row).drop(row)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
+    """All documents, without the boilerplate lines of their source.
+
+    A null text stays null and an empty one empty; rows without source form one host; repeated
+    rows stay and count once; an empty table gives no rows.
+    """
     cleaned = lines.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*docs.columns)
 
@@ -50,35 +52,44 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words link with nothing and stay. Rows that repeat id and text are copies.
     A row without id, or whose id stands with another text as well, comes after all others.
     """
-    staging = Staging(spark)
+    staging, row = Staging(spark), unused(docs, "__row")
     own = F.lit(LATE) + row_key().bitwiseAND(F.lit(LATE - 1))
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", row_key().alias("key"))
     shared = texts.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b"))
     shared = staging.write(shared.where("a <> b").select("doc_id"), "shared")
-    keyed = docs.withColumn(ROW, F.coalesce(F.col("doc_id").cast("long"), own))
+    keyed = docs.withColumn(row, F.coalesce(F.col("doc_id").cast("long"), own))
     if not shared.isEmpty():
-        clashing = by_ids(docs, shared, "left_semi").withColumn(ROW, own)
+        clashing = by_ids(docs, shared, "left_semi").withColumn(row, own)
         keyed = by_ids(keyed, shared, "left_anti").unionByName(clashing)
-    found = jaccard.similar_documents(keyed.select(F.col(ROW).alias("doc_id"), "text"))
+    found = jaccard.similar_documents(keyed.select(F.col(row).alias("doc_id"), "text"))
     copies = found.where(F.col("component_id") != F.col("doc_id"))
-    kept = by_ids(keyed, copies.select(F.col("doc_id").alias(ROW)), "left_anti", ROW)
-    again = staging.write(kept.groupBy(ROW).agg(F.count("*").alias("n")).where("n > 1"), "again")
+    kept = by_ids(keyed, copies.select(F.col("doc_id").alias(row)), "left_anti", row)
+    again = staging.write(kept.groupBy(row).agg(F.count("*").alias("n")).where("n > 1"), "again")
     if again.isEmpty():
-        return kept.drop(ROW)
-    once = by_ids(kept, again, "left_semi", ROW).dropDuplicates([ROW])
-    return by_ids(kept, again, "left_anti", ROW).unionByName(once).drop(ROW)
+        return kept.drop(row)
+    once = by_ids(kept, again, "left_semi", row).dropDuplicates([row])
+    return by_ids(kept, again, "left_anti", row).unionByName(once).drop(row)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that benchmark phrases don't make up a twentieth of."""
-    keyed = docs.withColumn(ROW, row_key())
-    rows = keyed.select(F.col(ROW).alias("doc_id"), "text")
+    """The documents that benchmark phrases don't make up a twentieth of.
+
+    A null or empty text has no words and stays. Repeated rows share a verdict; rows that share
+    only the id, or have none, get their own. An empty table gives no rows.
+    """
+    row = unused(docs, "__row")
+    keyed = docs.withColumn(row, row_key())
+    rows = keyed.select(F.col(row).alias("doc_id"), "text")
     found = contamination.contamination(rows, read_table(spark, sf_dir, "benchmark")).where("contaminated")
-    return by_ids(keyed, found.select(F.col("doc_id").alias(ROW)), "left_anti", ROW).drop(ROW)
+    return by_ids(keyed, found.select(F.col("doc_id").alias(row)), "left_anti", row).drop(row)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of what is left."""
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of what is left.
+
+    A null text counts as empty; repeated rows stay; a null id stays null; an empty table gives
+    no rows.
+    """
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -95,9 +106,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again as the next one's input."""
-    staging = Staging(spark)
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again as the next one's input.
+
+    What a stage staged on its way, and the input it read, are dropped once its result is written.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staging.write(stage(spark, docs, sf_dir), name)
+        own, result = Staging(spark), Staging(spark)
+        with own.holding():
+            out = stage(spark, docs, sf_dir)
+        docs = result.write(out, name)
+        own.drop()
+        if before is not None:
+            before.drop()
+        before = result
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +29,29 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+#: The folder below which new ones are made, if it isn't the session's.
+_WITHIN: ContextVar[str | None] = ContextVar("within", default=None)
+
+
 class Staging:
     """One folder of staged tables. As a context manager it is dropped at the end."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.path = f"{shared_folder(spark)}/dimhistory-{uuid.uuid4().hex}"
+        self.path = f"{_WITHIN.get() or shared_folder(spark)}/dimhistory-{uuid.uuid4().hex}"
+
+    @contextmanager
+    def holding(self) -> Iterator[None]:
+        """Make the folders of all ``Staging`` created meanwhile below this one.
+
+        What operators staged on the way can then be dropped together, once their result is
+        written.
+        """
+        before = _WITHIN.set(self.path)
+        try:
+            yield
+        finally:
+            _WITHIN.reset(before)
 
     def write(
         self, df: DataFrame, name: str, by: str | None = None, at: str | None = None, **options: str
