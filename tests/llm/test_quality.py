@@ -71,3 +71,73 @@ def test_expression_is_the_list(spark, documents):
         words = max(r["n_words"], 1)
         first = r["n_words"] <= 60 and r["n_upper"] / max(r["word_chars"], 1) > 0.02
         assert r["kept"] == (not first and not r["n_symbols"] / words > 0.1)
+
+
+def plain_rules(x, low, apart, precision=0.8, least=5, steps=48, max_conditions=3):
+    """The covering by trying every threshold of every statistic, row by row."""
+    rows = range(len(low))
+    prior, left, rules = sum(low) / len(low), set(rows), []
+
+    def share(some):
+        bad = sum(low[i] for i in some)
+        return (bad + 2 * prior) / (len(some) + 2), bad
+
+    def meets(i, condition):
+        name, above, cut = condition
+        return x[name][i] > cut if above else x[name][i] <= cut
+
+    while len(rules) < 12:
+        grow, prune = {i for i in left if not apart[i]}, {i for i in left if apart[i]}
+        if sum(low[i] for i in grow) < least:
+            break
+        tried = []
+        for name in x:
+            values = sorted(x[name][i] for i in grow)
+            seen = sorted({values[int((len(values) - 1) * q / steps)] for q in range(steps + 1)})
+            for a, b in zip(seen, seen[1:], strict=False):
+                tried += [(name, above, (a + b) / 2) for above in (True, False)]
+        inside, rule = set(grow), []
+        while len(rule) < max_conditions:
+            base = np.log2(share(inside)[0])
+            best, gain = None, 0.0
+            for condition in tried:
+                some = {i for i in inside if meets(i, condition)}
+                chance, bad = share(some)
+                won = bad * (np.log2(chance) - base) if bad >= least else 0
+                if won > gain + 1e-9:
+                    best, gain, covered = condition, won, some
+            if best is None:
+                break
+            rule.append(best)
+            inside = covered
+            if all(low[i] for i in inside):
+                break
+        if not rule:
+            break
+
+        def judged(conditions, prune=prune):
+            return share({i for i in prune if all(meets(i, c) for c in conditions)})
+
+        while len(rule) > 1:
+            shorter = max((rule[:i] + rule[i + 1 :] for i in range(len(rule))), key=lambda r: judged(r)[0])
+            if judged(shorter)[0] < judged(rule)[0]:
+                break
+            rule = shorter
+        if judged(rule)[0] < precision or not judged(rule)[1]:
+            break
+        rules.append(rule)
+        left -= {i for i in left if all(meets(i, c) for c in rule)}
+    return rules
+
+
+@pytest.mark.parametrize("seed", [0, 1, 3, 5])
+def test_covering_against_every_threshold(seed):
+    rng = np.random.default_rng(seed)
+    n = 240
+    x = {name: rng.random(n).round(3) for name in "abc"}
+    low = ((x["a"] > 0.7) & (x["b"] > 0.4)) | (x["c"] < 0.15) | (rng.random(n) < 0.03)
+    apart = rng.random(n) < 0.33
+    got = quality.learn_rules(x, low, apart)
+    want = plain_rules({k: v.tolist() for k, v in x.items()}, low.tolist(), apart.tolist())
+    assert [[(c.statistic, c.above, pytest.approx(c.threshold)) for c in r.conditions] for r in got] == want
+    assert got
