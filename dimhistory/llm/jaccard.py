@@ -10,7 +10,9 @@ their long lists.
 Equal sets are one class from the start. Long lists mostly come from groups of near copies, so
 before any pairs are made every document is compared with two members of each list it is in, and
 with others of the lists that two components still meet in while those are long. Lists within one
-component need no pairs. The rest is joined; sizes, positions and bitmaps of the sets, which
+component need no pairs. Other long lists come from passages in documents that are not alike: the
+tokens of such passages are moved behind all others, in all documents, and the prefixes that held
+one are taken anew. The rest is joined; sizes, positions and bitmaps of the sets, which
 bound the difference of two sets from below, narrow the pairs, and the words verify them.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,9 @@ COMMON_SHARE = 2e-4
 COUNTED = 4_000_000
 #: A list of more documents than this belongs to the frequent class.
 FREQUENT = 48
+#: A list of more documents than this that lies across components is a passage's, and the most
+#: rounds in which passages are moved back.
+LONG, MOVES = 1_000, 3
 #: Words whose hash a task remembers.
 REMEMBERED = 100_000
 #: 64-bit words of a set's bitmap, and of the wide one that sets of more tokens than ``SMALL``
@@ -141,23 +147,27 @@ def _repeated(tokens: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``(doc_id, n, tokens, wide, b0, b1, ...)``: prefix, one token longer than needed, bitmaps."""
+    """``(doc_id, n, tokens, wide, b0, b1, ...)``: prefix, one token longer than needed, bitmaps.
+
+    ``common`` tokens come last. ``docs`` may have a third column, the tokens of a row that come
+    just before those.
+    """
     spread = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, last = Hasher(width), spread.value
         for batch in batches:
             ids, sizes, lengths, found, bitmaps, wide = [], [], [], [], [], []
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+            moved = batch.column(2) if batch.num_columns > 2 else repeat(None)
+            for key, text, back in zip(batch.column(0), batch.column(1), moved):  # noqa: B905
                 tokens = hasher(text.as_py())
                 n = len(tokens)
                 size = _prefix_size(n, percent) + 1
                 if size > n:
                     continue  # so small that only equal sets are similar enough
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, tokens), len(last) - 1)
-                    late = last[at] == tokens
-                    tokens = np.concatenate([tokens[~late], tokens[late]])
+                if back is not None:
+                    tokens = _behind(tokens, np.sort(back.values.to_numpy().view(np.uint64)))
+                tokens = _behind(tokens, last)
                 ids.append(key.as_py())
                 sizes.append(n)
                 lengths.append(size)
@@ -183,6 +193,82 @@ def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) ->
     return docs.mapInArrow(run, ddl)
 
 
+def _behind(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """``tokens`` with those among the sorted ``late`` after all others."""
+    if not len(late):
+        return tokens
+    at = np.minimum(np.searchsorted(late, tokens), len(late) - 1)
+    is_late = late[at] == tokens
+    return np.concatenate([tokens[~is_late], tokens[is_late]])
+
+
+def _token_rows(docs: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, token)`` of all tokens of ``docs``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(width)
+        for batch in batches:
+            sets = [hasher(text.as_py()).view(np.int64) for text in batch.column(1)]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "tokens"])
+
+    sets = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tokens array<long>")
+    return sets.select("doc_id", F.explode("tokens").alias("token"))
+
+
+def _passages_behind(
+    open_: DataFrame,
+    prefixes: DataFrame,
+    found: DataFrame,
+    docs: DataFrame,
+    common: np.ndarray,
+    width: int,
+    percent: int,
+    staging: Staging,
+) -> tuple[DataFrame, DataFrame]:
+    """``open_`` and ``prefixes`` with the tokens of passages behind all but the common ones.
+
+    A passage shows by lists of more than ``LONG`` documents that lie across components. All
+    tokens that so many of these documents have are moved, also those that no prefix held. Then
+    every prefix that holds one is taken anew; others stay as they are, so that all follow one
+    order. Nothing is moved by these rules below ``LONG`` documents, and the links are the same
+    in any order: only fewer pairs are looked at.
+    """
+    placed = found.withColumnRenamed("node", "doc_id")
+    last = docs.sparkSession.createDataFrame(pa.table({"token": pa.array(common.view(np.int64))}))
+    moved = None
+    for _ in range(MOVES):
+        long_ = open_.where(F.col("docs") > LONG).join(F.broadcast(last), "token", "left_anti")
+        if moved is not None:
+            long_ = long_.join(moved, "token", "left_anti")
+        if long_.isEmpty():
+            break
+        holders = staging.write(by_ids(docs, long_.select("doc_id"), "left_semi"), "holders")
+        more = _token_rows(holders, width).groupBy("token").agg(F.count("*").alias("n"))
+        more = more.where(F.col("n") > LONG // 2).select("token").union(long_.select("token"))
+        more = more if moved is None else more.union(moved)
+        moved = more.distinct().join(F.broadcast(last), "token", "left_anti")
+        moved = staging.write(moved, "moved")
+        held = prefixes.select("doc_id", F.explode("tokens").alias("token")).join(moved, "token", "left_semi")
+        held = staging.write(held.select("doc_id").distinct(), "held")
+        texts = staging.write(by_ids(docs, held, "left_semi"), "texts")
+        own = _token_rows(texts, width).join(moved, "token", "left_semi")
+        own = own.groupBy("doc_id").agg(F.collect_list("token").alias("back"))
+        anew = _prefixes(texts.join(own, "doc_id").select("doc_id", "text", "back"), common, width, percent)
+        prefixes = prefixes.join(held, "doc_id", "left_anti").union(anew)
+        prefixes = staging.write(prefixes, "prefixes")
+        rows = prefixes.select("doc_id", "n", F.posexplode("tokens").alias("at", "token"))
+        rows = rows.join(placed, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        lists = rows.groupBy("token").agg(
+            F.count("*").alias("docs"), F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        lists = lists.where("low <> high").select("token", "docs")
+        open_ = staging.write(rows.join(lists, "token"), "open")
+    return open_, prefixes
+
+
 def _bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
     fallen = np.bincount((tokens % np.uint64(64 * words)).astype(np.int64), minlength=64 * words)
     return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
@@ -335,6 +421,7 @@ def _links(
         length = open_.agg(F.avg("docs")).first()[0]
         if not length or length <= frequent:
             break
+    open_, prefixes = _passages_behind(open_, prefixes, found, docs, common, width, percent, staging)
     pairs = _pairs(open_.join(prefixes.select("doc_id", *_bits()), "doc_id"), percent, frequent)
     pairs = staging.write(pairs.join(tried, ["a", "b"], "left_anti"), "met")
     pairs = staging.write(_narrowed(pairs, prefixes, percent, staging), "pairs")

@@ -62,6 +62,71 @@ def test_pairs_alone_find_every_link(frame, monkeypatch):
     assert [got[i]["component_id"] for i in range(len(texts))] == group
 
 
+def with_a_passage(rng, n, own, passage, near=0):
+    """Texts of ``own`` words each that all hold one passage, and ``near`` near copies of some."""
+    shared = [f"p{i}" for i in range(passage)]
+    texts = [[f"w{rng.randrange(10**9)}" for _ in range(own)] for _ in range(n)]
+    texts = [words[: own // 2] + shared + words[own // 2 :] for words in texts]
+    for words in rng.sample(texts, near):
+        changed = list(words)
+        for _ in range(2):
+            changed[rng.randrange(len(changed))] = f"x{rng.randrange(10**9)}"
+        texts.append(changed)
+    return [" ".join(words) for words in texts]
+
+
+@pytest.fixture()
+def looked_at(monkeypatch):
+    """Pairs of rows that lie in one list, each time pairs are made."""
+    seen, real = [], jaccard._pairs
+
+    def counted(open_, percent, frequent):
+        sizes = open_.groupBy("token").count()
+        seen.append(sizes.selectExpr("coalesce(sum(count * count), 0) AS n").first()["n"])
+        return real(open_, percent, frequent)
+
+    monkeypatch.setattr(jaccard, "_pairs", counted)
+    monkeypatch.setattr(jaccard, "COMMON_SHARE", 10)  # the passage is not among the common ones
+    return seen
+
+
+def test_a_passage_in_many_documents_makes_no_square_of_pairs(frame, looked_at, monkeypatch):
+    monkeypatch.setattr(jaccard, "LONG", 60)
+    for n in (150, 300):
+        texts = with_a_passage(random.Random(n), n, 100, 40, near=20)
+        _, group = brute(texts)
+        got = {r["doc_id"]: r for r in jaccard.similar_documents(frame(texts)).collect()}
+        assert [got[i]["component_id"] for i in range(len(texts))] == group
+        assert len(set(group)) < len(texts)
+    small, large = looked_at
+    assert large <= 2.5 * max(small, 500)
+    # without moving them, every list of the passage's tokens meets itself
+    monkeypatch.setattr(jaccard, "MOVES", 0)
+    jaccard.similar_documents(frame(texts)).collect()
+    assert looked_at[-1] > 100 * max(large, 1000)
+
+
+@pytest.mark.parametrize("long_,moves", [(4, 1), (4, 3), (15, 3)])
+def test_moving_tokens_loses_no_link(frame, monkeypatch, long_, moves):
+    """Any tokens may be moved: the links are those of all pairs."""
+    monkeypatch.setattr(jaccard, "COMMON_SHARE", 0.1)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    monkeypatch.setattr(jaccard, "LONG", long_)
+    monkeypatch.setattr(jaccard, "MOVES", moves)
+    real, calls = jaccard._narrowed, []
+
+    def none_at_first(pairs, sets, percent, staging):
+        calls.append(1)
+        return real(pairs, sets, percent, staging) if len(calls) > 1 else pairs.limit(0)
+
+    monkeypatch.setattr(jaccard, "_narrowed", none_at_first)
+    rng = random.Random(long_)
+    texts = near_copies(rng, 150) + with_a_passage(rng, 60, 60, 25, near=25)
+    _, group = brute(texts)
+    got = {r["doc_id"]: r for r in jaccard.similar_documents(frame(texts), frequent=3).collect()}
+    assert [got[i]["component_id"] for i in range(len(texts))] == group
+
+
 def test_odd_documents(odd):
     got = jaccard.similar_documents(odd).collect()
     assert len(got) == odd.count()
