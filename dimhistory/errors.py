@@ -18,4 +18,4 @@ class CorruptHistory(HistoryError):
 
 
 class ConcurrentPublish(HistoryError):
-    """Another writer published the version this load wanted to publish."""
+    """Another load of the table is under way, or broke off and left its lock."""

@@ -218,8 +218,9 @@ class HistoryTable:
         """Make ``rows`` (with their part) the contents of the partitions they lie in, in one commit.
 
         All other partitions stay as they are, but for those of ``may_empty`` that got no row,
-        which are dropped. ``metrics`` are SQL aggregates of all rows, of which ``where`` chooses those
-        to be written, without the columns ``drop``. A row that no history may hold stops the write before its commit.
+        which are dropped after the commit; until then the load's lock is held. ``metrics`` are SQL
+        aggregates of all rows, of which ``where`` chooses those to be written, without the
+        columns ``drop``. A row that no history may hold stops the write before its commit.
         """
         taken, places = Observation(), sorted(may_empty)
         flag = sql_name(self.spec.flag)
@@ -242,7 +243,7 @@ class HistoryTable:
             self.replace(history, load)
 
     def replace(self, history: DataFrame, load: str) -> dict:
-        """``overwrite`` within a load, of a history that was checked."""
+        """``overwrite`` within a load; returns what was written, counted on the way."""
         old = self.partitions()
         rows = self.placed(history, load)
         active = {place for place in old if place[0]}
