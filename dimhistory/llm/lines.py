@@ -52,38 +52,33 @@ def boilerplate(
     line needs the same share.
     """
 
-    def key(line: Column) -> Column:
-        if full_length is None:
-            return _digest(_trimmed(line))
-        return F.struct(_digest(_trimmed(line)).alias("line"), F.length(_trimmed(line)).alias("length"))
-
-    keys = F.array_distinct(
-        F.transform(F.filter(F.split("text", "\n"), lambda line: _trimmed(line) != ""), key)
-    )
     pages = (
         docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
         .where(F.length("text") > 0)
-        .select("host", _digest(F.col("text")).alias("page"), keys.alias("keys"))
+        .select("host", _digest(F.col("text")).alias("page"), "text")
     )
+    lines = pages.select("host", "page", F.explode(F.split("text", "\n")).alias("line"))
+    lines = lines.withColumn("line", _trimmed(F.col("line"))).where("line <> ''")
+    length = F.lit(1) if full_length is None else F.length("line")
     # copies fall together, before and after the shuffle, ahead of the counting
     counted = (
-        pages.select("host", "page", F.explode("keys").alias("key"))
+        lines.select("host", "page", _digest(F.col("line")).alias("key"), length.alias("length"))
+        .select("host", "page.a", "page.b", "key", "length")
         .distinct()
-        .groupBy("host", "key")
+        .groupBy("host", "key", "length")
         .agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= least_pages)
     )
     totals = pages.select("host", "page").distinct().groupBy("host")
     totals = totals.agg(F.count("*").alias("total"))
     same = counted["host"].eqNullSafe(totals["host"])
-    least, found = F.lit(ratio), F.col("key")
+    least = F.lit(ratio)
     if full_length is not None:
-        least = least * F.least(F.lit(1.0), F.lit(full_length) / F.col("key.length"))
-        found = F.col("key.line").alias("key")
+        least = least * F.least(F.lit(1.0), F.lit(full_length) / F.col("length"))
     return (
         counted.join(totals, same)
         .where(F.col("pages") > least * F.col("total"))
-        .select(counted["host"], found, "pages", "total")
+        .select(counted["host"], "key", "pages", "total")
     )
 
 
