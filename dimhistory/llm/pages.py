@@ -2,9 +2,10 @@
 
 Every page becomes its lines of text (blocks), each marked by the markup it stands in: article,
 chrome (menus, adverts, forms, comments and the like) or loose. Pages of a host are put in the
-order of their URL paths; a page is paired with the neighbour whose path agrees longest, the
-two are aligned by a longest common subsequence of lines, and lines they share are deleted. What
-an article element holds stays even if it is shared, since two articles may quote the same line.
+order of their URL paths; every page is paired with the neighbour whose path agrees longest, the
+two are aligned by a longest common subsequence of all lines, and lines they share are deleted.
+The markup checks what is left: chrome goes even if no neighbour shares it, and what an article
+element holds comes back if it was shared, since two articles may quote the same line.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimhistory import Staging
-from dimhistory.llm.frames import arrow_schema
+from dimhistory.llm.frames import BROADCAST_IDS, arrow_schema
 from dimhistory.operators.numbering import dense_row_number
 
 CHROME, LOOSE, ARTICLE = 0, 1, 2
@@ -205,10 +206,10 @@ def _path(url: Column) -> Column:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """``(row, page_id, url, host, path, settled, lines, places, hashes)``, one row per page.
+    """``(row, page_id, url, host, path, lines, kinds, hashes)``, one row per page.
 
-    ``lines`` are the article's, and ``settled`` is true; in a page without article they are the
-    loose ones. ``hashes`` has every line of the page, ``places`` where ``lines`` are in it.
+    ``lines`` are those that are no chrome. ``kinds`` has a byte and ``hashes`` a number for every
+    line of the page.
     """
     narrow = pages.select(
         F.monotonically_increasing_id().alias("row"),
@@ -221,7 +222,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     ddl = (
         f"row long, page_id {kind}, url string, host string, path string, "
-        "settled boolean, lines array<string>, places array<int>, hashes array<long>"
+        "lines array<string>, kinds binary, hashes array<long>"
     )
     schema = arrow_schema(ddl)
 
@@ -232,12 +233,10 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 out = []
                 for page in part.column(5):
                     lines = page_lines(page.as_py())
-                    settled = any(kind == ARTICLE for kind, _ in lines)
-                    own = ARTICLE if settled else LOOSE
-                    places = [i for i, (kind, _) in enumerate(lines) if kind == own]
+                    texts = [text for kind, text in lines if kind != CHROME]
+                    kinds = bytes(kind for kind, _ in lines)
                     hashes = np.array([xxhash.xxh64_intdigest(t) for _, t in lines], np.uint64)
-                    texts = [lines[i][1] for i in places]
-                    out.append((settled, texts, places, hashes.view(np.int64).tolist()))
+                    out.append((texts, kinds, hashes.view(np.int64).tolist()))
                 made = [
                     pa.array(c, f.type)
                     for c, f in zip(zip(*out, strict=True), list(schema)[5:], strict=True)
@@ -255,51 +254,75 @@ def _common_prefix(a: str, b: str) -> int:
 def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text)``: the main text of each whole page, empty if it has none.
 
-    The lines of article and main elements are the text. In a page without them it is the lines
-    that are neither chrome nor shared with the paired page; if all are shared, the page is a
-    copy of its pair, differencing tells nothing, and the lines stay. A null html counts as
-    empty. Pages without url form one host. Repeated rows stay and are paired like any others; an
-    empty table gives no rows; other columns are not read.
+    It is what differencing leaves of a page, without chrome, and with all lines of article and
+    main elements; see :func:`kept_lines`. A null html counts as empty. Pages without url form one
+    host. Repeated rows stay and are paired like any others; an empty table gives no rows; other
+    columns are not read.
     """
     staging = Staging(pages.sparkSession)
     parsed = staging.write(_parsed(pages), "lines", compression="zstd")
-    text = F.array_join("lines", " ").alias("text")
-    sure = parsed.where("settled").select("page_id", "url", text)
-    # only pages that their markup doesn't settle meet their lines again
-    loose = parsed.where("NOT settled").join(_shared(parsed, staging), "row")
+    # only pages that differencing takes lines from meet their lines again
+    cut = staging.write(_differenced(parsed, staging), "cut")
+    few = cut.count() <= BROADCAST_IDS
+    met = parsed.join(F.broadcast(cut) if few else cut, "row", "left")
     own = F.transform(
-        F.filter(F.arrays_zip("lines", "places"), lambda x: ~F.get("shared", x["places"])),
-        lambda x: x["lines"],
+        F.filter(F.arrays_zip("lines", "kept"), lambda x: x["kept"]), lambda x: x["lines"]
     )
-    kept = F.when(F.size(own) > 0, own).otherwise(F.col("lines"))
-    return sure.union(loose.select("page_id", "url", F.array_join(kept, " ").alias("text")))
+    left = F.when(F.col("kept").isNull(), F.col("lines")).otherwise(own)
+    return met.select("page_id", "url", F.array_join(left, " ").alias("text"))
 
 
-def _shared(parsed: DataFrame, staging: Staging) -> DataFrame:
-    """``(row, shared)`` of each page that is not settled: which of its lines its pair has."""
-    narrow = parsed.select("host", "path", "row", "settled", "hashes")
+def kept_lines(kinds: bytes, shared: list[bool] | None) -> list[bool]:
+    """Which of a page's lines that are no chrome are its text.
+
+    ``shared`` says which of all its lines differencing deletes; it is None without a neighbour.
+    An article's lines come back. Loose ones stay if they are not shared; if all of a page without
+    article are, it is a copy of its pair, differencing tells nothing, and they stay. Without a
+    neighbour, they are the text of pages without article only.
+    """
+    article = ARTICLE in kinds
+    if shared is None:
+        return [kind == ARTICLE or not article for kind in kinds if kind != CHROME]
+    kept = [
+        kind == ARTICLE or not deleted
+        for kind, deleted in zip(kinds, shared, strict=True)
+        if kind != CHROME
+    ]
+    return kept if article or any(kept) else [True] * len(kept)
+
+
+def _differenced(parsed: DataFrame, staging: Staging) -> DataFrame:
+    """``(row, kept)`` of each page that loses lines to its pair: which of its ``lines`` stay.
+
+    Every page is aligned with its pair; of the others all ``lines`` stay.
+    """
+    narrow = parsed.select("host", "path", "row", "kinds", "hashes")
     placed = staging.write(
         dense_row_number(narrow, ["host", "path", "row"], "at", staging, unique=True), "order"
     )
-    open_ = placed.where("NOT settled")
+    paired = placed.select("host", "path", "row", "kinds", "hashes", "at")
     for name, step in (("before", 1), ("after", -1)):
         other = placed.select(
             F.col("host").alias("h"), (F.col("at") + step).alias("t"), F.struct("path", "hashes").alias(name)
         )
         met = (F.col("at") == F.col("t")) & (F.col("host") == F.col("h"))
-        open_ = open_.join(other, met, "left").drop("t", "h")
-    ddl = "row long, shared array<boolean>"
+        paired = paired.join(other, met, "left").drop("t", "h")
+    ddl = "row long, kept array<boolean>"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            rows, out = [], []
             for one in batch.to_pylist():
                 pairs = [p for p in (one["before"], one["after"]) if p]
                 best = max(pairs, key=lambda p: _common_prefix(one["path"], p["path"]), default=None)
-                out.append(shared_lines(one["hashes"], best["hashes"] if best else []))
+                shared = shared_lines(one["hashes"], best["hashes"]) if best else None
+                kept = kept_lines(one["kinds"], shared)
+                if not all(kept):
+                    rows.append(one["row"])
+                    out.append(kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out, schema[1].type)], schema=schema
+                [pa.array(rows, schema[0].type), pa.array(out, schema[1].type)], schema=schema
             )
 
-    return open_.select("row", "path", "hashes", "before", "after").mapInArrow(run, ddl)
+    return paired.select("row", "path", "kinds", "hashes", "before", "after").mapInArrow(run, ddl)

@@ -46,6 +46,34 @@ def test_pages_without_article_lose_what_neighbours_share(spark):
     assert got[10] == "only page"
 
 
+def test_pages_with_an_article_are_differenced_too(spark):
+    bar, quote = "<div>Welcome to the site</div>", "<p>as the poet says</p>"
+    page = "<body>{}<nav>menu {}</nav><article><p>text {}</p>{}</article><div>after {}</div></body>".format
+    rows = [(i, f"http://h.com/p/{i}", page(bar, i, i, quote, i)) for i in range(3)]
+    rows += [(3, "http://solo.com/", page(bar, 3, 3, quote, 3))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extract(frame).collect()}
+    # the shared bar goes, the shared quotation of the articles stays, and so does a line of one page only
+    assert [got[i] for i in range(3)] == [f"text {i} as the poet says after {i}" for i in range(3)]
+    assert got[3] == "text 3 as the poet says"  # no neighbour tells what stands beside the article
+
+
+def test_every_page_is_aligned(spark, sf_dir):
+    staging = pages.Staging(spark)
+    parsed = staging.write(pages._parsed(spark.read.parquet(f"{sf_dir}/pages.parquet")), "lines")
+    want = {r["row"]: r for r in parsed.collect()}
+    order = sorted(want.values(), key=lambda r: (r["host"], r["path"], r["row"]))
+    cut = {r["row"]: r["kept"] for r in pages._differenced(parsed, staging).collect()}
+    for at, r in enumerate(order):
+        near = [order[i] for i in (at - 1, at + 1) if 0 <= i < len(order) and order[i]["host"] == r["host"]]
+        best = max(near, key=lambda o: pages._common_prefix(r["path"], o["path"]), default=None)
+        shared = pages.shared_lines(r["hashes"], best["hashes"]) if best else None
+        kept = pages.kept_lines(bytes(r["kinds"]), shared)
+        assert cut.get(r["row"], [True] * len(kept)) == kept
+        assert len(r["lines"]) == len(kept)
+    staging.drop()
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None), (2, "http://a/", ""), (3, "http://a/", "<p>x</p>"), (3, "http://a/", "<p>x</p>"),
