@@ -144,6 +144,9 @@ def _convert(column: Column, source: T.DataType, target: T.DataType) -> tuple[Co
 
 
 _NUMBER = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,9}))?\s*$"
+#: Numbers without digits beyond ``_EXACT``, unless they are too large for it.
+_PLAIN = r"^[+-]?[0-9]{1,19}(?:\.[0-9]{0,19})?(?:[eE]\+?[0-9]{1,2})?\z"
+_EXACT = T.DecimalType(38, 19)
 
 
 def _written_number(text: Column) -> Column:
@@ -152,28 +155,43 @@ def _written_number(text: Column) -> Column:
     Texts of equal numbers give equal results, whatever their length: ``1.50``, ``+1.5`` and
     ``15e-1`` do. Null for what is no number in digits.
     """
-    sign, whole, part, power = (F.regexp_extract(text, _NUMBER, i) for i in (1, 2, 3, 4))
-    digits = F.ltrim(F.concat(whole, part), F.lit("0"))
-    bare = F.rtrim(digits, F.lit("0"))
-    shift = F.coalesce(power.try_cast("int"), F.lit(0)) - F.length(part)
-    zero = F.struct(F.lit("").alias("sign"), F.lit("0").alias("digits"), F.lit(0).alias("power"))
-    number = F.struct(
-        F.when(sign == "-", "-").otherwise("").alias("sign"),
-        bare.alias("digits"),
-        (shift + F.length(digits) - F.length(bare)).alias("power"),
-    )
+    names = ("sign", "whole", "part", "power")
+    parts = F.struct(*[F.regexp_extract(text, _NUMBER, i).alias(n) for i, n in enumerate(names, 1)])
+
+    def number(found: Column) -> Column:
+        sign, whole, part, power = (found[n] for n in names)
+        digits = F.ltrim(F.concat(whole, part), F.lit("0"))
+        bare = F.rtrim(digits, F.lit("0"))
+        shift = F.coalesce(power.try_cast("int"), F.lit(0)) - F.length(part)
+        zero = F.struct(F.lit("").alias("sign"), F.lit("0").alias("digits"), F.lit(0).alias("power"))
+        other = F.struct(
+            F.when(sign == "-", "-").otherwise("").alias("sign"),
+            bare.alias("digits"),
+            (shift + F.length(digits) - F.length(bare)).alias("power"),
+        )
+        return F.when(bare == "", zero).otherwise(other)
+
     in_digits = text.rlike(_NUMBER) & text.rlike("[0-9]")
-    return F.when(in_digits, F.when(bare == "", zero).otherwise(number))
+    # an array of one, so that each part is looked for once
+    return F.when(in_digits, F.transform(F.array(parts), number)[0])
 
 
 def _same_number(text: Column, value: Column, target: T.DataType) -> Column:
-    """Whether a text and the number it became are written alike, up to zeros and notation."""
-    same = _written_number(text) == _written_number(value.cast("string"))
+    """Whether a text and the number it became are written alike, up to zeros and notation.
+
+    Plain ones are compared as decimals that hold all their digits; only others, and those too
+    large for that, digit by digit.
+    """
+    shown = value.cast("string")
+    same = _written_number(text) == _written_number(shown)
     if isinstance(target, T.FloatType | T.DoubleType):
         # words such as NaN and Infinity are no digits, a number that became infinite is
         word = F.isnan(value) | (F.abs(value) == float("inf"))
-        return F.when(_written_number(text).isNull(), word).otherwise(same)
-    return same
+        same = F.when(_written_number(text).isNull(), word).otherwise(same)
+        plain, exact = text.rlike(_PLAIN) & shown.rlike(_PLAIN), shown.try_cast(_EXACT)
+    else:
+        plain, exact = text.rlike(_PLAIN), value.try_cast(_EXACT)
+    return F.coalesce(F.when(plain, text.try_cast(_EXACT) == exact), same)
 
 
 _CLOCK = r"^\s*([+-]?\d+(?:-\d{1,2}(?:-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)?)?)?)"

@@ -5,6 +5,8 @@ from dimhistory import accept_snapshot
 from dimhistory.errors import CorruptHistory, DuplicateKeys, SchemaMismatch
 from dimhistory.operators.screening import (
     Profile,
+    _same_number,
+    _written_number,
     duplicate_keys,
     latest_per_key,
     profile,
@@ -112,6 +114,35 @@ def test_conversions_that_lose_something_are_rejected(spark, source, target, goo
     assert [(r["k"], r["reject_reason"]) for r in rejected.collect()] == [(2, "bad value: v")][: bad is not None]
 
 
+ODD_NUMBERS = """0 -0 +0 00 0. .5 5. 1.10 01.1 -1.1 +7 1e0 1E+2 1e-2 12.5e1 1.005 0.1 16777217 1e18 1e19 1e20 1e38 1e99
+1e100 1e400 9999999999999999999 99999999999999999999 0.0000000000000000001 0.00000000000000000001 1e-19 1e-20 -1e-400
+9999999999999999999.9999999999999999999 1234567890123456789.5 0.0000123456789012345 1.2345678901234567e-5 0.30000000000000004
+9007199254740993 123456789012345678901234567890123456.78 NaN Infinity 1.0d 0x1p3 abc 1_0 1e 1e+ - + . e5 1.2.3""".split()
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "float", "double", "decimal(12,2)", "decimal(38,2)", "decimal(38,30)"])
+def test_plain_numbers_are_kept_like_any_others(spark, kind):
+    texts = [*ODD_NUMBERS, " 1 ", "1\n", "\t1.5", "\u0661", "\uff11", "\x001", "1\x00", "", " ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    text, value = F.col("t"), F.col("t").try_cast(kind)
+    kept = F.coalesce(_same_number(text, value, df.select(value).schema[0].dataType), F.lit(False))
+    plain = _written_number(text) == _written_number(value.cast("string"))
+    if kind in ("float", "double"):
+        word = F.isnan(value) | (F.abs(value) == float("inf"))
+        plain = F.when(_written_number(text).isNull(), word).otherwise(plain)
+    got = df.select("t", kept.alias("kept"), F.coalesce(plain, F.lit(False)).alias("plain")).collect()
+    assert [(r["t"], r["kept"]) for r in got] == [(r["t"], r["plain"]) for r in got]
+
+
+def test_the_parts_of_a_number_are_looked_for_once(spark):
+    """Parts that the expression names again are matched again: a second for every 5,000 rows."""
+    text = spark.createDataFrame([("1", "x", "1")], "k string, a string, b string")
+    accepted, _ = screen_snapshot(text, AB, ["k"])
+    plan = accepted._jdf.queryExecution().analyzed().toString()
+    # a number has four parts, and two numbers of each of two columns are compared
+    assert plan.count("regexp_extract(") <= 16
+
+
 def test_screening_once_gives_the_same_and_reads_once(spark, staging):
     seen = spark.sparkContext.accumulator(0)
 
