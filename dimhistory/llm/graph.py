@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from dimhistory import Staging
 
 
+def grown(found: DataFrame, more: DataFrame, staging: Staging) -> DataFrame:
+    """``components`` of the links behind ``found``, its result for them, and of ``more``.
+
+    Every node hangs on its component already, so only what ``more`` joins moves again.
+    """
+    more = staging.write(more.select("a", "b"), "more")
+    if more.isEmpty():
+        return found
+    return components(more.union(found.select("node", "component").toDF("a", "b")), staging)
+
+
 def components(links: DataFrame, staging: Staging) -> DataFrame:
     """``(node, component)``, the smallest node reachable, for every node with a link.
 
@@ -18,21 +29,19 @@ def components(links: DataFrame, staging: Staging) -> DataFrame:
     pairs = links.where("a <> b").select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")
     )
-    pairs = staging.write(pairs.distinct(), "links")
+    moved = {"n": "count(*)", "sum": "sum(xxhash64(node, root) % 1000003)"}
+    pairs, after = staging.observed(pairs.distinct(), "links", moved)
     before = None
-    while True:
-        after = pairs.agg(F.count("*"), F.sum(F.xxhash64("node", "root") % 1_000_003)).first()
-        if tuple(after) == before or not after[0]:
-            break
-        before = tuple(after)
+    while after["n"] and after != before:
         both = pairs.union(pairs.select("root", "node")).toDF("node", "other")
         least = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("least"))
+        # a row for each link at most; its copies go with those of the round
         large = both.where("other > node").join(least, "node")
-        large = large.where("other <> least").select("other", "least").distinct()
-        large = large.toDF("node", "root")
+        large = large.where("other <> least").select("other", "least").toDF("node", "root")
         least = large.groupBy("node").agg(F.min("root").alias("least"))
         small = large.join(least, "node").where("root <> least").select("root", "least")
         small = small.union(least.select("node", "least")).distinct().toDF("node", "root")
-        pairs = staging.write(small, "links")
+        before = after
+        pairs, after = staging.observed(small, "links", moved)
     roots = pairs.select(F.col("root").alias("node"), F.col("root").alias("component")).distinct()
     return pairs.select("node", F.col("root").alias("component")).union(roots)

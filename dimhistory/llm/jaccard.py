@@ -357,8 +357,7 @@ def similar_documents(
         .to_numpy(np.int64)
         .view(np.uint64)
     )
-    links = _links(docs, copies, np.sort(common), width, percent, frequent, staging)
-    found = graph.components(links, staging)
+    found = _linked(docs, copies, np.sort(common), width, percent, frequent, staging)
     named = classes.join(found, classes["rep"] == found["node"], "left").select(
         "print", F.coalesce("component", "rep").alias("component_id")
     )
@@ -371,7 +370,7 @@ def similar_documents(
     )
 
 
-def _links(
+def _linked(
     docs: DataFrame,
     copies: DataFrame,
     common: np.ndarray,
@@ -380,7 +379,7 @@ def _links(
     frequent: int,
     staging: Staging,
 ) -> DataFrame:
-    """Links ``(a, b)`` with the components of all links, of documents that aren't ``copies``."""
+    """The components of all links between documents that aren't ``copies``."""
     docs = docs.where("doc_id IS NOT NULL")
     if copies.count() <= BROADCAST_IDS:
         prefixes = _prefixes(docs.join(F.broadcast(copies), "doc_id", "left_anti"), common, width, percent)
@@ -392,7 +391,7 @@ def _links(
     lists = rows.groupBy("token").agg(F.count("*").alias("docs"), *ends).where("docs > 1")
     open_ = staging.write(rows.join(lists, "token"), "shared")
 
-    links = tried = None
+    found = tried = None
     for number in range(ROUNDS):
         # each document against two members of its lists, other ones in each round
         hubs = open_.select(F.col("doc_id").alias("a"), F.explode(F.array("first", "last")).alias("b"))
@@ -402,9 +401,8 @@ def _links(
             hubs = hubs.join(tried, ["a", "b"], "left_anti")
         hubs = staging.write(hubs, "tried")
         more = _verified(hubs, docs, width, percent, staging)
-        links = more if links is None else staging.write(links.union(more), "found")
         tried = hubs if tried is None else tried.union(hubs)
-        found = graph.components(links, staging)
+        found = graph.components(more, staging) if found is None else graph.grown(found, more, staging)
         placed = open_.drop("component", "first", "last")
         placed = placed.join(found, placed["doc_id"] == found["node"], "left")
         placed = placed.drop("node").withColumn("component", F.coalesce("component", "doc_id"))
@@ -425,7 +423,7 @@ def _links(
     pairs = _pairs(open_.join(prefixes.select("doc_id", *_bits()), "doc_id"), percent, frequent)
     pairs = staging.write(pairs.join(tried, ["a", "b"], "left_anti"), "met")
     pairs = staging.write(_narrowed(pairs, prefixes, percent, staging), "pairs")
-    return links.union(_verified(pairs, docs, width, percent, staging))
+    return graph.grown(found, _verified(pairs, docs, width, percent, staging), staging)
 
 
 def _narrowed(pairs: DataFrame, sets: DataFrame, percent: int, staging: Staging) -> DataFrame:

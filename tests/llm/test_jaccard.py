@@ -155,3 +155,23 @@ def test_components_of_random_graphs(spark):
 def test_query_is_its_sql(spark, db, sf_dir):
     got = sorted(tuple(r) for r in QUERIES["op6_ngram_jaccard"](spark, sf_dir).collect())
     assert got == sorted(db.execute(OP6_NGRAM_JACCARD).fetchall())
+
+
+def test_components_grow_by_new_links(spark, staging):
+    rng = random.Random(5)
+    for size in (4, 30):
+        old, new = ([(rng.randint(0, 2 * size), rng.randint(0, 2 * size)) for _ in range(size)] for _ in range(2))
+        links = [spark.createDataFrame(rows, "a long, b long") for rows in (old, new, old + new)]
+        found = graph.components(links[0], staging)
+        got = graph.grown(found, links[1], staging)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, graph.components(links[2], staging).collect()))
+        assert graph.grown(found, links[1].limit(0), staging) is found
+
+
+def test_components_are_worked_out_again_only_for_new_links(frame, monkeypatch):
+    calls, real = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda links, staging: calls.append(1) or real(links, staging))
+    words = [f"w{i}" for i in range(200)]
+    docs = frame([" ".join(words), " ".join([*words, "x"]), "some other text of six words"])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_documents(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2} and len(calls) == 1
