@@ -16,11 +16,10 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from dimhistory.llm.frames import map_texts
+from dimhistory.llm.frames import kept, map_texts
 
 SHORT = 256
 #: Words remembered by a task with what they encode to, and the longest of these.
@@ -189,7 +188,7 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids.split(","))).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
+@kept
 def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 

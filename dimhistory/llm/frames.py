@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -41,6 +44,33 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+_KEPT: list[Callable] = []
+
+
+def kept(load: Callable) -> Callable:
+    """``load``, whose last results stay in the Python worker for its next tasks, until ``release``."""
+    held = lru_cache(maxsize=2)(load)
+    _KEPT.append(held)
+    return held
+
+
+def release() -> None:
+    """Give back what operators before keep in this Python worker, which Spark uses again.
+
+    A task that needs much memory itself calls it first.
+    """
+    if not any(held.cache_info().currsize for held in _KEPT):
+        return
+    for held in _KEPT:
+        held.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library than glibc
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from dimhistory import Staging
 from dimhistory.llm import graph
-from dimhistory.llm.frames import BROADCAST_IDS, by_ids
+from dimhistory.llm.frames import BROADCAST_IDS, by_ids, release
 
 #: A token in more than this share of the documents comes last in the order. At most
 #: (mean tokens a document / share) tokens are, whatever the number of documents.
@@ -105,6 +105,7 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([*head, *lists], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hasher = Hasher(width)
         seen: set[bytes] = set()
         # one block of memory for the whole task, rather than many small ones
@@ -155,6 +156,7 @@ def _prefixes(docs: DataFrame, common: np.ndarray, width: int, percent: int) ->
     spread = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hasher, last = Hasher(width), spread.value
         for batch in batches:
             ids, sizes, lengths, found, bitmaps, wide = [], [], [], [], [], []

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
@@ -23,7 +22,7 @@ from dimhistory.llm.bpe import (
     split_word,
     to_bytes,
 )
-from dimhistory.llm.frames import map_texts
+from dimhistory.llm.frames import kept, map_texts
 
 #: Ends a word in the merge table; no UTF-8 text holds this byte.
 _END = b"\xff"
@@ -67,7 +66,7 @@ class WordBpe:
             return [to_bytes(w, self.alphabet).decode() for w, _ in words]
 
 
-@lru_cache(maxsize=2)
+@kept
 def load(path: str) -> WordBpe:
     return WordBpe(path)
 

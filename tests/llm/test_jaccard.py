@@ -4,7 +4,7 @@ from itertools import combinations
 import pytest
 
 from dimhistory import Staging
-from dimhistory.llm import graph, jaccard
+from dimhistory.llm import frames, graph, jaccard
 from dimhistory.llm.oracles import OP6_NGRAM_JACCARD
 from dimhistory.llm.queries import QUERIES
 
@@ -175,3 +175,11 @@ def test_components_are_worked_out_again_only_for_new_links(frame, monkeypatch):
     docs = frame([" ".join(words), " ".join([*words, "x"]), "some other text of six words"])
     got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_documents(docs).collect()}
     assert got == {0: 0, 1: 0, 2: 2} and len(calls) == 1
+
+
+def test_what_other_operators_keep_is_released():
+    held = frames.kept(lambda path: [path])
+    first = held("a")
+    assert held("a") is first
+    frames.release()
+    assert held("a") is not first
