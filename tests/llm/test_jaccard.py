@@ -1,5 +1,6 @@
 import random
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 
@@ -183,3 +184,29 @@ def test_what_other_operators_keep_is_released():
     assert held("a") is first
     frames.release()
     assert held("a") is not first
+
+
+def test_few_links_are_few_files(spark, staging, monkeypatch):
+    first, more = (
+        staging.write(spark.createDataFrame([(i, i + 1) for i in ids], "a long, b long"), "given")
+        for ids in (range(200), range(200, 300))
+    )
+
+    def files(of):
+        return [len([*folder.glob("part-*")]) for folder in Path(staging.path).glob(f"{of}-*")]
+
+    conf = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        found = graph.grown(graph.components(first, staging), more, staging)
+        assert dict(map(tuple, found.collect())) == dict.fromkeys(range(301), 0)
+        assert set(files("links")) == {1}
+        assert not files("more")  # what is staged is not written again
+        monkeypatch.setattr(graph, "LINKS", 50)
+        graph.components(first, staging)
+        assert max(files("links")) == 4  # 200 links
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
